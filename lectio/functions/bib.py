@@ -26,7 +26,7 @@ def _pages(v: Column) -> Column:
     present = F.try_variant_get(v, "$.number_of_pages", "variant")
     direct = F.try_variant_get(v, "$.number_of_pages", "int")
     digits = F.regexp_replace(F.try_variant_get(v, "$.pagination", "string"), "[^0-9]", "")
-    fallback = F.try_cast(F.nullif(digits, F.lit("")), "int")
+    fallback = F.nullif(digits, F.lit("")).try_cast("int")
     return F.when(present.isNotNull() & ~F.is_variant_null(present), direct).otherwise(fallback)
 
 

@@ -33,5 +33,5 @@ def parse_flexible_date(c: Column | str) -> Column:
         part = F.regexp_extract(c, rx, 1)
         # "March 29, 2026" and "March 29 2026" share one pattern.
         part = F.regexp_replace(part, ",", "")
-        tries.append(F.try_to_date(F.nullif(part, F.lit("")), F.lit(fmt)))
+        tries.append(F.try_to_date(F.nullif(part, F.lit("")), fmt))
     return F.coalesce(*tries)

@@ -58,12 +58,16 @@ def rule_matches(value: Column, rule: Rule) -> Column:
     return F.coalesce(out, F.lit(False))
 
 
+def _matcher(rule: Rule):
+    # One-argument lambda: higher-order functions bind every parameter.
+    return lambda s: rule_matches(s, rule)
+
+
 def classify(values: Column | str, rules: list[Rule] = GENRE_RULES) -> Column:
     """array<string> of matched labels, sorted and distinct."""
     values = F.col(values) if isinstance(values, str) else values
     arr = F.coalesce(values, F.array().cast("array<string>"))
-    hits = [F.when(F.exists(arr, lambda s, r=r: rule_matches(s, r)), F.lit(r.label))
-            for r in rules]
+    hits = [F.when(F.exists(arr, _matcher(r)), F.lit(r.label)) for r in rules]
     return F.array_sort(F.array_distinct(F.filter(F.array(*hits), lambda x: x.isNotNull())))
 
 

@@ -236,7 +236,7 @@ FROM orders""",
     "enrich_left": ENRICH,
     "html_last_labelled": """
 SELECT page_id, CASE WHEN contains(t, '.') THEN trim(split_part(t, '.', 1)) END AS ad_head
-FROM (SELECT page_id, regexp_extract(html, '<div class="ad">(.*?)</div>', 1) AS t FROM pages)""",
+FROM (SELECT page_id, regexp_extract(html, '(?s)<div class="ad">(.*?)</div>', 1) AS t FROM pages)""",
     "page_validity": r"""
 SELECT page_id, regexp_extract(url, '/(\d+)', 1) AS key,
        coalesce(contains(html, regexp_extract(url, '/(\d+)', 1)), false) AS page_valid FROM pages""",
