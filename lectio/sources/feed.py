@@ -19,6 +19,11 @@ def scan_feed(spark: SparkSession, paths: str | list[str], row_tag: str = "item"
     paths = [paths] if isinstance(paths, str) else list(paths)
     raw = (spark.read.format("xml").option("rowTag", row_tag)
            .option("ignoreSurroundingSpaces", "false").schema(FEED_XML).load(paths))
+    return feed_columns(raw)
+
+
+def feed_columns(raw: DataFrame) -> DataFrame:
+    """Parsed ``<item>`` structs -> the 16 bronze string columns."""
     cols = []
     for tag, name in FEED_FIELDS:
         if "/" in tag:

@@ -1,0 +1,133 @@
+"""S1/S2 feed scan, O1 bronze append with schema evolution, F1 latest
+batch, S7 validation, S11 DDL, the stage chain end to end, streaming."""
+
+import datetime as dt
+import os
+
+import pytest
+from pyspark.errors import PythonException
+from pyspark.sql import functions as F
+
+from lectio.operators.batches import latest_batch, stamp_batch
+from lectio.operators.quality import validate_pages, with_row_count
+from lectio.plans import stages
+from lectio.sources.catalog import ensure_schema
+from lectio.sources.feed import scan_feed
+from lectio.sources.sinks import append_bronze
+from lectio.sources.tables import read_bronze
+from lectio.streaming import ingest_feed_stream
+
+ITEM = """<item><title><![CDATA[  {title}  ]]></title><author_name>{user} Author</author_name>
+<isbn>{isbn}</isbn><book_id>{bid}</book_id><book><num_pages> {pages} </num_pages></book>
+<average_rating>4.1</average_rating><user_rating>{rating}</user_rating>
+<user_read_at>{read}</user_read_at><user_date_added>Sun, 01 Mar 2026 10:00:00 -0800</user_date_added>
+<user_shelves></user_shelves><user_review>r</user_review><book_description>d</book_description>
+<link>https://example.org/review/{bid}</link><user_name>{user}</user_name></item>"""
+
+
+def feed(path, user, items):
+    with open(path, "w") as f:
+        f.write("<?xml version='1.0'?><rss><channel><title>t</title>"
+                + "".join(ITEM.format(user=user, **i) for i in items) + "</channel></rss>")
+
+
+ITEMS_A = [dict(title="Dune", isbn="0441013597", bid="1", pages="412", rating="5",
+                read="Sun, 29 Mar 2026 22:30:00 -0700"),
+           dict(title="Emma", isbn="", bid="2", pages="", rating="0", read="")]
+ITEMS_B = [dict(title="Ulysses", isbn="0679722769", bid="3", pages="730", rating="3",
+                read="Tue, 10 Mar 2026 08:00:00 +0000")]
+
+
+def test_feed_scan_two_feeds(spark, tmpdir_path):
+    a, b = os.path.join(tmpdir_path, "a.xml"), os.path.join(tmpdir_path, "b.xml")
+    feed(a, "ann", ITEMS_A)
+    feed(b, "bob", ITEMS_B)
+    rows = {r.book_id: r for r in scan_feed(spark, [a, b]).collect()}
+    assert set(rows) == {"1", "2", "3"}
+    assert rows["1"].title == "Dune" and rows["1"].num_pages == " 412 " and rows["1"].shelves == ""
+    assert rows["2"].isbn == "" and rows["2"].year_published == "" and rows["3"].username == "bob"
+
+
+def test_bronze_append_widen_latest(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "bronze")
+    b1 = spark.createDataFrame([("1", "a")], "book_id string, v string")
+    append_bronze(stamp_batch(b1, "rss", "2024-01-01 00:00:00"), path)
+    b2 = spark.createDataFrame([("2", "b", 7)], "book_id string, v string, extra int")
+    append_bronze(stamp_batch(b2, "rss", "2024-01-02 00:00:00"), path)
+    df = read_bronze(spark, path)
+    assert "extra" in df.columns and df.count() == 2
+    snap = latest_batch(df).collect()
+    assert [(r.book_id, r.extra) for r in snap] == [("2", 7)]
+    empty = spark.createDataFrame([], "book_id string, _ingested_at timestamp")
+    assert latest_batch(empty).count() == 0
+
+
+def test_validate_pages_modes(spark):
+    df = spark.createDataFrame([("1", "<p>book 1</p>"), ("2", "<p>login</p>")], "book_id string, raw_html string")
+    good, bad = validate_pages(df, mode="quarantine")
+    assert [r.book_id for r in good.collect()] == ["1"] and [r.book_id for r in bad.collect()] == ["2"]
+    with pytest.raises(Exception) as e:
+        validate_pages(df, mode="fail").collect()
+    assert "does not contain the key" in str(e.value)
+    assert not isinstance(e.value, PythonException)
+
+
+def test_row_count_observation(spark):
+    df, obs = with_row_count(spark.range(17), "n")
+    df.write.format("noop").mode("overwrite").save()
+    assert obs.get["rows"] == 17
+
+
+def test_ensure_schema(spark):
+    assert ensure_schema(spark, "lectio_test_db", "it's a test") == []
+
+
+def test_stage_chain_end_to_end(spark, tmpdir_path):
+    p = lambda n: os.path.join(tmpdir_path, n)
+    a, b = p("a.xml"), p("b.xml")
+    feed(a, "ann", ITEMS_A)
+    feed(b, "bob", ITEMS_B)
+    stages.books_stage(spark, [a, b], p("bronze_rss"), p("silver"), "2026-04-01 00:00:00")
+    stages.books_stage(spark, [a], p("bronze_rss"), p("silver"), "2026-04-02 00:00:00")
+    silver = {r.book_id: r for r in spark.read.parquet(p("silver")).collect()}
+    assert set(silver) == {"1", "2"}  # bob's book is absent from the newest batch
+    assert silver["1"].read_at == dt.date(2026, 3, 29) and silver["1"].is_read and silver["1"].num_pages == 412
+    assert silver["2"].read_at is None and not silver["2"].is_read and silver["2"].num_pages is None
+    html = ('<html>book 1<div class="readingTimeline__text">March 20, 2026 – Started Reading</div>'
+            '<div class="readingTimeline__text">March 29, 2026 – Finished Reading</div></html>')
+    landed = spark.createDataFrame([("https://example.org/review/1", html),
+                                    ("https://example.org/review/2", "<html>book 2</html>")],
+                                   "goodreads_url string, raw_html string")
+    stages.pages_stage(spark, p("silver"), landed, p("bronze_pages"), p("enriched"))
+    enr = {r.book_id: r.started_reading for r in spark.read.parquet(p("enriched")).collect()}
+    assert enr == {"1": dt.date(2026, 3, 20), "2": None}
+    stages.daily_stage(spark, p("enriched"), p("gold_daily"))
+    g = spark.read.parquet(p("gold_daily"))
+    assert g.count() == 10 and abs(g.agg(F.sum("est_pages_read")).first()[0] - 412) < 0.5
+    stages.lookup_plan_stage(spark, p("silver"), p("plan"))
+    chunk = spark.read.parquet(p("plan")).first().chunk_id
+    body = ('{"ISBN:0441013597": {"key": "/books/OL1M", "subjects": [{"name": "Science fiction"}], '
+            '"pagination": "412 p."}}')
+    resp = spark.createDataFrame([(chunk, body, None)], "chunk_id string, body string, error string")
+    stages.lookups_stage(spark, p("plan"), resp, p("bronze_ol"), p("silver_ol"), "2026-04-03 00:00:00")
+    ol = spark.read.parquet(p("silver_ol")).first()
+    assert ol.status == "ok" and ol.subjects == ["Science fiction"] and ol.number_of_pages == 412
+    stages.genre_stage(spark, p("silver"), p("silver_ol"), p("gold_genre"))
+    gg = spark.read.parquet(p("gold_genre")).collect()
+    assert [(r.username, r.genre, r.avg_user_rating, r.total_pages, r.book_count) for r in gg] == [
+        ("ann", "Science Fiction", 5.0, 412, 1)]
+
+
+def test_streaming_ingest(spark, tmpdir_path):
+    land = os.path.join(tmpdir_path, "landing")
+    os.makedirs(land)
+    feed(os.path.join(land, "a.xml"), "ann", ITEMS_A)
+    bronze, ck = os.path.join(tmpdir_path, "bronze"), os.path.join(tmpdir_path, "ck")
+    q = ingest_feed_stream(spark, land, bronze, ck)
+    q.awaitTermination(120)
+    feed(os.path.join(land, "b.xml"), "bob", ITEMS_B)
+    q = ingest_feed_stream(spark, land, bronze, ck)
+    q.awaitTermination(120)
+    df = read_bronze(spark, bronze)
+    assert df.count() == 3 and df.select("_batch").distinct().count() == 2
+    assert [r.book_id for r in latest_batch(df.drop("_batch")).collect()] == ["3"]
