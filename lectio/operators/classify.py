@@ -68,7 +68,7 @@ def classify(values: Column | str, rules: list[Rule] = GENRE_RULES) -> Column:
     values = F.col(values) if isinstance(values, str) else values
     arr = F.coalesce(values, F.array().cast("array<string>"))
     hits = [F.when(F.exists(arr, _matcher(r)), F.lit(r.label)) for r in rules]
-    return F.array_sort(F.array_distinct(F.filter(F.array(*hits), lambda x: x.isNotNull())))
+    return F.sort_array(F.array_distinct(F.filter(F.array(*hits), lambda x: x.isNotNull())))
 
 
 def with_labels(df: DataFrame, values: str = "subjects", rules: list[Rule] = GENRE_RULES,

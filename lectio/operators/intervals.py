@@ -75,18 +75,18 @@ def boundary_days(df: DataFrame, key: str, start: str, end: str) -> DataFrame:
 
 
 def flag_shared_boundaries(df: DataFrame, key: str = "username", start: str = "started_reading",
-                           end: str = "read_at") -> DataFrame:
-    """``start_shares_finish`` / ``finish_shares_start`` per row."""
-    b = boundary_days(df, key, start, end)
-    on_start = b.select(F.col("_b_key").alias("_s_key"), F.col("_b_day").alias("_s_day"),
-                        F.col("_b_has_finish").alias("start_shares_finish"))
-    on_end = b.select(F.col("_b_key").alias("_f_key"), F.col("_b_day").alias("_f_day"),
-                      F.col("_b_has_start").alias("finish_shares_start"))
-    out = (df.join(on_start, (_c(key) == _c("_s_key")) & (_c(start) == _c("_s_day")), "left")
-             .join(on_end, (_c(key) == _c("_f_key")) & (_c(end) == _c("_f_day")), "left"))
-    return (out.withColumn("start_shares_finish", F.coalesce("start_shares_finish", F.lit(False)))
-               .withColumn("finish_shares_start", F.coalesce("finish_shares_start", F.lit(False)))
-               .drop("_s_key", "_s_day", "_f_key", "_f_day"))
+                           end: str = "read_at", boundaries: DataFrame | None = None) -> DataFrame:
+    """``start_shares_finish`` / ``finish_shares_start`` per row.
+
+    Both joins read the SAME boundary aggregate (identical subtree, so
+    its shuffle output is computed once and reused); it is unique per
+    (key, day), so neither join fans out."""
+    b = boundaries if boundaries is not None else boundary_days(df, key, start, end)
+    out = (df.join(b.alias("_s"), (_c(key) == _c("_s._b_key")) & (_c(start) == _c("_s._b_day")), "left")
+             .select(df["*"], F.coalesce(_c("_s._b_has_finish"), F.lit(False)).alias("start_shares_finish"))
+             .join(b.alias("_f"), (_c(key) == _c("_f._b_key")) & (_c(end) == _c("_f._b_day")), "left"))
+    return out.select(*[_c(f"`{c}`") for c in df.columns], "start_shares_finish",
+                      F.coalesce(_c("_f._b_has_start"), F.lit(False)).alias("finish_shares_start"))
 
 
 def effective_days(start: str = "started_reading", end: str = "read_at") -> Column:
@@ -107,9 +107,9 @@ def day_weight(day: Column, start: str = "started_reading", end: str = "read_at"
 
 def allocate_daily(complete: DataFrame, key: str = "username", start: str = "started_reading",
                    end: str = "read_at", amount: str = "num_pages",
-                   label: str = "title") -> DataFrame:
+                   label: str = "title", boundaries: DataFrame | None = None) -> DataFrame:
     """One row per (key, day, label) with the day's share."""
-    flagged = flag_shared_boundaries(complete, key, start, end)
+    flagged = flag_shared_boundaries(complete, key, start, end, boundaries)
     eff = effective_days(start, end)
     days = flagged.select(key, start, end, amount, label, "start_shares_finish",
                           "finish_shares_start", eff.alias("effective_reading_days"),
@@ -119,10 +119,18 @@ def allocate_daily(complete: DataFrame, key: str = "username", start: str = "sta
 
 
 def date_spine(complete: DataFrame, key: str = "username", start: str = "started_reading",
-               end: str = "read_at") -> DataFrame:
-    """Every day between a user's first start and last finish."""
-    bounds = complete.groupBy(key).agg(F.min(start).alias("first_date"),
-                                       F.max(end).alias("last_date"))
+               end: str = "read_at", boundaries: DataFrame | None = None) -> DataFrame:
+    """Every day between a user's first start and last finish.
+
+    With ``boundaries`` (the T1 aggregate of start-<=-end rows) the bounds
+    come from it: min over starts and finishes is the first start, max is
+    the last finish, and no second scan of the books is needed."""
+    if boundaries is not None:
+        bounds = boundaries.groupBy(F.col("_b_key").alias(key)).agg(
+            F.min("_b_day").alias("first_date"), F.max("_b_day").alias("last_date"))
+    else:
+        bounds = complete.groupBy(key).agg(F.min(start).alias("first_date"),
+                                           F.max(end).alias("last_date"))
     return bounds.select(key, F.explode(F.sequence("first_date", "last_date")).alias("date"))
 
 
@@ -141,13 +149,14 @@ def pages_per_day(books: DataFrame, key: str = "username", start: str = "started
     already applied it."""
     ok = books if complete else complete_intervals(books, start, end, amount)
     ok = ok.select(key, start, end, amount, label)
-    contrib = allocate_daily(ok, key, start, end, amount, label)
+    b = boundary_days(ok, key, start, end)
+    contrib = allocate_daily(ok, key, start, end, amount, label, b)
     # A NULL user never equals itself in the reference's spine join: its
     # days stay on the spine at zero, its pages are not attributed.
     contrib = contrib.filter(_c(key).isNotNull())
-    spine = date_spine(ok, key, start, end).select(
+    spine = date_spine(ok, key, start, end, b).select(
         key, "date", F.lit(None).cast("string").alias(label), F.lit(0.0).alias("pages_per_day"))
     rows = contrib.unionByName(spine)
     return (rows.groupBy(key, "date")
             .agg(round_half_up(F.sum("pages_per_day"), 1).alias("est_pages_read"),
-                 F.array_sort(F.collect_list(label)).alias("books_in_progress")))
+                 F.sort_array(F.collect_list(label)).alias("books_in_progress")))

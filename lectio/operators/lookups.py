@@ -39,7 +39,7 @@ def plan_lookups(keys: DataFrame, size: int = 20, buckets: int | None = None,
     numbered = (keys.select(isbn, key, b.alias("_bucket"))
                 .withColumn("_chunk", F.floor((F.row_number().over(w) - 1) / size)))
     chunks = numbered.groupBy("_bucket", "_chunk").agg(
-        F.array_sort(F.collect_list(F.struct(isbn, key))).alias("members"))
+        F.sort_array(F.collect_list(F.struct(isbn, key))).alias("members"))
     bibkeys = F.array_join(F.transform("members", lambda m: F.concat(F.lit(KEY_PREFIX), m[isbn])), ",")
     pre, post = url_template.split("{bibkeys}")
     return chunks.select(

@@ -43,7 +43,7 @@ RANGE_START, RANGE_END, RANGE_WINDOW = "1996-01-01", "1997-12-31", 30
 
 
 def joined(c) -> F.Column:
-    return F.array_join(F.array_sort(c), "|")
+    return F.array_join(F.sort_array(c), "|")
 
 
 def rnd(c, scale: int) -> F.Column:
