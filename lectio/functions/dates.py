@@ -26,7 +26,12 @@ DATE_LAYOUTS = [
 
 
 def parse_flexible_date(c: Column | str) -> Column:
-    """DATE from free text, NULL when no layout matches."""
+    """DATE from free text, NULL when no layout matches.
+
+    The input is referenced once per layout and Spark does not share
+    subexpressions across ``coalesce`` branches, so pass a column, not an
+    expensive expression: project the text first (``withColumn``), and
+    Catalyst keeps that projection because it is referenced repeatedly."""
     c = F.col(c) if isinstance(c, str) else c
     tries = []
     for rx, fmt in DATE_LAYOUTS:

@@ -30,10 +30,12 @@ _STRIP = r"(?U)^\s+|\s+$"
 
 
 def decode_entities(c: Column) -> Column:
-    """Replace the named/numeric entities above (``&amp;`` last)."""
+    """Replace the named/numeric entities above (``&amp;`` last); text
+    without ``&`` is returned as is, skipping the replace chain."""
+    out = c
     for ent, ch in ENTITIES:
-        c = F.replace(c, F.lit(ent), F.lit(ch))
-    return c
+        out = F.replace(out, F.lit(ent), F.lit(ch))
+    return F.when(F.contains(c, F.lit("&")), out).otherwise(c)
 
 
 def _java_quote(s: str) -> str:
@@ -55,20 +57,23 @@ def extract_labelled(html: Column | str, css_class: str = "readingTimeline__text
                      label: str = "Started Reading", sep: str = "–",
                      tag: str = "div") -> Column:
     """Text before ``sep`` of the last ``css_class`` element mentioning
-    ``label`` and ``sep``; NULL if there is none."""
+    ``label`` and ``sep``; NULL if there is none.
+
+    Cost control: pages without the class name skip the element scan; the
+    label test runs on tag-stripped text of each element, and the
+    space-joined text is built only for the one element returned."""
     html = F.col(html) if isinstance(html, str) else html
     inner = element_texts(html, css_class, tag)
 
-    def to_texts(x: Column) -> Column:
-        joined = decode_entities(F.regexp_replace(x, r"<[^>]*>", ""))
-        spaced = decode_entities(F.regexp_replace(x, r"(\s*<[^>]*>\s*)+", " "))
-        return F.struct(joined.alias("raw"), spaced.alias("spaced"))
+    def plain(x: Column) -> Column:
+        return decode_entities(F.regexp_replace(x, r"<[^>]*>", ""))
 
-    cand = F.filter(
-        F.transform(inner, to_texts),
-        lambda t: F.contains(t["raw"], F.lit(label)) & F.contains(t["raw"], F.lit(sep)),
-    )
-    last = F.try_element_at(cand, F.lit(-1))["spaced"]
-    head = F.split_part(F.regexp_replace(last, _STRIP, ""), F.lit(sep), F.lit(1))
+    def mentions(x: Column) -> Column:
+        t = plain(x)
+        return F.contains(t, F.lit(label)) & F.contains(t, F.lit(sep))
+
+    last = F.try_element_at(F.filter(inner, mentions), F.lit(-1))
+    spaced = decode_entities(F.regexp_replace(last, r"(\s*<[^>]*>\s*)+", " "))
+    head = F.split_part(F.regexp_replace(spaced, _STRIP, ""), F.lit(sep), F.lit(1))
     out = F.regexp_replace(head, _STRIP, "")
-    return F.when(F.coalesce(F.length(html), F.lit(0)) > 0, out)
+    return F.when(F.contains(html, F.lit(css_class)), out)

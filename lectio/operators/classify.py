@@ -6,8 +6,9 @@ any ``equals`` keyword or starts with any ``startswith`` keyword. The
 labels of a row are deduplicated and sorted by code point; NULL or empty
 input gives ``[]`` (never NULL, so ``size`` splits rows cleanly).
 
-Evaluated as one native expression per row (``exists`` over the array),
-so no Python worker is involved and filters on the result push down.
+Evaluated as codegen'd string tests on one joined column per row (no
+Python worker, no interpreted lambdas), so filters on the result push
+down and the whole projection stays in one generated stage.
 """
 
 from __future__ import annotations
@@ -17,7 +18,6 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lectio.functions.text import normalise
 
 
 class Rule(NamedTuple):
@@ -47,28 +47,41 @@ GENRE_RULES = [
 ]
 
 
-def rule_matches(value: Column, rule: Rule) -> Column:
-    n = normalise(value)
-    tests = ([F.contains(n, F.lit(k)) for k in rule.contains]
-             + ([n.isin(*rule.equals)] if rule.equals else [])
-             + [F.startswith(n, F.lit(k)) for k in rule.startswith])
+# Boundary marker between values in the joined form (a
+# control character no keyword contains).
+SEP = "\u001f"
+
+
+def joined_values(values: Column) -> Column:
+    """All values lowercased and joined as ``SEP v1 SEP v2 ... SEP`` with
+    white space around every value stripped. Each rule then becomes plain
+    string tests on one column, all whole-stage-codegen'd:
+    contains k -> ``contains(j, k)``; equals k -> ``contains(j, SEP k SEP)``;
+    starts with k -> ``contains(j, SEP k)``. (A value holding the control
+    character SEP itself would be split there.)"""
+    arr = F.coalesce(values, F.array().cast("array<string>"))
+    j = F.concat(F.lit(SEP), F.lower(F.array_join(arr, SEP)), F.lit(SEP))
+    return F.regexp_replace(j, "(?U)\\s*" + SEP + "\\s*", SEP)
+
+
+def rule_matches(j: Column, rule: Rule) -> Column:
+    """Does any value of the joined form ``j`` match ``rule``?"""
+    tests = ([F.contains(j, F.lit(k)) for k in rule.contains]
+             + [F.contains(j, F.lit(SEP + k + SEP)) for k in rule.equals]
+             + [F.contains(j, F.lit(SEP + k)) for k in rule.startswith])
     out = tests[0]
     for t in tests[1:]:
         out = out | t
-    return F.coalesce(out, F.lit(False))
-
-
-def _matcher(rule: Rule):
-    # One-argument lambda: higher-order functions bind every parameter.
-    return lambda s: rule_matches(s, rule)
+    return out
 
 
 def classify(values: Column | str, rules: list[Rule] = GENRE_RULES) -> Column:
-    """array<string> of matched labels, sorted and distinct."""
+    """array<string> of matched labels, sorted and distinct ([] for none)."""
     values = F.col(values) if isinstance(values, str) else values
-    arr = F.coalesce(values, F.array().cast("array<string>"))
-    hits = [F.when(F.exists(arr, _matcher(r)), F.lit(r.label)) for r in rules]
-    return F.sort_array(F.array_distinct(F.filter(F.array(*hits), lambda x: x.isNotNull())))
+    j = joined_values(values)
+    hits = F.concat_ws(SEP, *[F.when(rule_matches(j, r), F.lit(r.label)) for r in rules])
+    labels = F.when(hits == "", F.array().cast("array<string>")).otherwise(F.split(hits, SEP))
+    return F.sort_array(F.array_distinct(labels))
 
 
 def with_labels(df: DataFrame, values: str = "subjects", rules: list[Rule] = GENRE_RULES,

@@ -16,8 +16,10 @@ def start_dates(pages: DataFrame, html: str = "raw_html", keys: tuple[str, ...]
     reduced to a date before anything shuffles, so the raw pages never
     cross the network."""
     df = latest_batch(pages) if snapshot else pages
-    return df.select(*keys, parse_flexible_date(extract_labelled(html, label=label))
-                     .alias("started_reading"))
+    # Two projections: the extracted text is computed once per page and
+    # the date layouts then read a column (see parse_flexible_date).
+    raw = df.select(*keys, extract_labelled(html, label=label).alias("_started_raw"))
+    return raw.select(*keys, parse_flexible_date("_started_raw").alias("started_reading"))
 
 
 def enrich_books(books: DataFrame, starts: DataFrame, keys: tuple[str, ...] = ("book_id", "username"),

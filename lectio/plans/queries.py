@@ -119,8 +119,9 @@ def q_date_parse(spark, base):
     long_t = F.when(bad, F.lit("garbage")).otherwise(F.date_format("o_orderdate", "MMMM d, yyyy"))
     rfc_t = F.concat(F.date_format("o_orderdate", "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" -0700"))
     iso_t = F.when(k % 7 == 0, F.lit("")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
-    return o.select("o_orderkey", parse_flexible_date(long_t).alias("d_long"),
-                    parse_flexible_date(rfc_t).alias("d_rfc"), parse_flexible_date(iso_t).alias("d_iso"))
+    texts = o.select("o_orderkey", long_t.alias("t_long"), rfc_t.alias("t_rfc"), iso_t.alias("t_iso"))
+    return texts.select("o_orderkey", parse_flexible_date("t_long").alias("d_long"),
+                        parse_flexible_date("t_rfc").alias("d_rfc"), parse_flexible_date("t_iso").alias("d_iso"))
 
 
 def _write_feeds(spark, base) -> list[str]:

@@ -50,3 +50,19 @@ def test_no_python_worker_in_plan(spark):
     df = spark.createDataFrame([(page(row("March 29, 2026", "Started Reading")),)], "h string")
     plan = df.select(extract_labelled("h"))._jdf.queryExecution().executedPlan().toString()
     assert "EvalPython" not in plan
+
+
+def test_agrees_with_dom_parser_on_derived_pages(spark):
+    """Cross-check against an independent stdlib html.parser walk with the
+    reference's semantics, over every derived review page."""
+    import bench
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+
+    from lectio.plans import derive as D
+
+    p = D.review_pages(spark, "/root/testdata/sf0.001")
+    dom = F.udf(bench._py_extract_start, T.StringType())
+    d = p.select(extract_labelled("raw_html").alias("a"), dom("raw_html").alias("b"))
+    assert d.count() > 1000
+    assert d.filter(~F.col("a").eqNullSafe(F.col("b"))).count() == 0
