@@ -36,29 +36,34 @@ def _c(name: str) -> Column:
 
 
 def complete_intervals(df: DataFrame, start: str = "started_reading", end: str = "read_at",
-                       amount: str = "num_pages") -> DataFrame:
+                       amount: str = "num_pages", max_days: int | None = None) -> DataFrame:
     """start, end, amount present, amount > 0 and start <= end.
     (Inverted intervals go to the skipped report instead of running a
-    backwards sequence or dividing by zero.)"""
-    return df.filter(_c(start).isNotNull() & _c(end).isNotNull() & _c(amount).isNotNull()
-                     & (_c(amount) > 0) & (_c(start) <= _c(end)))
+    backwards sequence or dividing by zero.) ``max_days`` optionally sends
+    implausibly long intervals (one bad year explodes into hundreds of
+    thousands of rows) to the report as well; off by default."""
+    return df.filter(skip_reason(start, end, amount, max_days).isNull())
 
 
 def skip_reason(start: str = "started_reading", end: str = "read_at",
-                amount: str = "num_pages") -> Column:
+                amount: str = "num_pages", max_days: int | None = None) -> Column:
     """Why a row is not modelled; NULL when it is."""
-    return (F.when(_c(start).isNull(), F.lit("missing_start"))
-            .when(_c(end).isNull(), F.lit("missing_finish"))
-            .when(_c(amount).isNull(), F.lit("missing_amount"))
-            .when(_c(amount) <= 0, F.lit("non_positive_amount"))
-            .when(_c(start) > _c(end), F.lit("inverted_interval")))
+    r = (F.when(_c(start).isNull(), F.lit("missing_start"))
+         .when(_c(end).isNull(), F.lit("missing_finish"))
+         .when(_c(amount).isNull(), F.lit("missing_amount"))
+         .when(_c(amount) <= 0, F.lit("non_positive_amount"))
+         .when(_c(start) > _c(end), F.lit("inverted_interval")))
+    if max_days is not None:
+        r = r.when(F.datediff(_c(end), _c(start)) + 1 > max_days, F.lit("interval_too_long"))
+    return r
 
 
 def skipped_intervals(df: DataFrame, start: str = "started_reading", end: str = "read_at",
-                      amount: str = "num_pages", cols: list[str] | None = None) -> DataFrame:
+                      amount: str = "num_pages", cols: list[str] | None = None,
+                      max_days: int | None = None) -> DataFrame:
     """exact complement of :func:`complete_intervals`, with a reason."""
     cols = cols if cols is not None else ["title", start, end, amount]
-    reason = skip_reason(start, end, amount)
+    reason = skip_reason(start, end, amount, max_days)
     return df.select(*cols, reason.alias("reason")).filter(F.col("reason").isNotNull())
 
 
@@ -141,13 +146,14 @@ def round_half_up(c: Column, scale: int) -> Column:
 
 def pages_per_day(books: DataFrame, key: str = "username", start: str = "started_reading",
                   end: str = "read_at", amount: str = "num_pages", label: str = "title",
-                  complete: bool = False) -> DataFrame:
+                  complete: bool = False, max_days: int | None = None) -> DataFrame:
     """Gold daily series (T1-T10, A2-A4, A8):
     (key, date, est_pages_read double, books_in_progress array<string>).
 
     ``complete=True`` skips the completeness filter when the caller
-    already applied it."""
-    ok = books if complete else complete_intervals(books, start, end, amount)
+    already applied it. The title list of a (user, day) is the output row
+    itself: it holds every book that user has open that day, in full."""
+    ok = books if complete else complete_intervals(books, start, end, amount, max_days)
     ok = ok.select(key, start, end, amount, label)
     b = boundary_days(ok, key, start, end)
     contrib = allocate_daily(ok, key, start, end, amount, label, b)

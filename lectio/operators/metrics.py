@@ -38,20 +38,24 @@ def rolling_mean(df: DataFrame, n: int = 7, value: str = "est_pages_read",
     return df.withColumn(out, F.avg(value).over(w))
 
 
-def daily_view(gold_daily: DataFrame) -> DataFrame:
-    """Count of books in progress plus the list as ``book_titles``."""
-    return gold_daily.select(
+def daily_view(gold_daily: DataFrame, ordered: bool = False) -> DataFrame:
+    """Count of books in progress plus the list as ``book_titles``.
+    ``ordered`` adds the (username, date) order of a dashboard read (R2);
+    leave it off when the consumer does not need a global order."""
+    v = gold_daily.select(
         "username", "date", "est_pages_read",
         F.size("books_in_progress").alias("books_in_progress"),
         F.col("books_in_progress").alias("book_titles"))
+    return v.orderBy("username", "date") if ordered else v
 
 
-def genre_view(gold_genre: DataFrame) -> DataFrame:
-    """Typed projection of the genre gold table."""
-    return gold_genre.select(
+def genre_view(gold_genre: DataFrame, ordered: bool = False) -> DataFrame:
+    """Typed projection of the genre gold table (R2 order optional)."""
+    v = gold_genre.select(
         "username", "genre", F.col("avg_user_rating").cast("double").alias("avg_user_rating"),
         F.col("total_pages").cast("int").alias("total_pages"),
         F.col("book_count").cast("int").alias("book_count"))
+    return v.orderBy("username", "genre") if ordered else v
 
 
 def date_domain(df: DataFrame, col: str = "date") -> DataFrame:

@@ -13,10 +13,14 @@ def append_bronze(df: DataFrame, path: str, batch_col: str = "_batch") -> None:
     Each batch lands in its own partition folder, so a batch that adds a
     column never conflicts with older files; readers merge schemas
     (:func:`lectio.sources.tables.read_bronze`) and the latest-batch filter
-    prunes to one partition."""
+    prunes to one partition. The write replaces only its own batch
+    partition (dynamic partition overwrite): older batches are never
+    touched, and re-running a failed or retried batch with the same
+    ``batch_ts`` cannot duplicate rows."""
     if batch_col not in df.columns:
         df = df.withColumn(batch_col, F.date_format("_ingested_at", "yyyyMMddHHmmssSSSSSS"))
-    df.write.mode("append").partitionBy(batch_col).parquet(path)
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(batch_col).parquet(path))
 
 
 def overwrite_table(df: DataFrame, path_or_table: str, sort_within: tuple[str, ...] = (),

@@ -130,3 +130,11 @@ def test_null_user_keeps_zero_spine(spark):
     g = {(r.username, r.date): r.est_pages_read for r in pages_per_day(frame(spark, rows)).collect()}
     assert g[(None, D(2024, 1, 1))] == 0.0 and g[(None, D(2024, 1, 2))] == 0.0
     assert g[("x", D(2024, 1, 1))] == 3.0
+
+
+def test_max_days_guard(spark):
+    rows = [("u", "long", D(1900, 1, 1), D(2024, 1, 1), 10), ("u", "ok", D(2024, 1, 1), D(2024, 1, 2), 10)]
+    df = frame(spark, rows)
+    assert [r.reason for r in skipped_intervals(df, max_days=3650).collect()] == ["interval_too_long"]
+    assert pages_per_day(df, max_days=3650).count() == 2
+    assert pages_per_day(df).count() > 45000  # off by default: reference semantics
