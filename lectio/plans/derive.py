@@ -57,7 +57,7 @@ def _date(c: Column | str) -> Column:
     return F.to_date(F.col(c) if isinstance(c, str) else c)
 
 
-def readings(spark: SparkSession, base: str, user: str = "nation") -> DataFrame:
+def readings(spark: SparkSession, base: str, user: str = "nation", keep_source: bool = False) -> DataFrame:
     """(username, book_id, title, started_reading, read_at, num_pages).
 
     username = nation (``userNN``) or customer name; planted: NULL start,
@@ -81,6 +81,7 @@ def readings(spark: SparkSession, base: str, user: str = "nation") -> DataFrame:
         F.when(k % MISSING_PAGES == MISSING_PAGES_R, F.lit(None).cast("int"))
          .when(k % ZERO_PAGES == ZERO_PAGES_R, F.lit(0))
          .otherwise((k % PAGES_MOD + PAGES_BASE).cast("int")).alias("num_pages"),
+        *([k.alias("_k"), day.alias("_day")] if keep_source else []),
     )
 
 
@@ -88,15 +89,19 @@ def _timeline_row(text: Column, cls: str = "readingTimeline__text") -> Column:
     return F.concat(F.lit(f'<div class="{cls}">'), text, F.lit("</div>"))
 
 
+def _batches(rows: list[tuple[Column, dict[str, Column]]]) -> Column:
+    """One scan, several batches: an array of the batch rows a source row
+    belongs to (condition, columns), exploded by the caller."""
+    return F.explode(F.filter(F.array(*[F.when(cond, F.struct(*[v.alias(n) for n, v in cols.items()]))
+                                        for cond, cols in rows]), lambda x: x.isNotNull()))
+
+
 def review_pages(spark: SparkSession, base: str) -> DataFrame:
     """Landed review pages: (book_id, goodreads_url, username, raw_html,
-    _ingested_at), two batches; see the PAGE_* rules."""
-    r = readings(spark, base).select("username", "book_id", F.col("book_id").cast("bigint").alias("k"),
-                                     "read_at")
-    o = read_table(spark, "orders", base).select("o_orderkey", "o_orderdate")
-    r = r.join(o, r.k == o.o_orderkey).drop("o_orderkey")
-    k = F.col("k")
-    start = _date("o_orderdate")
+    _ingested_at, _source), two batches from one scan; see PAGE_*."""
+    r = readings(spark, base, keep_source=True)
+    k = F.col("_k")
+    start = F.col("_day")
     fmt = lambda d: F.when(k % PAGE_SHORT_MONTH == 0, F.date_format(d, "MMM d, yyyy")) \
         .otherwise(F.date_format(d, "MMMM d, yyyy"))
     v = k % PAGE_VARIANT
@@ -118,16 +123,17 @@ def review_pages(spark: SparkSession, base: str) -> DataFrame:
     html = F.concat(F.lit('<html><body><a href="/book/show/'), F.col("book_id"),
                     F.lit('">book</a><div class="readingTimeline">'),
                     earlier, start_row, finish_row, F.lit("</div></body></html>"))
-    url = F.concat(F.lit("https://example.org/review/show/"), F.col("book_id"))
-    new = r.filter(k % PAGE_MISSING != 0).select(
-        "book_id", url.alias("goodreads_url"), "username", html.alias("raw_html"),
-        F.lit(NEW_BATCH).cast("timestamp").alias("_ingested_at"))
     old_html = F.concat(F.lit('<html><body><div class="readingTimeline__text">'),
                         fmt(F.date_add(start, 100)), F.lit(" – Started Reading</div></body></html>"))
-    old = r.filter(k % PAGE_OLD_BATCH == 0).select(
-        "book_id", url.alias("goodreads_url"), "username", old_html.alias("raw_html"),
-        F.lit(OLD_BATCH).cast("timestamp").alias("_ingested_at"))
-    return new.unionByName(old).withColumn("_source", F.lit("review_page"))
+    url = F.concat(F.lit("https://example.org/review/show/"), F.col("book_id"))
+    common = {"book_id": F.col("book_id"), "goodreads_url": url, "username": F.col("username")}
+    b = r.select(_batches([
+        (k % PAGE_MISSING != 0, dict(common, raw_html=html,
+                                     _ingested_at=F.lit(NEW_BATCH).cast("timestamp"))),
+        (k % PAGE_OLD_BATCH == 0, dict(common, raw_html=old_html,
+                                       _ingested_at=F.lit(OLD_BATCH).cast("timestamp"))),
+    ]).alias("b"))
+    return b.select("b.*").withColumn("_source", F.lit("review_page"))
 
 
 def feed_rows(spark: SparkSession, base: str) -> DataFrame:
@@ -163,12 +169,13 @@ def feed_rows(spark: SparkSession, base: str) -> DataFrame:
         "goodreads_url": F.concat(F.lit("https://example.org/review/show/"), ks),
         "username": F.col("c_name"),
     }
-    new = j.filter(k % FEED_ONLY_OLD != 0).select(
-        *[v.alias(n) for n, v in cols.items()], F.lit(NEW_BATCH).cast("timestamp").alias("_ingested_at"))
     old_cols = dict(cols, title=F.concat(F.lit("Old "), ks))
-    old = j.filter((k % FEED_IN_OLD == 0) | (k % FEED_ONLY_OLD == 0)).select(
-        *[v.alias(n) for n, v in old_cols.items()], F.lit(OLD_BATCH).cast("timestamp").alias("_ingested_at"))
-    return new.unionByName(old).withColumn("_source", F.lit("rss"))
+    b = j.select(_batches([
+        (k % FEED_ONLY_OLD != 0, dict(cols, _ingested_at=F.lit(NEW_BATCH).cast("timestamp"))),
+        ((k % FEED_IN_OLD == 0) | (k % FEED_ONLY_OLD == 0),
+         dict(old_cols, _ingested_at=F.lit(OLD_BATCH).cast("timestamp"))),
+    ]).alias("b"))
+    return b.select("b.*").withColumn("_source", F.lit("rss"))
 
 
 def bib_json(spark: SparkSession, base: str) -> DataFrame:
