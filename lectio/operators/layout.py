@@ -1,0 +1,22 @@
+"""Partition layout helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def ensure_parallelism(df: DataFrame, *keys: str, min_partitions: int | None = None) -> DataFrame:
+    """Hash-spread ``df`` over ``min_partitions`` (default: the session's
+    default parallelism) only when its scan yields fewer partitions.
+
+    A large input already arrives in many splits, so on a cluster this is a
+    no-op and adds no shuffle; a small input held in one file/row group
+    would otherwise run every following row-local step (regex parsing,
+    text generation) on a single core. Keys make the spread deterministic
+    on retry."""
+    spark = df.sparkSession
+    want = min_partitions or spark.sparkContext.defaultParallelism
+    have = df.rdd.getNumPartitions()
+    if have >= want:
+        return df
+    return df.repartition(want, *keys) if keys else df.repartition(want)

@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lectio.operators.layout import ensure_parallelism
 from lectio.sources.tables import read_table
 
 # Readings (orders x customer).
@@ -63,6 +64,7 @@ def readings(spark: SparkSession, base: str, user: str = "nation", keep_source:
     username = nation (``userNN``) or customer name; planted: NULL start,
     NULL finish, NULL / zero pages, inverted intervals."""
     o = read_table(spark, "orders", base).select("o_orderkey", "o_custkey", "o_orderdate")
+    o = ensure_parallelism(o, "o_orderkey")
     c = read_table(spark, "customer", base).select("c_custkey", "c_nationkey", "c_name")
     j = o.join(c, o.o_custkey == c.c_custkey)
     k = _k("o_orderkey")
@@ -139,6 +141,7 @@ def review_pages(spark: SparkSession, base: str) -> DataFrame:
 def feed_rows(spark: SparkSession, base: str) -> DataFrame:
     """bronze_rss-shaped string rows in two batches; see the FEED_* rules."""
     o = read_table(spark, "orders", base).select("o_orderkey", "o_custkey", "o_orderdate")
+    o = ensure_parallelism(o, "o_orderkey")
     c = read_table(spark, "customer", base).select("c_custkey", "c_name")
     j = o.join(c, o.o_custkey == c.c_custkey)
     k = _k("o_orderkey")
@@ -181,6 +184,7 @@ def feed_rows(spark: SparkSession, base: str) -> DataFrame:
 def bib_json(spark: SparkSession, base: str) -> DataFrame:
     """(p_partkey, raw_json) lookup records built from part rows; see BIB_*."""
     p = read_table(spark, "part", base).select("p_partkey", "p_name", "p_type", "p_brand", "p_size")
+    p = ensure_parallelism(p, "p_partkey")
     k = _k("p_partkey")
     # JSON string literal of a column: to_json({"v": x}) -> {"v":"x"}; strip the wrapper.
     js = lambda c: F.regexp_extract(F.to_json(F.struct(c.alias("v"))), r'^\{"v":(.*)\}$', 1)
@@ -217,6 +221,7 @@ def part_books(spark: SparkSession, base: str) -> DataFrame:
     num_pages, is_read). username = supplier."""
     li = read_table(spark, "lineitem", base).select(
         "l_suppkey", "l_partkey", "l_linenumber", "l_quantity", "l_returnflag")
+    li = ensure_parallelism(li, "l_partkey")
     return li.select(
         F.format_string("supp%04d", "l_suppkey").alias("username"),
         F.col("l_partkey").cast("string").alias("book_id"),
@@ -239,6 +244,7 @@ def part_subjects(spark: SparkSession, base: str) -> DataFrame:
 
 def lookup_books(spark: SparkSession, base: str) -> DataFrame:
     """(isbn, book_id) requests from lineitem rows; isbn '' for k % 10."""
+    # No spread here: a distinct follows, whose partial aggregation is cheap.
     li = read_table(spark, "lineitem", base).select("l_partkey")
     k = _k("l_partkey")
     return li.select(F.when(k % 10 == 0, F.lit("")).otherwise(F.lpad(k.cast("string"), 10, "0")).alias("isbn"),

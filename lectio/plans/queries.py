@@ -20,6 +20,7 @@ from lectio.operators.batches import latest_batch, stamp_batch
 from lectio.operators.classify import Rule, classify, labels_of
 from lectio.operators.cleaning import clean_books
 from lectio.operators.enrich import enrich_books, start_dates
+from lectio.operators.layout import ensure_parallelism
 from lectio.operators.lookups import lookup_keys, plan_lookups, resolve_lookups
 from lectio.operators.quality import lookup_status, validate_pages
 from lectio.plans import derive as D
@@ -113,7 +114,7 @@ def q_typed_clean(spark, base):
 
 
 def q_date_parse(spark, base):
-    o = read_table(spark, "orders", base).select("o_orderkey", "o_orderdate")
+    o = ensure_parallelism(read_table(spark, "orders", base).select("o_orderkey", "o_orderdate"), "o_orderkey")
     k = F.col("o_orderkey")
     bad = k % 50 == 0
     long_t = F.when(bad, F.lit("garbage")).otherwise(F.date_format("o_orderdate", "MMMM d, yyyy"))
