@@ -27,7 +27,7 @@ from lectio.plans import derive as D
 from lectio.session import scratch_path
 from lectio.sources.feed import scan_feed
 from lectio.sources.sinks import append_bronze
-from lectio.sources.tables import read_bronze, read_table
+from lectio.sources.tables import latest_bronze, read_table
 
 # Keyword rules of the part catalogue (label, substrings,
 # whole values, prefixes), the driver-table counterpart of the genre rules.
@@ -158,7 +158,7 @@ def q_feed_to_silver(spark, base):
     append_bronze(rows.filter(F.col("_ingested_at") == F.lit(D.OLD_BATCH).cast("timestamp")), bronze)
     scanned = scan_feed(spark, _write_feeds(spark, base))
     append_bronze(stamp_batch(scanned, "rss", D.NEW_BATCH), bronze)
-    return _typed(clean_books(read_bronze(spark, bronze).drop("_batch")))
+    return _typed(clean_books(latest_bronze(spark, bronze), snapshot=False))
 
 
 def q_enrich_left(spark, base):

@@ -14,7 +14,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 
 from lectio.functions.bib import parse_bib_record
-from lectio.operators.batches import latest_batch, stamp_batch
+from lectio.operators.batches import stamp_batch
 from lectio.operators.cleaning import clean_books
 from lectio.operators.enrich import enrich_books, start_dates
 from lectio.operators.genre import classified_subjects, genre_summary, qualifying_books
@@ -24,7 +24,7 @@ from lectio.operators.quality import validate_pages
 from lectio.sources.feed import scan_feed
 from lectio.sources.landing import land_pages, wanted_pages
 from lectio.sources.sinks import append_bronze, overwrite_table
-from lectio.sources.tables import read_bronze
+from lectio.sources.tables import latest_bronze
 
 Stamp = _dt.datetime | str | None
 
@@ -33,7 +33,7 @@ def books_stage(spark: SparkSession, feeds: list[str], bronze: str, silver: str,
                 batch_ts: Stamp = None) -> None:
     """Landed feeds -> bronze_rss (append) -> silver_books (replace)."""
     append_bronze(stamp_batch(scan_feed(spark, feeds), "rss", batch_ts), bronze)
-    silver_df = clean_books(read_bronze(spark, bronze).drop("_batch"))
+    silver_df = clean_books(latest_bronze(spark, bronze), snapshot=False)
     overwrite_table(silver_df, silver)
 
 
@@ -50,7 +50,7 @@ def pages_stage(spark: SparkSession, silver: str, landed: DataFrame, bronze: str
     else:
         pages = validate_pages(pages, mode="fail")
     append_bronze(stamp_batch(pages, "review_page", batch_ts), bronze)
-    starts = start_dates(read_bronze(spark, bronze).drop("_batch"))
+    starts = start_dates(latest_bronze(spark, bronze), snapshot=False)
     overwrite_table(enrich_books(books, starts), enriched)
     return rejected
 
@@ -73,7 +73,7 @@ def lookups_stage(spark: SparkSession, plan: str, responses: DataFrame, bronze:
     silver_open_library (newest batch, parsed; replace)."""
     resolved = resolve_lookups(spark.read.parquet(plan), responses)
     append_bronze(stamp_batch(resolved, "open_library", batch_ts), bronze)
-    snap = latest_batch(read_bronze(spark, bronze).drop("_batch"))
+    snap = latest_bronze(spark, bronze)
     parsed = snap.select("isbn", "book_id", "status", parse_bib_record("raw_json").alias("_p"))
     overwrite_table(parsed.select("isbn", "book_id", "status", "_p.*"), silver_ol)
 

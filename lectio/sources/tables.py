@@ -28,6 +28,15 @@ def read_bronze(spark: SparkSession, path: str, schema: StructType | None = None
     return r.parquet(path)
 
 
+def latest_bronze(spark: SparkSession, path: str, batch_col: str = "_batch") -> DataFrame:
+    """Newest batch of a bronze directory, pruned to its one partition: the
+    max over the partition column is a scalar subquery that reads no data
+    columns, and the outer scan opens only the matching partition."""
+    from lectio.operators.batches import latest_batch
+
+    return latest_batch(read_bronze(spark, path), batch_col).drop(batch_col)
+
+
 def rows_to_frame(spark: SparkSession, rows: list[dict], schema: StructType) -> DataFrame:
     """Small literal rows against a declared schema (tests, fixtures)."""
     return spark.createDataFrame(rows, schema=schema)

@@ -131,3 +131,15 @@ def test_streaming_ingest(spark, tmpdir_path):
     df = read_bronze(spark, bronze)
     assert df.count() == 3 and df.select("_batch").distinct().count() == 2
     assert [r.book_id for r in latest_batch(df.drop("_batch")).collect()] == ["3"]
+
+
+def test_latest_bronze_prunes_partitions(spark, tmpdir_path):
+    from lectio.sources.tables import latest_bronze
+
+    path = os.path.join(tmpdir_path, "bronze")
+    for i, ts in enumerate(["2024-01-01 00:00:00", "2024-01-02 00:00:00", "2024-01-03 00:00:00"]):
+        append_bronze(stamp_batch(spark.createDataFrame([(str(i),)], "book_id string"), "rss", ts), path)
+    q = latest_bronze(spark, path)
+    assert [r.book_id for r in q.collect()] == ["2"] and "_batch" not in q.columns
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_batch" in plan and "Subquery" in plan
