@@ -20,7 +20,7 @@ from lectio.operators.enrich import enrich_books, start_dates
 from lectio.operators.genre import classified_subjects, genre_summary, qualifying_books
 from lectio.operators.intervals import pages_per_day
 from lectio.operators.lookups import lookup_keys, plan_lookups, resolve_lookups
-from lectio.operators.quality import validate_pages
+from lectio.operators.quality import validate_pages, with_row_count
 from lectio.sources.feed import scan_feed
 from lectio.sources.landing import land_pages, wanted_pages
 from lectio.sources.sinks import append_bronze, overwrite_table
@@ -29,12 +29,26 @@ from lectio.sources.tables import latest_bronze
 Stamp = _dt.datetime | str | None
 
 
+def _counted(df: DataFrame, name: str, metrics: dict):
+    """Row count gathered by the write job itself (no extra count job)."""
+    df, obs = with_row_count(df, name)
+    metrics[name] = obs
+    return df
+
+
+def _values(metrics: dict) -> dict[str, int]:
+    return {k: v.get["rows"] for k, v in metrics.items()}
+
+
 def books_stage(spark: SparkSession, feeds: list[str], bronze: str, silver: str,
-                batch_ts: Stamp = None) -> None:
-    """Landed feeds -> bronze_rss (append) -> silver_books (replace)."""
-    append_bronze(stamp_batch(scan_feed(spark, feeds), "rss", batch_ts), bronze)
+                batch_ts: Stamp = None) -> dict[str, int]:
+    """Landed feeds -> bronze_rss (append) -> silver_books (replace).
+    Returns the rows written per table."""
+    m: dict = {}
+    append_bronze(_counted(stamp_batch(scan_feed(spark, feeds), "rss", batch_ts), "bronze_rss", m), bronze)
     silver_df = clean_books(latest_bronze(spark, bronze), snapshot=False)
-    overwrite_table(silver_df, silver)
+    overwrite_table(_counted(silver_df, "silver_books", m), silver)
+    return _values(m)
 
 
 def pages_stage(spark: SparkSession, silver: str, landed: DataFrame, bronze: str, enriched: str,
@@ -55,10 +69,12 @@ def pages_stage(spark: SparkSession, silver: str, landed: DataFrame, bronze: str
     return rejected
 
 
-def daily_stage(spark: SparkSession, enriched: str, gold: str) -> None:
+def daily_stage(spark: SparkSession, enriched: str, gold: str) -> dict[str, int]:
     """silver_books_enriched -> gold_pages_per_day (replace)."""
-    overwrite_table(pages_per_day(spark.read.parquet(enriched)), gold,
+    m: dict = {}
+    overwrite_table(_counted(pages_per_day(spark.read.parquet(enriched)), "gold_pages_per_day", m), gold,
                     sort_within=("username", "date"))
+    return _values(m)
 
 
 def lookup_plan_stage(spark: SparkSession, silver: str, plan: str, size: int = 20) -> None:
@@ -78,8 +94,11 @@ def lookups_stage(spark: SparkSession, plan: str, responses: DataFrame, bronze:
     overwrite_table(parsed.select("isbn", "book_id", "status", "_p.*"), silver_ol)
 
 
-def genre_stage(spark: SparkSession, silver: str, silver_ol: str, gold: str) -> None:
+def genre_stage(spark: SparkSession, silver: str, silver_ol: str, gold: str) -> dict[str, int]:
     """silver_books + silver_open_library -> gold_genre (replace)."""
+    m: dict = {}
     books = qualifying_books(spark.read.parquet(silver))
     records = classified_subjects(spark.read.parquet(silver_ol))
-    overwrite_table(genre_summary(books, records), gold, sort_within=("username", "genre"))
+    overwrite_table(_counted(genre_summary(books, records), "gold_genre", m), gold,
+                    sort_within=("username", "genre"))
+    return _values(m)

@@ -57,3 +57,16 @@ def test_oracle_parity_small(spark, con, name):
     idx = [ocols.index(c) for c in cols]
     want = sorted(tuple(_norm(r[i]) for i in idx) for r in res.fetchall())
     assert got == want
+
+
+@pytest.mark.parametrize("name", ["daily_allocation", "rolling_mean_7", "lookup_plan", "genre_summary",
+                                  "enrich_left", "dense_matrix"])
+def test_no_single_partition_exchange(spark, name):
+    """No global sort / un-partitioned window / single-task shuffle in the
+    plans that carry data volume."""
+    lines = E.queries()[name](spark, SF001)._jdf.queryExecution().executedPlan().toString().splitlines()
+    for i, line in enumerate(lines):
+        if "SinglePartition" in line:
+            # only a global scalar aggregate (e.g. the newest-batch max) may
+            # gather to one task, and only its partial results (one row/task)
+            assert "HashAggregate(keys=[], functions=[partial_" in lines[i + 1], line

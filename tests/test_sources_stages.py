@@ -87,8 +87,10 @@ def test_stage_chain_end_to_end(spark, tmpdir_path):
     a, b = p("a.xml"), p("b.xml")
     feed(a, "ann", ITEMS_A)
     feed(b, "bob", ITEMS_B)
-    stages.books_stage(spark, [a, b], p("bronze_rss"), p("silver"), "2026-04-01 00:00:00")
-    stages.books_stage(spark, [a], p("bronze_rss"), p("silver"), "2026-04-02 00:00:00")
+    m = stages.books_stage(spark, [a, b], p("bronze_rss"), p("silver"), "2026-04-01 00:00:00")
+    assert m == {"bronze_rss": 3, "silver_books": 3}
+    m = stages.books_stage(spark, [a], p("bronze_rss"), p("silver"), "2026-04-02 00:00:00")
+    assert m == {"bronze_rss": 2, "silver_books": 2}
     silver = {r.book_id: r for r in spark.read.parquet(p("silver")).collect()}
     assert set(silver) == {"1", "2"}  # bob's book is absent from the newest batch
     assert silver["1"].read_at == dt.date(2026, 3, 29) and silver["1"].is_read and silver["1"].num_pages == 412
@@ -101,7 +103,7 @@ def test_stage_chain_end_to_end(spark, tmpdir_path):
     stages.pages_stage(spark, p("silver"), landed, p("bronze_pages"), p("enriched"))
     enr = {r.book_id: r.started_reading for r in spark.read.parquet(p("enriched")).collect()}
     assert enr == {"1": dt.date(2026, 3, 20), "2": None}
-    stages.daily_stage(spark, p("enriched"), p("gold_daily"))
+    assert stages.daily_stage(spark, p("enriched"), p("gold_daily")) == {"gold_pages_per_day": 10}
     g = spark.read.parquet(p("gold_daily"))
     assert g.count() == 10 and abs(g.agg(F.sum("est_pages_read")).first()[0] - 412) < 0.5
     stages.lookup_plan_stage(spark, p("silver"), p("plan"))
