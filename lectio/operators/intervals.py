@@ -68,30 +68,47 @@ def skipped_intervals(df: DataFrame, start: str = "started_reading", end: str =
 
 
 def boundary_days(df: DataFrame, key: str, start: str, end: str) -> DataFrame:
-    """(key, day, has_start, has_finish), one row per (key, day)."""
+    """(key, day, bits) with one row per (key, day); bit 1 = some book
+    starts that day, bit 2 = some book finishes that day.
+
+    Both flags live in ONE aggregate column that every consumer reads, so
+    Catalyst cannot prune the aggregate differently per consumer and the
+    shuffle below it is computed once and reused by both flag joins and
+    the spine bounds (one scan of the books instead of three)."""
     days = df.select(
         _c(key).alias("_b_key"),
         F.explode(F.array(
-            F.struct(_c(start).alias("day"), F.lit(True).alias("s"), F.lit(False).alias("f")),
-            F.struct(_c(end).alias("day"), F.lit(False).alias("s"), F.lit(True).alias("f")),
+            F.struct(_c(start).alias("day"), F.lit(1).alias("bit")),
+            F.struct(_c(end).alias("day"), F.lit(2).alias("bit")),
         )).alias("_b"))
     return (days.groupBy("_b_key", F.col("_b.day").alias("_b_day"))
-            .agg(F.bool_or("_b.s").alias("_b_has_start"), F.bool_or("_b.f").alias("_b_has_finish")))
+            .agg(F.bit_or("_b.bit").alias("_b_bits")))
+
+
+def _has(bits: Column, bit: int) -> Column:
+    return F.coalesce(bits.bitwiseAND(F.lit(bit)) != 0, F.lit(False))
 
 
 def flag_shared_boundaries(df: DataFrame, key: str = "username", start: str = "started_reading",
                            end: str = "read_at", boundaries: DataFrame | None = None) -> DataFrame:
     """``start_shares_finish`` / ``finish_shares_start`` per row.
 
-    Both joins read the SAME boundary aggregate (identical subtree, so
-    its shuffle output is computed once and reused); it is unique per
-    (key, day), so neither join fans out."""
+    Both joins read the SAME boundary aggregate, unique per (key, day), so
+    neither fans out. Keys are matched null-safely with an explicit
+    "left key not NULL" condition: a NULL user still never matches (as
+    with plain equality), but no not-NULL filter is inferred and pushed
+    into the shared aggregate, which keeps its subtree identical for reuse."""
     b = boundaries if boundaries is not None else boundary_days(df, key, start, end)
-    out = (df.join(b.alias("_s"), (_c(key) == _c("_s._b_key")) & (_c(start) == _c("_s._b_day")), "left")
-             .select(df["*"], F.coalesce(_c("_s._b_has_finish"), F.lit(False)).alias("start_shares_finish"))
-             .join(b.alias("_f"), (_c(key) == _c("_f._b_key")) & (_c(end) == _c("_f._b_day")), "left"))
+    s_, f_ = b.alias("_s"), b.alias("_f")
+    on_s = (_c(key).eqNullSafe(_c("_s._b_key")) & _c(start).eqNullSafe(_c("_s._b_day"))
+            & _c(key).isNotNull() & _c(start).isNotNull())
+    out = (df.join(s_, on_s, "left")
+             .select(df["*"], _has(_c("_s._b_bits"), 2).alias("start_shares_finish")))
+    on_f = (_c(key).eqNullSafe(_c("_f._b_key")) & _c(end).eqNullSafe(_c("_f._b_day"))
+            & _c(key).isNotNull() & _c(end).isNotNull())
+    out = out.join(f_, on_f, "left")
     return out.select(*[_c(f"`{c}`") for c in df.columns], "start_shares_finish",
-                      F.coalesce(_c("_f._b_has_start"), F.lit(False)).alias("finish_shares_start"))
+                      _has(_c("_f._b_bits"), 1).alias("finish_shares_start"))
 
 
 def effective_days(start: str = "started_reading", end: str = "read_at") -> Column:
@@ -131,8 +148,10 @@ def date_spine(complete: DataFrame, key: str = "username", start: str = "started
     come from it: min over starts and finishes is the first start, max is
     the last finish, and no second scan of the books is needed."""
     if boundaries is not None:
+        # Reading _b_bits keeps the shared aggregate intact (see boundary_days).
+        seen = lambda c: F.when(F.col("_b_bits") > 0, F.col(c))
         bounds = boundaries.groupBy(F.col("_b_key").alias(key)).agg(
-            F.min("_b_day").alias("first_date"), F.max("_b_day").alias("last_date"))
+            F.min(seen("_b_day")).alias("first_date"), F.max(seen("_b_day")).alias("last_date"))
     else:
         bounds = complete.groupBy(key).agg(F.min(start).alias("first_date"),
                                            F.max(end).alias("last_date"))

@@ -156,12 +156,19 @@ def test_hot_user_spreads_by_day(spark):
     want = brute_force(rows)
     got = {(r.username, r.date): r.est_pages_read for r in g.collect()}
     assert set(got) == set(want) and all(abs(got[k] - want[k][0]) <= 0.05 for k in want)
+    def args(line):
+        i = line.index("hashpartitioning(") + len("hashpartitioning(")
+        depth, j = 1, i
+        while depth:
+            depth += {"(": 1, ")": -1}.get(line[j], 0)
+            j += 1
+        return line[i:j - 1]
+
     lines = g._jdf.queryExecution().executedPlan().toString().splitlines()
-    shuffles = [(i, re.search(r"hashpartitioning\(([^)]*)\)", ln)) for i, ln in enumerate(lines)]
-    shuffles = [(i, m.group(1)) for i, m in shuffles if m]
+    shuffles = [(i, args(ln)) for i, ln in enumerate(lines) if "hashpartitioning(" in ln]
     assert shuffles
     for i, k in shuffles:
-        cols = [c.strip().split("#")[0] for c in k.split(",")[:-1]]
+        cols = set(re.findall(r"([A-Za-z_]\w*)#\d+", k))
         if len(cols) < 2:
             # user-only keys are allowed only on top of a map-side partial
             # aggregate (the per-user min/max of the spine: one row per
