@@ -24,7 +24,7 @@ from lectio.operators.layout import ensure_parallelism
 from lectio.operators.lookups import lookup_keys, plan_lookups, resolve_lookups
 from lectio.operators.quality import lookup_status, validate_pages
 from lectio.plans import derive as D
-from lectio.session import scratch_path
+from lectio.session import checkpoint_dir, scratch_path
 from lectio.sources.feed import scan_feed
 from lectio.sources.sinks import append_bronze
 from lectio.sources.tables import latest_bronze, read_table
@@ -221,8 +221,17 @@ def q_genre_view(spark, base):
     return M.genre_view(_genre_summary(spark, base))
 
 
+def _materialized(spark, df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into the shared checkpoint folder: the frame is
+    computed once and read by every consumer (what the stored gold table
+    is in the stage flow), and lineage is cut (survives executor loss)."""
+    checkpoint_dir(spark)
+    return df.checkpoint(eager=True)
+
+
 def q_dense_matrix(spark, base):
-    return M.dense_matrix(_genre_summary(spark, base), labels_of(PART_RULES))
+    # users, seen genres and the metrics all read the one summary
+    return M.dense_matrix(_materialized(spark, _genre_summary(spark, base)), labels_of(PART_RULES))
 
 
 def q_metric_long(spark, base):
@@ -243,7 +252,8 @@ def q_lookup_plan(spark, base):
 
 
 def _resolved(spark, base):
-    p = _plan(spark, base)
+    # the plan is a stored table in the stage flow; responses land per chunk
+    p = _materialized(spark, _plan(spark, base))
     return resolve_lookups(p, D.landed_responses(p))
 
 
