@@ -91,11 +91,21 @@ def _timeline_row(text: Column, cls: str = "readingTimeline__text") -> Column:
     return F.concat(F.lit(f'<div class="{cls}">'), text, F.lit("</div>"))
 
 
-def _batches(rows: list[tuple[Column, dict[str, Column]]]) -> Column:
-    """One scan, several batches: an array of the batch rows a source row
-    belongs to (condition, columns), exploded by the caller."""
-    return F.explode(F.filter(F.array(*[F.when(cond, F.struct(*[v.alias(n) for n, v in cols.items()]))
-                                        for cond, cols in rows]), lambda x: x.isNotNull()))
+def _in_batches(df: DataFrame, conds: list[Column]) -> DataFrame:
+    """One scan, several batches: each source row is repeated once per
+    batch it belongs to, tagged ``_bi`` (index into ``conds``). Batch
+    columns are computed after the explode from ``_bi``, so a consumer that
+    needs only the stamp (the newest-batch max) never builds the text."""
+    idx = F.filter(F.array(*[F.when(c, F.lit(i)) for i, c in enumerate(conds)]), lambda x: x.isNotNull())
+    return df.select("*", F.explode(idx).alias("_bi"))
+
+
+def _pick(values: list[Column]) -> Column:
+    """Value of the row's batch (see _in_batches)."""
+    out = values[-1]
+    for i in range(len(values) - 2, -1, -1):
+        out = F.when(F.col("_bi") == i, values[i]).otherwise(out)
+    return out
 
 
 def review_pages(spark: SparkSession, base: str) -> DataFrame:
@@ -128,14 +138,11 @@ def review_pages(spark: SparkSession, base: str) -> DataFrame:
     old_html = F.concat(F.lit('<html><body><div class="readingTimeline__text">'),
                         fmt(F.date_add(start, 100)), F.lit(" – Started Reading</div></body></html>"))
     url = F.concat(F.lit("https://example.org/review/show/"), F.col("book_id"))
-    common = {"book_id": F.col("book_id"), "goodreads_url": url, "username": F.col("username")}
-    b = r.select(_batches([
-        (k % PAGE_MISSING != 0, dict(common, raw_html=html,
-                                     _ingested_at=F.lit(NEW_BATCH).cast("timestamp"))),
-        (k % PAGE_OLD_BATCH == 0, dict(common, raw_html=old_html,
-                                       _ingested_at=F.lit(OLD_BATCH).cast("timestamp"))),
-    ]).alias("b"))
-    return b.select("b.*").withColumn("_source", F.lit("review_page"))
+    b = _in_batches(r, [k % PAGE_MISSING != 0, k % PAGE_OLD_BATCH == 0])
+    return b.select(
+        "book_id", url.alias("goodreads_url"), "username", _pick([html, old_html]).alias("raw_html"),
+        _pick([F.lit(NEW_BATCH), F.lit(OLD_BATCH)]).cast("timestamp").alias("_ingested_at"),
+        F.lit("review_page").alias("_source"))
 
 
 def feed_rows(spark: SparkSession, base: str) -> DataFrame:
@@ -172,13 +179,11 @@ def feed_rows(spark: SparkSession, base: str) -> DataFrame:
         "goodreads_url": F.concat(F.lit("https://example.org/review/show/"), ks),
         "username": F.col("c_name"),
     }
-    old_cols = dict(cols, title=F.concat(F.lit("Old "), ks))
-    b = j.select(_batches([
-        (k % FEED_ONLY_OLD != 0, dict(cols, _ingested_at=F.lit(NEW_BATCH).cast("timestamp"))),
-        ((k % FEED_IN_OLD == 0) | (k % FEED_ONLY_OLD == 0),
-         dict(old_cols, _ingested_at=F.lit(OLD_BATCH).cast("timestamp"))),
-    ]).alias("b"))
-    return b.select("b.*").withColumn("_source", F.lit("rss"))
+    cols["title"] = _pick([cols["title"], F.concat(F.lit("Old "), ks)])
+    b = _in_batches(j, [k % FEED_ONLY_OLD != 0, (k % FEED_IN_OLD == 0) | (k % FEED_ONLY_OLD == 0)])
+    return b.select(*[v.alias(n) for n, v in cols.items()],
+                    _pick([F.lit(NEW_BATCH), F.lit(OLD_BATCH)]).cast("timestamp").alias("_ingested_at"),
+                    F.lit("rss").alias("_source"))
 
 
 def bib_json(spark: SparkSession, base: str) -> DataFrame:
