@@ -16,7 +16,11 @@ def ensure_parallelism(df: DataFrame, *keys: str, min_partitions: int | None = N
     on retry."""
     spark = df.sparkSession
     want = min_partitions or spark.sparkContext.defaultParallelism
-    have = df.rdd.getNumPartitions()
+    plan = df._jdf.queryExecution().executedPlan()
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        return df  # it shuffles already; its exchanges set the parallelism
+    # Partition count of the scan's RDD: file splits are listed, no job runs.
+    have = plan.execute().getNumPartitions()
     if have >= want:
         return df
     return df.repartition(want, *keys) if keys else df.repartition(want)
