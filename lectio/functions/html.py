@@ -14,6 +14,7 @@ the feature reads) are exact.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -55,7 +56,7 @@ def element_texts(html: Column, css_class: str, tag: str = "div") -> Column:
 
 def extract_labelled(html: Column | str, css_class: str = "readingTimeline__text",
                      label: str = "Started Reading", sep: str = "–",
-                     tag: str = "div") -> Column:
+                     tag: str = "div", exact_nested: bool = False) -> Column:
     """Text before ``sep`` of the last ``css_class`` element mentioning
     ``label`` and ``sep``; NULL if there is none.
 
@@ -76,4 +77,19 @@ def extract_labelled(html: Column | str, css_class: str = "readingTimeline__text
     spaced = decode_entities(F.regexp_replace(last, r"(\s*<[^>]*>\s*)+", " "))
     head = F.split_part(F.regexp_replace(spaced, _STRIP, ""), F.lit(sep), F.lit(1))
     out = F.regexp_replace(head, _STRIP, "")
-    return F.when(F.contains(html, F.lit(css_class)), out)
+    native = F.when(F.contains(html, F.lit(css_class)), out)
+    if not exact_nested:
+        return native
+    nested = F.exists(inner, lambda x: F.lower(x).contains("<" + tag))
+    dom = _dom_udf(css_class, label, sep, tag)(F.when(nested, html))
+    return F.when(nested, dom).otherwise(native)
+
+
+def _dom_udf(css_class: str, label: str, sep: str, tag: str):
+    from lectio.functions.html_dom import extract_dom
+
+    @F.pandas_udf("string")
+    def dom(pages: pd.Series) -> pd.Series:
+        return pages.map(lambda h: extract_dom(h, css_class, label, sep, tag) if isinstance(h, str) else None)
+
+    return dom

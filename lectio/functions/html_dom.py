@@ -1,0 +1,46 @@
+"""DOM-walk extraction with the stdlib HTML parser: the exact semantics for
+the rare pages the native regex path cannot handle (a ``div`` nested
+inside a matched element). Used Arrow-batched, only on those rows."""
+
+from __future__ import annotations
+
+from html.parser import HTMLParser
+
+
+class _Rows(HTMLParser):
+    def __init__(self, css_class: str, tag: str):
+        super().__init__(convert_charrefs=True)
+        self.css_class, self.tag = css_class, tag
+        self.depth, self.rows, self.cur = 0, [], None
+
+    def handle_starttag(self, tag, attrs):
+        if tag != self.tag:
+            return
+        if self.cur is not None:
+            self.depth += 1
+        elif self.css_class in (dict(attrs).get("class") or "").split():
+            self.cur, self.depth = [], 1
+
+    def handle_endtag(self, tag):
+        if tag == self.tag and self.cur is not None:
+            self.depth -= 1
+            if self.depth == 0:
+                self.rows.append(self.cur)
+                self.cur = None
+
+    def handle_data(self, data):
+        if self.cur is not None:
+            self.cur.append(data)
+
+
+def extract_dom(html: str | None, css_class: str = "readingTimeline__text",
+                label: str = "Started Reading", sep: str = "–", tag: str = "div") -> str | None:
+    """Text before ``sep`` of the last matching element, by a DOM walk."""
+    if not html:
+        return None
+    p = _Rows(css_class, tag)
+    p.feed(html)
+    p.close()
+    hits = [" ".join(t.strip() for t in r if t.strip()) for r in p.rows
+            if label in "".join(r) and sep in "".join(r)]
+    return hits[-1].split(sep)[0].strip() if hits else None

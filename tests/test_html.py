@@ -66,3 +66,22 @@ def test_agrees_with_dom_parser_on_derived_pages(spark):
     d = p.select(extract_labelled("raw_html").alias("a"), dom("raw_html").alias("b"))
     assert d.count() > 1000
     assert d.filter(~F.col("a").eqNullSafe(F.col("b"))).count() == 0
+
+
+NESTED = [
+    page('<div class="readingTimeline__text"><div>May 2, 2025</div> – Started Reading</div>'),
+    page('<div class="readingTimeline__text">Jan 1, 2024 – Started Reading</div>'
+         '<div class="readingTimeline__text"><div class="d">March 3, 2026</div> – Started <b>Reading</b></div>'),
+    page(row("March 29, 2026", "Started Reading")),
+    None,
+]
+
+
+def test_exact_nested_fallback(spark):
+    from lectio.functions.html_dom import extract_dom
+
+    df = spark.createDataFrame([(h,) for h in NESTED], "h string")
+    got = [r.x for r in df.select(extract_labelled("h", exact_nested=True).alias("x")).collect()]
+    assert got == [extract_dom(h) for h in NESTED] == ["May 2, 2025", "March 3, 2026", "March 29, 2026", None]
+    native = [r.x for r in df.select(extract_labelled("h").alias("x")).collect()]
+    assert native[0] is None  # the documented limit of the native path
