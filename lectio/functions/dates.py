@@ -12,31 +12,37 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed values: (regex that isolates the date part, Spark datetime pattern).
-# Tried in order; the first layout that parses wins.
+# Fixed values: (regex isolating the date part, Spark datetime patterns to
+# try on it). Tried in order; the first layout that parses wins. Matches of
+# month-name layouts are cleaned of ',', '.' and ordinal suffixes first.
 DATE_LAYOUTS = [
-    (r"(\d{1,2} [A-Za-z]+ \d{4})", "d MMM yyyy"),
-    (r"(\d{1,2} [A-Za-z]+ \d{4})", "d MMMM yyyy"),
-    (r"([A-Za-z]+ \d{1,2},? \d{4})", "MMMM d yyyy"),
-    (r"([A-Za-z]+ \d{1,2},? \d{4})", "MMM d yyyy"),
-    (r"(\d{4}-\d{1,2}-\d{1,2})", "yyyy-M-d"),
-    (r"(\d{4}/\d{1,2}/\d{1,2})", "yyyy/M/d"),
-    (r"(\d{1,2}/\d{1,2}/\d{4})", "M/d/yyyy"),
+    (r"\d{1,2}[ -][A-Za-z]{3,}\.?,?[ -]\d{4}", ["d MMM yyyy", "d MMMM yyyy"]),
+    (r"[A-Za-z]{3,}\.? \d{1,2}(?:st|nd|rd|th)?,? \d{4}", ["MMMM d yyyy", "MMM d yyyy"]),
+    (r"\d{4}-\d{1,2}-\d{1,2}", ["yyyy-M-d"]),
+    (r"\d{4}[/.]\d{1,2}[/.]\d{1,2}", ["yyyy/M/d"]),
+    (r"\d{1,2}[/.-]\d{1,2}[/.-]\d{4}", ["M/d/yyyy", "d/M/yyyy"]),
+    (r"(?<!\d)\d{8}(?!\d)", ["yyyyMMdd"]),
 ]
 
+_CLEAN = r"[,.]|(?<=\d)(?:st|nd|rd|th)\b"
+
 
 def parse_flexible_date(c: Column | str) -> Column:
     """DATE from free text, NULL when no layout matches.
 
+    Month-first is preferred for numeric dates and day-first is tried when
+    that is not a valid date ("29/03/2026"), as a free-form parser does.
     The input is referenced once per layout and Spark does not share
     subexpressions across ``coalesce`` branches, so pass a column, not an
     expensive expression: project the text first (``withColumn``), and
     Catalyst keeps that projection because it is referenced repeatedly."""
     c = F.col(c) if isinstance(c, str) else c
     tries = []
-    for rx, fmt in DATE_LAYOUTS:
-        part = F.regexp_extract(c, rx, 1)
-        # "March 29, 2026" and "March 29 2026" share one pattern.
-        part = F.regexp_replace(part, ",", "")
-        tries.append(F.try_to_date(F.nullif(part, F.lit("")), fmt))
+    for rx, fmts in DATE_LAYOUTS:
+        part = F.nullif(F.regexp_extract(c, rx, 0), F.lit(""))
+        if "A-Za-z" in rx:
+            part = F.regexp_replace(F.regexp_replace(part, _CLEAN, ""), "-", " ")
+        elif "[/.-]" in rx or "[/.]" in rx:
+            part = F.regexp_replace(part, "[.-]", "/")
+        tries.extend(F.try_to_date(part, fmt) for fmt in fmts)
     return F.coalesce(*tries)

@@ -37,3 +37,42 @@ def test_parse_flexible_date(spark, text, expected):
 def test_try_cast_int(spark, text, expected):
     df = spark.createDataFrame([(text,)], "t string")
     assert df.select(F.col("t").try_cast("int").alias("v")).first().v == expected
+
+
+@pytest.mark.parametrize("text,expected", [
+    ("29/03/2026", D(2026, 3, 29)),
+    ("03/04/2026", D(2026, 3, 4)),
+    ("29.03.2026", D(2026, 3, 29)),
+    ("2026.03.29", D(2026, 3, 29)),
+    ("29-Mar-2026", D(2026, 3, 29)),
+    ("Mar. 29th, 2026", D(2026, 3, 29)),
+    ("March 1st 2026", D(2026, 3, 1)),
+    ("20260329", D(2026, 3, 29)),
+    ("Date: 2026-03-29 10:00", D(2026, 3, 29)),
+    ("31/02/2026", None),
+])
+def test_more_layouts(spark, text, expected):
+    df = spark.createDataFrame([(text,)], "t string")
+    assert df.select(parse_flexible_date("t").alias("d")).first().d == expected
+
+
+def test_agrees_with_free_form_parser_on_generated_corpus(spark):
+    """Against dateutil (the reference's parser) on every supported layout."""
+    import random
+
+    from dateutil import parser
+
+    rnd = random.Random(9)
+    fmts = ["%a, %d %b %Y %H:%M:%S -0700", "%B %d, %Y", "%b %d, %Y", "%d %B %Y", "%Y-%m-%d",
+            "%m/%d/%Y", "%d-%b-%Y", "%Y/%m/%d", "%B %d %Y", "%Y%m%d", "%d/%m/%Y"]
+    rows = []
+    for _ in range(600):
+        d = D(1990, 1, 1) + dt.timedelta(days=rnd.randrange(15000))
+        f = rnd.choice(fmts)
+        if f == "%d/%m/%Y" and d.day <= 12:
+            continue  # ambiguous: both parsers read it month-first
+        rows.append((d.strftime(f),))
+    df = spark.createDataFrame(rows, "t string")
+    got = [(r.t, r.d) for r in df.select("t", parse_flexible_date("t").alias("d")).collect()]
+    for t, d in got:
+        assert d == parser.parse(t).date(), t
