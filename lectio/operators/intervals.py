@@ -17,10 +17,10 @@ Plan shape (Spark-first):
   broadcast at run time only when the measured size is under the
   threshold, and splits skewed (user, day) keys on the book side.
 * days: ``explode(sequence(start, end))`` - rows = sum of interval lengths.
-* gap fill without a join: the per-user spine rows (weight 0, no title)
-  are unioned with the book-day rows and ONE hash aggregation on
-  (user, day) produces the sum, the title list and the zero days at once.
-  Partial (map-side) aggregation runs before the shuffle.
+* gap fill: book-days are aggregated on (user, day) (map-side partial
+  aggregation first), then the per-user spine is left-joined on the same
+  keys; the aggregate is already partitioned by them, so only the narrow
+  spine rows are shuffled.
 * users partition nothing: every shuffle is keyed by (user, day), so one
   user holding a third of the rows still spreads over many tasks.
 """
@@ -171,17 +171,24 @@ def pages_per_day(books: DataFrame, key: str = "username", start: str = "started
 
     ``complete=True`` skips the completeness filter when the caller
     already applied it. The title list of a (user, day) is the output row
-    itself: it holds every book that user has open that day, in full."""
+    itself: it holds every book that user has open that day, in full.
+
+    Gap fill: only book-days go through the (user, day) aggregation (sum +
+    title list); the spine is then left-joined on (user, day). The
+    aggregation output is already hash-partitioned by those keys, so only
+    the spine rows move. (Pushing zero-weight spine rows through the
+    title-list aggregation instead costs one list buffer per empty day,
+    4x slower for sparse readers.) A NULL user never equals itself: its
+    spine days stay at zero, as in the reference."""
     ok = books if complete else complete_intervals(books, start, end, amount, max_days)
     ok = ok.select(key, start, end, amount, label)
     b = boundary_days(ok, key, start, end)
-    contrib = allocate_daily(ok, key, start, end, amount, label, b)
-    # A NULL user never equals itself in the reference's spine join: its
-    # days stay on the spine at zero, its pages are not attributed.
-    contrib = contrib.filter(_c(key).isNotNull())
-    spine = date_spine(ok, key, start, end, b).select(
-        key, "date", F.lit(None).cast("string").alias(label), F.lit(0.0).alias("pages_per_day"))
-    rows = contrib.unionByName(spine)
-    return (rows.groupBy(key, "date")
-            .agg(round_half_up(F.sum("pages_per_day"), 1).alias("est_pages_read"),
-                 F.sort_array(F.collect_list(label)).alias("books_in_progress")))
+    contrib = allocate_daily(ok, key, start, end, amount, label, b).filter(_c(key).isNotNull())
+    totals = (contrib.groupBy(key, "date")
+              .agg(F.sum("pages_per_day").alias("_total"),
+                   F.sort_array(F.collect_list(label)).alias("_titles")))
+    spine = date_spine(ok, key, start, end, b)
+    return spine.join(totals, [key, "date"], "left").select(
+        key, "date",
+        round_half_up(F.coalesce(_c("_total"), F.lit(0.0)), 1).alias("est_pages_read"),
+        F.coalesce(_c("_titles"), F.array().cast("array<string>")).alias("books_in_progress"))
