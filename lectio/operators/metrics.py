@@ -101,6 +101,3 @@ def order_for_write(df: DataFrame, *cols: str) -> DataFrame:
     skipping) instead of a global range sort before every write."""
     return df.sortWithinPartitions(*cols)
 
-
-def round_col(c: Column, scale: int) -> Column:
-    return F.round(c.cast("decimal(38,12)"), scale).cast("double")
