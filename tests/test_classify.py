@@ -49,3 +49,17 @@ def test_native_plan(spark):
     df = spark.createDataFrame([(["fantasy"],)], "s array<string>")
     q = df.select(classify("s").alias("g")).filter(F.size("g") > 0)
     assert "EvalPython" not in q._jdf.queryExecution().executedPlan().toString()
+
+
+def test_genre_book_count_sums_to_exploded_rows(spark):
+    from lectio.operators.genre import classified_subjects, genre_summary
+
+    books = spark.createDataFrame([("a", "1", 5, 100), ("a", "2", 3, 50), ("b", "1", 4, 10), ("b", "3", 2, 7)],
+                                  "username string, book_id string, user_rating int, num_pages int")
+    rec = spark.createDataFrame([("1", "ok", ["Science fiction & fantasy"]), ("2", "ok", ["Romance"]),
+                                 ("3", "not_found", ["Romance"]), ("2", "ok", ["Thrillers"])],
+                                "book_id string, status string, subjects array<string>")
+    g = genre_summary(books, classified_subjects(rec)).collect()
+    # book 1 -> 2 genres for 2 readers, book 2 -> 2 records x 1 genre each
+    assert sum(r.book_count for r in g) == 2 * 2 + 2
+    assert {(r.username, r.genre): r.book_count for r in g}[("a", "Fantasy")] == 1

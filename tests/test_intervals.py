@@ -174,3 +174,17 @@ def test_hot_user_spreads_by_day(spark):
             # aggregate (the per-user min/max of the spine: one row per
             # user per task), never on book or day rows
             assert "HashAggregate" in lines[i + 1] and "partial_" in lines[i + 1], (k, lines[i + 1])
+
+
+def test_complete_and_skipped_partition_random_input(spark):
+    rnd = random.Random(21)
+    rows = []
+    for i in range(500):
+        s = None if rnd.random() < 0.1 else D(2024, 1, 1) + dt.timedelta(days=rnd.randrange(30))
+        e = None if rnd.random() < 0.1 else D(2024, 1, 1) + dt.timedelta(days=rnd.randrange(30))
+        p = rnd.choice([None, -3, 0, 1, 50, 200])
+        rows.append(("u", f"t{i}", s, e, p))
+    df = frame(spark, rows)
+    ok = {r.title for r in complete_intervals(df).collect()}
+    sk = {r.title for r in skipped_intervals(df).collect()}
+    assert not ok & sk and ok | sk == {r[1] for r in rows}
