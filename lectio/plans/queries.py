@@ -137,13 +137,11 @@ def _write_feeds(spark, base) -> list[str]:
         F.col("cover_url").alias("book_medium_image_url"), F.col("goodreads_url").alias("link"),
         F.col("username").alias("user_name"),
         (F.regexp_extract("username", r"(\d+)$", 1).cast("bigint") % 2).alias("_feed"))
-    paths = []
-    for part in (0, 1):
-        p = scratch_path(spark, f"feed{part}")
-        (item.filter(F.col("_feed") == part).drop("_feed").write.format("xml")
-         .option("rootTag", "channel").option("rowTag", "item").mode("overwrite").save(p))
-        paths.append(p)
-    return paths
+    # One pass writes both feeds: one folder per feed (even / odd customer).
+    root = scratch_path(spark, "feeds")
+    (item.write.format("xml").option("rootTag", "channel").option("rowTag", "item")
+     .partitionBy("_feed").mode("overwrite").save(root))
+    return [f"{root}/_feed={part}" for part in (0, 1)]
 
 
 def q_feed_scan(spark, base):
