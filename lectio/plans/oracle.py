@@ -220,6 +220,9 @@ SELECT * FROM (
     "daily_view": "WITH " + GOLD + """
 SELECT username, date, est_pages_read, CAST(len(titles) AS INTEGER) AS books_in_progress,
        array_to_string(list_transform(titles, lambda t: '• ' || t), '<br>') AS titles_label FROM gold""",
+    "labels_joined": "WITH " + GOLD + """
+SELECT username, date, array_to_string(list_transform(titles, lambda t: '• ' || t), '<br>') AS titles_label
+FROM gold WHERE len(titles) > 0""",
     "date_domain": "WITH " + GOLD + " SELECT min(date) AS min_date, max(date) AS max_date FROM gold",
     "latest_batch": """
 SELECT event_id, user_id, event_type, value, CAST(ts AS DATE) AS day FROM events

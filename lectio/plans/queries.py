@@ -92,6 +92,12 @@ def q_daily_view(spark, base):
     return v.select("username", "date", "est_pages_read", "books_in_progress", "titles_label")
 
 
+def q_labels_joined(spark, base):
+    """D6 alone: one hover label per user-day with books in progress."""
+    v = M.title_labels(M.daily_view(_gold_daily(spark, base)))
+    return v.filter(F.col("books_in_progress") > 0).select("username", "date", "titles_label")
+
+
 def q_date_domain(spark, base):
     return M.date_domain(_gold_daily(spark, base))
 
@@ -272,6 +278,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rolling_mean_7": q_rolling_mean_7,
     "rolling_mean_range": q_rolling_mean_range,
     "daily_view": q_daily_view,
+    "labels_joined": q_labels_joined,
     "date_domain": q_date_domain,
     "latest_batch": q_latest_batch,
     "typed_clean": q_typed_clean,

@@ -60,3 +60,33 @@ def test_ensure_parallelism(spark):
     assert ensure_parallelism(many, min_partitions=4) is many
     shuffled = one.groupBy((F.col("id") % 3).alias("g")).count()
     assert ensure_parallelism(shuffled, min_partitions=4) is shuffled
+
+
+def test_date_rejects_and_union_feeds(spark):
+    from lectio.operators.cleaning import date_rejects
+    from lectio.sources.feed import union_feeds
+
+    df = spark.createDataFrame([("March 1, 2026", "garbage"), ("", "garbage"), ("soon", None)],
+                               "read_at string, date_added string")
+    r = {(x.column, x.text): x.n for x in date_rejects(df).collect()}
+    assert r == {("date_added", "garbage"): 2, ("read_at", "soon"): 1}
+    a = spark.createDataFrame([("1",)], "book_id string")
+    b = spark.createDataFrame([("2", "x")], "book_id string, extra string")
+    u = union_feeds(a, b)
+    assert u.columns == ["book_id", "extra"] and u.count() == 2
+
+
+def test_pages_stage_quarantine(spark, tmpdir_path):
+    from lectio.plans import stages
+
+    p = lambda n: os.path.join(tmpdir_path, n)
+    silver = spark.createDataFrame([("1", "u1", "ann"), ("2", "u2", "ann"), ("3", "", "ann")],
+                                   "book_id string, goodreads_url string, username string")
+    silver.write.parquet(p("silver"))
+    landed = spark.createDataFrame([("u1", "<p>1</p><div class='readingTimeline__text'>May 1, 2025 – Started Reading</div>"),
+                                    ("u2", "<p>login</p>")], "goodreads_url string, raw_html string")
+    rejected = stages.pages_stage(spark, p("silver"), landed, p("bronze_pages"), p("enriched"), mode="quarantine",
+                                  batch_ts="2026-01-01 00:00:00")
+    assert [r.book_id for r in rejected.collect()] == ["2"]
+    e = {r.book_id: r.started_reading for r in spark.read.parquet(p("enriched")).collect()}
+    assert e == {"1": dt.date(2025, 5, 1), "2": None, "3": None}
