@@ -12,6 +12,7 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lectio.functions.bib import parse_bib_record
 from lectio.operators.batches import stamp_batch
@@ -91,7 +92,8 @@ def lookups_stage(spark: SparkSession, plan: str, responses: DataFrame, bronze:
     append_bronze(stamp_batch(resolved, "open_library", batch_ts), bronze)
     snap = latest_bronze(spark, bronze)
     parsed = snap.select("isbn", "book_id", "status", parse_bib_record("raw_json").alias("_p"))
-    overwrite_table(parsed.select("isbn", "book_id", "status", "_p.*"), silver_ol)
+    out = parsed.select("isbn", "book_id", "status", "_p.*", F.current_timestamp().alias("_parsed_at"))
+    overwrite_table(out, silver_ol)
 
 
 def genre_stage(spark: SparkSession, silver: str, silver_ol: str, gold: str) -> dict[str, int]:

@@ -112,7 +112,10 @@ def test_stage_chain_end_to_end(spark, tmpdir_path):
             '"pagination": "412 p."}}')
     resp = spark.createDataFrame([(chunk, body, None)], "chunk_id string, body string, error string")
     stages.lookups_stage(spark, p("plan"), resp, p("bronze_ol"), p("silver_ol"), "2026-04-03 00:00:00")
-    ol = spark.read.parquet(p("silver_ol")).first()
+    ol_df = spark.read.parquet(p("silver_ol"))
+    assert ol_df.columns == ["isbn", "book_id", "status", "ol_key", "ol_title", "subjects", "authors",
+                             "publishers", "publish_date", "number_of_pages", "cover_url", "_parsed_at"]
+    ol = ol_df.first()
     assert ol.status == "ok" and ol.subjects == ["Science fiction"] and ol.number_of_pages == 412
     stages.genre_stage(spark, p("silver"), p("silver_ol"), p("gold_genre"))
     gg = spark.read.parquet(p("gold_genre")).collect()
