@@ -103,6 +103,13 @@ SELECT 'Book ' || CAST(o_orderkey AS VARCHAR) AS title, c_name AS author,
   CASE WHEN o_orderkey % 9 = 0 THEN '' WHEN o_orderkey % 41 = 0 THEN 'garbage'
        ELSE strftime(CAST(o_orderdate AS DATE) + CAST(o_orderkey % 14 AS INTEGER), '%a, %d %b %Y')
             || ' 22:30:00 -0700' END AS read_at,
+  CAST(o_orderkey % 30 + 1990 AS VARCHAR) AS year_published,
+  printf('%.2f', CAST(o_orderkey % 500 AS DOUBLE) / 100.0) AS average_rating,
+  CAST(o_orderkey % 6 AS VARCHAR) AS user_rating,
+  strftime(CAST(o_orderdate AS DATE), '%B %-d, %Y') AS date_added,
+  'read' AS shelves, 'a review' AS review, '<p>about</p>' AS book_description,
+  'https://example.org/c/' || CAST(o_orderkey AS VARCHAR) || '.jpg' AS cover_url,
+  'https://example.org/review/show/' || CAST(o_orderkey AS VARCHAR) AS goodreads_url,
   c_name AS username
 FROM orders JOIN customer ON o_custkey = c_custkey
 WHERE o_orderkey % 13 <> 0"""

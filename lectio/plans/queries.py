@@ -151,8 +151,8 @@ def _write_feeds(spark, base) -> list[str]:
 
 
 def q_feed_scan(spark, base):
-    df = scan_feed(spark, _write_feeds(spark, base))
-    return df.select("title", "author", "isbn", "book_id", "num_pages", "read_at", "username")
+    """All 16 feed columns of every item of both landed feeds."""
+    return scan_feed(spark, _write_feeds(spark, base))
 
 
 def q_feed_to_silver(spark, base):
