@@ -18,30 +18,40 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lectio.operators.batches import stamp_batch
+from lectio.operators.cleaning import clean_books
 from lectio.schemas import FEED_XML
 from lectio.sources.feed import feed_columns
+from lectio.sources.sinks import overwrite_table
+from lectio.sources.tables import latest_bronze
 
 
-def _writer(bronze: str, source: str):
+def _writer(bronze: str, source: str, silver: str | None):
     def write(batch: DataFrame, batch_id: int) -> None:
         stamp = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
         (stamp_batch(batch, source, stamp)
          .withColumn("_batch", F.lit(f"{batch_id:020d}"))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("_batch").parquet(bronze))
+        if silver is not None:
+            # silver = the newest batch, typed (read back from bronze, so a
+            # retried micro-batch rebuilds the same snapshot)
+            overwrite_table(clean_books(latest_bronze(batch.sparkSession, bronze), snapshot=False), silver)
     return write
 
 
 def ingest_feed_stream(spark: SparkSession, landing: str, bronze: str, checkpoint: str,
                        available_now: bool = True, source: str = "rss",
-                       max_files_per_trigger: int | None = None) -> StreamingQuery:
+                       max_files_per_trigger: int | None = None,
+                       silver: str | None = None) -> StreamingQuery:
     """Start the landing stream; with ``available_now`` it processes every
-    file present and stops (schedule it like the batch job)."""
+    file present and stops (schedule it like the batch job). With
+    ``silver`` each micro-batch also replaces silver_books with its own
+    typed snapshot (the newest fetch), like the batch books job."""
     r = (spark.readStream.format("xml").option("rowTag", "item")
          .option("ignoreSurroundingSpaces", "false").schema(FEED_XML))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     items = feed_columns(r.load(landing))
-    w = items.writeStream.foreachBatch(_writer(bronze, source)).option("checkpointLocation", checkpoint)
+    w = items.writeStream.foreachBatch(_writer(bronze, source, silver)).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="5 minutes")
     return w.start()

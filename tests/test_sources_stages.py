@@ -128,11 +128,15 @@ def test_streaming_ingest(spark, tmpdir_path):
     os.makedirs(land)
     feed(os.path.join(land, "a.xml"), "ann", ITEMS_A)
     bronze, ck = os.path.join(tmpdir_path, "bronze"), os.path.join(tmpdir_path, "ck")
-    q = ingest_feed_stream(spark, land, bronze, ck)
+    silver = os.path.join(tmpdir_path, "silver")
+    q = ingest_feed_stream(spark, land, bronze, ck, silver=silver)
     q.awaitTermination(120)
+    assert sorted(r.book_id for r in spark.read.parquet(silver).collect()) == ["1", "2"]
     feed(os.path.join(land, "b.xml"), "bob", ITEMS_B)
-    q = ingest_feed_stream(spark, land, bronze, ck)
+    q = ingest_feed_stream(spark, land, bronze, ck, silver=silver)
     q.awaitTermination(120)
+    s = spark.read.parquet(silver).collect()
+    assert [(r.book_id, r.num_pages, r.read_at) for r in s] == [("3", 730, dt.date(2026, 3, 10))]
     df = read_bronze(spark, bronze)
     assert df.count() == 3 and df.select("_batch").distinct().count() == 2
     assert [r.book_id for r in latest_batch(df.drop("_batch")).collect()] == ["3"]
