@@ -53,10 +53,13 @@ def books_stage(spark: SparkSession, feeds: list[str], bronze: str, silver: str,
 
 
 def pages_stage(spark: SparkSession, silver: str, landed: DataFrame, bronze: str, enriched: str,
-                mode: str = "fail", batch_ts: Stamp = None) -> DataFrame | None:
+                mode: str = "fail", batch_ts: Stamp = None,
+                metrics: dict[str, int] | None = None) -> DataFrame | None:
     """Landed pages for wanted URLs -> validated -> bronze_review_pages
     (append) -> start dates -> silver_books_enriched (replace). In
-    ``quarantine`` mode the rejected pages are returned."""
+    ``quarantine`` mode the rejected pages are returned. Rows written per
+    table are put into ``metrics`` when given."""
+    m: dict = {}
     books = spark.read.parquet(silver)
     pages = land_pages(wanted_pages(books), landed)
     rejected = None
@@ -64,9 +67,11 @@ def pages_stage(spark: SparkSession, silver: str, landed: DataFrame, bronze: str
         pages, rejected = validate_pages(pages, mode="quarantine")
     else:
         pages = validate_pages(pages, mode="fail")
-    append_bronze(stamp_batch(pages, "review_page", batch_ts), bronze)
+    append_bronze(_counted(stamp_batch(pages, "review_page", batch_ts), "bronze_review_pages", m), bronze)
     starts = start_dates(latest_bronze(spark, bronze), snapshot=False)
-    overwrite_table(enrich_books(books, starts), enriched)
+    overwrite_table(_counted(enrich_books(books, starts), "silver_books_enriched", m), enriched)
+    if metrics is not None:
+        metrics.update(_values(m))
     return rejected
 
 
@@ -85,15 +90,17 @@ def lookup_plan_stage(spark: SparkSession, silver: str, plan: str, size: int = 2
 
 
 def lookups_stage(spark: SparkSession, plan: str, responses: DataFrame, bronze: str, silver_ol: str,
-                  batch_ts: Stamp = None) -> None:
+                  batch_ts: Stamp = None) -> dict[str, int]:
     """Plan + landed responses -> bronze_open_library (append) ->
     silver_open_library (newest batch, parsed; replace)."""
+    m: dict = {}
     resolved = resolve_lookups(spark.read.parquet(plan), responses)
-    append_bronze(stamp_batch(resolved, "open_library", batch_ts), bronze)
+    append_bronze(_counted(stamp_batch(resolved, "open_library", batch_ts), "bronze_open_library", m), bronze)
     snap = latest_bronze(spark, bronze)
     parsed = snap.select("isbn", "book_id", "status", parse_bib_record("raw_json").alias("_p"))
     out = parsed.select("isbn", "book_id", "status", "_p.*", F.current_timestamp().alias("_parsed_at"))
-    overwrite_table(out, silver_ol)
+    overwrite_table(_counted(out, "silver_open_library", m), silver_ol)
+    return _values(m)
 
 
 def genre_stage(spark: SparkSession, silver: str, silver_ol: str, gold: str) -> dict[str, int]:

@@ -100,7 +100,9 @@ def test_stage_chain_end_to_end(spark, tmpdir_path):
     landed = spark.createDataFrame([("https://example.org/review/1", html),
                                     ("https://example.org/review/2", "<html>book 2</html>")],
                                    "goodreads_url string, raw_html string")
-    stages.pages_stage(spark, p("silver"), landed, p("bronze_pages"), p("enriched"))
+    pm = {}
+    stages.pages_stage(spark, p("silver"), landed, p("bronze_pages"), p("enriched"), metrics=pm)
+    assert pm == {"bronze_review_pages": 2, "silver_books_enriched": 2}
     enr = {r.book_id: r.started_reading for r in spark.read.parquet(p("enriched")).collect()}
     assert enr == {"1": dt.date(2026, 3, 20), "2": None}
     assert stages.daily_stage(spark, p("enriched"), p("gold_daily")) == {"gold_pages_per_day": 10}
@@ -111,7 +113,8 @@ def test_stage_chain_end_to_end(spark, tmpdir_path):
     body = ('{"ISBN:0441013597": {"key": "/books/OL1M", "subjects": [{"name": "Science fiction"}], '
             '"pagination": "412 p."}}')
     resp = spark.createDataFrame([(chunk, body, None)], "chunk_id string, body string, error string")
-    stages.lookups_stage(spark, p("plan"), resp, p("bronze_ol"), p("silver_ol"), "2026-04-03 00:00:00")
+    lm = stages.lookups_stage(spark, p("plan"), resp, p("bronze_ol"), p("silver_ol"), "2026-04-03 00:00:00")
+    assert lm == {"bronze_open_library": 1, "silver_open_library": 1}
     ol_df = spark.read.parquet(p("silver_ol"))
     assert ol_df.columns == ["isbn", "book_id", "status", "ol_key", "ol_title", "subjects", "authors",
                              "publishers", "publish_date", "number_of_pages", "cover_url", "_parsed_at"]
