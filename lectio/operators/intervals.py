@@ -10,19 +10,22 @@ still flags other books.
 
 Plan shape (Spark-first):
 
-* boundary flags: ONE aggregation of (user, day) -> has_start, has_finish
-  over the union of start and finish days, then two equi left joins on
-  (user, day) whose right side is unique per key, so no fan-out. The right
-  side grows with the data, so no broadcast is forced; AQE switches to a
-  broadcast at run time only when the measured size is under the
-  threshold, and splits skewed (user, day) keys on the book side.
+* boundary flags: ONE aggregation of (user, day) -> start/finish bits over
+  the union of start and finish days, read by two equi left joins on
+  (user, day) (right side unique per key, so no fan-out) and by the spine
+  bounds; its shuffle is computed once and reused. The right side grows
+  with the data, so no broadcast is forced; AQE switches to a broadcast
+  at run time only when the measured size is under the threshold, and
+  splits skewed (user, day) keys on the book side.
 * days: ``explode(sequence(start, end))`` - rows = sum of interval lengths.
 * gap fill: book-days are aggregated on (user, day) (map-side partial
   aggregation first), then the per-user spine is left-joined on the same
   keys; the aggregate is already partitioned by them, so only the narrow
   spine rows are shuffled.
-* users partition nothing: every shuffle is keyed by (user, day), so one
-  user holding a third of the rows still spreads over many tasks.
+* data-carrying shuffles are keyed by (user, day); only the partial
+  per-user min/max of the spine bounds is shuffled by user (one row per
+  user per task), so one user holding a third of the rows still spreads
+  over many tasks.
 """
 
 from __future__ import annotations
