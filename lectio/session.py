@@ -17,6 +17,8 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # checkpointed frames' files are removed once the frame is collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
