@@ -43,15 +43,30 @@ def _java_quote(s: str) -> str:
     return "\\Q" + s + "\\E"
 
 
+# Markup a DOM parser never treats as elements: comments and the raw text
+# of script / style elements.
+_NOT_MARKUP = r"(?is)<!--.*?-->|<(script|style)\b[^>]*>.*?</\1\s*>"
+
+
+def visible_markup(html: Column) -> Column:
+    """``html`` without comments and script/style bodies; the rewrite only
+    runs on pages that contain one of them."""
+    has = (F.contains(html, F.lit("<!--")) | F.lower(html).contains("<script")
+           | F.lower(html).contains("<style"))
+    return F.when(has, F.regexp_replace(html, _NOT_MARKUP, " ")).otherwise(html)
+
+
 def element_texts(html: Column, css_class: str, tag: str = "div") -> Column:
     """array<string> of the inner HTML of every ``tag`` whose class list
-    holds ``css_class`` (class matched as a whole word of the attribute)."""
+    holds ``css_class`` (class matched as a whole word of the attribute,
+    quoted or not)."""
+    cls = _java_quote(css_class)
     rx = (
-        r"(?is)<" + tag + r"\b[^>]*?\bclass\s*=\s*[\"']"
-        r"(?:[^\"']*\s)?" + _java_quote(css_class) + r"(?:\s[^\"']*)?[\"']"
+        r"(?is)<" + tag + r"\b[^>]*?\bclass\s*=\s*"
+        r"(?:[\"'](?:[^\"']*\s)?" + cls + r"(?:\s[^\"']*)?[\"']|" + cls + r"(?=[\s/>]))"
         r"[^>]*>(.*?)</" + tag + r"\s*>"
     )
-    return F.regexp_extract_all(html, F.lit(rx), F.lit(1))
+    return F.regexp_extract_all(visible_markup(html), F.lit(rx), F.lit(1))
 
 
 def extract_labelled(html: Column | str, css_class: str = "readingTimeline__text",

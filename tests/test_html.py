@@ -36,6 +36,11 @@ CASES = [
     (page('<div class="readingTimeline__text">May 2, 2025 &ndash; Started Reading</div>'), "May 2, 2025"),
     (page('<div class="readingTimeline__texts">May 2, 2025 – Started Reading</div>'), None),
     (page("<div class='readingTimeline__text'>\n  May 2, 2025\n – Started Reading</div>"), "May 2, 2025"),
+    (page('<div class=readingTimeline__text>May 2, 2025 – Started Reading</div>'), "May 2, 2025"),
+    (page(row("May 2, 2025", "Started Reading") + '<!-- <div class="readingTimeline__text">'
+          'Jan 1, 2020 – Started Reading</div> -->'), "May 2, 2025"),
+    (page(row("May 2, 2025", "Started Reading") + '<script>var s = \'<div class="readingTimeline__text">'
+          'Jan 1, 2020 – Started Reading</div>\';</script>'), "May 2, 2025"),
 ]
 
 
