@@ -39,8 +39,10 @@ def parse_bib_record(raw: Column | str) -> Column:
     number_of_pages int, cover_url> from JSON text."""
     raw = F.col(raw) if isinstance(raw, str) else raw
     v = F.try_parse_json(F.nullif(raw, F.lit("")))
-    cover = F.coalesce(*[F.nullif(_text(v, f"$.cover.{k}"), F.lit(""))
-                         for k in ("large", "medium", "small")])
+    # first non-empty of large, medium; else small as it is ('' stays '')
+    cover = F.coalesce(F.nullif(_text(v, "$.cover.large"), F.lit("")),
+                       F.nullif(_text(v, "$.cover.medium"), F.lit("")),
+                       _text(v, "$.cover.small"))
     return F.struct(
         _text(v, "$.key").alias("ol_key"),
         _text(v, "$.title").alias("ol_title"),
