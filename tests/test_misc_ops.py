@@ -90,3 +90,24 @@ def test_pages_stage_quarantine(spark, tmpdir_path):
     assert [r.book_id for r in rejected.collect()] == ["2"]
     e = {r.book_id: r.started_reading for r in spark.read.parquet(p("enriched")).collect()}
     assert e == {"1": dt.date(2025, 5, 1), "2": None, "3": None}
+
+
+def test_read_landed_files(spark, tmpdir_path):
+    import json
+
+    from lectio.sources.landing import read_landed_pages, read_landed_responses
+
+    pages = os.path.join(tmpdir_path, "pages.jsonl")
+    urls = {"https://example.org/review/show/1": "<html>1\n<div class='readingTimeline__text'>x</div></html>",
+            "https://example.org/review/show/2?x=1": "<html>2 \"q\" ü</html>"}
+    with open(pages, "w") as f:
+        for u, h in urls.items():
+            f.write(json.dumps({"goodreads_url": u, "raw_html": h}) + "\n")
+    got = {r.goodreads_url: r.raw_html for r in read_landed_pages(spark, pages).collect()}
+    assert got == urls
+    resp = os.path.join(tmpdir_path, "resp.jsonl")
+    with open(resp, "w") as f:
+        f.write(json.dumps({"chunk_id": "0-0", "body": '{"ISBN:1": {}}'}) + "\n")
+        f.write(json.dumps({"chunk_id": "0-1", "error": "HTTP 500"}) + "\n")
+    r = {x.chunk_id: (x.body, x.error) for x in read_landed_responses(spark, resp).collect()}
+    assert r == {"0-0": ('{"ISBN:1": {}}', None), "0-1": (None, "HTTP 500")}
