@@ -70,3 +70,16 @@ def test_no_single_partition_exchange(spark, name):
             # only a global scalar aggregate (e.g. the newest-batch max) may
             # gather to one task, and only its partial results (one row/task)
             assert "HashAggregate(keys=[], functions=[partial_" in lines[i + 1], line
+
+
+TYPE_NAMES = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "date": "DATE",
+              "boolean": "BOOLEAN"}
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_oracle_types_match(spark, con, name):
+    df = E.queries()[name](spark, SF001)
+    spark_types = {f.name: TYPE_NAMES.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    rel = con.sql(E.oracle_sql()[name])
+    assert spark_types == {c: str(t) for c, t in zip(rel.columns, rel.types)}
