@@ -15,9 +15,9 @@ def _rnd(expr: str, scale: int) -> str:
 K = "o.o_orderkey"
 DAY = "CAST(o.o_orderdate AS DATE)"
 
-READINGS = f"""
+READINGS_TEMPLATE = f"""
 readings AS (
-  SELECT printf('user%02d', c.c_nationkey) AS username,
+  SELECT {{user}} AS username,
          CAST({K} AS VARCHAR) AS book_id,
          CAST({K} AS VARCHAR) AS title,
          CASE WHEN {K} % 97 = 3 THEN NULL ELSE {DAY} END AS started_reading,
@@ -30,7 +30,10 @@ readings AS (
          {K} AS k, {DAY} AS day0
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey)"""
 
-GOLD = READINGS + """,
+READINGS = READINGS_TEMPLATE.replace("{user}", "printf('user%02d', c.c_nationkey)")
+READINGS_CUSTOMER = READINGS_TEMPLATE.replace("{user}", "c.c_name")
+
+GOLD_BODY = """,
 ok AS (SELECT * FROM readings WHERE started_reading IS NOT NULL AND read_at IS NOT NULL
        AND num_pages IS NOT NULL AND num_pages > 0 AND started_reading <= read_at),
 flagged AS (
@@ -70,6 +73,9 @@ gold AS (
          coalesce(agg.titles, []::VARCHAR[]) AS titles
   FROM spine LEFT JOIN agg ON spine.username = agg.username AND spine.date = agg.date)"""
 
+GOLD = READINGS + GOLD_BODY
+GOLD_SPARSE = READINGS_CUSTOMER + GOLD_BODY
+
 
 def _rolling(n: int, where: str = "") -> str:
     return ("WITH " + GOLD + f"""
@@ -208,6 +214,9 @@ DAY_OF = "CAST(o_orderdate AS DATE)"
 
 ORACLES: dict[str, str] = {
     "daily_allocation": "WITH " + GOLD + """
+SELECT username, date, est_pages_read, CAST(len(titles) AS INTEGER) AS n_books,
+       array_to_string(titles, '|') AS book_titles FROM gold""",
+    "daily_allocation_sparse": "WITH " + GOLD_SPARSE + """
 SELECT username, date, est_pages_read, CAST(len(titles) AS INTEGER) AS n_books,
        array_to_string(titles, '|') AS book_titles FROM gold""",
     "shared_boundaries": "WITH " + GOLD + """

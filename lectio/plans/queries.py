@@ -64,6 +64,16 @@ def q_daily_allocation(spark, base):
                     joined(F.col("books_in_progress")).alias("book_titles"))
 
 
+def q_daily_allocation_sparse(spark, base):
+    """Same allocation with customers as users: few books over long spans,
+    so the output is dominated by gap-filled zero days (the regime the
+    window gap fill is built for)."""
+    g = T.pages_per_day(D.readings(spark, base, user="customer"))
+    return g.select("username", "date", "est_pages_read",
+                    F.size("books_in_progress").alias("n_books"),
+                    joined(F.col("books_in_progress")).alias("book_titles"))
+
+
 def q_shared_boundaries(spark, base):
     ok = T.complete_intervals(D.readings(spark, base))
     f = T.flag_shared_boundaries(ok)
@@ -273,6 +283,7 @@ def q_lookup_status(spark, base):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "daily_allocation": q_daily_allocation,
+    "daily_allocation_sparse": q_daily_allocation_sparse,
     "shared_boundaries": q_shared_boundaries,
     "skipped_report": q_skipped_report,
     "rolling_mean_7": q_rolling_mean_7,
