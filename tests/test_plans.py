@@ -83,3 +83,12 @@ def test_oracle_types_match(spark, con, name):
                    for f in df.schema.fields}
     rel = con.sql(E.oracle_sql()[name])
     assert spark_types == {c: str(t) for c, t in zip(rel.columns, rel.types)}
+
+
+def test_rolling_mean_adds_no_shuffle(spark):
+    """The rolling-mean window reuses the gap fill's user partitioning."""
+    def shuffles(name):
+        plan = E.queries()[name](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+        return plan.count("Exchange hashpartitioning") + plan.count("Exchange rangepartitioning")
+
+    assert shuffles("rolling_mean_7") == shuffles("daily_allocation")
