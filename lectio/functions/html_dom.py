@@ -38,9 +38,15 @@ def extract_dom(html: str | None, css_class: str = "readingTimeline__text",
     """Text before ``sep`` of the last matching element, by a DOM walk."""
     if not html:
         return None
-    p = _Rows(css_class, tag)
-    p.feed(html)
-    p.close()
-    hits = [" ".join(t.strip() for t in r if t.strip()) for r in p.rows
-            if label in "".join(r) and sep in "".join(r)]
-    return hits[-1].split(sep)[0].strip() if hits else None
+    walker = _Rows(css_class, tag)
+    walker.feed(html)
+    walker.close()
+    chosen = None
+    for pieces in walker.rows:
+        raw = "".join(pieces)  # label test on the unseparated text
+        if label in raw and sep in raw:
+            chosen = pieces  # keep the last qualifying element
+    if chosen is None:
+        return None
+    spaced = " ".join(t.strip() for t in chosen if t.strip())
+    return spaced.partition(sep)[0].strip()

@@ -5,43 +5,45 @@ import pytest
 from lectio.functions.html import extract_labelled
 
 
-def row(date, label, dash="–"):
-    return f'<div class="readingTimeline__text">{date} {dash} {label}</div>'
-
-
-def page(*rows):
-    return "<html><body>" + "".join(rows) + "</body></html>"
-
-
-CASES = [
-    (None, None),
-    ("", None),
-    ("<p>No timeline here</p>", None),
-    (page(row("April 10, 2026", "Finished Reading")), None),
-    (page('<div class="readingTimeline__text">March 29, 2026 Started Reading</div>'), None),
-    (page(row("March 29, 2026", "Started Reading", "-")), None),
-    (page(row("January 1, 2024", "Shelved")), None),
-    (page(row("March 29, 2026", "Started Reading")), "March 29, 2026"),
-    (page(row("March 1, 2026", "Started Reading"), row("March 29, 2026", "Finished Reading")),
-     "March 1, 2026"),
-    (page(row("Jan 1 2024", "Started Reading"), row("Jan 20 2024", "Finished Reading"),
-          row("March 1 2026", "Started Reading"), row("March 29 2026", "Finished Reading")),
-     "March 1 2026"),
-    (page(row("January 1, 2024", "Started Reading"), row("March 1, 2026", "Started Reading")),
-     "March 1, 2026"),
-    # derived: extra classes, inner tags, entity dash
-    (page('<div class="x readingTimeline__text">May 2, 2025 – Started Reading</div>'), "May 2, 2025"),
-    (page('<div class="readingTimeline__text"><span>May 2, 2025</span> – <b>Started Reading</b></div>'),
+# The timeline row layout of FIXTURES §3 and its cases.
+ROW = '<div class="readingTimeline__text">{} {} {}</div>'
+EN = "–"
+
+
+def render(entries, extra=""):
+    """Page from (date, dash, label) entries, plus raw extra markup."""
+    body = "".join(ROW.format(*e) for e in entries) + extra
+    return "<html><body>" + body + "</body></html>"
+
+
+S, F_ = "Started Reading", "Finished Reading"
+TABLE = [
+    # (entries, extra markup, expected)
+    ([("April 10, 2026", EN, F_)], "", None),
+    ([], '<div class="readingTimeline__text">March 29, 2026 Started Reading</div>', None),
+    ([("March 29, 2026", "-", S)], "", None),
+    ([("January 1, 2024", EN, "Shelved")], "", None),
+    ([("March 29, 2026", EN, S)], "", "March 29, 2026"),
+    ([("March 1, 2026", EN, S), ("March 29, 2026", EN, F_)], "", "March 1, 2026"),
+    ([("Jan 1 2024", EN, S), ("Jan 20 2024", EN, F_), ("March 1 2026", EN, S), ("March 29 2026", EN, F_)],
+     "", "March 1 2026"),
+    ([("January 1, 2024", EN, S), ("March 1, 2026", EN, S)], "", "March 1, 2026"),
+    # derived: extra classes, inner tags, entity dash, quoting, comments, scripts
+    ([], '<div class="x readingTimeline__text">May 2, 2025 – Started Reading</div>', "May 2, 2025"),
+    ([], '<div class="readingTimeline__text"><span>May 2, 2025</span> – <b>Started Reading</b></div>',
+     "May 2, 2025"),
+    ([("May 2, 2025", "&ndash;", S)], "", "May 2, 2025"),
+    ([], '<div class="readingTimeline__texts">May 2, 2025 – Started Reading</div>', None),
+    ([], "<div class='readingTimeline__text'>\n  May 2, 2025\n – Started Reading</div>", "May 2, 2025"),
+    ([], "<div class=readingTimeline__text>May 2, 2025 – Started Reading</div>", "May 2, 2025"),
+    ([("May 2, 2025", EN, S)], '<!-- <div class="readingTimeline__text">Jan 1, 2020 – Started Reading</div> -->',
+     "May 2, 2025"),
+    ([("May 2, 2025", EN, S)],
+     '<script>var s = \'<div class="readingTimeline__text">Jan 1, 2020 – Started Reading</div>\';</script>',
      "May 2, 2025"),
-    (page('<div class="readingTimeline__text">May 2, 2025 &ndash; Started Reading</div>'), "May 2, 2025"),
-    (page('<div class="readingTimeline__texts">May 2, 2025 – Started Reading</div>'), None),
-    (page("<div class='readingTimeline__text'>\n  May 2, 2025\n – Started Reading</div>"), "May 2, 2025"),
-    (page('<div class=readingTimeline__text>May 2, 2025 – Started Reading</div>'), "May 2, 2025"),
-    (page(row("May 2, 2025", "Started Reading") + '<!-- <div class="readingTimeline__text">'
-          'Jan 1, 2020 – Started Reading</div> -->'), "May 2, 2025"),
-    (page(row("May 2, 2025", "Started Reading") + '<script>var s = \'<div class="readingTimeline__text">'
-          'Jan 1, 2020 – Started Reading</div>\';</script>'), "May 2, 2025"),
 ]
+CASES = [(None, None), ("", None), ("<p>No timeline here</p>", None)] + [
+    (render(entries, extra), want) for entries, extra, want in TABLE]
 
 
 @pytest.mark.parametrize("html,expected", CASES)
@@ -52,7 +54,7 @@ def test_timeline_cases(spark, html, expected):
 
 
 def test_no_python_worker_in_plan(spark):
-    df = spark.createDataFrame([(page(row("March 29, 2026", "Started Reading")),)], "h string")
+    df = spark.createDataFrame([(render([("March 29, 2026", EN, S)]),)], "h string")
     plan = df.select(extract_labelled("h"))._jdf.queryExecution().executedPlan().toString()
     assert "EvalPython" not in plan
 
@@ -74,10 +76,10 @@ def test_agrees_with_dom_parser_on_derived_pages(spark):
 
 
 NESTED = [
-    page('<div class="readingTimeline__text"><div>May 2, 2025</div> – Started Reading</div>'),
-    page('<div class="readingTimeline__text">Jan 1, 2024 – Started Reading</div>'
-         '<div class="readingTimeline__text"><div class="d">March 3, 2026</div> – Started <b>Reading</b></div>'),
-    page(row("March 29, 2026", "Started Reading")),
+    render([], '<div class="readingTimeline__text"><div>May 2, 2025</div> – Started Reading</div>'),
+    render([("Jan 1, 2024", EN, S)],
+           '<div class="readingTimeline__text"><div class="d">March 3, 2026</div> – Started <b>Reading</b></div>'),
+    render([("March 29, 2026", EN, S)]),
     None,
 ]
 
