@@ -114,19 +114,19 @@ def flag_shared_boundaries(df: DataFrame, key: str = "username", start: str = "s
 
 
 def effective_days(start: str = "started_reading", end: str = "read_at") -> Column:
-    """T4: 1.0 for one-day books, else days - 0.5 per shared boundary."""
-    half = lambda flag: F.when(_c(flag), F.lit(0.5)).otherwise(F.lit(0.0))
-    return (F.when(_c(start) == _c(end), F.lit(1.0))
-            .otherwise((F.datediff(_c(end), _c(start)) + 1).cast("double")
-                       - half("start_shares_finish") - half("finish_shares_start")))
+    """T4: calendar days minus half a day per shared boundary; a one-day
+    book always counts one day."""
+    span = F.datediff(_c(end), _c(start)) + 1
+    shared = _c("start_shares_finish").cast("int") + _c("finish_shares_start").cast("int")
+    return F.when(span == 1, F.lit(1.0)).otherwise(span.cast("double") - F.lit(0.5) * shared)
 
 
 def day_weight(day: Column, start: str = "started_reading", end: str = "read_at") -> Column:
-    """Weight of one day of a book."""
-    return (F.when(_c(start) == _c(end), F.lit(1.0))
-            .when((day == _c(start)) & _c("start_shares_finish"), F.lit(0.5))
-            .when((day == _c(end)) & _c("finish_shares_start"), F.lit(0.5))
-            .otherwise(F.lit(1.0)))
+    """A multi-day book's shared start or shared finish day weighs
+    half; every other day (and a one-day book's only day) weighs one."""
+    on_shared_boundary = (((day == _c(start)) & _c("start_shares_finish"))
+                          | ((day == _c(end)) & _c("finish_shares_start")))
+    return F.when((_c(start) != _c(end)) & on_shared_boundary, F.lit(0.5)).otherwise(F.lit(1.0))
 
 
 def allocate_daily(complete: DataFrame, key: str = "username", start: str = "started_reading",
