@@ -12,9 +12,8 @@ from lectio.operators.quality import positive
 
 def qualifying_books(silver_books: DataFrame) -> DataFrame:
     """Read books with a rating and a page count."""
-    return (silver_books.filter(F.col("is_read")).filter(positive("user_rating"))
-            .filter(positive("num_pages"))
-            .select("username", "book_id", "user_rating", "num_pages"))
+    keep = F.col("is_read") & positive("user_rating") & positive("num_pages")
+    return silver_books.where(keep).select("username", "book_id", "user_rating", "num_pages")
 
 
 def classified_subjects(records: DataFrame, key: str = "book_id", subjects: str = "subjects",
@@ -31,13 +30,14 @@ def genre_summary(books: DataFrame, classified: DataFrame, key: str = "book_id",
                   pages: str = "num_pages") -> DataFrame:
     """(user, genre, avg_user_rating, total_pages int, book_count int).
 
-    Inner join on ``key`` (several records per key count a book several
-    times, as in the source), explode labels, one aggregation with
-    map-side partial aggregation. AQE decides broadcast vs shuffle from
-    measured sizes; nothing is broadcast unconditionally."""
-    j = books.join(classified.filter(F.size("genres") > 0), key, "inner")
-    return (j.select(user, rating, pages, F.explode("genres").alias("genre"))
-            .groupBy(user, "genre")
+    Each record's labels are exploded once on the record side, then the
+    books join the (key, genre) pairs: a book with several records counts
+    once per record and genre, as in the source. One aggregation with
+    map-side partial aggregation follows. AQE decides broadcast vs shuffle
+    from measured sizes; nothing is broadcast unconditionally."""
+    pairs = classified.select(key, F.explode("genres").alias("genre"))
+    j = books.select(key, user, rating, pages).join(pairs, key, "inner")
+    return (j.groupBy(user, "genre")
             .agg(round_half_up(F.avg(rating), 2).alias("avg_user_rating"),
                  F.sum(pages).cast("int").alias("total_pages"),
                  F.count(F.lit(1)).cast("int").alias("book_count")))
