@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectio.functions.bib import parse_bib_record
@@ -43,11 +43,11 @@ PART_RULES = [
 RANGE_START, RANGE_END, RANGE_WINDOW = "1996-01-01", "1997-12-31", 30
 
 
-def joined(c) -> F.Column:
+def joined(c: Column) -> Column:
     return F.array_join(F.sort_array(c), "|")
 
 
-def rnd(c, scale: int) -> F.Column:
+def rnd(c: Column, scale: int) -> Column:
     return T.round_half_up(c, scale)
 
 
@@ -57,21 +57,21 @@ def _gold_daily(spark: SparkSession, base: str) -> DataFrame:
     return T.pages_per_day(D.readings(spark, base))
 
 
-def q_daily_allocation(spark, base):
-    g = _gold_daily(spark, base)
+def _daily_report(g: DataFrame) -> DataFrame:
     return g.select("username", "date", "est_pages_read",
                     F.size("books_in_progress").alias("n_books"),
                     joined(F.col("books_in_progress")).alias("book_titles"))
 
 
+def q_daily_allocation(spark, base):
+    return _daily_report(_gold_daily(spark, base))
+
+
 def q_daily_allocation_sparse(spark, base):
     """Same allocation with customers as users: few books over long spans,
     so the output is dominated by gap-filled zero days (the regime the
     window gap fill is built for)."""
-    g = T.pages_per_day(D.readings(spark, base, user="customer"))
-    return g.select("username", "date", "est_pages_read",
-                    F.size("books_in_progress").alias("n_books"),
-                    joined(F.col("books_in_progress")).alias("book_titles"))
+    return _daily_report(T.pages_per_day(D.readings(spark, base, user="customer")))
 
 
 def q_shared_boundaries(spark, base):
