@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from lectio.operators.classify import GENRE_RULES, Rule, classify, unmatched, with_labels
+from lectio.operators.classify import Rule, classify, unmatched, with_labels
 
 CASES = [
     (None, []),
