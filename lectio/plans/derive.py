@@ -256,10 +256,20 @@ def lookup_books(spark: SparkSession, base: str) -> DataFrame:
                      k.cast("string").alias("book_id"))
 
 
+# Subject names given to derived lookup records (by book id
+# modulo their count), a mix that the genre rules map and do not map.
+SUBJECTS = ["Science fiction", "Fantasy", "Mystery", "Romance", "Historical", "Young adult",
+            "Comics", "Adventure", "Fiction", "Cooking"]
+
+
 def landed_responses(plan: DataFrame) -> DataFrame:
-    """One landed response per planned chunk: found when book_id % 4 != 0."""
+    """One landed response per planned chunk: found when book_id % 4 != 0;
+    each record carries one subject name from SUBJECTS."""
     found = F.filter("members", lambda m: m["book_id"].cast("bigint") % 4 != 0)
-    entry = lambda m: F.concat(F.lit('"ISBN:'), m["isbn"], F.lit('": {"key": "/books/OL'),
-                               m["book_id"], F.lit('M", "title": "T'), m["book_id"], F.lit('"}'))
+    names = F.array(*[F.lit(x) for x in SUBJECTS])
+    entry = lambda m: F.concat(
+        F.lit('"ISBN:'), m["isbn"], F.lit('": {"key": "/books/OL'), m["book_id"], F.lit('M", "title": "T'),
+        m["book_id"], F.lit('", "subjects": [{"name": "'),
+        F.element_at(names, (m["book_id"].cast("bigint") % len(SUBJECTS) + 1).cast("int")), F.lit('"}]}'))
     body = F.concat(F.lit("{"), F.array_join(F.transform(found, entry), ", "), F.lit("}"))
     return plan.select("chunk_id", body.alias("body"), F.lit(None).cast("string").alias("error"))
