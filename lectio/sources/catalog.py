@@ -14,3 +14,19 @@ def ensure_schema(spark: SparkSession, db: str, comment: str | None = None) -> l
         stmt += " COMMENT '" + comment.replace("'", "''") + "'"
     spark.sql(stmt)
     return [t.name for t in spark.catalog.listTables(db)]
+
+
+def register_table(spark: SparkSession, name: str, path: str, refresh: bool = True) -> None:
+    """Expose a stage's table folder under a catalog name
+    (``db.table``), so it is read with ``spark.table(name)`` (S3); the
+    catalog entry points at the files, nothing is copied. ``refresh``
+    re-lists the files after a stage replaced them."""
+    parts = name.split(".")
+    if not all(p.replace("_", "").isalnum() for p in parts) or len(parts) > 2:
+        raise ValueError(f"bad table name {name!r}")
+    if len(parts) == 2:
+        ensure_schema(spark, parts[0])
+    location = path.replace("'", "''")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{location}'")
+    if refresh:
+        spark.catalog.refreshTable(name)

@@ -111,3 +111,16 @@ def test_read_landed_files(spark, tmpdir_path):
         f.write(json.dumps({"chunk_id": "0-1", "error": "HTTP 500"}) + "\n")
     r = {x.chunk_id: (x.body, x.error) for x in read_landed_responses(spark, resp).collect()}
     assert r == {"0-0": ('{"ISBN:1": {}}', None), "0-1": (None, "HTTP 500")}
+
+
+def test_register_table(spark, tmpdir_path):
+    from lectio.sources.catalog import register_table
+    from lectio.sources.sinks import overwrite_table
+
+    path = os.path.join(tmpdir_path, "gold")
+    overwrite_table(spark.createDataFrame([("a", 1)], "username string, n int"), path)
+    register_table(spark, "lectio_reg_db.gold_t", path)
+    assert spark.table("lectio_reg_db.gold_t").count() == 1
+    overwrite_table(spark.createDataFrame([("a", 1), ("b", 2)], "username string, n int"), path)
+    register_table(spark, "lectio_reg_db.gold_t", path)
+    assert spark.table("lectio_reg_db.gold_t").count() == 2
