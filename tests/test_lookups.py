@@ -38,3 +38,23 @@ def test_resolve_statuses(spark):
     counts = {x.status_class: x.n for x in lookup_status(resolve_lookups(p, resp)).collect()}
     assert counts == {"ok": 2, "not_found": 8, "error": 20}
     assert lookup_errors(resolve_lookups(p, resp)).count() == 28
+
+
+def test_plan_properties_random(spark):
+    import random
+    import urllib.parse
+
+    rnd = random.Random(41)
+    for size, buckets, n in [(20, 3, 257), (7, 1, 50), (1, 4, 9), (20, 16, 5)]:
+        keys = {(f"{rnd.randrange(10**9):010d}", str(rnd.randrange(100))) for _ in range(n)}
+        df = spark.createDataFrame(sorted(keys), "isbn string, book_id string")
+        plan = plan_lookups(df, size=size, buckets=buckets).collect()
+        seen = []
+        for chunk in plan:
+            members = [(m.isbn, m.book_id) for m in chunk.members]
+            assert 1 <= len(members) <= size
+            bibkeys = urllib.parse.unquote(chunk.api_url.split("bibkeys=")[1].split("&")[0])
+            assert bibkeys.split(",") == [f"ISBN:{i}" for i, _ in members]
+            seen.extend(members)
+        assert sorted(seen) == sorted(keys)
+        assert len({c.chunk_id for c in plan}) == len(plan)
