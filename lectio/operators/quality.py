@@ -25,9 +25,11 @@ def validate_pages(df: DataFrame, html: str = "raw_html", key: str = "book_id",
     ``flag``: adds a boolean ``page_valid`` column."""
     ok = F.coalesce(F.contains(F.col(html), F.col(key)), F.lit(False))
     if mode == "fail":
-        return df.filter(F.when(ok, F.lit(True)).otherwise(F.raise_error(
-            F.concat(F.lit("page for key '"), F.coalesce(F.col(key), F.lit("NULL")),
-                     F.lit("' does not contain the key: session may have expired")))))
+        k = F.coalesce(F.col(key), F.lit("NULL"))
+        why = F.when(F.col(html).isNull(), F.concat(F.lit("no page landed for key '"), k, F.lit("'"))) \
+            .otherwise(F.concat(F.lit("page for key '"), k,
+                                F.lit("' does not contain the key: session may have expired")))
+        return df.filter(F.when(ok, F.lit(True)).otherwise(F.raise_error(why)))
     if mode == "quarantine":
         return df.filter(ok), df.filter(~ok)
     if mode == "flag":

@@ -70,6 +70,10 @@ def test_validate_pages_modes(spark):
         validate_pages(df, mode="fail").collect()
     assert "does not contain the key" in str(e.value)
     assert not isinstance(e.value, PythonException)
+    missing = spark.createDataFrame([("3", None)], "book_id string, raw_html string")
+    with pytest.raises(Exception) as e2:
+        validate_pages(missing, mode="fail").collect()
+    assert "no page landed for key '3'" in str(e2.value)
 
 
 def test_row_count_observation(spark):
