@@ -100,5 +100,19 @@ def unmatched(df: DataFrame, cols: list[str], out: str = "genres") -> DataFrame:
     return df.filter(F.size(out) == 0).select(*cols)
 
 
+def rules_from_records(records) -> list[Rule]:
+    """Rules from flat records ``{"label", "kind", "keyword"}`` with kind
+    one of contains / equals / startswith (e.g. a small JSON file kept
+    next to the job). Labels keep their first-seen order; keywords are
+    matched against lower-cased, stripped values, so they are lower-cased."""
+    kinds = ("contains", "equals", "startswith")
+    grouped: dict[str, dict[str, list[str]]] = {}
+    for r in records:
+        if r["kind"] not in kinds:
+            raise ValueError(f"unknown rule kind {r['kind']!r}")
+        grouped.setdefault(r["label"], {k: [] for k in kinds})[r["kind"]].append(r["keyword"].lower())
+    return [Rule(label, *(tuple(g[k]) for k in kinds)) for label, g in grouped.items()]
+
+
 def labels_of(rules: list[Rule]) -> list[str]:
     return sorted({r.label for r in rules})

@@ -63,3 +63,17 @@ def test_genre_book_count_sums_to_exploded_rows(spark):
     # book 1 -> 2 genres for 2 readers, book 2 -> 2 records x 1 genre each
     assert sum(r.book_count for r in g) == 2 * 2 + 2
     assert {(r.username, r.genre): r.book_count for r in g}[("a", "Fantasy")] == 1
+
+
+def test_rules_from_records(spark):
+    from lectio.operators.classify import rules_from_records
+
+    recs = [{"label": "Space", "kind": "contains", "keyword": "Space"},
+            {"label": "Space", "kind": "equals", "keyword": "sci-fi"},
+            {"label": "Old", "kind": "startswith", "keyword": "classic"}]
+    rules = rules_from_records(recs)
+    assert rules == [Rule("Space", ("space",), ("sci-fi",), ()), Rule("Old", (), (), ("classic",))]
+    df = spark.createDataFrame([(["Space opera", "Classics"],), (["SCI-FI"],)], "s array<string>")
+    assert [r.g for r in df.select(classify("s", rules).alias("g")).collect()] == [["Old", "Space"], ["Space"]]
+    with pytest.raises(ValueError):
+        rules_from_records([{"label": "x", "kind": "regex", "keyword": "y"}])
