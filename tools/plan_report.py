@@ -64,6 +64,20 @@ def main() -> None:
            "conversion from measured sizes, partition coalescing). Shuffle exchanges",
            "count hash/range/single-partition exchanges, reused ones separately; scans",
            "count parquet file scans including the scalar-subquery side.", "",
+           "Key observations (see the skeletons below):", "",
+           "- `daily_allocation`: one (user, day) boundary aggregate feeds both flag joins (the second",
+           "  join reuses the first's broadcast); book-days are aggregated on (user, day); the gap fill",
+           "  is a `lead` window per user over those totals, with zero days generated locally. At sf0.1",
+           "  AQE broadcasts the boundary side from its measured size.",
+           "- `daily_allocation_sparse`: the boundary aggregate is larger than the broadcast threshold,",
+           "  so AQE keeps sort-merge joins: the at-scale path.",
+           "- `rolling_mean_*`, `daily_view`, `labels_joined`: the serving windows reuse the gap fill's",
+           "  user partitioning (a sort, no extra shuffle); unused outputs such as the title list are",
+           "  pruned from the aggregate by Catalyst.",
+           "- `genre_*`: labels are exploded on the record side, then joined to the books (broadcast",
+           "  at this size, chosen at run time); one partial + final aggregation.",
+           "- `dense_matrix`, `lookup_*`: read their checkpointed shared input (no file scan).",
+           "- No query evaluates Python (`Python eval` column).", "",
            "| query | shuffles | reused shuffles | broadcasts | sort-merge joins | scans | Python eval | wall s |",
            "|---|---|---|---|---|---|---|---|"]
     detail, trees = [], []
