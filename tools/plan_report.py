@@ -76,7 +76,7 @@ def main() -> None:
            "  pruned from the aggregate by Catalyst.",
            "- `genre_*`: labels are exploded on the record side, then joined to the books (broadcast",
            "  at this size, chosen at run time); one partial + final aggregation.",
-           "- `dense_matrix`, `lookup_*`: read their checkpointed shared input (no file scan).",
+           "- `dense_matrix`, `lookup_resolve`, `lookup_status`: read their checkpointed shared input (no file scan).",
            "- No query evaluates Python (`Python eval` column).", "",
            "| query | shuffles | reused shuffles | broadcasts | sort-merge joins | scans | Python eval | wall s |",
            "|---|---|---|---|---|---|---|---|"]
