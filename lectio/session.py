@@ -23,10 +23,16 @@ DEFAULT_CONF = {
 
 
 def build_session(master: str = "local[8]", app: str = "lectio",
-                  shuffle_partitions: int | None = 8, **conf: str) -> SparkSession:
+                  shuffle_partitions: int | None = 8, event_log_dir: str | None = None,
+                  **conf: str) -> SparkSession:
     """Local session for tests and the bench. On a cluster use the
-    provided session instead and only call :func:`checkpoint_dir`."""
+    provided session instead and only call :func:`checkpoint_dir`.
+    ``event_log_dir`` writes Spark's event log (stage and task timings)
+    there, for offline analysis without the UI."""
     b = SparkSession.builder.master(master).appName(app)
+    if event_log_dir:
+        os.makedirs(event_log_dir, exist_ok=True)
+        b = b.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log_dir)
     for k, v in DEFAULT_CONF.items():
         b = b.config(k, v)
     if shuffle_partitions:
