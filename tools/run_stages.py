@@ -23,9 +23,9 @@ from lectio.session import build_session, scratch_path  # noqa: E402
 from lectio.sources.landing import read_landed_pages, read_landed_responses  # noqa: E402
 
 
-def main() -> None:
-    base = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = build_session()
+def run(spark, base: str) -> dict:
+    """Run every stage on ``base``; returns the root folder and the rows
+    each stage wrote."""
     root = scratch_path(spark, "stages")
     p = lambda n: os.path.join(root, n)
     out: dict[str, int] = {}
@@ -46,7 +46,12 @@ def main() -> None:
     out.update(stages.lookups_stage(spark, p("lookup_plan"), read_landed_responses(spark, p("landed_responses")),
                                     p("bronze_open_library"), p("silver_open_library"), D.NEW_BATCH))
     out.update(stages.genre_stage(spark, p("silver_books"), p("silver_open_library"), p("gold_genre")))
-    print(json.dumps({"root": root, "rows_written": out}))
+    return {"root": root, "rows_written": out}
+
+
+def main() -> None:
+    base = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    print(json.dumps(run(build_session(), base)))
 
 
 if __name__ == "__main__":
