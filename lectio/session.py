@@ -47,11 +47,15 @@ def build_session(master: str = "local[8]", app: str = "lectio",
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder. Read from the session; only when the
-    cluster names none (local tests) is a fresh local one created."""
+    """The shared checkpoint folder, read from the session. Only a local
+    master may leave it unset (tests); a cluster that names none is an
+    error, because every executor would write to its own disk."""
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all "
+                             f"executors share (master is {sc.master})")
         d = tempfile.mkdtemp(prefix="lectio-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not sc.getCheckpointDir():
@@ -62,6 +66,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint location for
     intermediate tables written to cut lineage (survives executor loss,
-    unlike local checkpoints)."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or checkpoint_dir(spark)
-    return os.path.join(base.rstrip("/"), "lectio", f"{name}-{uuid.uuid4().hex}")
+    unlike local checkpoints). It is removed when the driver ends, so a
+    lazy frame over it stays readable for the life of the session."""
+    path = "/".join([checkpoint_dir(spark).rstrip("/"), "lectio", f"{name}-{uuid.uuid4().hex}"])
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return path
