@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectio.llm import quality_ledger, radix_dedup, source_mix, url_automaton, warc_index
+from lectio.llm import order_minhash, quality_ledger, radix_dedup, source_mix, url_automaton, warc_index
 from lectio.llm.bpe_automaton import encode_documents
 from lectio.llm.common import table
 
@@ -34,6 +34,10 @@ def op4_warc_index(spark: SparkSession, base: str) -> DataFrame:
                           F.col("refers_to").cast(pages.schema["page_id"].dataType).alias("refers_to"))
 
 
+def op6_order_minhash(spark: SparkSession, base: str) -> DataFrame:
+    return order_minhash.near_duplicates(table(spark, base, "documents")).drop("text_key")
+
+
 def op8_source_mix(spark: SparkSession, base: str) -> DataFrame:
     mix = source_mix.mix_sources(table(spark, base, "documents"))
     return mix.select("doc_id", "size", "source_size", "target", "taken", "epochs", "source")
@@ -61,7 +65,7 @@ def op10_url_automaton(spark: SparkSession, base: str) -> DataFrame:
 
 
 LLM_QUERIES = {f.__name__: f for f in (
-    op2_rule_ledger, op3_radix_dedup, op4_warc_index, op8_source_mix, op9_bpe_automaton, op10_url_automaton)}
+    op2_rule_ledger, op3_radix_dedup, op4_warc_index, op6_order_minhash, op8_source_mix, op9_bpe_automaton, op10_url_automaton)}
 
 LLM_ORACLES = {
     "op2_rule_ledger": r"""
