@@ -35,3 +35,10 @@ def new_name(df: DataFrame, stem: str) -> str:
     while name.lower() in have:
         name += "_"
     return name
+
+
+def byte_bpe_path() -> str:
+    """The byte-level BPE file of the installed public tokenizers."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")

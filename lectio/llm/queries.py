@@ -2,18 +2,38 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectio.llm import order_minhash, quality_ledger, radix_dedup, source_mix, url_automaton, warc_index
+import corpus_pipeline
+from lectio.llm import (attribution, feistel, order_minhash, quality_ledger, quotations, radix_dedup, source_mix, url_automaton,
+                        warc_index)
 from lectio.llm.bpe_automaton import encode_documents
-from lectio.llm.common import table
+from lectio.llm.common import byte_bpe_path, table
 
 
-def byte_bpe_path() -> str:
-    import public_tokenizers
+def quoting_mail(conversations: DataFrame) -> DataFrame:
+    """(conv_id, turn, text): the conversations as mail in which each message
+    quotes the one before it, and that one's quote of its own predecessor."""
+    said = conversations.groupBy("conv_id", "turn").agg(F.min(F.struct("text", "role")).alias("said"))
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    def earlier(n: int) -> DataFrame:
+        return said.select(F.col("conv_id"), (F.col("turn") + n).alias("turn"), F.col("said").alias(f"said_{n}"))
+
+    def quoted(n: int) -> Column:
+        intro = F.concat(F.lit("On turn "), (F.col("turn") - n).cast("string"), F.lit(", "),
+                         F.coalesce(F.col(f"said_{n}.role"), F.lit("somebody")), F.lit(" wrote:\n"))
+        text = F.concat(intro, F.regexp_replace(F.coalesce(F.col(f"said_{n}.text"), F.lit("")), r"(?m)^", "> "))
+        for _ in range(n - 1):
+            text = F.regexp_replace(text, r"(?m)^", "> ")
+        return F.when(F.col(f"said_{n}").isNotNull(), F.concat(F.lit("\n\n" if n == 1 else "\n>\n"), text)).otherwise(F.lit(""))
+
+    mail = conversations.join(earlier(1), ["conv_id", "turn"], "left").join(earlier(2), ["conv_id", "turn"], "left")
+    return mail.select("conv_id", "turn", F.concat(F.coalesce("text", F.lit("")), quoted(1), quoted(2)).alias("text"))
+
+
+def op1_quotations(spark: SparkSession, base: str) -> DataFrame:
+    return quotations.reply_order(quoting_mail(table(spark, base, "conversations")))
 
 
 def op2_rule_ledger(spark: SparkSession, base: str) -> DataFrame:
@@ -34,10 +54,21 @@ def op4_warc_index(spark: SparkSession, base: str) -> DataFrame:
                           F.col("refers_to").cast(pages.schema["page_id"].dataType).alias("refers_to"))
 
 
+def op5_feistel(spark: SparkSession, base: str) -> DataFrame:
+    """The key is a secret of the deployment; tests and trials have one."""
+    key = spark.conf.get("spark.lectio.pseudonymKey", "trial-key")
+    return feistel.pseudonymise(table(spark, base, "documents"), key.encode())
+
+
 def op6_order_minhash(spark: SparkSession, base: str) -> DataFrame:
     return order_minhash.near_duplicates(table(spark, base, "documents")).drop("text_key")
 
 
+def op7_attribution(spark: SparkSession, base: str) -> DataFrame:
+    return attribution.attribute_tokens(table(spark, base, "documents"), byte_bpe_path(), ("source", "lang", "text"),
+                                        sections={"text": attribution.paragraphs}, rule="most")
+
+
 def op8_source_mix(spark: SparkSession, base: str) -> DataFrame:
     mix = source_mix.mix_sources(table(spark, base, "documents"))
     return mix.select("doc_id", "size", "source_size", "target", "taken", "epochs", "source")
@@ -65,9 +96,36 @@ def op10_url_automaton(spark: SparkSession, base: str) -> DataFrame:
 
 
 LLM_QUERIES = {f.__name__: f for f in (
-    op2_rule_ledger, op3_radix_dedup, op4_warc_index, op6_order_minhash, op8_source_mix, op9_bpe_automaton, op10_url_automaton)}
+    op1_quotations, op2_rule_ledger, op3_radix_dedup, op4_warc_index, op5_feistel, op6_order_minhash,
+    op7_attribution, op8_source_mix, op9_bpe_automaton, op10_url_automaton)}
+LLM_QUERIES["pipeline"] = corpus_pipeline.run
 
 LLM_ORACLES = {
+    "op1_quotations": r"""
+WITH RECURSIVE said AS (SELECT conv_id, turn, min(coalesce(text, '')) AS t FROM conversations GROUP BY ALL),
+passages AS (
+  SELECT conv_id, turn, trim(regexp_replace(lower(p), '\s+', ' ', 'g')) AS w
+  FROM (SELECT conv_id, turn, unnest(regexp_split_to_array(t, '\n[ \t]*\n')) AS p FROM said)
+  WHERE regexp_matches(p, '\S')),
+owners AS (SELECT conv_id, w, min(turn) AS owner FROM passages GROUP BY ALL),
+owned AS (SELECT conv_id, turn, w, owner FROM passages JOIN owners USING (conv_id, w)),
+n AS (SELECT conv_id, turn, count(*) AS c FROM passages GROUP BY ALL),
+parents AS (
+  SELECT m.conv_id, m.turn, max(o.owner) AS parent_turn
+  FROM said m JOIN owned o ON o.conv_id = m.conv_id AND o.turn = m.turn - 1
+  WHERE o.owner < m.turn GROUP BY ALL),
+tree AS (
+  SELECT m.conv_id, m.turn, NULL::BIGINT AS parent_turn, m.turn AS root_turn, 0::BIGINT AS depth
+  FROM said m LEFT JOIN parents p USING (conv_id, turn) WHERE p.parent_turn IS NULL
+  UNION ALL
+  SELECT p.conv_id, p.turn, p.parent_turn, t.root_turn, t.depth + 1
+  FROM parents p JOIN tree t ON t.conv_id = p.conv_id AND t.turn = p.parent_turn)
+SELECT c.conv_id, c.turn, tree.parent_turn, tree.root_turn, tree.depth,
+       (coalesce(n1.c, 0) + coalesce(n2.c, 0))::BIGINT AS n_quotes, (coalesce(n1.c, 0) + coalesce(n2.c, 0))::BIGINT AS n_linked,
+       trim(regexp_replace(coalesce(c.text, ''), '\n{3,}', chr(10) || chr(10), 'g'), chr(10)) AS own_text
+FROM conversations c JOIN tree ON tree.conv_id = c.conv_id AND tree.turn = c.turn
+LEFT JOIN n n1 ON n1.conv_id = c.conv_id AND n1.turn = c.turn - 1
+LEFT JOIN n n2 ON n2.conv_id = c.conv_id AND n2.turn = c.turn - 2 AND n1.c IS NOT NULL""",
     "op2_rule_ledger": r"""
 WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t,
