@@ -201,10 +201,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.monotonically_increasing_id().alias("row"), "id", "text", F.xxhash64("text").alias("text_key"), "s.seq", "s.sketches"),
         "omh-rows")
     # one representative for each word sequence, and its bands that others share
-    reps = (rows.where("seq is not null").groupBy("seq")
-            .agg(F.min(F.struct("row", "sketches")).alias("r")).select("seq", "r.row", "r.sketches"))
+    reps = written(rows.where("seq is not null").groupBy("seq").agg(F.min(F.struct("row", "sketches")).alias("r"))
+                   .select("seq", "r.row", "r.sketches"), "omh-representatives")
     entries = reps.select("row", F.explode("sketches").alias("band"))
-    sizes = entries.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    sizes = written(entries.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "omh-sizes")
     shared = written(entries.join(sizes, "band"), "omh-bands")
     reach = shared.groupBy("row").agg(F.sum("size").alias("reach"))
     bands = written(shared.join(reach, "row"), "omh-entries")
@@ -213,9 +213,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     failed = None
     for step in range(hub_rounds):
         entry = bands.join(classes, "row")
-        hubs = (entry.groupBy("band").agg(F.max(F.struct("reach", "row", "class")).alias("hub"), F.min("class").alias("low"),
-                                          F.max("class").alias("high"))
-                .where("low <> high").select("band", "hub"))
+        hubs = written(entry.groupBy("band").agg(F.max(F.struct("reach", "row", "class")).alias("hub"),
+                                                 F.min("class").alias("low"), F.max("class").alias("high"))
+                       .where("low <> high").select("band", "hub"), "omh-hubs")
         entry = written(entry.join(hubs, "band"), "omh-open")
         if entry.isEmpty():
             break
@@ -236,11 +236,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         failed = misses if failed is None else failed.unionByName(misses)
         classes = _merge(classes, links)
         bands = entry.where(~complete & (F.col("row") != F.col("hub.row"))).select("band", "row", "size", "reach")
-    of_seq = reps.select("seq", "row").join(classes, "row", "left").select("seq", F.coalesce("class", "row").alias("class"))
+    of_seq = written(reps.select("seq", "row").join(classes, "row", "left").select("seq", F.coalesce("class", "row").alias("class")),
+                     "omh-class-of")
     placed = written(rows.select("row", "id", "text_key", "seq").join(of_seq, "seq", "left")
                      .select("row", "id", "text_key", F.coalesce("class", "row").alias("class")), "omh-placed")
-    first = placed.groupBy("class").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("first"),
-                                        F.count(F.lit(1)).alias("class_size"))
+    first = written(placed.groupBy("class").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("first"),
+                                                F.count(F.lit(1)).alias("class_size")), "omh-firsts")
     return placed.join(first, "class").select(
         F.col("id").alias(id_col), F.col("first.id").alias("class_id"), "class_size",
         (F.col("row") == F.col("first.row")).alias("kept"), "text_key")
