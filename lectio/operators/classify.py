@@ -7,8 +7,11 @@ labels of a row are deduplicated and sorted by code point; NULL or empty
 input gives ``[]`` (never NULL, so ``size`` splits rows cleanly).
 
 Evaluated as codegen'd string tests on one joined column per row (no
-Python worker, no interpreted lambdas), so filters on the result push
-down and the whole projection stays in one generated stage.
+Python worker, no interpreted lambdas). The joined column is shared within a
+projection but not within a filter, so don't filter on the labels directly:
+Catalyst would push the filter below the projection and evaluate the
+normalisation once per test. Filter on a generator's output instead (see
+``genre.by_first_genre`` and :func:`unmatched`).
 """
 
 from __future__ import annotations
@@ -86,18 +89,14 @@ def classify(values: Column | str, rules: list[Rule] = GENRE_RULES) -> Column:
 
 def with_labels(df: DataFrame, values: str = "subjects", rules: list[Rule] = GENRE_RULES,
                 out: str = "genres") -> DataFrame:
-    """K1 as a column, computed once; split with :func:`matched` /
-    :func:`unmatched` afterwards."""
+    """K1 as a column, computed once; split with :func:`unmatched` afterwards."""
     return df.withColumn(out, classify(values, rules))
 
 
-def matched(df: DataFrame, out: str = "genres") -> DataFrame:
-    return df.filter(F.size(out) > 0)
-
-
 def unmatched(df: DataFrame, cols: list[str], out: str = "genres") -> DataFrame:
     """K3: rows no rule matched."""
-    return df.filter(F.size(out) == 0).select(*cols)
+    first = df.select(*cols, F.explode_outer(F.slice(out, 1, 1)).alias("_label"))
+    return first.where(F.col("_label").isNull()).select(*cols)
 
 
 def rules_from_records(records) -> list[Rule]:

@@ -165,27 +165,40 @@ def round_half_up(c: Column, scale: int) -> Column:
     return F.round(c.cast("decimal(38,12)"), scale).cast("double")
 
 
+def gap_days(complete: DataFrame, key: str = "username", start: str = "started_reading",
+             end: str = "read_at") -> DataFrame:
+    """(key, date): the days between a user's first start and last finish on
+    which no book is open.
+
+    Only interval ends move, never titles: per user and start day the latest
+    finish is kept (partial aggregation), and a window per user, at most one
+    row per calendar day, finds where the running latest finish ends before
+    the next start."""
+    spans = complete.groupBy(key, start).agg(F.max(end).alias("_until"))
+    w = Window.partitionBy(key).orderBy(start).rowsBetween(Window.unboundedPreceding, -1)
+    gaps = spans.select(key, _c(start).alias("_next"), F.max("_until").over(w).alias("_last"))
+    gaps = gaps.where(F.datediff("_next", "_last") > 1)
+    return gaps.select(key, F.explode(F.sequence(F.date_add("_last", 1), F.date_sub("_next", 1))).alias("date"))
+
+
 def pages_per_day(books: DataFrame, key: str = "username", start: str = "started_reading",
                   end: str = "read_at", amount: str = "num_pages", label: str = "title",
-                  complete: bool = False, max_days: int | None = None) -> DataFrame:
+                  complete: bool = False, max_days: int | None = None, scale: int | None = 1) -> DataFrame:
     """Gold daily series (T1-T10, A2-A4, A8):
     (key, date, est_pages_read double, books_in_progress array<string>).
 
     ``complete=True`` skips the completeness filter when the caller
     already applied it. The title list of a (user, day) is the output row
     itself: it holds every book that user has open that day, in full.
+    ``scale`` rounds the day's sum (None: unrounded).
 
     Gap fill without a spine join: every day of every book is a
-    contribution day, so a user's first and last contribution days are
-    the spine bounds (T8) and the zero days are exactly the gaps between
-    consecutive contribution days. After the (user, day) aggregation, a
-    window per user (rows bounded by calendar days, not by books) looks at
-    the next contribution day and each row expands to itself plus the zero
-    days up to it, locally, with no shuffle of zero rows. Measured against
-    a spine left join: same rows, 2.5x faster for sparse readers (28.5 M
-    user-days), slightly faster for dense ones. A NULL user never matches
-    in the reference's spine join, so its contributions count as zero.
-    """
+    contribution day, so the zero days are exactly the gaps between a
+    user's intervals (:func:`gap_days`). They are appended to the (user,
+    day) totals, which stay where their aggregation put them, so a user
+    with a third of all books spreads over every task. A NULL user never
+    matches in the reference's spine join, so its contributions count as
+    zero."""
     ok = books if complete else complete_intervals(books, start, end, amount, max_days)
     ok = ok.select(key, start, end, amount, label)
     b = boundary_days(ok, key, start, end)
@@ -195,16 +208,10 @@ def pages_per_day(books: DataFrame, key: str = "username", start: str = "started
         key, "date",
         F.when(null_user, F.lit(0.0)).otherwise(_c("pages_per_day")).alias("pages_per_day"),
         F.when(null_user, F.lit(None).cast("string")).otherwise(_c(label)).alias(label))
-    totals = (contrib.groupBy(key, "date")
-              .agg(F.sum("pages_per_day").alias("_total"),
-                   F.sort_array(F.collect_list(label)).alias("_titles")))
-    nxt = F.lead("date").over(Window.partitionBy(key).orderBy("date"))
-    spans = totals.select(key, "date", "_total", "_titles", nxt.alias("_next"))
-    until = F.coalesce(F.date_sub("_next", 1), _c("date"))
-    days = spans.select(key, "date", "_total", "_titles",
-                        F.explode(F.sequence(_c("date"), until)).alias("_day"))
-    own = _c("_day") == _c("date")
-    return days.select(
-        key, _c("_day").alias("date"),
-        F.when(own, round_half_up(_c("_total"), 1)).otherwise(F.lit(0.0)).alias("est_pages_read"),
-        F.when(own, _c("_titles")).otherwise(F.array().cast("array<string>")).alias("books_in_progress"))
+    total = F.sum("pages_per_day")
+    days = contrib.groupBy(key, "date").agg(
+        (total if scale is None else F.round(total, scale)).alias("est_pages_read"),
+        F.sort_array(F.collect_list(label)).alias("books_in_progress"))
+    zero = gap_days(ok, key, start, end).select(
+        key, "date", F.lit(0.0).alias("est_pages_read"), F.array().cast("array<string>").alias("books_in_progress"))
+    return days.unionByName(zero)

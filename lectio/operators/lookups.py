@@ -22,19 +22,27 @@ def lookup_keys(books: DataFrame, isbn: str = "isbn", key: str = "book_id") -> D
     return books.filter(non_empty(isbn)).select(isbn, key).distinct()
 
 
+# Fixed value: keys per bucket; at most one short chunk per bucket.
+KEYS_PER_BUCKET = 40_000
+
+
 def plan_lookups(keys: DataFrame, size: int = 20, buckets: int | None = None,
                  isbn: str = "isbn", key: str = "book_id",
                  url_template: str = LOOKUP_URL) -> DataFrame:
     """Chunks of at most ``size`` keys, one URL per chunk, without a
-    global sort. Keys are hash-spread over ``buckets`` (default: the
-    session's shuffle partitions) and numbered inside their bucket only;
-    distinct keys hash uniformly, so buckets are even. Chunks at bucket
-    ends may be short: the contract is "<= size", nothing lost or doubled.
+    global sort. Keys are hash-spread over buckets and numbered inside
+    their bucket only; the number of buckets follows the number of keys (a
+    scalar subquery), never a session setting, so the requests stay within
+    ``KEYS_PER_BUCKET / size`` per bucket plus one: under 0.1 % over the
+    fewest possible. ``buckets`` overrides it.
 
-    Returns (chunk_id, isbns array, bibkeys, api_url)."""
-    if buckets is None:
-        buckets = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    b = F.pmod(F.xxhash64(isbn, key), F.lit(buckets))
+    Returns (chunk_id, members array<struct<isbn, book_id>>, bibkeys, api_url)."""
+    if buckets is not None:
+        n_buckets = F.lit(buckets).cast("long")
+    else:
+        n_keys = keys.select(F.count(F.lit(1))).scalar()
+        n_buckets = F.greatest(F.lit(1).cast("long"), F.ceil(n_keys / KEYS_PER_BUCKET))
+    b = F.pmod(F.xxhash64(isbn, key), n_buckets)
     w = Window.partitionBy("_bucket").orderBy(isbn, key)
     numbered = (keys.select(isbn, key, b.alias("_bucket"))
                 .withColumn("_chunk", F.floor((F.row_number().over(w) - 1) / size)))
@@ -57,13 +65,16 @@ def resolve_lookups(plan: DataFrame, responses: DataFrame, isbn: str = "isbn",
     status is ``ok`` / ``not_found`` / ``error: <msg>``; on error
     ``api_url`` is '' and ``raw_json`` NULL for the whole chunk. A chunk
     with no landed response counts as an error."""
-    req = plan.select("chunk_id", "api_url", F.explode("members").alias("m")).select(
-        "chunk_id", "api_url", F.col(f"m.{isbn}").alias(isbn), F.col(f"m.{key}").alias(key))
+    # one response per chunk: join and parse per chunk, then fan out
     r = responses.select("chunk_id", "body", "error")
-    j = req.join(r, "chunk_id", "left")
-    failed = F.col("error").isNotNull() | F.col("body").isNull()
     doc = F.from_json(F.col("body"), "map<string,string>")
-    raw = F.try_element_at(doc, F.concat(F.lit(KEY_PREFIX), F.col(isbn)))
+    answered = plan.select("chunk_id", "api_url", "members").join(r, "chunk_id", "left").select(
+        "api_url", "members", "error", doc.alias("_doc"),
+        (F.col("error").isNotNull() | F.col("body").isNull()).alias("_failed"))
+    j = answered.select("api_url", "error", "_doc", "_failed", F.explode("members").alias("m")).select(
+        "api_url", "error", "_failed", F.col(f"m.{isbn}").alias(isbn), F.col(f"m.{key}").alias(key),
+        F.try_element_at("_doc", F.concat(F.lit(KEY_PREFIX), F.col(f"m.{isbn}"))).alias("_raw"))
+    failed, raw = F.col("_failed"), F.col("_raw")
     msg = F.coalesce(F.col("error"), F.lit("no response landed"))
     return j.select(
         isbn, key,

@@ -32,8 +32,8 @@ def rolling_mean(df: DataFrame, n: int = 7, value: str = "est_pages_read",
     edge). The window partitions by user; a user's partition holds one row
     per calendar day of their span, so it is bounded by days, not by the
     number of books read."""
-    if not 1 <= n <= 366:
-        raise ValueError("window must be between 1 and 366 rows")
+    if n < 1:
+        raise ValueError("the window needs at least one row")
     w = Window.partitionBy(key).orderBy(order).rowsBetween(-(n - 1), 0)
     return df.withColumn(out, F.avg(value).over(w))
 
@@ -68,21 +68,17 @@ def title_labels(df: DataFrame, titles: str = "book_titles", out: str = "titles_
     return df.withColumn(out, bullet_list(F.col(titles)))
 
 
-def dense_matrix(summary: DataFrame, labels: list[str], key: str = "username",
-                 label: str = "genre",
+def dense_matrix(summary: DataFrame, key: str = "username", label: str = "genre",
                  metrics: tuple[str, ...] = ("avg_user_rating", "total_pages", "book_count"),
                  ) -> DataFrame:
-    """Every (user, genre) pair for genres seen by any user; absent
+    """Every (user, genre) pair for the genres that any user has; absent
     metrics are 0.
 
-    The genre axis is bounded by the rule labels (``labels``, a fixed
-    list), so it is generated per user from that literal and restricted to
-    the genres present, a join against at most ``len(labels)`` rows."""
-    seen = summary.select(label).distinct()
-    users = summary.select(key).distinct()
-    grid = (users.select(key, F.explode(F.array(*[F.lit(x) for x in sorted(set(labels))]))
-                         .alias(label))
-            .join(F.broadcast(seen), label, "left_semi"))
+    The genre axis is read from the summary by a scalar subquery (one list,
+    as wide as the matrix itself) and exploded per user; users are never
+    paired with each other or with rows of the summary."""
+    axis = summary.select(F.sort_array(F.collect_set(label))).scalar()
+    grid = summary.select(key).distinct().select(key, F.explode(axis).alias(label))
     filled = grid.join(summary, [key, label], "left")
     return filled.select(key, label, *[F.coalesce(F.col(m), F.lit(0)).alias(m) for m in metrics])
 
@@ -94,10 +90,3 @@ def metric_long(df: DataFrame, key: tuple[str, ...] = ("username", "genre"),
     cast = df.select(*key, *[F.col(m).cast("double").alias(m) for m in metrics])
     long = cast.unpivot(list(key), list(metrics), "metric", "value")
     return long.filter(F.col("metric") == pick) if pick else long
-
-
-def order_for_write(df: DataFrame, *cols: str) -> DataFrame:
-    """Sort inside partitions only (min/max stats per file for
-    skipping) instead of a global range sort before every write."""
-    return df.sortWithinPartitions(*cols)
-

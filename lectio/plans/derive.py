@@ -15,7 +15,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectio.operators.layout import ensure_parallelism
 from lectio.sources.tables import read_table
 
 # Readings (orders x customer).
@@ -29,6 +28,7 @@ PAGES_BASE, PAGES_MOD = 50, 400
 
 # Review pages.
 PAGE_MISSING = 11       # no page landed for k % 11 == 0
+PAGE_EXPIRED = 23       # k % 23 == 0: the page does not name its book
 PAGE_REREAD = 5         # earlier read 400 days before for k % 5 == 0
 PAGE_VARIANT = 7        # k % 7: 0 hyphen (no match), 1 &ndash;, 2 inner tags, 3 class list, 4 no start row
 PAGE_SHORT_MONTH = 3    # k % 3 == 0 writes "Mar 29, 2026"
@@ -58,13 +58,12 @@ def _date(c: Column | str) -> Column:
     return F.to_date(F.col(c) if isinstance(c, str) else c)
 
 
-def readings(spark: SparkSession, base: str, user: str = "nation", keep_source: bool = False) -> DataFrame:
+def readings(spark: SparkSession, base: str, user: str = "customer", keep_source: bool = False) -> DataFrame:
     """(username, book_id, title, started_reading, read_at, num_pages).
 
     username = nation (``userNN``) or customer name; planted: NULL start,
     NULL finish, NULL / zero pages, inverted intervals."""
     o = read_table(spark, "orders", base).select("o_orderkey", "o_custkey", "o_orderdate")
-    o = ensure_parallelism(o, "o_orderkey")
     c = read_table(spark, "customer", base).select("c_custkey", "c_nationkey", "c_name")
     j = o.join(c, o.o_custkey == c.c_custkey)
     k = _k("o_orderkey")
@@ -132,8 +131,8 @@ def review_pages(spark: SparkSession, base: str) -> DataFrame:
     )).otherwise(F.lit(""))
     finish_row = _timeline_row(F.concat(F.coalesce(fmt(F.col("read_at")), F.lit("")),
                                         F.lit(" – Finished Reading")))
-    html = F.concat(F.lit('<html><body><a href="/book/show/'), F.col("book_id"),
-                    F.lit('">book</a><div class="readingTimeline">'),
+    link = F.when(k % PAGE_EXPIRED == 0, F.lit("/sign_in")).otherwise(F.concat(F.lit("/book/show/"), F.col("book_id")))
+    html = F.concat(F.lit('<html><body><a href="'), link, F.lit('">book</a><div class="readingTimeline">'),
                     earlier, start_row, finish_row, F.lit("</div></body></html>"))
     old_html = F.concat(F.lit('<html><body><div class="readingTimeline__text">'),
                         fmt(F.date_add(start, 100)), F.lit(" – Started Reading</div></body></html>"))
@@ -148,7 +147,6 @@ def review_pages(spark: SparkSession, base: str) -> DataFrame:
 def feed_rows(spark: SparkSession, base: str) -> DataFrame:
     """bronze_rss-shaped string rows in two batches; see the FEED_* rules."""
     o = read_table(spark, "orders", base).select("o_orderkey", "o_custkey", "o_orderdate")
-    o = ensure_parallelism(o, "o_orderkey")
     c = read_table(spark, "customer", base).select("c_custkey", "c_name")
     j = o.join(c, o.o_custkey == c.c_custkey)
     k = _k("o_orderkey")
@@ -189,7 +187,6 @@ def feed_rows(spark: SparkSession, base: str) -> DataFrame:
 def bib_json(spark: SparkSession, base: str) -> DataFrame:
     """(p_partkey, raw_json) lookup records built from part rows; see BIB_*."""
     p = read_table(spark, "part", base).select("p_partkey", "p_name", "p_type", "p_brand", "p_size")
-    p = ensure_parallelism(p, "p_partkey")
     k = _k("p_partkey")
     # JSON string literal of a column: to_json({"v": x}) -> {"v":"x"}; strip the wrapper.
     js = lambda c: F.regexp_extract(F.to_json(F.struct(c.alias("v"))), r'^\{"v":(.*)\}$', 1)
@@ -226,7 +223,6 @@ def part_books(spark: SparkSession, base: str) -> DataFrame:
     num_pages, is_read). username = supplier."""
     li = read_table(spark, "lineitem", base).select(
         "l_suppkey", "l_partkey", "l_linenumber", "l_quantity", "l_returnflag")
-    li = ensure_parallelism(li, "l_partkey")
     return li.select(
         F.format_string("supp%04d", "l_suppkey").alias("username"),
         F.col("l_partkey").cast("string").alias("book_id"),
@@ -263,8 +259,9 @@ SUBJECTS = ["Science fiction", "Fantasy", "Mystery", "Romance", "Historical", "Y
 
 
 def landed_responses(plan: DataFrame) -> DataFrame:
-    """One landed response per planned chunk: found when book_id % 4 != 0;
-    each record carries one subject name from SUBJECTS."""
+    """Landed responses per planned chunk: found when book_id % 4 != 0; each
+    record carries one subject name from SUBJECTS. Requests for a single key
+    fail for book_id % 6 == 5 and are never answered for book_id % 10 == 7."""
     found = F.filter("members", lambda m: m["book_id"].cast("bigint") % 4 != 0)
     names = F.array(*[F.lit(x) for x in SUBJECTS])
     entry = lambda m: F.concat(
@@ -272,4 +269,8 @@ def landed_responses(plan: DataFrame) -> DataFrame:
         m["book_id"], F.lit('", "subjects": [{"name": "'),
         F.element_at(names, (m["book_id"].cast("bigint") % len(SUBJECTS) + 1).cast("int")), F.lit('"}]}'))
     body = F.concat(F.lit("{"), F.array_join(F.transform(found, entry), ", "), F.lit("}"))
-    return plan.select("chunk_id", body.alias("body"), F.lit(None).cast("string").alias("error"))
+    single = F.size("members") == 1
+    only = F.element_at("members", 1)["book_id"].cast("bigint")
+    failed = single & (only % 6 == 5)
+    answered = plan.where(~(single & (only % 10 == 7)))
+    return answered.select("chunk_id", F.when(~failed, body).alias("body"), F.when(failed, F.lit("HTTP 500")).alias("error"))

@@ -30,8 +30,8 @@ readings AS (
          {K} AS k, {DAY} AS day0
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey)"""
 
-READINGS = READINGS_TEMPLATE.replace("{user}", "printf('user%02d', c.c_nationkey)")
-READINGS_CUSTOMER = READINGS_TEMPLATE.replace("{user}", "c.c_name")
+READINGS = READINGS_TEMPLATE.replace("{user}", "c.c_name")
+READINGS_NATION = READINGS_TEMPLATE.replace("{user}", "printf('user%02d', c.c_nationkey)")
 
 GOLD_BODY = """,
 ok AS (SELECT * FROM readings WHERE started_reading IS NOT NULL AND read_at IS NOT NULL
@@ -74,7 +74,7 @@ gold AS (
   FROM spine LEFT JOIN agg ON spine.username = agg.username AND spine.date = agg.date)"""
 
 GOLD = READINGS + GOLD_BODY
-GOLD_SPARSE = READINGS_CUSTOMER + GOLD_BODY
+GOLD_DENSE = READINGS_NATION + GOLD_BODY
 
 
 def _rolling(n: int, where: str = "") -> str:
@@ -101,7 +101,7 @@ FROM orders JOIN customer ON o_custkey = c_custkey
 WHERE {FEED_K} % 13 <> 0 AND {FEED_K} % 37 <> 0"""
 
 FEED_SCAN = f"""
-SELECT 'Book ' || CAST(o_orderkey AS VARCHAR) AS title, c_name AS author,
+SELECT CASE WHEN batch = 2 THEN 'Book ' ELSE 'Old ' END || CAST(o_orderkey AS VARCHAR) AS title, c_name AS author,
   CASE WHEN o_orderkey % 10 = 0 THEN '' ELSE lpad(CAST(o_orderkey AS VARCHAR), 10, '0') END AS isbn,
   CASE WHEN o_orderkey % 37 = 0 THEN '' ELSE CAST(o_orderkey AS VARCHAR) END AS book_id,
   CASE o_orderkey % 6 WHEN 0 THEN '' WHEN 1 THEN ' ' || CAST(o_orderkey % 400 + 50 AS VARCHAR) || ' '
@@ -117,8 +117,8 @@ SELECT 'Book ' || CAST(o_orderkey AS VARCHAR) AS title, c_name AS author,
   'https://example.org/c/' || CAST(o_orderkey AS VARCHAR) || '.jpg' AS cover_url,
   'https://example.org/review/show/' || CAST(o_orderkey AS VARCHAR) AS goodreads_url,
   c_name AS username
-FROM orders JOIN customer ON o_custkey = c_custkey
-WHERE o_orderkey % 13 <> 0"""
+FROM orders JOIN customer ON o_custkey = c_custkey CROSS JOIN (VALUES (1), (2)) b(batch)
+WHERE (batch = 2 AND o_orderkey % 13 <> 0) OR (batch = 1 AND (o_orderkey % 4 = 0 OR o_orderkey % 13 = 0))"""
 
 
 def _norm(s: str) -> str:
@@ -182,6 +182,13 @@ res AS (
   FROM keys)
 """
 
+SINGLE = "WITH " + LOOKUP_KEYS + """,
+res AS (
+  SELECT isbn, book_id, CASE WHEN k % 10 = 7 THEN 'error: no response landed' WHEN k % 6 = 5 THEN 'error: HTTP 500'
+                             WHEN k % 4 <> 0 THEN 'ok' ELSE 'not_found' END AS status
+  FROM keys)
+"""
+
 PK = "p_partkey"
 BIB = f"""
 SELECT {PK} AS p_partkey,
@@ -216,7 +223,12 @@ ORACLES: dict[str, str] = {
     "daily_allocation": "WITH " + GOLD + """
 SELECT username, date, est_pages_read, CAST(len(titles) AS INTEGER) AS n_books,
        array_to_string(titles, '|') AS book_titles FROM gold""",
-    "daily_allocation_sparse": "WITH " + GOLD_SPARSE + """
+    "daily_allocation_dense": "WITH " + GOLD_DENSE + """
+SELECT username, date, est_pages_read, CAST(len(titles) AS INTEGER) AS n_books,
+       array_to_string(titles, '|') AS book_titles FROM gold""",
+    "daily_ordered": "WITH " + GOLD + """
+SELECT username, date, est_pages_read, CAST(len(titles) AS INTEGER) AS books_in_progress FROM gold""",
+    "daily_allocation_sparse": "WITH " + GOLD + """
 SELECT username, date, est_pages_read, CAST(len(titles) AS INTEGER) AS n_books,
        array_to_string(titles, '|') AS book_titles FROM gold""",
     "shared_boundaries": "WITH " + GOLD + """
@@ -238,7 +250,7 @@ SELECT username, date, est_pages_read, CAST(len(titles) AS INTEGER) AS books_in_
        array_to_string(list_transform(titles, lambda t: '• ' || t), '<br>') AS titles_label FROM gold""",
     "labels_joined": "WITH " + GOLD + """
 SELECT username, date, array_to_string(list_transform(titles, lambda t: '• ' || t), '<br>') AS titles_label
-FROM gold WHERE len(titles) > 0""",
+FROM gold""",
     "date_domain": "WITH " + GOLD + " SELECT min(date) AS min_date, max(date) AS max_date FROM gold",
     "latest_batch": """
 SELECT event_id, user_id, event_type, value, CAST(ts AS DATE) AS day FROM events
@@ -254,11 +266,30 @@ FROM orders""",
     "feed_scan": FEED_SCAN,
     "enrich_left": ENRICH,
     "html_last_labelled": """
-SELECT page_id, CASE WHEN contains(t, '.') THEN trim(split_part(t, '.', 1)) END AS ad_head
+SELECT page_id, CASE WHEN contains(t, '.') AND contains(t, 'th') THEN trim(split_part(t, '.', 1)) END AS ad_head
 FROM (SELECT page_id, regexp_extract(html, '(?s)<div class="ad">(.*?)</div>', 1) AS t FROM pages)""",
-    "page_validity": r"""
-SELECT page_id, regexp_extract(url, '/(\d+)', 1) AS key,
-       coalesce(contains(html, regexp_extract(url, '/(\d+)', 1)), false) AS page_valid FROM pages""",
+    "page_validity": "WITH " + READINGS + " SELECT book_id, username, k % 11 <> 0 AND k % 23 <> 0 AS page_valid FROM readings",
+    "page_quarantine": "WITH " + READINGS + """
+SELECT book_id, username, k % 11 = 0 AS missing FROM readings WHERE k % 11 = 0 OR k % 23 = 0""",
+    "page_accepted": "WITH " + READINGS + " SELECT book_id, username FROM readings WHERE k % 11 <> 0 AND k % 23 <> 0",
+    "date_rejects": """
+SELECT 'read_at' AS "column", 'garbage' AS text, count(*) AS n FROM (
+  SELECT o_orderkey AS k FROM orders WHERE o_orderkey % 13 <> 0
+  UNION ALL SELECT o_orderkey FROM orders WHERE o_orderkey % 4 = 0 OR o_orderkey % 13 = 0)
+WHERE k % 9 <> 0 AND k % 41 = 0 HAVING count(*) > 0""",
+    "silver_overwritten": TYPED,
+    "bronze_widened": """
+SELECT book_id, username, CASE WHEN batch = 2 THEN 'n' || book_id ELSE 'none' END AS rating_note FROM (
+  SELECT CASE WHEN o_orderkey % 37 = 0 THEN '' ELSE CAST(o_orderkey AS VARCHAR) END AS book_id, c_name AS username, batch
+  FROM orders JOIN customer ON o_custkey = c_custkey CROSS JOIN (VALUES (1), (2)) b(batch)
+  WHERE (batch = 2 AND o_orderkey % 13 <> 0) OR (batch = 1 AND (o_orderkey % 4 = 0 OR o_orderkey % 13 = 0)))""",
+    "json_array": """
+SELECT p_partkey, CAST(CASE WHEN p_partkey % 7 < 3 THEN 0 ELSE 2 END AS INTEGER) AS n,
+       CASE WHEN p_partkey % 7 < 3 THEN '' ELSE p_brand || '|' || p_type END AS joined FROM part""",
+    "metric_pick": GENRE + "SELECT username, genre, 'total_pages' AS metric, CAST(total_pages AS DOUBLE) AS value FROM summ",
+    "lookup_requests": "WITH " + LOOKUP_KEYS + """
+SELECT CAST(ceil(count(*) / 20.0) AS BIGINT) AS n_requests, count(*) AS n_keys, CAST(least(count(*), 20) AS INTEGER) AS largest
+FROM keys""",
     "bib_record": BIB,
     "keyword_classify": "WITH " + SUBJECTS + """
 SELECT book_id, array_to_string(genres, '|') AS labels, CAST(len(genres) AS INTEGER) AS n_labels FROM cls""",
@@ -278,5 +309,7 @@ UNION ALL SELECT username, genre, 'total_pages', CAST(total_pages AS DOUBLE) FRO
 UNION ALL SELECT username, genre, 'book_count', CAST(book_count AS DOUBLE) FROM summ""",
     "lookup_plan": "WITH " + LOOKUP_KEYS + " SELECT isbn, book_id, true AS chunk_ok, true AS in_url FROM keys",
     "lookup_resolve": RESOLVE + "SELECT * FROM res",
-    "lookup_status": RESOLVE + "SELECT status AS status_class, count(*) AS n FROM res GROUP BY status",
+    "lookup_status": SINGLE + "SELECT split_part(status, ':', 1) AS status_class, count(*) AS n FROM res GROUP BY ALL",
+    "lookup_errors": SINGLE + """
+SELECT isbn, book_id, status, NOT starts_with(status, 'error') AS has_url FROM res WHERE status <> 'ok'""",
 }

@@ -13,21 +13,23 @@ from pyspark.sql import functions as F
 from lectio.functions.bib import parse_bib_record
 from lectio.functions.dates import parse_flexible_date
 from lectio.functions.html import extract_labelled
+from lectio.functions.text import decode_json_array
 from lectio.operators import genre as G
 from lectio.operators import intervals as T
 from lectio.operators import metrics as M
 from lectio.operators.batches import latest_batch, stamp_batch
-from lectio.operators.classify import Rule, classify, labels_of
-from lectio.operators.cleaning import clean_books
+from lectio.operators.classify import Rule, classify
+from lectio.operators.cleaning import clean_books, date_rejects
 from lectio.operators.enrich import enrich_books, start_dates
-from lectio.operators.layout import ensure_parallelism
 from lectio.operators.lookups import lookup_keys, plan_lookups, resolve_lookups
-from lectio.operators.quality import lookup_status, validate_pages
+from lectio.operators.quality import lookup_errors, lookup_status, validate_pages
 from lectio.plans import derive as D
-from lectio.session import checkpoint_dir, scratch_path
+from lectio.schemas import BRONZE_RSS
+from lectio.session import scratch_path
 from lectio.sources.feed import scan_feed
-from lectio.sources.sinks import append_bronze
-from lectio.sources.tables import latest_bronze, read_table
+from lectio.sources.landing import land_pages
+from lectio.sources.sinks import append_bronze, overwrite_table
+from lectio.sources.tables import latest_bronze, read_bronze, read_table
 
 # Keyword rules of the part catalogue (label, substrings,
 # whole values, prefixes), the driver-table counterpart of the genre rules.
@@ -53,8 +55,10 @@ def rnd(c: Column, scale: int) -> Column:
 
 # -- interval allocation -------------------------------------------------
 
-def _gold_daily(spark: SparkSession, base: str) -> DataFrame:
-    return T.pages_per_day(D.readings(spark, base))
+def _gold_daily(spark: SparkSession, base: str, user: str = "customer") -> DataFrame:
+    """The gold series, its sums rounded through DECIMAL as the SQL does."""
+    g = T.pages_per_day(D.readings(spark, base, user=user), scale=None)
+    return g.withColumn("est_pages_read", rnd(F.col("est_pages_read"), 1))
 
 
 def _daily_report(g: DataFrame) -> DataFrame:
@@ -68,10 +72,14 @@ def q_daily_allocation(spark, base):
 
 
 def q_daily_allocation_sparse(spark, base):
-    """Same allocation with customers as users: few books over long spans,
-    so the output is dominated by gap-filled zero days (the regime the
-    window gap fill is built for)."""
-    return _daily_report(T.pages_per_day(D.readings(spark, base, user="customer")))
+    """Few books per user over long spans: the output is dominated by
+    gap-filled zero days."""
+    return _daily_report(_gold_daily(spark, base, user="customer"))
+
+
+def q_daily_allocation_dense(spark, base):
+    """Nations as users: every day of a user has many open books."""
+    return _daily_report(_gold_daily(spark, base, user="nation"))
 
 
 def q_shared_boundaries(spark, base):
@@ -103,9 +111,15 @@ def q_daily_view(spark, base):
 
 
 def q_labels_joined(spark, base):
-    """D6 alone: one hover label per user-day with books in progress."""
+    """D6 alone: one hover label per user-day, empty where no book is open."""
     v = M.title_labels(M.daily_view(_gold_daily(spark, base)))
-    return v.filter(F.col("books_in_progress") > 0).select("username", "date", "titles_label")
+    return v.select("username", "date", "titles_label")
+
+
+def q_daily_ordered(spark, base):
+    """R2: the dashboard's ordered read;"""
+    v = M.daily_view(_gold_daily(spark, base), ordered=True)
+    return v.select("username", "date", "est_pages_read", "books_in_progress")
 
 
 def q_date_domain(spark, base):
@@ -130,7 +144,7 @@ def q_typed_clean(spark, base):
 
 
 def q_date_parse(spark, base):
-    o = ensure_parallelism(read_table(spark, "orders", base).select("o_orderkey", "o_orderdate"), "o_orderkey")
+    o = read_table(spark, "orders", base).select("o_orderkey", "o_orderdate")
     k = F.col("o_orderkey")
     bad = k % 50 == 0
     long_t = F.when(bad, F.lit("garbage")).otherwise(F.date_format("o_orderdate", "MMMM d, yyyy"))
@@ -141,9 +155,12 @@ def q_date_parse(spark, base):
                         parse_flexible_date("t_rfc").alias("d_rfc"), parse_flexible_date("t_iso").alias("d_iso"))
 
 
-def _write_feeds(spark, base) -> list[str]:
-    """Two landed XML feeds (even / odd customers) derived from the tables."""
-    rows = D.feed_rows(spark, base).filter(F.col("_ingested_at") == F.lit(D.NEW_BATCH).cast("timestamp"))
+def _newest(rows: DataFrame) -> DataFrame:
+    return rows.filter(F.col("_ingested_at") == F.lit(D.NEW_BATCH).cast("timestamp"))
+
+
+def _write_feeds(spark, rows: DataFrame) -> list[str]:
+    """Two landed XML feeds (even / odd customers) of the given rows."""
     item = rows.select(
         F.col("title"), F.col("author").alias("author_name"), "isbn", "book_id",
         F.struct(F.col("num_pages")).alias("book"), F.col("year_published").alias("book_published"),
@@ -161,8 +178,8 @@ def _write_feeds(spark, base) -> list[str]:
 
 
 def q_feed_scan(spark, base):
-    """All 16 feed columns of every item of both landed feeds."""
-    return scan_feed(spark, _write_feeds(spark, base))
+    """All 16 feed columns of every item of both landed feeds, every fetch."""
+    return scan_feed(spark, _write_feeds(spark, D.feed_rows(spark, base)))
 
 
 def q_feed_to_silver(spark, base):
@@ -170,9 +187,39 @@ def q_feed_to_silver(spark, base):
     bronze = scratch_path(spark, "bronze_rss")
     rows = D.feed_rows(spark, base)
     append_bronze(rows.filter(F.col("_ingested_at") == F.lit(D.OLD_BATCH).cast("timestamp")), bronze)
-    scanned = scan_feed(spark, _write_feeds(spark, base))
+    scanned = scan_feed(spark, _write_feeds(spark, _newest(rows)))
     append_bronze(stamp_batch(scanned, "rss", D.NEW_BATCH), bronze)
-    return _typed(clean_books(latest_bronze(spark, bronze), snapshot=False))
+    return _typed(clean_books(latest_bronze(spark, bronze, BRONZE_RSS), snapshot=False))
+
+
+def q_date_rejects(spark, base):
+    return date_rejects(D.feed_rows(spark, base))
+
+
+def q_silver_overwritten(spark, base):
+    """O2: a table replaced by one with another schema holds the last write."""
+    path = scratch_path(spark, "silver")
+    overwrite_table(D.feed_rows(spark, base).select("book_id"), path)
+    overwrite_table(_typed(clean_books(D.feed_rows(spark, base))), path, sort_within=("username", "book_id"))
+    return spark.read.parquet(path)
+
+
+def q_bronze_widened(spark, base):
+    """O1/S3: a later batch with one more column reads back widened."""
+    path = scratch_path(spark, "bronze_widened")
+    rows = D.feed_rows(spark, base).select("book_id", "username", "_ingested_at")
+    append_bronze(rows.filter(F.col("_ingested_at") == F.lit(D.OLD_BATCH).cast("timestamp")), path)
+    append_bronze(_newest(rows).withColumn("rating_note", F.concat(F.lit("n"), "book_id")), path)
+    return read_bronze(spark, path).select("book_id", "username", F.coalesce("rating_note", F.lit("none")).alias("rating_note"))
+
+
+def q_json_array(spark, base):
+    """JSON array text decoded; empty, null and malformed text give []."""
+    k = F.col("p_partkey")
+    text = F.when(k % 7 == 0, F.lit("")).when(k % 7 == 1, F.lit(None).cast("string")).when(k % 7 == 2, F.lit("{bad")).otherwise(
+        F.to_json(F.array("p_brand", "p_type")))
+    a = read_table(spark, "part", base).select("p_partkey", text.alias("text")).select("p_partkey", decode_json_array(F.col("text")).alias("a"))
+    return a.select("p_partkey", F.size("a").alias("n"), F.array_join("a", "|").alias("joined"))
 
 
 def q_enrich_left(spark, base):
@@ -184,12 +231,31 @@ def q_enrich_left(spark, base):
 
 def q_html_last_labelled(spark, base):
     p = read_table(spark, "pages", base)
-    return p.select("page_id", extract_labelled("html", css_class="ad", label="", sep=".").alias("ad_head"))
+    return p.select("page_id", extract_labelled("html", css_class="ad", label="th", sep=".").alias("ad_head"))
 
 
 def q_page_validity(spark, base):
-    p = read_table(spark, "pages", base).withColumn("key", F.regexp_extract("url", r"/(\d+)", 1))
-    return validate_pages(p, html="html", key="key", mode="flag").select("page_id", "key", "page_valid")
+    return validate_pages(_review_landing(spark, base), key="key", mode="flag").select("book_id", "username", "page_valid")
+
+
+def _review_landing(spark, base) -> DataFrame:
+    """Every wanted review page with what was landed for it: pages that name
+    their book, pages that don't (an expired session) and missing pages."""
+    wanted = D.readings(spark, base).select("book_id", "username",
+                                            F.concat(F.lit("https://example.org/review/show/"), "book_id").alias("goodreads_url"))
+    landed = D.review_pages(spark, base).filter(F.col("_ingested_at") == F.lit(D.NEW_BATCH).cast("timestamp"))
+    return land_pages(wanted, landed).withColumn("key", F.concat(F.lit("/book/show/"), "book_id", F.lit('"')))
+
+
+def q_page_quarantine(spark, base):
+    _, rejected = validate_pages(_review_landing(spark, base), key="key", mode="quarantine")
+    return rejected.select("book_id", "username", F.col("raw_html").isNull().alias("missing"))
+
+
+def q_page_accepted(spark, base):
+    """S7 in fail mode, over the pages that quarantine lets through."""
+    good, _ = validate_pages(_review_landing(spark, base), key="key", mode="quarantine")
+    return validate_pages(good, key="key", mode="fail").select("book_id", "username")
 
 
 def q_bib_record(spark, base):
@@ -215,7 +281,8 @@ def _genre_parts(spark, base):
 
 
 def _genre_summary(spark, base):
-    return G.genre_summary(*_genre_parts(spark, base))
+    s = G.genre_summary(*_genre_parts(spark, base), scale=None)
+    return s.withColumn("avg_user_rating", rnd(F.col("avg_user_rating"), 2))
 
 
 def q_genre_summary(spark, base):
@@ -235,27 +302,28 @@ def q_genre_view(spark, base):
     return M.genre_view(_genre_summary(spark, base))
 
 
-def _materialized(spark, df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder: the frame is
-    computed once and read by every consumer (what the stored gold table
-    is in the stage flow), and lineage is cut (survives executor loss)."""
-    checkpoint_dir(spark)
-    return df.checkpoint(eager=True)
-
-
 def q_dense_matrix(spark, base):
-    # users, seen genres and the metrics all read the one summary
-    return M.dense_matrix(_materialized(spark, _genre_summary(spark, base)), labels_of(PART_RULES))
+    return M.dense_matrix(_genre_summary(spark, base))
 
 
 def q_metric_long(spark, base):
     return M.metric_long(_genre_summary(spark, base))
 
 
+def q_metric_pick(spark, base):
+    return M.metric_long(_genre_summary(spark, base), pick="total_pages")
+
+
 # -- lookups --------------------------------------------------------------
 
-def _plan(spark, base):
-    return plan_lookups(lookup_keys(D.lookup_books(spark, base)))
+def _plan(spark, base, size: int = 20):
+    return plan_lookups(lookup_keys(D.lookup_books(spark, base)), size)
+
+
+def q_lookup_requests(spark, base):
+    """As few requests as the keys need, no key lost or doubled."""
+    p = _plan(spark, base).select(F.size("members").alias("n"))
+    return p.agg(F.count(F.lit(1)).alias("n_requests"), F.sum("n").alias("n_keys"), F.max("n").cast("int").alias("largest"))
 
 
 def q_lookup_plan(spark, base):
@@ -265,9 +333,9 @@ def q_lookup_plan(spark, base):
                     F.contains("api_url", F.concat(F.lit("ISBN:"), F.col("m.isbn"))).alias("in_url"))
 
 
-def _resolved(spark, base):
+def _resolved(spark, base, size: int = 20):
     # the plan is a stored table in the stage flow; responses land per chunk
-    p = _materialized(spark, _plan(spark, base))
+    p = _plan(spark, base, size)
     return resolve_lookups(p, D.landed_responses(p))
 
 
@@ -278,12 +346,29 @@ def q_lookup_resolve(spark, base):
 
 
 def q_lookup_status(spark, base):
-    return lookup_status(_resolved(spark, base))
+    return lookup_status(_resolved(spark, base, size=1))
+
+
+def q_lookup_errors(spark, base):
+    """Everything not ok; failed and missing responses are planted per
+    request, so each key is a request of its own here."""
+    return lookup_errors(_resolved(spark, base, size=1)).select("isbn", "book_id", "status", (F.col("api_url") != "").alias("has_url"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "daily_allocation": q_daily_allocation,
     "daily_allocation_sparse": q_daily_allocation_sparse,
+    "daily_allocation_dense": q_daily_allocation_dense,
+    "daily_ordered": q_daily_ordered,
+    "date_rejects": q_date_rejects,
+    "silver_overwritten": q_silver_overwritten,
+    "bronze_widened": q_bronze_widened,
+    "json_array": q_json_array,
+    "page_quarantine": q_page_quarantine,
+    "page_accepted": q_page_accepted,
+    "metric_pick": q_metric_pick,
+    "lookup_requests": q_lookup_requests,
+    "lookup_errors": q_lookup_errors,
     "shared_boundaries": q_shared_boundaries,
     "skipped_report": q_skipped_report,
     "rolling_mean_7": q_rolling_mean_7,

@@ -1,7 +1,10 @@
 """The bronze -> silver -> gold stages in dependency order, as plain
 functions over table folders (parquet). Each stage reads its inputs,
 builds one lazy plan and writes once; bronze appends a batch, silver and
-gold are replaced.
+gold are replaced. With a ``reports`` folder a stage also writes what it
+left out or could not use: ``date_rejects``, ``rejected_pages``,
+``skipped_intervals``, ``lookup_status``, ``lookup_errors``,
+``genre_unmatched`` and ``genre_coverage``.
 
     books_stage -> pages_stage -> daily_stage
     books_stage -> lookup_plan_stage -> (responses landed) -> lookups_stage -> genre_stage
@@ -16,12 +19,13 @@ from pyspark.sql import functions as F
 
 from lectio.functions.bib import parse_bib_record
 from lectio.operators.batches import stamp_batch
-from lectio.operators.cleaning import clean_books
+from lectio.operators.cleaning import clean_books, date_rejects
 from lectio.operators.enrich import enrich_books, start_dates
-from lectio.operators.genre import classified_subjects, genre_summary, qualifying_books
-from lectio.operators.intervals import pages_per_day
+from lectio.operators.genre import books_with_genre, classified_subjects, genre_summary, genre_unmatched, qualifying_books
+from lectio.operators.intervals import pages_per_day, skipped_intervals
 from lectio.operators.lookups import lookup_keys, plan_lookups, resolve_lookups
-from lectio.operators.quality import validate_pages, with_row_count
+from lectio.operators.quality import lookup_errors, lookup_status, validate_pages, with_row_count
+from lectio.schemas import BRONZE_LOOKUP, BRONZE_PAGES, BRONZE_RSS
 from lectio.sources.feed import scan_feed
 from lectio.sources.landing import land_pages, wanted_pages
 from lectio.sources.sinks import append_bronze, overwrite_table
@@ -30,6 +34,12 @@ from lectio.sources.tables import latest_bronze
 Stamp = _dt.datetime | str | None
 
 
+def _report(df: DataFrame, reports: str | None, name: str) -> None:
+    """Rows a stage left out, kept as a table next to its output."""
+    if reports is not None:
+        overwrite_table(df, f"{reports.rstrip('/')}/{name}")
+
+
 def _counted(df: DataFrame, name: str, metrics: dict):
     """Row count gathered by the write job itself (no extra count job)."""
     df, obs = with_row_count(df, name)
@@ -42,19 +52,20 @@ def _values(metrics: dict) -> dict[str, int]:
 
 
 def books_stage(spark: SparkSession, feeds: list[str], bronze: str, silver: str,
-                batch_ts: Stamp = None) -> dict[str, int]:
+                batch_ts: Stamp = None, reports: str | None = None) -> dict[str, int]:
     """Landed feeds -> bronze_rss (append) -> silver_books (replace).
     Returns the rows written per table."""
     m: dict = {}
     append_bronze(_counted(stamp_batch(scan_feed(spark, feeds), "rss", batch_ts), "bronze_rss", m), bronze)
-    silver_df = clean_books(latest_bronze(spark, bronze), snapshot=False)
-    overwrite_table(_counted(silver_df, "silver_books", m), silver)
+    newest = latest_bronze(spark, bronze, BRONZE_RSS)
+    overwrite_table(_counted(clean_books(newest, snapshot=False), "silver_books", m), silver)
+    _report(date_rejects(newest), reports, "date_rejects")
     return _values(m)
 
 
 def pages_stage(spark: SparkSession, silver: str, landed: DataFrame, bronze: str, enriched: str,
                 mode: str = "fail", batch_ts: Stamp = None,
-                metrics: dict[str, int] | None = None) -> DataFrame | None:
+                metrics: dict[str, int] | None = None, reports: str | None = None) -> DataFrame | None:
     """Landed pages for wanted URLs -> validated -> bronze_review_pages
     (append) -> start dates -> silver_books_enriched (replace). In
     ``quarantine`` mode the rejected pages are returned. Rows written per
@@ -65,21 +76,23 @@ def pages_stage(spark: SparkSession, silver: str, landed: DataFrame, bronze: str
     rejected = None
     if mode == "quarantine":
         pages, rejected = validate_pages(pages, mode="quarantine")
+        _report(rejected, reports, "rejected_pages")
     else:
         pages = validate_pages(pages, mode="fail")
     append_bronze(_counted(stamp_batch(pages, "review_page", batch_ts), "bronze_review_pages", m), bronze)
-    starts = start_dates(latest_bronze(spark, bronze), snapshot=False)
+    starts = start_dates(latest_bronze(spark, bronze, BRONZE_PAGES), snapshot=False)
     overwrite_table(_counted(enrich_books(books, starts), "silver_books_enriched", m), enriched)
     if metrics is not None:
         metrics.update(_values(m))
     return rejected
 
 
-def daily_stage(spark: SparkSession, enriched: str, gold: str) -> dict[str, int]:
+def daily_stage(spark: SparkSession, enriched: str, gold: str, reports: str | None = None) -> dict[str, int]:
     """silver_books_enriched -> gold_pages_per_day (replace)."""
     m: dict = {}
-    overwrite_table(_counted(pages_per_day(spark.read.parquet(enriched)), "gold_pages_per_day", m), gold,
-                    sort_within=("username", "date"))
+    books = spark.read.parquet(enriched)
+    overwrite_table(_counted(pages_per_day(books), "gold_pages_per_day", m), gold, sort_within=("username", "date"))
+    _report(skipped_intervals(books), reports, "skipped_intervals")
     return _values(m)
 
 
@@ -90,24 +103,28 @@ def lookup_plan_stage(spark: SparkSession, silver: str, plan: str, size: int = 2
 
 
 def lookups_stage(spark: SparkSession, plan: str, responses: DataFrame, bronze: str, silver_ol: str,
-                  batch_ts: Stamp = None) -> dict[str, int]:
+                  batch_ts: Stamp = None, reports: str | None = None) -> dict[str, int]:
     """Plan + landed responses -> bronze_open_library (append) ->
     silver_open_library (newest batch, parsed; replace)."""
     m: dict = {}
     resolved = resolve_lookups(spark.read.parquet(plan), responses)
     append_bronze(_counted(stamp_batch(resolved, "open_library", batch_ts), "bronze_open_library", m), bronze)
-    snap = latest_bronze(spark, bronze)
+    snap = latest_bronze(spark, bronze, BRONZE_LOOKUP)
     parsed = snap.select("isbn", "book_id", "status", parse_bib_record("raw_json").alias("_p"))
     out = parsed.select("isbn", "book_id", "status", "_p.*", F.current_timestamp().alias("_parsed_at"))
     overwrite_table(_counted(out, "silver_open_library", m), silver_ol)
+    _report(lookup_status(snap), reports, "lookup_status")
+    _report(lookup_errors(snap).drop("raw_json"), reports, "lookup_errors")
     return _values(m)
 
 
-def genre_stage(spark: SparkSession, silver: str, silver_ol: str, gold: str) -> dict[str, int]:
+def genre_stage(spark: SparkSession, silver: str, silver_ol: str, gold: str, reports: str | None = None) -> dict[str, int]:
     """silver_books + silver_open_library -> gold_genre (replace)."""
     m: dict = {}
     books = qualifying_books(spark.read.parquet(silver))
     records = classified_subjects(spark.read.parquet(silver_ol))
     overwrite_table(_counted(genre_summary(books, records), "gold_genre", m), gold,
                     sort_within=("username", "genre"))
+    _report(genre_unmatched(books, records), reports, "genre_unmatched")
+    _report(books_with_genre(books, records), reports, "genre_coverage")
     return _values(m)

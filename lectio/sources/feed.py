@@ -8,7 +8,7 @@ an absent element); values are trimmed except ``num_pages``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectio.schemas import FEED_FIELDS, FEED_XML
@@ -22,8 +22,9 @@ def scan_feed(spark: SparkSession, paths: str | list[str], row_tag: str = "item"
     return feed_columns(raw)
 
 
-def feed_columns(raw: DataFrame) -> DataFrame:
-    """Parsed ``<item>`` structs -> the 16 bronze string columns."""
+def feed_columns(raw: DataFrame, *extra: Column | str) -> DataFrame:
+    """Parsed ``<item>`` structs -> the 16 bronze string columns, and
+    ``extra`` ones."""
     cols = []
     for tag, name in FEED_FIELDS:
         if "/" in tag:
@@ -32,7 +33,7 @@ def feed_columns(raw: DataFrame) -> DataFrame:
         else:
             c = F.regexp_replace(F.coalesce(F.col(tag), F.lit("")), r"(?U)^\s+|\s+$", "")
         cols.append(c.alias(name))
-    return raw.select(*cols)
+    return raw.select(*cols, *extra)
 
 
 def union_feeds(*frames: DataFrame) -> DataFrame:

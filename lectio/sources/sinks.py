@@ -6,21 +6,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lectio.sources.tables import BATCH, PART
 
-def append_bronze(df: DataFrame, path: str, batch_col: str = "_batch") -> None:
-    """O1: append one batch to a parquet directory partitioned by batch.
 
-    Each batch lands in its own partition folder, so a batch that adds a
-    column never conflicts with older files; readers merge schemas
-    (:func:`lectio.sources.tables.read_bronze`) and the latest-batch filter
-    prunes to one partition. The write replaces only its own batch
-    partition (dynamic partition overwrite): older batches are never
-    touched, and re-running a failed or retried batch with the same
-    ``batch_ts`` cannot duplicate rows."""
+def append_bronze(df: DataFrame, path: str, batch_col: str = BATCH, part: str = "batch") -> None:
+    """O1: append one batch to a parquet folder partitioned by batch and
+    part of the batch.
+
+    Each batch lands in its own folder, so a batch that adds a column never
+    conflicts with older files, and the newest batch is found by listing.
+    ``part`` tells writers of the same batch apart (a stream's micro-batches).
+    The write replaces only its own (batch, part) folder (dynamic partition
+    overwrite): nothing older is ever touched, and re-running a failed or
+    retried batch with the same stamp cannot duplicate rows."""
     if batch_col not in df.columns:
         df = df.withColumn(batch_col, F.date_format("_ingested_at", "yyyyMMddHHmmssSSSSSS"))
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(batch_col).parquet(path))
+    (df.withColumn(PART, F.lit(part)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(batch_col, PART).parquet(path))
 
 
 def overwrite_table(df: DataFrame, path_or_table: str, sort_within: tuple[str, ...] = (),

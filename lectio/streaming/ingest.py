@@ -1,41 +1,61 @@
 """Incremental bronze ingestion of landed feed files (S1 + S5 + O1).
 
 The batch jobs re-read every landed feed each run; on a cluster the same
-landing folder is consumed incrementally: a file-source stream picks up
-only new files, and each micro-batch becomes one bronze batch. The batch
-is stamped once per micro-batch (inside ``foreachBatch``, not with a
-per-row clock) and written to its own ``_batch`` partition with dynamic
-partition overwrite, so a retried micro-batch replaces its partition
-instead of duplicating rows, and "latest batch = newest snapshot" holds.
+landing folder is consumed incrementally by a file-source stream. What
+belongs to one fetch is decided by the landing, never by how the stream
+happens to cut micro-batches: files under ``fetch=<stamp>/`` belong to that
+fetch, a file directly in the landing folder to its modification time. Each
+micro-batch writes its own part of those batches, named after the query's id
+and the micro-batch, so a retry replaces its part, a new checkpoint adds
+parts, and no part of another query or batch job is ever touched.
+
+Silver is the newest fetch of every user: users whose feeds arrive in other
+micro-batches or fetches stay.
 """
 
 from __future__ import annotations
 
-import datetime as _dt
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StringType, StructField, StructType
 
-from lectio.operators.batches import stamp_batch
 from lectio.operators.cleaning import clean_books
-from lectio.schemas import FEED_XML
+from lectio.schemas import BRONZE_RSS, FEED_XML
 from lectio.sources.feed import feed_columns
-from lectio.sources.sinks import overwrite_table
-from lectio.sources.tables import latest_bronze
+from lectio.sources.sinks import append_bronze, overwrite_table
+from lectio.sources.tables import BATCH, PART, read_bronze
+
+STAMP = "yyyyMMddHHmmssSSSSSS"
+WITH_FILE = StructType([*BRONZE_RSS.fields, StructField("_file", StringType())])
+
+
+def newest_per_user(spark: SparkSession, bronze: str) -> DataFrame:
+    """bronze_rss rows of each user's newest batch. A file that several
+    parts of a batch hold (it was ingested again under a new checkpoint)
+    counts once. Reads three columns of the history to find the newest
+    batches, and all columns once."""
+    rows = read_bronze(spark, bronze, WITH_FILE)
+    newest = rows.groupBy(F.col("username").alias("_user")).agg(F.max(BATCH).alias("_newest"))
+    parts = rows.groupBy(F.col(BATCH).alias("_of"), F.col("_file").alias("_from")).agg(F.max(PART).alias("_only"))
+    own = rows.join(newest, F.col("username").eqNullSafe(F.col("_user")) & (F.col(BATCH) == F.col("_newest")))
+    own = own.join(parts, (F.col(BATCH) == F.col("_of")) & F.col("_file").eqNullSafe(F.col("_from")))
+    return own.where(F.col("_file").isNull() | (F.col(PART) == F.col("_only"))).select(*BRONZE_RSS.fieldNames())
+
+
+def _query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave the checkpoint: another one for a new one."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
 
 
-def _writer(bronze: str, source: str, silver: str | None):
+def _writer(bronze: str, source: str, silver: str | None, checkpoint: str):
     def write(batch: DataFrame, batch_id: int) -> None:
-        stamp = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        (stamp_batch(batch, source, stamp)
-         .withColumn("_batch", F.lit(f"{batch_id:020d}"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("_batch").parquet(bronze))
+        spark = batch.sparkSession
+        append_bronze(batch.withColumn("_source", F.lit(source)), bronze, part=f"{_query_id(spark, checkpoint)}-{batch_id:010d}")
         if silver is not None:
-            # silver = the newest batch, typed (read back from bronze, so a
-            # retried micro-batch rebuilds the same snapshot)
-            overwrite_table(clean_books(latest_bronze(batch.sparkSession, bronze), snapshot=False), silver)
+            overwrite_table(clean_books(newest_per_user(spark, bronze), snapshot=False), silver)
     return write
 
 
@@ -44,14 +64,19 @@ def ingest_feed_stream(spark: SparkSession, landing: str, bronze: str, checkpoin
                        max_files_per_trigger: int | None = None,
                        silver: str | None = None) -> StreamingQuery:
     """Start the landing stream; with ``available_now`` it processes every
-    file present and stops (schedule it like the batch job). With
-    ``silver`` each micro-batch also replaces silver_books with its own
-    typed snapshot (the newest fetch), like the batch books job."""
-    r = (spark.readStream.format("xml").option("rowTag", "item")
+    file present and stops (schedule it like the batch job).
+    ``max_files_per_trigger`` only bounds a micro-batch's size; bronze and
+    silver are the same whatever it is. With ``silver`` each micro-batch
+    also replaces silver_books from bronze (see the module's notes)."""
+    r = (spark.readStream.format("xml").option("rowTag", "item").option("recursiveFileLookup", "true")
          .option("ignoreSurroundingSpaces", "false").schema(FEED_XML))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    items = feed_columns(r.load(landing))
-    w = items.writeStream.foreachBatch(_writer(bronze, source, silver)).option("checkpointLocation", checkpoint)
+    raw = r.load(landing).withColumns({"_file": F.col("_metadata.file_path"), "_landed": F.col("_metadata.file_modification_time")})
+    fetch = F.regexp_replace(F.regexp_extract("_file", r"/fetch=([^/]+)/", 1), r"%3A|\D", "")
+    stamp = F.when(fetch != "", F.rpad(fetch, 20, "0")).otherwise(F.date_format("_landed", STAMP))
+    at = F.regexp_replace(BATCH, r"^(\d{4})(\d\d)(\d\d)(\d\d)(\d\d)(\d\d)(\d{6})$", "$1-$2-$3 $4:$5:$6.$7")
+    items = feed_columns(raw, "_file", stamp.alias(BATCH)).withColumn("_ingested_at", F.to_timestamp(at))
+    w = items.writeStream.foreachBatch(_writer(bronze, source, silver, checkpoint)).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="5 minutes")
     return w.start()

@@ -170,13 +170,13 @@ def test_hot_user_spreads_by_day(spark):
     for i, k in shuffles:
         cols = set(re.findall(r"([A-Za-z_]\w*)#\d+", k))
         if len(cols) < 2:
-            # user-only keys are allowed only on aggregated rows: a map-side
-            # partial aggregate (one row per user per task) or the final
-            # (user, date) aggregate (one row per user per calendar day),
-            # never on book or book-day rows
+            # user-only keys are allowed only on a map-side partial aggregate
+            # (one row per user per task) or on interval ends, one row per
+            # user and start day and no titles; never on books or day totals
             below = lines[i + 1]
             assert "HashAggregate" in below and (
-                "partial_" in below or re.search(r"keys=\[username#\d+, date#\d+\]", below)), (k, below)
+                "partial_" in below or re.search(
+                    r"keys=\[username#\d+, started_reading#\d+\], functions=\[max\(read_at#\d+\)\]", below)), (k, below)
 
 
 def test_complete_and_skipped_partition_random_input(spark):

@@ -40,6 +40,13 @@ def test_resolve_statuses(spark):
     assert lookup_errors(resolve_lookups(p, resp)).count() == 28
 
 
+def test_requests_do_not_depend_on_session_settings(spark):
+    k = spark.range(1800).select(F.format_string("%010d", "id").alias("isbn"), F.col("id").cast("string").alias("book_id"))
+    assert plan_lookups(k).count() == 90
+    many = spark.range(100_000).select(F.format_string("%010d", "id").alias("isbn"), F.col("id").cast("string").alias("book_id"))
+    assert 5000 <= plan_lookups(many).count() <= 5003
+
+
 def test_plan_properties_random(spark):
     import random
     import urllib.parse

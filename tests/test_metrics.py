@@ -37,9 +37,12 @@ def test_dense_and_long(spark):
     s = spark.createDataFrame([("a", "Fantasy", 4.0, 300, 2), ("b", "Romance", 3.5, 100, 1)],
                               "username string, genre string, avg_user_rating double, total_pages int, book_count int")
     d = {(r.username, r.genre): (r.avg_user_rating, r.total_pages, r.book_count)
-         for r in dense_matrix(genre_view(s), ["Fantasy", "Romance", "Thriller"]).collect()}
+         for r in dense_matrix(genre_view(s)).collect()}
     assert d == {("a", "Fantasy"): (4.0, 300, 2), ("a", "Romance"): (0.0, 0, 0),
                  ("b", "Fantasy"): (0.0, 0, 0), ("b", "Romance"): (3.5, 100, 1)}
+    three = spark.createDataFrame([("a", "Fantasy", 4.0, 300, 2), ("a", "Poetry", 2.0, 10, 1), ("b", "Fantasy", 3.0, 5, 1)], s.schema)
+    rows = {(r.username, r.genre): r.total_pages for r in dense_matrix(three).collect()}  # a genre no rule names stays
+    assert rows == {("a", "Fantasy"): 300, ("a", "Poetry"): 10, ("b", "Fantasy"): 5, ("b", "Poetry"): 0}
     long = metric_long(s, pick="total_pages").collect()
     assert sorted((r.username, r.value) for r in long) == [("a", 300.0), ("b", 100.0)]
     assert metric_long(s).count() == 6

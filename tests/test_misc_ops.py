@@ -50,18 +50,6 @@ def test_ordered_view(spark):
     assert [(x.username, x.date.day, x.books_in_progress) for x in r] == [("a", 1, 2), ("a", 3, 0), ("b", 2, 1)]
 
 
-def test_ensure_parallelism(spark):
-    from lectio.operators.layout import ensure_parallelism
-
-    one = spark.range(0, 1000, 1, 1)
-    spread = ensure_parallelism(one, "id", min_partitions=4)
-    assert spread.rdd.getNumPartitions() == 4 and spread.count() == 1000
-    many = spark.range(0, 1000, 1, 8)
-    assert ensure_parallelism(many, min_partitions=4) is many
-    shuffled = one.groupBy((F.col("id") % 3).alias("g")).count()
-    assert ensure_parallelism(shuffled, min_partitions=4) is shuffled
-
-
 def test_date_rejects_and_union_feeds(spark):
     from lectio.operators.cleaning import date_rejects
     from lectio.sources.feed import union_feeds

@@ -4,6 +4,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from lectio.plans.oracle import ORACLES
+from lectio.plans.queries import QUERIES
 from lectio.sources.tables import DRIVER_TABLES
 
 from .conftest import SF001
@@ -19,7 +21,8 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) == set(ORACLES) and set(QUERIES) <= set(E.queries())
+    assert all(E.oracle_sql()[k] == ORACLES[k] for k in ORACLES)
 
 
 @pytest.mark.parametrize("name", CORE)
@@ -47,7 +50,7 @@ def _norm(v):
     return repr(v) if isinstance(v, float) else v  # exact: both sides round through DECIMAL
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_oracle_parity_small(spark, con, name):
     df = E.queries()[name](spark, SF001)
     cols = df.columns
@@ -76,7 +79,7 @@ TYPE_NAMES = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double
               "boolean": "BOOLEAN"}
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_oracle_types_match(spark, con, name):
     df = E.queries()[name](spark, SF001)
     spark_types = {f.name: TYPE_NAMES.get(f.dataType.simpleString(), f.dataType.simpleString())
@@ -85,10 +88,31 @@ def test_oracle_types_match(spark, con, name):
     assert spark_types == {c: str(t) for c, t in zip(rel.columns, rel.types)}
 
 
-def test_rolling_mean_adds_no_shuffle(spark):
-    """The rolling-mean window reuses the gap fill's user partitioning."""
+@pytest.mark.parametrize("name", ["genre_summary", "genre_view", "genre_unmatched", "genre_coverage", "metric_long",
+                                  "dense_matrix"])
+def test_classifier_is_not_pushed_into_a_filter(spark, name):
+    """In a filter every string test would normalise the subjects again."""
+    plan = QUERIES[name](spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_replace" in plan
+    filters = [line for line in plan.splitlines() if "Filter " in line]
+    assert not [line for line in filters if "regexp_replace" in line]
+
+
+def test_rolling_mean_shuffles_totals_once(spark):
+    """The rolling mean moves day totals to their user, nothing else."""
     def shuffles(name):
-        plan = E.queries()[name](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+        plan = QUERIES[name](spark, SF001)._jdf.queryExecution().executedPlan().toString()
         return plan.count("Exchange hashpartitioning") + plan.count("Exchange rangepartitioning")
 
-    assert shuffles("rolling_mean_7") == shuffles("daily_allocation")
+    assert shuffles("rolling_mean_7") <= shuffles("daily_allocation") + 1
+
+
+def test_titles_never_move_by_user_alone(spark):
+    plan = QUERIES["daily_allocation"](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    by_user = [line for line in plan.splitlines() if "Exchange hashpartitioning(username#" in line and ", date#" not in line
+               and "started_reading#" not in line and "_b_day" not in line]
+    assert by_user  # the gap search
+    lines = plan.splitlines()
+    for line in by_user:
+        below = lines[lines.index(line) + 1:lines.index(line) + 4]
+        assert not any("collect_list" in x for x in below), line

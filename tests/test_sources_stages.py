@@ -14,7 +14,7 @@ from lectio.plans import stages
 from lectio.sources.catalog import ensure_schema
 from lectio.sources.feed import scan_feed
 from lectio.sources.sinks import append_bronze
-from lectio.sources.tables import read_bronze
+from lectio.sources.tables import latest_bronze, read_bronze
 from lectio.streaming import ingest_feed_stream
 
 ITEM = """<item><title><![CDATA[  {title}  ]]></title><author_name>{user} Author</author_name>
@@ -130,32 +130,63 @@ def test_stage_chain_end_to_end(spark, tmpdir_path):
         ("ann", "Science Fiction", 5.0, 412, 1)]
 
 
-def test_streaming_ingest(spark, tmpdir_path):
+def ingest(spark, root, checkpoint="ck", **options):
+    paths = [os.path.join(root, x) for x in ("landing", "bronze", checkpoint)]
+    ingest_feed_stream(spark, *paths, silver=os.path.join(root, "silver"), **options).awaitTermination(120)
+    return sorted(r.book_id for r in spark.read.parquet(os.path.join(root, "silver")).collect())
+
+
+@pytest.mark.parametrize("cap", [None, 1])
+def test_streaming_keeps_every_user(spark, tmpdir_path, cap):
+    """Feeds landed together, with a cap or without, and in later triggers."""
     land = os.path.join(tmpdir_path, "landing")
     os.makedirs(land)
     feed(os.path.join(land, "a.xml"), "ann", ITEMS_A)
-    bronze, ck = os.path.join(tmpdir_path, "bronze"), os.path.join(tmpdir_path, "ck")
-    silver = os.path.join(tmpdir_path, "silver")
-    q = ingest_feed_stream(spark, land, bronze, ck, silver=silver)
-    q.awaitTermination(120)
-    assert sorted(r.book_id for r in spark.read.parquet(silver).collect()) == ["1", "2"]
     feed(os.path.join(land, "b.xml"), "bob", ITEMS_B)
-    q = ingest_feed_stream(spark, land, bronze, ck, silver=silver)
-    q.awaitTermination(120)
-    s = spark.read.parquet(silver).collect()
-    assert [(r.book_id, r.num_pages, r.read_at) for r in s] == [("3", 730, dt.date(2026, 3, 10))]
-    df = read_bronze(spark, bronze)
-    assert df.count() == 3 and df.select("_batch").distinct().count() == 2
-    assert [r.book_id for r in latest_batch(df.drop("_batch")).collect()] == ["3"]
+    assert ingest(spark, tmpdir_path, max_files_per_trigger=cap) == ["1", "2", "3"]
+    feed(os.path.join(land, "c.xml"), "cy", [dict(ITEMS_B[0], bid="4")])
+    assert ingest(spark, tmpdir_path, max_files_per_trigger=cap) == ["1", "2", "3", "4"]
+    # a newer feed replaces its user's rows, and only those
+    feed(os.path.join(land, "d.xml"), "ann", [dict(ITEMS_A[0], bid="5")])
+    os.utime(os.path.join(land, "d.xml"), (4102444800, 4102444800))
+    assert ingest(spark, tmpdir_path, max_files_per_trigger=cap) == ["3", "4", "5"]
+    assert read_bronze(spark, os.path.join(tmpdir_path, "bronze")).count() == 5
+
+
+def test_streaming_fetch_folders_and_new_checkpoint(spark, tmpdir_path):
+    """All files of a fetch are one batch; a new checkpoint adds to bronze
+    and changes nothing in silver; a later batch job is the newest."""
+    for fetch, name, user, items in (("2024-01-01T06:00:00", "a1", "ann", ITEMS_A[:1]), ("2024-01-01T06:00:00", "a2", "ann", ITEMS_A[1:]),
+                                     ("2024-01-02T06:00:00", "b", "bob", ITEMS_B)):
+        folder = os.path.join(tmpdir_path, "landing", f"fetch={fetch}")
+        os.makedirs(folder, exist_ok=True)
+        feed(os.path.join(folder, f"{name}.xml"), user, items)
+    bronze = os.path.join(tmpdir_path, "bronze")
+    assert ingest(spark, tmpdir_path, max_files_per_trigger=1) == ["1", "2", "3"]
+    before = read_bronze(spark, bronze).count()
+    assert before == 3 and read_bronze(spark, bronze).select("_batch").distinct().count() == 2
+    assert ingest(spark, tmpdir_path, checkpoint="ck2") == ["1", "2", "3"]
+    assert read_bronze(spark, bronze).count() == 2 * before  # nothing deleted
+    assert [r.book_id for r in latest_bronze(spark, bronze).select("book_id").distinct().collect()] == ["3"]
+    append_bronze(stamp_batch(scan_feed(spark, os.path.join(tmpdir_path, "landing", "fetch=2024-01-01T06:00:00")), "rss",
+                              "2024-01-03 06:00:00"), bronze)
+    assert sorted(r.book_id for r in latest_bronze(spark, bronze).collect()) == ["1", "2"]
+
+
+def test_empty_first_feed(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "empty.xml")
+    feed(path, "ann", [])
+    bronze, silver = os.path.join(tmpdir_path, "bronze"), os.path.join(tmpdir_path, "silver")
+    assert stages.books_stage(spark, [path], bronze, silver, "2024-01-01 00:00:00") == {"bronze_rss": 0, "silver_books": 0}
+    assert "is_read" in spark.read.parquet(silver).columns
 
 
 def test_latest_bronze_prunes_partitions(spark, tmpdir_path):
-    from lectio.sources.tables import latest_bronze
-
     path = os.path.join(tmpdir_path, "bronze")
     for i, ts in enumerate(["2024-01-01 00:00:00", "2024-01-02 00:00:00", "2024-01-03 00:00:00"]):
         append_bronze(stamp_batch(spark.createDataFrame([(str(i),)], "book_id string"), "rss", ts), path)
     q = latest_bronze(spark, path)
     assert [r.book_id for r in q.collect()] == ["2"] and "_batch" not in q.columns
-    plan = q._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(_batch" in plan and "Subquery" in plan
+    assert all("_batch=20240103" in f for f in q.inputFiles())  # older batches are not even opened
+    with pytest.raises(ValueError):
+        latest_bronze(spark, os.path.join(tmpdir_path, "nowhere"))

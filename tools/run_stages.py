@@ -30,22 +30,23 @@ def run(spark, base: str) -> dict:
     p = lambda n: os.path.join(root, n)
     out: dict[str, int] = {}
 
-    feeds = Q._write_feeds(spark, base)  # landed XML feeds
-    out.update(stages.books_stage(spark, feeds, p("bronze_rss"), p("silver_books"), D.NEW_BATCH))
+    feeds = Q._write_feeds(spark, Q._newest(D.feed_rows(spark, base)))  # landed XML feeds
+    out.update(stages.books_stage(spark, feeds, p("bronze_rss"), p("silver_books"), D.NEW_BATCH, reports=p("reports")))
 
     newest = F.col("_ingested_at") == F.lit(D.NEW_BATCH).cast("timestamp")
     (D.review_pages(spark, base).filter(newest).select("goodreads_url", "raw_html")
      .write.mode("overwrite").json(p("landed_pages")))
     stages.pages_stage(spark, p("silver_books"), read_landed_pages(spark, p("landed_pages")),
                        p("bronze_review_pages"), p("silver_books_enriched"), mode="quarantine",
-                       batch_ts=D.NEW_BATCH, metrics=out)
-    out.update(stages.daily_stage(spark, p("silver_books_enriched"), p("gold_pages_per_day")))
+                       batch_ts=D.NEW_BATCH, metrics=out, reports=p("reports"))
+    out.update(stages.daily_stage(spark, p("silver_books_enriched"), p("gold_pages_per_day"), reports=p("reports")))
 
     stages.lookup_plan_stage(spark, p("silver_books"), p("lookup_plan"))
     D.landed_responses(spark.read.parquet(p("lookup_plan"))).write.mode("overwrite").json(p("landed_responses"))
     out.update(stages.lookups_stage(spark, p("lookup_plan"), read_landed_responses(spark, p("landed_responses")),
-                                    p("bronze_open_library"), p("silver_open_library"), D.NEW_BATCH))
-    out.update(stages.genre_stage(spark, p("silver_books"), p("silver_open_library"), p("gold_genre")))
+                                    p("bronze_open_library"), p("silver_open_library"), D.NEW_BATCH,
+                                    reports=p("reports")))
+    out.update(stages.genre_stage(spark, p("silver_books"), p("silver_open_library"), p("gold_genre"), reports=p("reports")))
     return {"root": root, "rows_written": out}
 
 
