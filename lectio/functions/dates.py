@@ -1,10 +1,12 @@
-"""Free-form date text -> DATE, as a closed list of layouts.
+"""Free-form date text -> DATE.
 
-The layouts cover the feeds' RFC-822 stamps (``Sun, 29 Mar 2026 22:30:00
--0700``), page timelines (``March 29, 2026``) and ISO / slashed dates. The
-wall-clock date in the text is returned; the offset is ignored and no
-timestamp is ever built, so ``22:30 -0700`` stays on the 29th.
-Empty, NULL, unparseable and partial dates give NULL (never an error).
+Covers the feeds' RFC-822 stamps (``Sun, 29 Mar 2026 22:30:00 -0700``), page
+timelines (``March 29, 2026``), C-library stamps (``Sun Mar 29 22:30:00
+2026``) and numeric dates with either end first and two- or four-digit
+years. The leftmost date in the text counts; digits that touch it make it no
+date. The wall-clock date is returned; the offset is ignored and no
+timestamp is ever built, so ``22:30 -0700`` stays on the 29th. Empty, NULL,
+unparseable and partial dates give NULL (never an error).
 """
 
 from __future__ import annotations
@@ -12,19 +14,51 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed values: (regex isolating the date part, Spark datetime patterns to
-# try on it). Tried in order; the first layout that parses wins. Matches of
-# month-name layouts are cleaned of ',', '.' and ordinal suffixes first.
+_MONTH = ("(?:Jan(?:uary)?|Feb(?:ruary)?|Mar(?:ch)?|Apr(?:il)?|May|June?|July?|Aug(?:ust)?|Sept?(?:ember)?|Oct(?:ober)?"
+          "|Nov(?:ember)?|Dec(?:ember)?)")
+_DAY = r"\d{1,2}(?:st|nd|rd|th)?"
+_SEP = r"[ ,./-]{1,2}"
+_TIME = r"(?:\d{1,2}:\d{2}(?::\d{2})? )?"
+
+# The layouts, tried at the same place of the text in this order.
 DATE_LAYOUTS = [
-    (r"\d{1,2}[ -][A-Za-z]{3,}\.?,?[ -]\d{4}", ["d MMM yyyy", "d MMMM yyyy"]),
-    (r"[A-Za-z]{3,}\.? \d{1,2}(?:st|nd|rd|th)?,? \d{4}", ["MMMM d yyyy", "MMM d yyyy"]),
-    (r"\d{4}-\d{1,2}-\d{1,2}", ["yyyy-M-d"]),
-    (r"\d{4}[/.]\d{1,2}[/.]\d{1,2}", ["yyyy/M/d"]),
-    (r"\d{1,2}[/.-]\d{1,2}[/.-]\d{4}", ["M/d/yyyy", "d/M/yyyy"]),
-    (r"(?<!\d)\d{8}(?!\d)", ["yyyyMMdd"]),
+    rf"(?<![\d.,/-]){_DAY}{_SEP}{_MONTH}{_SEP}(?:\d{{4}}|\d{{2}})(?![\d:])",
+    rf"\b{_MONTH}{_SEP}{_DAY}{_SEP}{_TIME}\d{{4}}(?!\d)",
+    rf"(?<!\d)\d{{4}}{_SEP}{_MONTH}{_SEP}{_DAY}(?!\d)",
+    r"(?<!\d)\d{4}-\d{1,2}-\d{1,2}(?!\d)",
+    r"(?<!\d)\d{4}[/.]\d{1,2}[/.]\d{1,2}(?!\d)",
+    r"(?<![\d/.-])\d{1,2}[/.-]\d{1,2}[/.-](?:\d{4}|\d{2})(?!\d)",
+    r"(?<!\d)\d{8}(?!\d)",
+]
+_ANY = "(?i)" + "|".join(DATE_LAYOUTS)
+
+#: From the text of a date to ``year month day`` with three-letter months:
+#: drop time and ordinals, unify separators, shorten months, year first.
+_STEPS = [
+    (r" \d{1,2}:\d{2}(?::\d{2})?(?= )", ""),
+    (r"(?i)(?<=\d)(?:st|nd|rd|th)\b", ""),
+    (r"[ ,./-]+", " "),
+    (r"(?i)\b([a-z]{3})[a-z]*", "$1"),
+    (r"^(\d{1,2}) (\p{Alpha}+) (\d+)$", "$3 $2 $1"),
+    (r"^(\p{Alpha}+) (\d{1,2}) (\d+)$", "$3 $1 $2"),
+    (r"^(\d{1,2}) (\d{1,2}) (\d+)$", "$3 $1 $2"),
+    (r"^(\d{4})(\d{2})(\d{2})$", "$1 $2 $3"),
 ]
 
-_CLEAN = r"[,.]|(?<=\d)(?:st|nd|rd|th)\b"
+
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` evaluated once however often it is used:
+    bound as a lambda variable, which also keeps the generated code small."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _parsed(text: Column) -> Column:
+    def tries(*formats: str) -> Column:
+        return F.coalesce(*(F.try_to_date(text, f) for f in formats))
+
+    pivot = F.year(F.current_date()) + 50
+    short = _once(tries("yy MMM d", "yy M d", "yy d M"), lambda d: F.when(F.year(d) >= pivot, F.add_months(d, -1200)).otherwise(d))
+    return F.coalesce(tries("yyyy MMM d", "yyyy M d", "yyyy d M"), F.when(text.rlike(r"^\d{2} "), short))
 
 
 def parse_flexible_date(c: Column | str) -> Column:
@@ -32,17 +66,10 @@ def parse_flexible_date(c: Column | str) -> Column:
 
     Month-first is preferred for numeric dates and day-first is tried when
     that is not a valid date ("29/03/2026"), as a free-form parser does.
-    The input is referenced once per layout and Spark does not share
-    subexpressions across ``coalesce`` branches, so pass a column, not an
-    expensive expression: project the text first (``withColumn``), and
-    Catalyst keeps that projection because it is referenced repeatedly."""
+    Two-digit years are the nearest ones below 50 years from today. The
+    input is referenced once."""
     c = F.col(c) if isinstance(c, str) else c
-    tries = []
-    for rx, fmts in DATE_LAYOUTS:
-        part = F.nullif(F.regexp_extract(c, rx, 0), F.lit(""))
-        if "A-Za-z" in rx:
-            part = F.regexp_replace(F.regexp_replace(part, _CLEAN, ""), "-", " ")
-        elif "[/.-]" in rx or "[/.]" in rx:
-            part = F.regexp_replace(part, "[.-]", "/")
-        tries.extend(F.try_to_date(part, fmt) for fmt in fmts)
-    return F.coalesce(*tries)
+    part = F.nullif(F.regexp_extract(c, _ANY, 0), F.lit(""))
+    for rx, new in _STEPS:
+        part = F.regexp_replace(part, rx, new)
+    return _once(part, _parsed)

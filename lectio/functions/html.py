@@ -7,9 +7,8 @@ before the first ``sep``, stripped. NULL for NULL/empty HTML or no match.
 
 The label test runs on the text with tags removed and nothing inserted,
 the returned text on the space-joined form, like a DOM ``get_text`` with and
-without a separator. Limit: a div of the class nested inside another div of
-the same class is cut at the first ``</div>``; flat timelines (the layout
-the feature reads) are exact.
+without a separator. Divs nested inside an element, up to four deep, are part
+of it; ``exact_nested`` handles any depth by a DOM walk.
 """
 
 from __future__ import annotations
@@ -21,19 +20,23 @@ from pyspark.sql import functions as F
 # HTML entities decoded in element text.
 ENTITIES = [
     ("&ndash;", "–"), ("&#8211;", "–"), ("&#x2013;", "–"),
-    ("&mdash;", "—"), ("&#8212;", "—"),
+    ("&mdash;", "—"), ("&#8212;", "—"), ("&#x2014;", "—"),
+    ("&#xa0;", "\u00a0"), ("&#xA0;", "\u00a0"), ("&#60;", "<"), ("&#x3c;", "<"), ("&#x3C;", "<"),
+    ("&#62;", ">"), ("&#x3e;", ">"), ("&#x3E;", ">"),
+    ("&#34;", '"'), ("&#x22;", '"'), ("&#x27;", "'"),
     ("&nbsp;", " "), ("&#160;", " "),
     ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-    ("&amp;", "&"),
+    ("&#38;", "&"), ("&#x26;", "&"), ("&amp;", "&"),
 ]
 
 _STRIP = r"(?U)^\s+|\s+$"
 
 
 def decode_entities(c: Column) -> Column:
-    """Replace the named/numeric entities above (``&amp;`` last); text
-    without ``&`` is returned as is, skipping the replace chain."""
-    out = c
+    """Replace the named/numeric entities above (``&amp;`` last), numeric
+    ones in any letter case; text without ``&`` is returned as is, skipping
+    the replace chain."""
+    out = F.replace(c, F.lit("&#X"), F.lit("&#x"))
     for ent, ch in ENTITIES:
         out = F.replace(out, F.lit(ent), F.lit(ch))
     return F.when(F.contains(c, F.lit("&")), out).otherwise(c)
@@ -56,16 +59,28 @@ def visible_markup(html: Column) -> Column:
     return F.when(has, F.regexp_replace(html, _NOT_MARKUP, " ")).otherwise(html)
 
 
+# The rest of a tag: quoted attribute values may hold ">".
+_REST = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
+_TAG = r"</?[a-zA-Z!]" + _REST
+
+
+def _balanced(tag: str, depth: int) -> str:
+    """Content with elements of the same tag nested up to ``depth`` deep."""
+    nested = rf"|<{tag}\b{_REST}{_balanced(tag, depth - 1)}</{tag}\s*>" if depth else ""
+    return rf"(?:[^<]++|<(?!/?{tag}\b){nested})*+"
+
+
 def element_texts(html: Column, css_class: str, tag: str = "div") -> Column:
     """array<string> of the inner HTML of every ``tag`` whose class list
     holds ``css_class`` (class matched as a whole word of the attribute,
-    quoted or not)."""
+    quoted or not). Elements of the same tag may be nested up to four deep;
+    what does not balance ends at the first closing tag."""
     cls = _java_quote(css_class)
-    rx = (
-        r"(?is)<" + tag + r"\b[^>]*?\bclass\s*=\s*"
-        r"(?:[\"'](?:[^\"']*\s)?" + cls + r"(?:\s[^\"']*)?[\"']|" + cls + r"(?=[\s/>]))"
-        r"[^>]*>(.*?)</" + tag + r"\s*>"
-    )
+    other = r"""(?:\s+(?!class\b)[^\s=>"'/]+(?:\s*=\s*(?:"[^"]*+"|'[^']*+'|[^\s"'>]++))?)*+"""
+    own = (rf"""(?:"(?:[^"]*\s)?{cls}(?:\s[^"]*)?"|'(?:[^']*\s)?{cls}(?:\s[^']*)?'|{cls}(?=[\s/>]))""")
+    end = rf"</{tag}\s*>"
+    rx = (rf"(?is)<{tag}\b{other}\s+class\s*=\s*{own}{_REST}"
+          rf"((?>{_balanced(tag, 4)})(?={end})|.*?(?={end})){end}")
     return F.regexp_extract_all(visible_markup(html), F.lit(rx), F.lit(1))
 
 
@@ -82,14 +97,14 @@ def extract_labelled(html: Column | str, css_class: str = "readingTimeline__text
     inner = element_texts(html, css_class, tag)
 
     def plain(x: Column) -> Column:
-        return decode_entities(F.regexp_replace(x, r"<[^>]*>", ""))
+        return decode_entities(F.regexp_replace(x, _TAG, ""))
 
     def mentions(x: Column) -> Column:
         t = plain(x)
         return F.contains(t, F.lit(label)) & F.contains(t, F.lit(sep))
 
     last = F.try_element_at(F.filter(inner, mentions), F.lit(-1))
-    spaced = decode_entities(F.regexp_replace(last, r"(\s*<[^>]*>\s*)+", " "))
+    spaced = decode_entities(F.regexp_replace(last, rf"(\s*{_TAG}\s*)+", " "))
     head = F.split_part(F.regexp_replace(spaced, _STRIP, ""), F.lit(sep), F.lit(1))
     out = F.regexp_replace(head, _STRIP, "")
     native = F.when(F.contains(html, F.lit(css_class)), out)

@@ -5,14 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_STRIP = r"(?U)^\s+|\s+$"
-
-
-def normalise(c: Column) -> Column:
-    """lower + strip (Unicode white space, incl. no-break space)."""
-    return F.regexp_replace(F.lower(c), _STRIP, "")
-
-
 def bullet_list(titles: Column, bullet: str = "• ", sep: str = "<br>") -> Column:
     """Title list -> one label string ``• a<br>• b``."""
     return F.array_join(F.transform(titles, lambda t: F.concat(F.lit(bullet), t)), sep)

@@ -30,7 +30,7 @@ PAGES_BASE, PAGES_MOD = 50, 400
 PAGE_MISSING = 11       # no page landed for k % 11 == 0
 PAGE_EXPIRED = 23       # k % 23 == 0: the page does not name its book
 PAGE_REREAD = 5         # earlier read 400 days before for k % 5 == 0
-PAGE_VARIANT = 7        # k % 7: 0 hyphen (no match), 1 &ndash;, 2 inner tags, 3 class list, 4 no start row
+PAGE_VARIANT = 7        # k % 7: 0 hyphen (no match), 1 &ndash;, 2 inner tags, 3 class list, 4 no start row, 5 nested divs
 PAGE_SHORT_MONTH = 3    # k % 3 == 0 writes "Mar 29, 2026"
 PAGE_OLD_BATCH = 4      # k % 4 == 0 also in an older batch with a wrong date
 
@@ -124,6 +124,8 @@ def review_pages(spark: SparkSession, base: str) -> DataFrame:
         .when(v == 3, _timeline_row(F.concat(fmt(start), F.lit(" – Started Reading")),
                                     "x readingTimeline__text"))
         .when(v == 4, F.lit(""))
+        .when(v == 5, F.concat(F.lit('<div title="a>b" class="readingTimeline__text"><div>'), fmt(start),
+                               F.lit("</div> <div>&#X2013; Started Reading</div></div>")))
         .otherwise(_timeline_row(F.concat(fmt(start), F.lit(" – Started Reading")))))
     earlier = F.when(k % PAGE_REREAD == 0, F.concat(
         _timeline_row(F.concat(fmt(F.date_sub(start, 400)), F.lit(" – Started Reading"))),

@@ -150,9 +150,17 @@ def q_date_parse(spark, base):
     long_t = F.when(bad, F.lit("garbage")).otherwise(F.date_format("o_orderdate", "MMMM d, yyyy"))
     rfc_t = F.concat(F.date_format("o_orderdate", "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" -0700"))
     iso_t = F.when(k % 7 == 0, F.lit("")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
-    texts = o.select("o_orderkey", long_t.alias("t_long"), rfc_t.alias("t_rfc"), iso_t.alias("t_iso"))
+    m = k % 8
+    other = (F.when(m == 0, F.date_format("o_orderdate", "M/d/yy")).when(m == 1, F.date_format("o_orderdate", "d MMM yy"))
+             .when(m == 2, F.date_format("o_orderdate", "MMM-d-yyyy")).when(m == 3, F.date_format("o_orderdate", "yyyy MMMM d"))
+             .when(m == 4, F.date_format("o_orderdate", "EEE MMM d HH:mm:ss yyyy"))
+             .when(m == 5, F.concat(F.lit("1"), F.date_format("o_orderdate", "yyyy-MM-dd")))
+             .when(m == 6, F.concat(F.date_format("o_orderdate", "MM-dd-yyyy"), F.lit(" 2023-05-06")))
+             .otherwise(F.regexp_replace(F.date_format("o_orderdate", "MMM d, yyyy"), "Sep", "Sept")))
+    texts = o.select("o_orderkey", long_t.alias("t_long"), rfc_t.alias("t_rfc"), iso_t.alias("t_iso"), other.alias("t_other"))
     return texts.select("o_orderkey", parse_flexible_date("t_long").alias("d_long"),
-                        parse_flexible_date("t_rfc").alias("d_rfc"), parse_flexible_date("t_iso").alias("d_iso"))
+                        parse_flexible_date("t_rfc").alias("d_rfc"), parse_flexible_date("t_iso").alias("d_iso"),
+                        parse_flexible_date("t_other").alias("d_other"))
 
 
 def _newest(rows: DataFrame) -> DataFrame:

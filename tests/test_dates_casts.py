@@ -76,3 +76,13 @@ def test_agrees_with_free_form_parser_on_generated_corpus(spark):
     got = [(r.t, r.d) for r in df.select("t", parse_flexible_date("t").alias("d")).collect()]
     for t, d in got:
         assert d == parser.parse(t).date(), t
+
+
+def test_more_layouts_boundaries_and_order(spark):
+    cases = {"Sept 5, 2020": "2020-09-05", "5 Sept 2020": "2020-09-05", "3/29/26": "2026-03-29", "29 Mar 26": "2026-03-29",
+             "Mar-29-2026": "2026-03-29", "2026 March 29": "2026-03-29", "Sun Mar 29 22:30:00 2026": "2026-03-29",
+             "1/2/95": "1995-01-02", "12345-01-02": None, "01-02-2024 2023-05-06": "2024-01-02", "Marvelous 5, 2020": None,
+             "2026-03": None, "202603291": None, "read 2023-05-06 and 01-02-2024": "2023-05-06"}
+    df = spark.createDataFrame([(t,) for t in cases], "t string")
+    got = {r.t: r.d and r.d.isoformat() for r in df.select("t", parse_flexible_date("t").alias("d")).collect()}
+    assert got == cases

@@ -91,4 +91,20 @@ def test_exact_nested_fallback(spark):
     got = [r.x for r in df.select(extract_labelled("h", exact_nested=True).alias("x")).collect()]
     assert got == [extract_dom(h) for h in NESTED] == ["May 2, 2025", "March 3, 2026", "March 29, 2026", None]
     native = [r.x for r in df.select(extract_labelled("h").alias("x")).collect()]
-    assert native[0] is None  # the documented limit of the native path
+    assert native == got  # nesting up to four deep needs no DOM walk
+    deep = "<div>" * 6 + "May 2, 2025" + "</div>" * 6
+    page = render([], f'<div class="readingTimeline__text">{deep} – Started Reading</div>')
+    one = spark.createDataFrame([(page,)], "h string").select(extract_labelled("h", exact_nested=True).alias("x")).first()
+    assert one.x == extract_dom(page) == "May 2, 2025"
+
+
+def test_quoted_angle_brackets_and_entities(spark):
+    cases = {
+        '<div class="readingTimeline__text" title="a>b">March 2, 2026 – Started Reading</div>': "March 2, 2026",
+        '<div title=\'x>"y\' class="readingTimeline__text">March&#xA0;3, 2026 &#X2013; Started Reading</div>': "March\u00a03, 2026",
+        "<div id=a class='x readingTimeline__text'>May 4, 2026 &#8211; <b title='>'>Started</b> Reading</div>": "May 4, 2026",
+        '<div class="readingTimeline__text">March 5, 2026 – Started Reading<div>open </div>': "March 5, 2026",
+        '<div data-class="readingTimeline__text">March 6, 2026 – Started Reading</div>': None,
+    }
+    got = spark.createDataFrame([(h,) for h in cases], "h string").select(extract_labelled("h").alias("x")).collect()
+    assert [r.x for r in got] == list(cases.values())

@@ -7,6 +7,7 @@ from lectio.operators.cleaning import clean_books
 from lectio.operators.genre import classified_subjects, genre_summary, qualifying_books
 from lectio.operators.intervals import pages_per_day
 from lectio.schemas import BIB_RECORD, BRONZE_RSS, GOLD_DAILY, GOLD_GENRE, SILVER_BOOKS
+from lectio.sources.tables import rows_to_frame
 
 
 def shape(schema):
@@ -17,7 +18,7 @@ def test_silver_books_schema(spark):
     row = {c.name: "" for c in BRONZE_RSS.fields if c.name not in ("_ingested_at",)}
     row.update(book_id="1", num_pages="12", read_at="March 1, 2026", _source="rss")
     row["_ingested_at"] = dt.datetime(2024, 1, 1)
-    bronze = spark.createDataFrame([row], BRONZE_RSS)
+    bronze = rows_to_frame(spark, [row], BRONZE_RSS)
     assert shape(clean_books(bronze).schema) == shape(SILVER_BOOKS)
 
 
