@@ -208,7 +208,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shared = written(entries.join(sizes, "band"), "omh-bands")
     reach = shared.groupBy("row").agg(F.sum("size").alias("reach"))
     bands = written(shared.join(reach, "row"), "omh-entries")
-    texts = written(rows.select("row", "text").join(reach.select("row"), "row", "left_semi"), "omh-texts")
+    # the candidates grow with the corpus: this join never broadcasts them
+    texts = written(rows.select("row", "text").join(reach.select("row").hint("merge"), "row", "left_semi"), "omh-texts")
     classes = written(reach.select("row", F.col("row").alias("class")), "omh-classes")
     failed = None
     for step in range(hub_rounds):
