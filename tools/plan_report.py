@@ -12,7 +12,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from lectio.plans.queries import QUERIES  # noqa: E402
 from lectio.session import build_session  # noqa: E402
 
 
@@ -66,22 +66,18 @@ def main() -> None:
            "count parquet file scans including the scalar-subquery side.", "",
            "Key observations (see the skeletons below):", "",
            "- `daily_allocation`: one (user, day) boundary aggregate feeds both flag joins (the second",
-           "  join reuses the first's broadcast); book-days are aggregated on (user, day); the gap fill",
-           "  is a `lead` window per user over those totals, with zero days generated locally. At sf0.1",
-           "  AQE broadcasts the boundary side from its measured size.",
-           "- `daily_allocation_sparse`: the boundary aggregate is larger than the broadcast threshold,",
-           "  so AQE keeps sort-merge joins: the at-scale path.",
-           "- `rolling_mean_*`, `daily_view`, `labels_joined`: the serving windows reuse the gap fill's",
-           "  user partitioning (a sort, no extra shuffle); unused outputs such as the title list are",
-           "  pruned from the aggregate by Catalyst.",
+           "  join reuses the first's exchange); book-days are aggregated on (user, day) and stay there;",
+           "  zero days come from a window over interval ends (no titles) and are appended.",
+           "- `rolling_mean_*`: the window moves day totals to their user; unused outputs such as the",
+           "  title list are pruned from the aggregate by Catalyst.",
            "- `genre_*`: labels are exploded on the record side, then joined to the books (broadcast",
            "  at this size, chosen at run time); one partial + final aggregation.",
-           "- `dense_matrix`, `lookup_resolve`, `lookup_status`: read their checkpointed shared input (no file scan).",
+           "- `genre_*`, `dense_matrix`: the classifier is in a projection only, never in a filter.",
            "- No query evaluates Python (`Python eval` column).", "",
            "| query | shuffles | reused shuffles | broadcasts | sort-merge joins | scans | Python eval | wall s |",
            "|---|---|---|---|---|---|---|---|"]
     detail, trees = [], []
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         df = fn(spark, sf)
         t = time.perf_counter()
         ep = df._jdf.queryExecution().executedPlan()
