@@ -11,8 +11,8 @@ decides anything.
 
 At scale: groups are counted with map-side aggregation, so a group of
 copies that holds a third of all rows costs one row per map task there, and
-documents learn their group by a sort-merge join whose large side Spark can
-split. The digits are columns of one written table, so a round reads only
+documents learn their group by a join with the written counts, whose large
+side Spark can split (it can't where the counts share the join's exchange). The digits are columns of one written table, so a round reads only
 its own byte block of the documents that still have company."""
 
 from __future__ import annotations
@@ -57,8 +57,8 @@ def equal_text_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             .withColumn("n_bytes", F.length("body"))
             .withColumn("d0", F.substring("body", 1, digit[0][1]))
             .withColumn("ended", F.col("n_bytes") <= digit[0][1]))
-    company = (base.groupBy("d0", "ended").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-               .withColumnRenamed("d0", "c0").withColumnRenamed("ended", "c_ended"))
+    company = written(base.groupBy("d0", "ended").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+                      .withColumnRenamed("d0", "c0").withColumnRenamed("ended", "c_ended"), "radix-company")
     shared = F.col("n").isNotNull()
     split = base.join(company, (F.col("d0") == F.col("c0")) & (F.col("ended") == F.col("c_ended")), "left")
     rows = written(split.select(
@@ -78,8 +78,9 @@ def equal_text_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                                F.col("row") == F.col("r")).drop("r")
         group = (group.withColumn("digit", F.coalesce("digit", F.lit(b"")))
                  .withColumn("ended", F.col("n_bytes") <= at + width))
-        split = group.groupBy("group", "digit", "ended").agg(
-            F.count(F.lit(1)).alias("n"), F.min("row").alias("next_group"), F.max(F.struct("id", "row")).alias("keep"))
+        split = written(group.groupBy("group", "digit", "ended").agg(
+            F.count(F.lit(1)).alias("n"), F.min("row").alias("next_group"), F.max(F.struct("id", "row")).alias("keep")),
+            f"radix-groups-{k}")
         group = written(group.join(split, ["group", "digit", "ended"]).select(
             "row", "id", "n_bytes", "sha", F.col("next_group").alias("group"), "n", "ended",
             F.col("keep.id").alias("keep_id"), (F.col("keep.row") == F.col("row")).alias("kept")), f"radix-round-{k}")
