@@ -6,10 +6,10 @@ sums; the source's budget is whole epochs plus a remainder, and the
 remainder is cut in that order. Nothing is sampled and nothing depends on
 partitioning, so reruns agree.
 
-At scale: the key's leading bits deal each source's rows into ranges of
-about ``rows_per_range`` rows, so a source with a third of all rows spreads
-over as many tasks as its size needs; a prefix sum is the range's offset
-(from per-range totals) plus a running sum inside the range."""
+At scale: the key's leading bits deal each source's rows into as many
+ranges of about ``rows_per_range`` rows as it needs, so a source with a
+third of all rows spreads over many tasks; a prefix sum is the range's
+offset (from per-range totals) plus a running sum inside the range."""
 
 from __future__ import annotations
 
@@ -63,7 +63,7 @@ def source_targets(totals: DataFrame, weights: tuple[int, ...] = (3, 1, 2), shar
 
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                 weights: tuple[int, ...] = (3, 1, 2), share_pct: int = 150, max_epochs: int = 2,
-                seed: str = "mix-1", rows_per_range: int = 100_000) -> DataFrame:
+                seed: str = "mix-1", rows_per_range: int = 4_000) -> DataFrame:
     """One row per row of ``docs``: id, ``size`` (words; null text: 0),
     source, ``source_size``, ``target``, ``epochs`` (times the mix takes the
     document) and ``taken`` (its words, repeats counted).
@@ -79,16 +79,19 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     key = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
     rows = written(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"),
                                n_words(F.col(text_col)).alias("size"), key.alias("key")), "mix-sizes")
-    ranges = max(1, -(-rows.count() // rows_per_range))
-    rows = rows.withColumn("range", F.floor(F.conv(F.substring("key", 1, RANGE_DIGITS), 16, 10).cast("long")
-                                            * ranges / 16**RANGE_DIGITS).cast("long"))
+    counts = written(rows.groupBy(F.col("source").alias("c_source")).agg(
+        F.ceil(F.count(F.lit(1)) / rows_per_range).alias("ranges")), "mix-counts")
+    rows = (rows.join(counts, F.col("source").eqNullSafe(F.col("c_source")))
+            .withColumn("range", F.floor(F.conv(F.substring("key", 1, RANGE_DIGITS), 16, 10).cast("long")
+                                         * F.col("ranges") / 16**RANGE_DIGITS).cast("long"))
+            .select("id", "source", "size", "key", "range"))
     parts = written(rows.groupBy("source", "range").agg(F.sum("size").alias("part_size")), "mix-parts")
     targets = source_targets(parts.groupBy("source").agg(F.sum("part_size").alias("source_size")), weights, share_pct,
                              max_epochs)
     before = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (parts.withColumn("offset", F.coalesce(F.sum("part_size").over(before), F.lit(0).cast("long")))
                .select(F.col("source").alias("o_source"), F.col("range").alias("o_range"), "offset"))
-    plan = offsets.join(targets, F.col("o_source").eqNullSafe(F.col("source"))).drop("source")
+    plan = written(offsets.join(targets, F.col("o_source").eqNullSafe(F.col("source"))).drop("source"), "mix-plan")
     inside = (Window.partitionBy("source", "range").orderBy("key", "id", "size")
               .rowsBetween(Window.unboundedPreceding, -1))
     summed = rows.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0).cast("long")))
