@@ -104,6 +104,27 @@ def link_quotes(parsed: DataFrame) -> DataFrame:
                          F.when(local, F.col("here_turn")).otherwise(F.col("first.here_turn")).alias("from_turn"))
 
 
+def resolved_replies(parents: DataFrame) -> DataFrame:
+    """(conv, turn, parent_turn) -> the same with ``up``, the root's turn,
+    and ``hops``, the depth, by pointer doubling. A message leaves the loop
+    as soon as its root is known, so only long threads go on."""
+    active = written(parents.select("conv", "turn", "parent_turn", F.col("parent_turn").alias("up"), F.lit(1).alias("hops"),
+                                    F.lit(False).alias("done")), "quotes-pointers")
+    finished = active.where("done")
+    while not active.isEmpty():
+        above = active.unionByName(finished).select(
+            F.col("conv").alias("c"), F.col("turn").alias("t"), F.col("up").alias("up2"), F.col("hops").alias("hops2"),
+            F.col("done").alias("done2"))
+        jumped = active.join(above, (F.col("conv") == F.col("c")) & (F.col("up") == F.col("t")), "left")
+        moved = written(jumped.select(
+            "conv", "turn", "parent_turn", F.coalesce("up2", "up").alias("up"),
+            (F.col("hops") + F.coalesce("hops2", F.lit(0))).alias("hops"),
+            (F.col("up2").isNull() | F.col("done2")).alias("done")), "quotes-pointers")
+        finished = finished.unionByName(moved.where("done"))
+        active = moved.where("not done")
+    return finished.drop("done")
+
+
 def reply_order(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", text_col: str = "text") -> DataFrame:
     """One row per row of ``messages``: conversation, turn, ``parent_turn``
     (the message it replies to, null for a root), ``root_turn`` and
@@ -121,17 +142,7 @@ def reply_order(messages: DataFrame, conv_col: str = "conv_id", turn_col: str =
     links = written(link_quotes(parsed), "quotes-links")
     parents = (links.where("level = 1 and from_conv = conv and from_turn < turn")
                .groupBy("conv", "turn").agg(F.max("from_turn").alias("parent_turn")))
-    pointer = written(parents.select("conv", "turn", "parent_turn", F.col("parent_turn").alias("up"), F.lit(1).alias("hops")),
-                      "quotes-pointers")
-    while True:
-        above = pointer.select(F.col("conv").alias("c"), F.col("turn").alias("t"), F.col("up").alias("up2"), F.col("hops").alias("hops2"))
-        jumped = pointer.join(above, (F.col("conv") == F.col("c")) & (F.col("up") == F.col("t")), "left")
-        moved = jumped.select("conv", "turn", "parent_turn", F.coalesce("up2", "up").alias("up"),
-                              (F.col("hops") + F.coalesce("hops2", F.lit(0))).alias("hops"), F.col("up2").isNotNull().alias("moved"))
-        moved = written(moved, "quotes-pointers")
-        pointer = moved.drop("moved")
-        if moved.where("moved").isEmpty():
-            break
+    pointer = resolved_replies(parents)
     counts = links.groupBy("row").agg(F.count(F.lit(1)).alias("n_quotes"), F.count("from_turn").alias("n_linked"))
     placed = parsed.select("row", "conv", "turn", "own").join(pointer, ["conv", "turn"], "left").join(counts, "row", "left")
     zero = F.lit(0).cast("long")
