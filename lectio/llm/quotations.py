@@ -90,12 +90,13 @@ def link_quotes(parsed: DataFrame) -> DataFrame:
     """One row per quoted passage: row, conv, turn, level, place, hash,
     ``from_conv``, ``from_turn`` (null where nobody has it unquoted).
 
-    Owners are reduced to one per passage (and conversation) before the
-    joins, so a passage that everybody quotes meets one row."""
+    Owners are reduced to one per passage (and conversation) and written
+    before the joins, so a passage that everybody quotes meets one row and
+    Spark can split its quotes over tasks."""
     passages = parsed.select("row", "conv", "turn", F.explode("passages").alias("p")).select("row", "conv", "turn", "p.*")
     own = passages.where("level = 0 and conv is not null and turn is not null")
-    here = own.groupBy("hash", "conv").agg(F.min("turn").alias("here_turn"))
-    anywhere = here.groupBy("hash").agg(F.min(F.struct("conv", "here_turn")).alias("first"))
+    here = written(own.groupBy("hash", "conv").agg(F.min("turn").alias("here_turn")), "quotes-owners")
+    anywhere = written(here.groupBy("hash").agg(F.min(F.struct("conv", "here_turn")).alias("first")), "quotes-first-owners")
     quoted = passages.where("level > 0")
     linked = quoted.join(here, ["hash", "conv"], "left").join(anywhere, "hash", "left")
     local = F.col("here_turn") <= F.col("turn")  # a quote of something said later is no quote of it
