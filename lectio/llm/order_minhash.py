@@ -19,10 +19,13 @@ most sketches overall, as the original of a group of copies does) is
 compared with every other member, which is linear in the band, and only
 bands whose members are not yet connected go on to the next such hub. Small
 bands are finished completely, pair by pair of still separate classes, in
-the second round."""
+the second round. What the hubs leave open is finished by an exact filter:
+two texts at the threshold share one of their rarest shingles, so only
+pairs of separate classes that do, and whose lengths allow it, are verified."""
 
 from __future__ import annotations
 
+import math
 from bisect import bisect_left
 from collections.abc import Iterator
 
@@ -43,8 +46,12 @@ SHINGLE, THRESHOLD = 5, 0.8
 N_SKETCHES, TAKE = 24, 5
 #: Texts of few shingles, of which five are too many to agree on, get these too.
 SHORT, SHORT_SKETCHES, SHORT_TAKE = 16, 16, 2
-#: Bands up to this size are finished pair by pair; larger ones by hubs.
+#: Bands up to this size are finished pair by pair; larger ones by hubs, and
+#: after these rounds by rare shingles.
 SMALL_BAND, HUB_ROUNDS = 16, 4
+#: Counters for the frequency of shingles, and classes of one shingle that a
+#: task compares with the shingle's others.
+COUNTERS, BLOCK = 1 << 20, 256
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -176,6 +183,71 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -
     return both.mapInArrow(run, "a long, b long, similarity double")
 
 
+def _labelled(texts: DataFrame) -> DataFrame:
+    """(row, text) -> (row, tokens): the labelled shingles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [shingles(words_of(t.as_py()))[1].view(np.int64) for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(found, pa.list_(pa.int64()))], ["row", "tokens"])
+
+    return texts.select("row", "text").mapInArrow(run, "row long, tokens array<long>")
+
+
+def prefix_pairs(members: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(a, b) of ``members`` (row, class), in different classes, among which
+    are all pairs at the threshold.
+
+    Shingles are ordered by frequency, rare ones first (any order is exact).
+    A pair at the threshold t shares at least ``t / (1 + t) * (n_a + n_b)``
+    shingles, so its first common one is among the first ``n - t * n`` and
+    one of the longer text and ``n - 2 * t / (1 + t) * n`` and one of the
+    shorter. Shingles meet by class first, in blocks, so that a large class
+    is never compared with itself."""
+    spark = members.sparkSession
+    tokens = written(_labelled(texts.join(members.select("row").hint("merge"), "row", "left_semi")), "omh-labelled")
+    counted = (tokens.select(F.explode("tokens").alias("t")).groupBy(F.col("t").bitwiseAND(F.lit(COUNTERS - 1)).alias("at"))
+               .count().toArrow())
+    often = np.zeros(COUNTERS, np.int64)
+    often[counted.column("at").to_numpy()] = counted.column("count").to_numpy()
+    often = spark.sparkContext.broadcast(often)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, first = [], []
+            for row in batch.column("tokens"):
+                own = row.values.to_numpy()
+                n.append(len(own))
+                order = np.lexsort((own, often.value[own & (COUNTERS - 1)]))
+                first.append(own[order[:len(own) - math.ceil(threshold * len(own) - 1e-6) + 1]])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(n, pa.int64()), pa.array(first, pa.list_(pa.int64()))],
+                                             ["row", "n", "first"])
+
+    prefixes = tokens.mapInArrow(run, "row long, n long, first array<long>").join(members, "row")
+    prefixes = prefixes.select("row", "class", "n", F.posexplode("first").alias("pos", "token"))
+    every = written(prefixes, "omh-prefixes")
+    split = written(every.groupBy("token").agg(F.min("class").alias("low"), F.max("class").alias("high"),
+                                               F.count(F.lit(1)).alias("size"))
+                    .where("low <> high").select("token", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "omh-rare")
+    probe = written(every.join(split, "token"), "omh-meeting")
+    share = threshold / (1 + threshold)
+    index = probe.where(F.col("pos") <= F.col("n") - F.ceil(2 * share * F.col("n") - 1e-6))
+    one = probe.select("token", F.col("class").alias("class_a"),
+                       F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int").alias("block")).distinct()
+    two = (index.select("token", F.col("class").alias("class_b"), "blocks").distinct()
+           .select("token", "class_b", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")))
+    meet = one.join(two, ["token", "block"]).where("class_a <> class_b").select("token", "class_a", "class_b")
+    longer = probe.select("token", F.col("class").alias("class_a"), F.col("row").alias("a"), F.col("n").alias("n_a"),
+                          F.col("pos").alias("pos_a"))
+    shorter = index.select("token", F.col("class").alias("class_b"), F.col("row").alias("b"), F.col("n").alias("n_b"),
+                           F.col("pos").alias("pos_b"))
+    a, b = F.struct("n_a", "a"), F.struct("n_b", "b")
+    possible = ((F.col("n_b") >= threshold * F.col("n_a") - 1e-6) & (F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b"))
+                                                                    >= share * (F.col("n_a") + F.col("n_b")) - 1e-6))
+    found = meet.join(longer, ["token", "class_a"]).join(shorter, ["token", "class_b"]).where((a > b) & possible)
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
 def _merge(classes: DataFrame, links: DataFrame) -> DataFrame:
     """Classes after joining those that a link connects."""
     a = classes.select(F.col("row").alias("a"), F.col("class").alias("u"))
@@ -212,7 +284,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = written(rows.select("row", "text").join(reach.select("row").hint("merge"), "row", "left_semi"), "omh-texts")
     classes = written(reach.select("row", F.col("row").alias("class")), "omh-classes")
     failed = None
-    for step in range(hub_rounds):
+    for step in range(hub_rounds + 1):
         entry = bands.join(classes, "row")
         hubs = written(entry.groupBy("band").agg(F.max(F.struct("reach", "row", "class")).alias("hub"),
                                                  F.min("class").alias("low"), F.max("class").alias("high"))
@@ -221,13 +293,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         if entry.isEmpty():
             break
         complete = F.lit(step > 0) & (F.col("size") <= small_band)
-        pairs = (entry.where(~complete & (F.col("class") != F.col("hub.class")))
-                 .select(F.col("hub.row").alias("a"), F.col("row").alias("b")))
-        if step:
-            one = entry.where(complete).select("band", F.col("row").alias("a"), F.col("class").alias("class_a"))
-            two = entry.where(complete).select(F.col("band").alias("band_b"), F.col("row").alias("b"), F.col("class").alias("class_b"))
-            every = one.join(two, (F.col("band") == F.col("band_b")) & (F.col("a") < F.col("b")) & (F.col("class_a") != F.col("class_b")))
-            pairs = pairs.unionByName(every.select("a", "b"))
+        if step == hub_rounds:
+            pairs = prefix_pairs(entry.select("row", "class").distinct(), texts, threshold)
+        else:
+            pairs = (entry.where(~complete & (F.col("class") != F.col("hub.class")))
+                     .select(F.col("hub.row").alias("a"), F.col("row").alias("b")))
+            if step:
+                one = entry.where(complete).select("band", F.col("row").alias("a"), F.col("class").alias("class_a"))
+                two = entry.where(complete).select(F.col("band").alias("band_b"), F.col("row").alias("b"), F.col("class").alias("class_b"))
+                every = one.join(two, (F.col("band") == F.col("band_b")) & (F.col("a") < F.col("b")) & (F.col("class_a") != F.col("class_b")))
+                pairs = pairs.unionByName(every.select("a", "b"))
         pairs = pairs.distinct()
         if failed is not None:
             pairs = pairs.join(failed, ["a", "b"], "left_anti")

@@ -114,6 +114,28 @@ def test_groups_of_copies_of_an_original(spark):
     check(rows, O.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect())
 
 
+def test_template_whose_links_avoid_the_first_hubs(spark):
+    """A band of 160 texts from one template, below the threshold to each
+    other but for pairs that share one of their slots."""
+    rnd = random.Random(3)
+    word = lambda: f"w{rnd.randrange(10**9)}"
+    template = [word() for _ in range(200)]
+    rows = []
+    for _ in range(80):
+        slots = [word() for _ in range(5)]
+        for _ in range(2):
+            text = list(template)
+            for k, at in enumerate(range(10, 190, 40)):
+                text[at] = slots[k] if k < 1 else word()
+            rows.append(text)
+    rnd.shuffle(rows)
+    rows = [(i, " ".join(r)) for i, r in enumerate(rows)]
+    assert len(classes_by_brute_force(rows)) == 80
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    check(rows, O.near_duplicates(df).collect())
+    check(rows, O.near_duplicates(df, hub_rounds=0).collect())
+
+
 def test_components_against_union_find(spark):
     rnd = random.Random(1)
     edges = [(i, i + 1) for i in range(0, 60)] + [(500, i) for i in range(501, 560)]
