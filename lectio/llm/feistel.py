@@ -106,9 +106,25 @@ NUMBERS = "|".join((
     r"(?P<card>(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-]|\.\d))",
 ))
 FIND_EMAIL, FIND_NUMBER = re.compile(EMAIL), re.compile(NUMBERS)
+#: Values written in groups: a match may hold a neighbouring group too.
+GROUPS = {"card": re.compile(r"\d+"), "iban": re.compile(r"[A-Z0-9]+")}
+WHOLE = {"card": re.compile(r"\d(?:[ -]?\d){12,18}"), "iban": re.compile(r"[A-Z]{2}\d\d(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?")}
 HAS_DIGITS = re.compile(r"[0-9a-fA-F]{13}|\d[\d ./-]{5}\d")
 
 
+def valid_card(value: str) -> bool:
+    digits = re.sub(r"\D", "", value)
+    return luhn_digit(digits[:-1]) == digits[-1] and bool(digits.strip("0"))
+
+
+def valid_iban(value: str) -> bool:
+    plain = value.replace(" ", "")
+    return IBAN_LENGTH.get(plain[:2]) == len(plain) and iban_digits(plain[:2], plain[4:]) == plain[2:4]
+
+
+VALID = {"card": valid_card, "iban": valid_iban}
+
+
 def _relaid(layout: str, symbols: str) -> str:
     """``symbols`` in the places of the layout's letters and digits."""
     new = iter(symbols)
@@ -127,7 +143,7 @@ class Pseudonymiser:
 
     def card(self, value: str) -> str | None:
         digits = re.sub(r"\D", "", value)
-        if luhn_digit(digits[:-1]) != digits[-1] or not digits.strip("0"):
+        if not valid_card(value):
             return None
         body = self._digits("card", digits[:-1])
         return _relaid(value, body + luhn_digit(body))
@@ -174,8 +190,8 @@ class Pseudonymiser:
 
     def iban(self, value: str) -> str | None:
         plain = value.replace(" ", "")
-        country, check, account = plain[:2], plain[2:4], plain[4:]
-        if IBAN_LENGTH.get(country) != len(plain) or iban_digits(country, account) != check:
+        country, account = plain[:2], plain[4:]
+        if not valid_iban(value):
             return None
         # the kinds of the account's characters belong to the format
         at = [i for i, c in enumerate(account) if c.isdigit()]
@@ -228,6 +244,31 @@ class Pseudonymiser:
             out.append(letters[self._map(f"email-odd:{i}:{low}", len(letters), at)])
         return "".join(out) + "@" + domain
 
+    def _part(self, kind: str, value: str, at: int) -> tuple[int, int] | None:
+        """The leftmost, longest valid run of whole groups from ``at`` on."""
+        groups = list(GROUPS[kind].finditer(value, at))
+        for i, first in enumerate(groups):
+            for last in reversed(groups[i:]):
+                part = value[first.start():last.end()]
+                if WHOLE[kind].fullmatch(part) and VALID[kind](part):
+                    return first.start(), last.end()
+        return None
+
+    def _within(self, kind: str, value: str, found: Counter) -> str:
+        """A match that is no valid value as a whole, with the valid runs of
+        groups in it replaced. A pseudonym with which other groups would
+        look valid is sent through again, so that ``back`` finds the same."""
+        at = 0
+        while span := self._part(kind, value, at):
+            start, end = span
+            while True:
+                value = value[:start] + getattr(self, kind)(value[start:end]) + value[end:]
+                if self._part(kind, value, at) == span:
+                    break
+            found[kind] += 1
+            at = end
+        return value
+
     def replace(self, text: str) -> tuple[str, Counter]:
         found: Counter = Counter()
 
@@ -235,7 +276,7 @@ class Pseudonymiser:
             kind = m.lastgroup
             new = getattr(self, kind)(m[0])
             if new is None:
-                return m[0]
+                return self._within(kind, m[0], found) if kind in GROUPS else m[0]
             found[kind] += 1
             return new
 
