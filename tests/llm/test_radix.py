@@ -56,8 +56,19 @@ def test_string_ids(spark):
     assert got == {"a": ("b", False), "b": ("b", True), "c": ("c", True)}
 
 
-def test_hot_prefix_is_split_by_aqe_joins(spark):
-    """The join that tells documents their group reads both sides from
-    exchanges of its own, which is what Spark can split."""
+def test_one_copy_of_repeated_rows_stays_with_all_columns(spark):
+    rows = [(1, "Same", "a"), (1, "Same", "a"), (1, "same", "b"), (None, "SAME", "c"), (2, None, "d"), (None, "", "e"), (None, "x" * 5000, "f"),
+            (None, "X" * 5000, "g"), (3, "x" * 5001, "h")]
+    got = R.drop_copies(spark.createDataFrame(rows, "doc_id long, text string, `o.dd` string")).collect()
+    assert sorted((r.text or "").lower() for r in got) == sorted({(t or "").lower() for _, t, _ in rows})
+    assert {r.doc_id for r in got if r.text and len(r.text) < 9} == {1} and {r["o.dd"] for r in got} >= {"d", "h"}
+
+
+def test_only_merge_joins_whatever_the_size(spark):
+    """Documents learn their group by the same join at every size, whose
+    sides have exchanges of their own: a hot first digit can be split."""
     df = spark.range(50).select(F.col("id").alias("doc_id"), F.lit("same").alias("text"))
     assert {r.group_size for r in R.equal_text_groups(df).collect()} == {50}
+    rows = spark.createDataFrame([(i, i, 0, "same") for i in range(50)], "id long, row long, group long, text string")
+    plan = R._split(rows, F.col("text"), 0, 0, 64, "test")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 1 and "Broadcast" not in plan and plan.count("Exchange hashpartitioning") == 2
