@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lectio.llm import (attribution, feistel, order_minhash, quality_ledger, quotations, radix_dedup, source_mix, url_automaton,
-                        warc_index)
+from lectio.llm import (attribution, bisector_tournament, collision_search, feistel, inverted_multi_index, order_minhash,
+                        quality_ledger, quotations, radix_dedup, source_mix, url_automaton, warc_index)
 from lectio.llm.bpe_automaton import encode_documents
 from lectio.llm.common import byte_bpe_path, table
 
@@ -95,12 +95,77 @@ def op10_url_automaton(spark: SparkSession, base: str) -> DataFrame:
     return url_automaton.judge_urls(table(spark, base, "pages"), URL_RULES).drop("n_matches")
 
 
+def op11_multi_index(spark: SparkSession, base: str) -> DataFrame:
+    """A seventh of the labels is moved on by one, so that labels don't
+    simply follow the vectors."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, base, "embeddings").select("vec_id", "embedding", moved.alias("label"))
+    return inverted_multi_index.hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
+def op12_collision_search(spark: SparkSession, base: str) -> DataFrame:
+    return collision_search.nearest(table(spark, base, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op13_bisector_tournament(spark: SparkSession, base: str) -> DataFrame:
+    return bisector_tournament.cluster_vectors(table(spark, base, "embeddings"))
+
+
 LLM_QUERIES = {f.__name__: f for f in (
     op1_quotations, op2_rule_ledger, op3_radix_dedup, op4_warc_index, op5_feistel, op6_order_minhash,
-    op7_attribution, op8_source_mix, op9_bpe_automaton, op10_url_automaton)}
+    op7_attribution, op8_source_mix, op9_bpe_automaton, op10_url_automaton, op11_multi_index, op12_collision_search,
+    op13_bisector_tournament)}
 LLM_QUERIES["pipeline"] = corpus_pipeline.run
 
+_FINITE = "list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))"
+_WHOLE = "list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT)"
+
+
+def _lloyd_sql(rounds: int = 5, k: int = 40) -> str:
+    """Nearest-centroid rounds with all distances spelled out."""
+    parts = [f"""
+x AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, {_WHOLE} AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) = 64 AND {_FINITE}),
+c0 AS MATERIALIZED (SELECT (row_number() OVER (ORDER BY h, v) - 1)::INT AS c, v FROM (
+  SELECT sha256('2:' || vec_id) AS h, v FROM x ORDER BY h, v LIMIT {k}))"""]
+    for n in range(rounds + 1):
+        parts.append(f"""
+a{n} AS MATERIALIZED (
+  SELECT r, any_value(vec_id) AS vec_id, any_value(xv) AS v, min(struct_pack(d := d, c := c)) AS w FROM (
+    SELECT x.r, x.vec_id, x.v AS xv, c.c,
+           list_sum(list_transform(list_zip(x.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d
+    FROM x CROSS JOIN c{n} c) GROUP BY r)""")
+        if n < rounds:
+            parts.append(f"""
+m{n} AS MATERIALIZED (
+  SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS v FROM (
+    SELECT w.c AS c, i, sum(v[i])::BIGINT AS s, count(*)::BIGINT AS n
+    FROM a{n} CROSS JOIN (SELECT unnest(range(1, 65)) AS i) GROUP BY ALL) GROUP BY c),
+c{n + 1} AS MATERIALIZED (SELECT c.c, coalesce(m.v, c.v) AS v FROM c{n} c LEFT JOIN m{n} m ON m.c = c.c)""")
+    return "WITH " + ",".join(parts) + f"""
+SELECT vec_id, w.c AS cluster, w.d AS distance, sum(w.d) OVER (PARTITION BY w.c)::BIGINT AS cluster_inertia,
+       sum(w.d) OVER ()::BIGINT AS inertia, sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN c{rounds} c ON c.c = a.w.c"""
+
+
 LLM_ORACLES = {
+    "op11_multi_index": f"""
+WITH x AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, {_WHOLE} AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND {_FINITE}),
+s AS MATERIALIZED (
+  SELECT a.r AS ar, a.vec_id AS anchor_id, x.r, x.vec_id, x.label = a.label AS same,
+         list_sum(list_transform(list_zip(a.v, x.v), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM x a JOIN x ON x.r <> a.r WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY ar ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM (
+  SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+         (row_number() OVER (PARTITION BY p.ar, p.r ORDER BY n.score DESC, n.vec_id))::INT AS rank
+  FROM p JOIN s n ON n.ar = p.ar AND NOT n.same AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score)
+WHERE rank <= 10""",
+    "op13_bisector_tournament": _lloyd_sql(),
     "op1_quotations": r"""
 WITH RECURSIVE said AS (SELECT conv_id, turn, min(coalesce(text, '')) AS t FROM conversations GROUP BY ALL),
 passages AS (
