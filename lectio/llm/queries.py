@@ -246,7 +246,7 @@ FROM q""",
     "op8_source_mix": r"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-         md5('mix-1:' || coalesce(doc_id::VARCHAR, '')) AS key
+         md5('mix-1:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))) AS key
   FROM documents),
 s AS (
   SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),

@@ -8,16 +8,20 @@ partitioning, so reruns agree.
 
 At scale: the key's leading bits deal each source's rows into as many
 ranges of about ``rows_per_range`` rows as it needs, so a source with a
-third of all rows spreads over many tasks; a prefix sum is the range's
-offset (from per-range totals) plus a running sum inside the range."""
+third of all rows spreads over many tasks. A prefix sum has three parts: the
+range's offset, the offset of a key within its range, and a running sum over
+the rows of one key. Rows share a key only if they repeat both id and text;
+however many do (a third of all rows, say), they are summed by the slice of
+the table that holds them first, so no task gets more of them than a slice
+has."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql.window import Window, WindowSpec
 
-from lectio.llm.common import n_words, new_name, written
+from lectio.llm.common import n_words, written
 
 #: Hex digits of the key that number its range.
 RANGE_DIGITS = 8
@@ -61,61 +65,88 @@ def source_targets(totals: DataFrame, weights: tuple[int, ...] = (3, 1, 2), shar
     return ranked.select("source", "source_size", target.alias("target"))
 
 
-def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-                weights: tuple[int, ...] = (3, 1, 2), share_pct: int = 150, max_epochs: int = 2,
-                seed: str = "mix-1", rows_per_range: int = 4_000) -> DataFrame:
-    """One row per row of ``docs``: id, ``size`` (words; null text: 0),
-    source, ``source_size``, ``target``, ``epochs`` (times the mix takes the
-    document) and ``taken`` (its words, repeats counted).
+def _rows(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: str, *others: Column) -> DataFrame:
+    """(row, slice, id, source, size, key, others...), numbered and written:
+    whatever is planned for a row reaches that row."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    key = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(":"), F.md5(text)))
+    return written(docs.select(F.monotonically_increasing_id().alias("row"), F.spark_partition_id().alias("slice"),
+                               F.col(id_col).alias("id"), F.col(source_col).alias("source"),
+                               n_words(F.col(text_col)).alias("size"), key.alias("key"), *others), "mix-sizes")
 
-    The budget of a source is its target rounded to words. Full epochs take
-    every document; the remainder takes documents in key order while their
-    midpoint lies within it, so a source misses its target by half of one
-    document at most and no document is cut. Null sources form a source of
-    their own. A null id has a key like any other value; rows that repeat
-    an id share a key and follow each other by size. Documents without
-    words take no budget: they follow the cut like the others, with
-    ``taken`` 0. An empty table gives no rows."""
-    key = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
-    rows = written(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"),
-                               n_words(F.col(text_col)).alias("size"), key.alias("key")), "mix-sizes")
+
+def _before(*by: str) -> WindowSpec:
+    return Window.partitionBy(*by).rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _so_far(of: str, window: WindowSpec) -> Column:
+    return F.coalesce(F.sum(of).over(window), F.lit(0).cast("long"))
+
+
+def _planned(rows: DataFrame, weights: tuple[int, ...], share_pct: int, max_epochs: int, rows_per_range: int) -> DataFrame:
+    """The ``rows`` of :func:`_rows` with source_size, target and epochs."""
     counts = written(rows.groupBy(F.col("source").alias("c_source")).agg(
         F.ceil(F.count(F.lit(1)) / rows_per_range).alias("ranges")), "mix-counts")
     rows = (rows.join(counts, F.col("source").eqNullSafe(F.col("c_source")))
             .withColumn("range", F.floor(F.conv(F.substring("key", 1, RANGE_DIGITS), 16, 10).cast("long")
                                          * F.col("ranges") / 16**RANGE_DIGITS).cast("long"))
-            .select("id", "source", "size", "key", "range"))
-    parts = written(rows.groupBy("source", "range").agg(F.sum("size").alias("part_size")), "mix-parts")
+            .select("row", "slice", "id", "source", "size", "key", "range"))
+    keys = written(rows.groupBy("source", "range", "key", "slice").agg(F.sum("size").alias("key_size")), "mix-keys")
+    parts = written(keys.groupBy("source", "range").agg(F.sum("key_size").alias("part_size")), "mix-parts")
     targets = source_targets(parts.groupBy("source").agg(F.sum("part_size").alias("source_size")), weights, share_pct,
                              max_epochs)
-    before = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (parts.withColumn("offset", F.coalesce(F.sum("part_size").over(before), F.lit(0).cast("long")))
+    offsets = (parts.withColumn("offset", _so_far("part_size", _before("source").orderBy("range")))
                .select(F.col("source").alias("o_source"), F.col("range").alias("o_range"), "offset"))
     plan = written(offsets.join(targets, F.col("o_source").eqNullSafe(F.col("source"))).drop("source"), "mix-plan")
-    inside = (Window.partitionBy("source", "range").orderBy("key", "id", "size")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    summed = rows.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0).cast("long")))
+    begins = keys.select("source", "range", "key", "slice",
+                         _so_far("key_size", _before("source", "range").orderBy("key", "slice")).alias("key_offset"))
+    placed = (begins.join(plan, F.col("source").eqNullSafe(F.col("o_source")) & (F.col("range") == F.col("o_range")))
+              .select(F.col("source").alias("k_source"), F.col("key").alias("k_key"), F.col("slice").alias("k_slice"),
+                      (F.col("offset") + F.col("key_offset")).alias("begin"), "source_size", "target"))
+    summed = rows.withColumn("inside", _so_far("size", _before("source", "key", "slice").orderBy("row")))
+    same = F.col("source").eqNullSafe(F.col("k_source")) & (F.col("key") == F.col("k_key")) & (F.col("slice") == F.col("k_slice"))
     budget = F.round("target").cast("long")
-    return (summed.join(plan, F.col("source").eqNullSafe(F.col("o_source")) & (F.col("range") == F.col("o_range")))
+    return (summed.join(placed, same)
             .withColumn("full", F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(F.lit(0)))
             .withColumn("rest", budget - F.col("full") * F.col("source_size"))
             .withColumn("epochs", (F.col("full") + F.when(
-                2 * (F.col("offset") + F.col("inside")) + F.col("size") <= 2 * F.col("rest"), F.lit(1)).otherwise(F.lit(0))
+                2 * (F.col("begin") + F.col("inside")) + F.col("size") <= 2 * F.col("rest"), F.lit(1)).otherwise(F.lit(0))
             ).cast("long"))
             .withColumn("epochs", F.least("epochs", F.lit(max_epochs).cast("long")))
-            .select(F.col("id").alias(id_col), "size", F.col("source").alias(source_col), "source_size", "target", "epochs",
-                    (F.col("epochs") * F.col("size")).alias("taken")))
+            .select("row", "id", "size", "source", "source_size", "target", "epochs"))
+
+
+def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+                weights: tuple[int, ...] = (3, 1, 2), share_pct: int = 150, max_epochs: int = 2,
+                seed: str = "mix-1", rows_per_range: int = 4_000) -> DataFrame:
+    """One row per row of ``docs``: id, ``size`` (words; null text: 0),
+    source, ``source_size``, ``target``, ``epochs`` (times the mix takes the
+    document) and ``taken`` (its words, repeats counted).
+
+    The budget of a source is its target rounded to words. Full epochs take
+    every document; the remainder takes documents in key order while their
+    midpoint lies within it, so a source misses its target by half of one
+    document at most and no document is cut. The key is a hash of id and
+    text: null and repeated ids spread like others, and only rows that repeat
+    both follow each other. Null sources form a source of their own.
+    Documents without words take no budget: they follow the cut like the
+    others, with ``taken`` 0. An empty table gives no rows."""
+    plan = _planned(_rows(docs, id_col, text_col, source_col, seed), weights, share_pct, max_epochs, rows_per_range)
+    return plan.select(F.col("id").alias(id_col), "size", F.col("source").alias(source_col), "source_size", "target", "epochs",
+                       (F.col("epochs") * F.col("size")).alias("taken"))
 
 
-def mixed_documents(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+                    weights: tuple[int, ...] = (3, 1, 2), share_pct: int = 150, max_epochs: int = 2,
+                    seed: str = "mix-1", rows_per_range: int = 4_000) -> DataFrame:
     """The rows of ``docs``, all columns, each as often as the mix takes it.
-    Rows that repeat an id are told apart by their source and size."""
-    source_col, text_col = options.get("source_col", "source"), options.get("text_col", "text")
-    plan = (mix_sources(docs, id_col, **options).where("epochs > 0")
-            .groupBy(F.col(id_col).alias("id"), F.col(source_col).alias("source"), "size")
-            .agg(F.max("epochs").alias("epochs"))).alias("p")
-    own = docs.alias("d")
-    same = (F.col(f"d.{id_col}").eqNullSafe(F.col("p.id")) & F.col(f"d.{source_col}").eqNullSafe(F.col("p.source"))
-            & (n_words(F.col(f"d.{text_col}")) == F.col("p.size")))
-    epoch = F.explode(F.sequence(F.lit(1).cast("long"), F.col("p.epochs")))
-    return own.join(plan, same).select("d.*", epoch.alias(new_name(docs, "epoch"))).drop(new_name(docs, "epoch"))
+    The rows are numbered before they are planned and found again by their
+    number, so the words delivered are the words planned, null and repeated
+    ids included."""
+    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    rows = _rows(docs, id_col, text_col, source_col, seed, F.struct(*(F.col(f"`{c}`").alias(n) for c, n in names.items())).alias("doc"))
+    plan = (_planned(rows.drop("doc"), weights, share_pct, max_epochs, rows_per_range).where("epochs > 0")
+            .select(F.col("row").alias("taken"), "epochs"))
+    chosen = rows.select("row", "doc").join(plan, F.col("row") == F.col("taken"))
+    return (chosen.select("doc", F.explode(F.sequence(F.lit(1).cast("long"), F.col("epochs"))))
+            .select(*(F.col(f"doc.{n}").alias(c) for c, n in names.items())))

@@ -2,6 +2,8 @@ import random
 import re
 from collections import defaultdict
 
+from pyspark.sql import functions as F
+
 from lectio.llm import source_mix as M
 
 
@@ -71,3 +73,29 @@ def test_mixed_documents_repeat_as_planned(odd_docs, no_docs):
     mixed = M.mixed_documents(odd_docs)
     assert mixed.schema == odd_docs.schema and mixed.count() == plan
     assert M.mixed_documents(no_docs).count() == 0
+
+
+def test_words_delivered_are_words_planned_without_ids(spark):
+    """3000 documents without ids and equal sizes, whose source is cut
+    mid-way, and as many that repeat id and text."""
+    rows = [(None, f"a{i} b c d", "cut") for i in range(3000)] + [(7, "same four words here", "cut")] * 1500
+    rows += [(i, "w " * (i % 9), "other") for i in range(800)] + [(None, None, None), (None, "x y", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    plan = M.mix_sources(df, rows_per_range=100)
+    check(rows, plan.collect())
+    planned = {r.source: r.n for r in plan.groupBy("source").agg(F.sum("taken").alias("n")).collect()}
+    words = M.n_words(F.col("text"))
+    mixed = M.mixed_documents(df, rows_per_range=100)
+    assert {r.source: r.n for r in mixed.groupBy("source").agg(F.sum(words).alias("n")).collect()} == planned
+    cut = mixed.where("source = 'cut'").groupBy("doc_id").count().collect()
+    assert all(r["count"] > 0 for r in cut) and len(cut) == 2
+
+
+def test_no_range_or_key_holds_a_source_without_ids(spark):
+    """Null ids spread by their texts; rows that repeat both are summed by slice."""
+    df = spark.range(4000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("t "), "id").alias("text"), F.lit("s").alias("source"))
+    rows = M._rows(df.repartition(4), "doc_id", "text", "source", "x")
+    ranges = rows.groupBy(F.substring("key", 1, 1)).count().collect()
+    assert len(ranges) == 16 and max(r["count"] for r in ranges) < 2 * 4000 / 16
+    same = M._rows(df.withColumn("text", F.lit("same")).repartition(4), "doc_id", "text", "source", "x")
+    assert same.select("key").distinct().count() == 1 and same.groupBy("key", "slice").count().count() >= 2
