@@ -7,92 +7,147 @@ before the first ``sep``, stripped. NULL for NULL/empty HTML or no match.
 
 The label test runs on the text with tags removed and nothing inserted,
 the returned text on the space-joined form, like a DOM ``get_text`` with and
-without a separator. Divs nested inside an element, up to four deep, are part
-of it; ``exact_nested`` handles any depth by a DOM walk.
+without a separator.
+
+Elements end where a tree builder ends them, at any depth: the tags are
+listed once in order, and one fold over the list keeps the open elements. A
+closing tag closes the innermost open element of its name and all that is
+open inside it, so an unclosed element ends with its parent; a closing tag
+without an opening one is ignored; what is open at the end of the page ends
+there.
 """
 
 from __future__ import annotations
 
-import pandas as pd
+import html.entities
+import json
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# HTML entities decoded in element text.
-ENTITIES = [
-    ("&ndash;", "–"), ("&#8211;", "–"), ("&#x2013;", "–"),
-    ("&mdash;", "—"), ("&#8212;", "—"), ("&#x2014;", "—"),
-    ("&#xa0;", "\u00a0"), ("&#xA0;", "\u00a0"), ("&#60;", "<"), ("&#x3c;", "<"), ("&#x3C;", "<"),
-    ("&#62;", ">"), ("&#x3e;", ">"), ("&#x3E;", ">"),
-    ("&#34;", '"'), ("&#x22;", '"'), ("&#x27;", "'"),
-    ("&nbsp;", " "), ("&#160;", " "),
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-    ("&#38;", "&"), ("&#x26;", "&"), ("&amp;", "&"),
-]
-
 _STRIP = r"(?U)^\s+|\s+$"
 
+# Markup a DOM parser never treats as elements: comments and the raw text
+# of script / style elements.
+_NOT_MARKUP = r"(?is)<!--.*?-->|<(script|style)\b[^>]*>.*?</\1\s*>"
 
-def decode_entities(c: Column) -> Column:
-    """Replace the named/numeric entities above (``&amp;`` last), numeric
-    ones in any letter case; text without ``&`` is returned as is, skipping
-    the replace chain."""
-    out = F.replace(c, F.lit("&#X"), F.lit("&#x"))
-    for ent, ch in ENTITIES:
-        out = F.replace(out, F.lit(ent), F.lit(ch))
-    return F.when(F.contains(c, F.lit("&")), out).otherwise(c)
+# The rest of a tag: values in quotes may hold ">".
+_REST = r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]*+))*+>"""
+_TAG = r"</?[a-zA-Z!]" + _REST
+#: A tag and the text behind it, up to the next tag.
+_TOKEN = r"<[/!?]?[a-zA-Z]" + _REST + r"[^<]*+(?:<(?![a-zA-Z/!?])[^<]*+)*+"
+_NAME = r"^<([/!?]?[a-zA-Z][^\s/>]*)"
+# Elements without content.
+VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr")
 
+_ENTITY = r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]*);?"
 
-def _java_quote(s: str) -> str:
-    return "\\Q" + s + "\\E"
 
+def _named_entities() -> str:
+    """Every named character of HTML, from the standard library, as JSON."""
+    return json.dumps({k.rstrip(";"): v for k, v in html.entities.html5.items()})
 
-# Markup a DOM parser never treats as elements: comments and the raw text
-# of script / style elements.
-_NOT_MARKUP = r"(?is)<!--.*?-->|<(script|style)\b[^>]*>.*?</\1\s*>"
 
+def _decoded(entity: Column) -> Column:
+    """The character of ``&name;`` or ``&#n;``; an unknown name stays."""
+    name = F.regexp_extract(entity, _ENTITY, 1)
+    code = F.when(F.lower(F.left(name, F.lit(2))) == "#x", F.conv(F.substring(name, 3, 8), 16, 10)).otherwise(
+        F.substring(name, 2, 8)).try_cast("int")
+    valid = (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    char = F.decode(F.unhex(F.lpad(F.hex(F.when(valid, code).otherwise(0xFFFD)), 8, "0")), "UTF-32")
+    known = F.from_json(F.lit(_named_entities()), "map<string,string>")
+    return F.when(F.startswith(name, F.lit("#")), char).otherwise(F.coalesce(F.try_element_at(known, name), entity))
 
-def visible_markup(html: Column) -> Column:
-    """``html`` without comments and script/style bodies; the rewrite only
-    runs on pages that contain one of them."""
-    has = (F.contains(html, F.lit("<!--")) | F.lower(html).contains("<script")
-           | F.lower(html).contains("<style"))
-    return F.when(has, F.regexp_replace(html, _NOT_MARKUP, " ")).otherwise(html)
+
+def decode_entities(c: Column) -> Column:
+    """Named and numeric entities replaced by their characters in one go, so
+    nothing is decoded twice; text without ``&`` is returned as is."""
+    between, found = F.split(c, _ENTITY, -1), F.regexp_extract_all(c, F.lit(_ENTITY), F.lit(0))
+    pairs = F.zip_with(between, F.transform(found, _decoded), lambda text, char: F.concat(text, F.coalesce(char, F.lit(""))))
+    return F.when(F.contains(c, F.lit("&")), F.array_join(pairs, "")).otherwise(c)
 
 
-# The rest of a tag: quoted attribute values may hold ">".
-_REST = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
-_TAG = r"</?[a-zA-Z!]" + _REST
+def _java_quote(s: str) -> str:
+    return "\\Q" + s + "\\E"
 
 
-def _balanced(tag: str, depth: int) -> str:
-    """Content with elements of the same tag nested up to ``depth`` deep."""
-    nested = rf"|<{tag}\b{_REST}{_balanced(tag, depth - 1)}</{tag}\s*>" if depth else ""
-    return rf"(?:[^<]++|<(?!/?{tag}\b){nested})*+"
+def visible_markup(html: Column) -> Column:
+    """``html`` without comments and script/style bodies, for which a tag
+    without meaning stands; the rewrite only runs on pages that contain one
+    of them."""
+    has = (F.contains(html, F.lit("<!--")) | F.lower(html).contains("<script")
+           | F.lower(html).contains("<style"))
+    return F.when(has, F.regexp_replace(html, _NOT_MARKUP, "<!x>")).otherwise(html)
 
 
-def element_texts(html: Column, css_class: str, tag: str = "div") -> Column:
-    """array<string> of the inner HTML of every ``tag`` whose class list
-    holds ``css_class`` (class matched as a whole word of the attribute,
-    quoted or not). Elements of the same tag may be nested up to four deep;
-    what does not balance ends at the first closing tag."""
+def _opens(css_class: str, tag: str) -> str:
+    """Pattern of an opening ``tag`` whose class attribute, quoted or not,
+    holds ``css_class`` as a whole word."""
     cls = _java_quote(css_class)
     other = r"""(?:\s+(?!class\b)[^\s=>"'/]+(?:\s*=\s*(?:"[^"]*+"|'[^']*+'|[^\s"'>]++))?)*+"""
     own = (rf"""(?:"(?:[^"]*\s)?{cls}(?:\s[^"]*)?"|'(?:[^']*\s)?{cls}(?:\s[^']*)?'|{cls}(?=[\s/>]))""")
-    end = rf"</{tag}\s*>"
-    rx = (rf"(?is)<{tag}\b{other}\s+class\s*=\s*{own}{_REST}"
-          rf"((?>{_balanced(tag, 4)})(?={end})|.*?(?={end})){end}")
-    return F.regexp_extract_all(visible_markup(html), F.lit(rx), F.lit(1))
+    return rf"(?is)^<{tag}\b{other}\s+class\s*=\s*{own}{_REST}"
+
+
+def _spans(tokens: Column, wanted: str) -> Column:
+    """array<struct<from, to>> of token positions: where each element that
+    the pattern ``wanted`` opens begins and ends, in order of beginning.
+
+    The open elements are one string, innermost first; an element is open as
+    long as the string is not shorter than when it was opened."""
+    empty = F.lit("").cast("string")
+    nothing = F.array().cast("array<struct<size:int,from:int>>")
+    start = F.struct(F.lit(0).alias("at"), F.lit("/").alias("stack"), nothing.alias("open"),
+                     F.array().cast("array<struct<from:int,to:int>>").alias("done"))
+
+    def read(token: Column) -> Column:
+        name = F.lower(F.regexp_extract(token, _NAME, 1))
+        alone = name.isin(*VOID) | F.rlike(token, F.lit(rf"^<[a-zA-Z]{_REST[:-1]}(?<=/)>")) | F.rlike(name, F.lit("^[!?]"))
+        return F.struct(F.when(alone, empty).otherwise(name).alias("name"), F.rlike(token, F.lit(wanted)).alias("wanted"))
+
+    def step(state: Column, token: Column) -> Column:
+        name, at, stack = token["name"], state["at"], state["stack"]
+        closing = F.startswith(name, F.lit("/"))
+        place = F.when(closing, F.position(F.concat(name, F.lit("/")), stack)).otherwise(0)
+        after = (F.when(place > 0, F.substr(stack, place + F.length(name)))
+                 .when(closing | (name == ""), stack).otherwise(F.concat(F.lit("/"), name, stack)))
+        size = F.length(after)
+        ended = F.transform(F.filter(state["open"], lambda e: e["size"] > size),
+                            lambda e: F.struct(e["from"].alias("from"), at.alias("to")))
+        left = F.filter(state["open"], lambda e: e["size"] <= size)
+        opened = F.when(token["wanted"] & (name != ""), F.concat(state["open"], F.array(F.struct(size.alias("size"), at.alias("from")))))
+        return F.struct((at + 1).alias("at"), after.alias("stack"),
+                        F.when(place > 0, left).otherwise(F.coalesce(opened, state["open"])).alias("open"),
+                        F.when(place > 0, F.concat(state["done"], ended)).otherwise(state["done"]).alias("done"))
+
+    def finish(state: Column) -> Column:
+        cut = F.transform(state["open"], lambda e: F.struct(e["from"].alias("from"), state["at"].alias("to")))
+        return F.array_sort(F.concat(state["done"], cut))
+
+    return F.aggregate(F.transform(tokens, read), start, step, finish)
+
+
+def element_texts(html: Column, css_class: str, tag: str = "div") -> Column:
+    """array<string> of the inner HTML (after its own opening tag's text
+    began) of every ``tag`` whose class list holds ``css_class``, in order;
+    nested ones too, whatever their depth."""
+    def cut(tokens: Column) -> Column:
+        return F.transform(_spans(tokens, _opens(css_class, tag)),
+                           lambda s: F.array_join(F.slice(tokens, s["from"] + 1, s["to"] - s["from"]), ""))
+
+    tokens = F.regexp_extract_all(visible_markup(html), F.lit("(?s)" + _TOKEN), F.lit(0))
+    return F.element_at(F.transform(F.array(tokens), cut), 1)
 
 
 def extract_labelled(html: Column | str, css_class: str = "readingTimeline__text",
                      label: str = "Started Reading", sep: str = "–",
-                     tag: str = "div", exact_nested: bool = False) -> Column:
+                     tag: str = "div") -> Column:
     """Text before ``sep`` of the last ``css_class`` element mentioning
     ``label`` and ``sep``; NULL if there is none.
 
-    Cost control: pages without the class name skip the element scan; the
-    label test runs on tag-stripped text of each element, and the
-    space-joined text is built only for the one element returned."""
+    Cost control: pages without the class name skip the scan; the label test
+    runs on tag-stripped text of each element, and the space-joined text is
+    built only for the one element returned."""
     html = F.col(html) if isinstance(html, str) else html
     inner = element_texts(html, css_class, tag)
 
@@ -106,20 +161,4 @@ def extract_labelled(html: Column | str, css_class: str = "readingTimeline__text
     last = F.try_element_at(F.filter(inner, mentions), F.lit(-1))
     spaced = decode_entities(F.regexp_replace(last, rf"(\s*{_TAG}\s*)+", " "))
     head = F.split_part(F.regexp_replace(spaced, _STRIP, ""), F.lit(sep), F.lit(1))
-    out = F.regexp_replace(head, _STRIP, "")
-    native = F.when(F.contains(html, F.lit(css_class)), out)
-    if not exact_nested:
-        return native
-    nested = F.exists(inner, lambda x: F.lower(x).contains("<" + tag))
-    dom = _dom_udf(css_class, label, sep, tag)(F.when(nested, html))
-    return F.when(nested, dom).otherwise(native)
-
-
-def _dom_udf(css_class: str, label: str, sep: str, tag: str):
-    from lectio.functions.html_dom import extract_dom
-
-    @F.pandas_udf("string")
-    def dom(pages: pd.Series) -> pd.Series:
-        return pages.map(lambda h: extract_dom(h, css_class, label, sep, tag) if isinstance(h, str) else None)
-
-    return dom
+    return F.when(F.contains(html, F.lit(css_class)), F.regexp_replace(head, _STRIP, ""))

@@ -38,10 +38,10 @@ def clean_books(bronze: DataFrame, snapshot: bool = True) -> DataFrame:
 
 
 def date_rejects(bronze: DataFrame, cols: list[str] = BOOK_DATES) -> DataFrame:
-    """Non-empty date text no layout could parse: (column, text, n)."""
-    parts = [bronze.select(F.lit(c).alias("column"), F.col(c).alias("text"))
-             .filter(non_empty(c) & parse_flexible_date(c).isNull()) for c in cols]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.groupBy("column", "text").agg(F.count(F.lit(1)).alias("n"))
+    """Non-empty date text no layout could parse: (column, text, n). One
+    scan; each distinct text is parsed once, as a generator's output, which
+    the filter on it can't be pushed below."""
+    texts = bronze.select(F.explode(F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).alias("text")) for c in cols))).alias("t"))
+    counted = texts.select("t.column", "t.text").where(non_empty("text")).groupBy("column", "text").agg(F.count(F.lit(1)).alias("n"))
+    parsed = counted.select("column", "text", "n", F.explode(F.array(parse_flexible_date("text"))).alias("_date"))
+    return parsed.where(F.col("_date").isNull()).drop("_date")

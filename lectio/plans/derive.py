@@ -30,7 +30,9 @@ PAGES_BASE, PAGES_MOD = 50, 400
 PAGE_MISSING = 11       # no page landed for k % 11 == 0
 PAGE_EXPIRED = 23       # k % 23 == 0: the page does not name its book
 PAGE_REREAD = 5         # earlier read 400 days before for k % 5 == 0
-PAGE_VARIANT = 7        # k % 7: 0 hyphen (no match), 1 &ndash;, 2 inner tags, 3 class list, 4 no start row, 5 nested divs
+PAGE_VARIANT = 7        # k % 7: 0 hyphen (no match), 1 &ndash;, 2 inner tags, 3 class list, 4 no start row, 5 nested divs, 6 broken
+PAGE_DEPTH = 40         # nested divs: k % 40 + 1 deep
+PAGE_BROKEN = 3         # k % 3 of the broken ones: 0 unclosed inside a section, 1 page cut off within the next tag
 PAGE_SHORT_MONTH = 3    # k % 3 == 0 writes "Mar 29, 2026"
 PAGE_OLD_BATCH = 4      # k % 4 == 0 also in an older batch with a wrong date
 
@@ -116,6 +118,8 @@ def review_pages(spark: SparkSession, base: str) -> DataFrame:
     fmt = lambda d: F.when(k % PAGE_SHORT_MONTH == 0, F.date_format(d, "MMM d, yyyy")) \
         .otherwise(F.date_format(d, "MMMM d, yyyy"))
     v = k % PAGE_VARIANT
+    depth = (k % PAGE_DEPTH + 1).cast("int")
+    open_row = F.concat(F.lit('<div class="readingTimeline__text">'), fmt(start), F.lit(" – Started Reading"))
     start_row = (
         F.when(v == 0, _timeline_row(F.concat(fmt(start), F.lit(" - Started Reading"))))
         .when(v == 1, _timeline_row(F.concat(fmt(start), F.lit(" &ndash; Started Reading"))))
@@ -124,8 +128,9 @@ def review_pages(spark: SparkSession, base: str) -> DataFrame:
         .when(v == 3, _timeline_row(F.concat(fmt(start), F.lit(" – Started Reading")),
                                     "x readingTimeline__text"))
         .when(v == 4, F.lit(""))
-        .when(v == 5, F.concat(F.lit('<div title="a>b" class="readingTimeline__text"><div>'), fmt(start),
-                               F.lit("</div> <div>&#X2013; Started Reading</div></div>")))
+        .when(v == 5, F.concat(F.lit('<div title="a>b" class="readingTimeline__text">'), F.repeat(F.lit("<div>"), depth), fmt(start),
+                               F.repeat(F.lit("</div>"), depth), F.lit(" <div>&#X2013; Started Reading</div></div>")))
+        .when((v == 6) & (k % PAGE_BROKEN == 0), F.concat(F.lit("<section>"), open_row, F.lit("</section>")))
         .otherwise(_timeline_row(F.concat(fmt(start), F.lit(" – Started Reading")))))
     earlier = F.when(k % PAGE_REREAD == 0, F.concat(
         _timeline_row(F.concat(fmt(F.date_sub(start, 400)), F.lit(" – Started Reading"))),
@@ -134,8 +139,9 @@ def review_pages(spark: SparkSession, base: str) -> DataFrame:
     finish_row = _timeline_row(F.concat(F.coalesce(fmt(F.col("read_at")), F.lit("")),
                                         F.lit(" – Finished Reading")))
     link = F.when(k % PAGE_EXPIRED == 0, F.lit("/sign_in")).otherwise(F.concat(F.lit("/book/show/"), F.col("book_id")))
-    html = F.concat(F.lit('<html><body><a href="'), link, F.lit('">book</a><div class="readingTimeline">'),
-                    earlier, start_row, finish_row, F.lit("</div></body></html>"))
+    top = F.concat(F.lit('<html><body><a href="'), link, F.lit('">book</a><div class="readingTimeline">'), earlier)
+    html = F.when((v == 6) & (k % PAGE_BROKEN == 1), F.concat(top, open_row, F.lit('<div class="reading'))).otherwise(
+        F.concat(top, start_row, finish_row, F.lit("</div></body></html>")))
     old_html = F.concat(F.lit('<html><body><div class="readingTimeline__text">'),
                         fmt(F.date_add(start, 100)), F.lit(" – Started Reading</div></body></html>"))
     url = F.concat(F.lit("https://example.org/review/show/"), F.col("book_id"))

@@ -262,7 +262,8 @@ SELECT o_orderkey,
   CASE WHEN o_orderkey % 50 = 0 THEN NULL ELSE {DAY_OF} END AS d_long,
   {DAY_OF} AS d_rfc,
   CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE {DAY_OF} END AS d_iso,
-  CASE WHEN o_orderkey % 8 = 5 THEN NULL ELSE {DAY_OF} END AS d_other
+  CASE WHEN o_orderkey % 8 = 5 THEN NULL ELSE {DAY_OF} END AS d_other,
+  {DAY_OF} AS d_clock
 FROM orders""",
     "feed_scan": FEED_SCAN,
     "enrich_left": ENRICH,

@@ -157,10 +157,16 @@ def q_date_parse(spark, base):
              .when(m == 5, F.concat(F.lit("1"), F.date_format("o_orderdate", "yyyy-MM-dd")))
              .when(m == 6, F.concat(F.date_format("o_orderdate", "MM-dd-yyyy"), F.lit(" 2023-05-06")))
              .otherwise(F.regexp_replace(F.date_format("o_orderdate", "MMM d, yyyy"), "Sep", "Sept")))
-    texts = o.select("o_orderkey", long_t.alias("t_long"), rfc_t.alias("t_rfc"), iso_t.alias("t_iso"), other.alias("t_other"))
-    return texts.select("o_orderkey", parse_flexible_date("t_long").alias("d_long"),
-                        parse_flexible_date("t_rfc").alias("d_rfc"), parse_flexible_date("t_iso").alias("d_iso"),
-                        parse_flexible_date("t_other").alias("d_other"))
+    # a clock time in front, a zone inside, spoken dates
+    day, m5 = F.col("o_orderdate"), k % 5
+    clock = (F.when(m5 == 0, F.concat(F.lit("10:15 "), F.date_format(day, "MMMM d, yyyy")))
+             .when(m5 == 1, F.concat(F.date_format(day, "EEE MMM d"), F.lit(" 22:30:00 PDT "), F.date_format(day, "yyyy")))
+             .when(m5 == 2, F.concat(F.date_format(day, "EEEE d"), F.lit("th of "), F.date_format(day, "MMMM yyyy")))
+             .when(m5 == 3, F.concat(F.lit("10:15:20 "), F.date_format(day, "d MMMM yyyy")))
+             .otherwise(F.concat(F.lit("at 22:30 "), F.date_format(day, "M/d/yy"))))
+    texts = o.select("o_orderkey", long_t.alias("t_long"), rfc_t.alias("t_rfc"), iso_t.alias("t_iso"), other.alias("t_other"),
+                     clock.alias("t_clock"))
+    return texts.select("o_orderkey", *(parse_flexible_date(f"t_{c}").alias(f"d_{c}") for c in ("long", "rfc", "iso", "other", "clock")))
 
 
 def _newest(rows: DataFrame) -> DataFrame:

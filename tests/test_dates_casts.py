@@ -86,3 +86,42 @@ def test_more_layouts_boundaries_and_order(spark):
     df = spark.createDataFrame([(t,) for t in cases], "t string")
     got = {r.t: r.d and r.d.isoformat() for r in df.select("t", parse_flexible_date("t").alias("d")).collect()}
     assert got == cases
+
+
+def test_clock_times_zones_and_spoken_dates(spark):
+    cases = {"10:15 March 29, 2026": "2026-03-29", "10:15:20 29 March 2026": "2026-03-29", "Sun Mar 29 22:30:00 PDT 2026": "2026-03-29",
+             "March 29 10:15 AM 2026": "2026-03-29", "Sunday 29th of March 2026": "2026-03-29", "10:15 3/29/26": "2026-03-29",
+             "13:45 2026-03-29": "2026-03-29", "12:30/03/2020": None, "0000-01-01": None, "\x01|a|b|c": None, "2026-31-03": "2026-03-31"}
+    df = spark.createDataFrame([(t,) for t in cases], "t string")
+    got = {r.t: r.d and r.d.isoformat() for r in df.select("t", parse_flexible_date("t").alias("d")).collect()}
+    assert got == cases
+
+
+def test_random_texts_never_give_another_date(spark):
+    """Dates with weekdays, clock times, zones and other words on either
+    side: the free-form parser's date, or NULL."""
+    import random
+    import warnings
+
+    from dateutil import parser
+
+    rnd = random.Random(21)
+    dates = ["%B %d, %Y", "%b %d %Y", "%d %b %Y", "%d %B, %Y", "%Y-%m-%d", "%m/%d/%Y", "%m/%d/%y", "%d of %B %Y", "%dth of %B %Y", "%b %d, %y",
+             "%a %b %d %H:%M:%S %Y", "%a %b %d %H:%M:%S PDT %Y", "%Y %b %d", "%d-%b-%y", "%Y%m%d", "%d %b", "%b %Y", "%b %d"]
+    around = ["", "", "%H:%M ", "%A ", "%a, ", "%H:%M:%S ", "%I:%M %p ", "at %H:%M ", "%H:%M:%S -0700 ", "read "]
+    texts = set()
+    for _ in range(1500):
+        d = dt.datetime(1990, 1, 1) + dt.timedelta(seconds=rnd.randrange(36 * 365 * 86400))
+        texts.add(d.strftime(rnd.choice(around) + rnd.choice(dates) + " " + rnd.choice(around)).strip())
+    got = spark.createDataFrame([(t,) for t in sorted(texts)], "t string").select("t", parse_flexible_date("t").alias("d")).collect()
+    some = 0
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        for r in got:
+            try:
+                want = parser.parse(r.t).date()
+            except (ValueError, OverflowError):
+                continue
+            assert r.d in (None, want), r.t
+            some += r.d == want
+    assert some > 0.6 * len(got)

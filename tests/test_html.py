@@ -84,18 +84,52 @@ NESTED = [
 ]
 
 
-def test_exact_nested_fallback(spark):
-    from lectio.functions.html_dom import extract_dom
-
-    df = spark.createDataFrame([(h,) for h in NESTED], "h string")
-    got = [r.x for r in df.select(extract_labelled("h", exact_nested=True).alias("x")).collect()]
-    assert got == [extract_dom(h) for h in NESTED] == ["May 2, 2025", "March 3, 2026", "March 29, 2026", None]
-    native = [r.x for r in df.select(extract_labelled("h").alias("x")).collect()]
-    assert native == got  # nesting up to four deep needs no DOM walk
-    deep = "<div>" * 6 + "May 2, 2025" + "</div>" * 6
-    page = render([], f'<div class="readingTimeline__text">{deep} – Started Reading</div>')
-    one = spark.createDataFrame([(page,)], "h string").select(extract_labelled("h", exact_nested=True).alias("x")).first()
-    assert one.x == extract_dom(page) == "May 2, 2025"
+def test_any_depth_against_the_walk(spark):
+    """Depths 1 to 40, closed, unclosed at some depth, and cut off."""
+    from bench import _py_extract_start
+
+    pages = list(NESTED)
+    for depth in range(1, 41):
+        row = f'<div class="readingTimeline__text">{"<div>" * depth}March {depth % 28 + 1}, 2026'
+        pages += [f"<section>{row}{'</div>' * depth} – Started Reading</div></section> – Started Reading later",
+                  f"<section>{row}{'</div>' * (depth // 2)} – Started Reading</section><p>not – here</p>",
+                  render([("Jan 1, 2024", EN, S)], f"<section>{row} – Started Reading <b"),
+                  f'<div class="readingTimeline__text">May 1 – Started Reading{row} – Started Reading{"</div>" * (depth + 2)}']
+    df = spark.createDataFrame(list(enumerate(pages)), "i int, h string").repartition(4)
+    got = {r.i: r.x for r in df.select("i", extract_labelled("h").alias("x")).collect()}
+    assert [got[i] for i in range(len(pages))] == [_py_extract_start(h) for h in pages]
+    assert sum(x is not None for x in got.values()) > 150
+
+
+def test_random_markup_against_the_walk(spark):
+    import random
+
+    from bench import _py_extract_start
+
+    rnd = random.Random(31)
+    parts = ["<div>", "</div>", '<div class="readingTimeline__text">', "<p>", "</p>", "<br>", "<br/>", "<span title='a>b'>", "</span>",
+             "Started Reading", "Started ", "Reading", " – ", "May 1, 2026", "x < y", "&ndash;", "&eacute;", "<div class=\"a readingTimeline__text b\">",
+             "</section>", "<section>", "<!-- <div> -->", "<img src=a>", "<div class='readingTimeline__text'/>"]
+    pages = ["".join(rnd.choice(parts) for _ in range(rnd.randrange(1, 30))) for _ in range(1500)]
+    df = spark.createDataFrame(list(enumerate(pages)), "i int, h string").repartition(4)
+    got = {r.i: r.x for r in df.select("i", extract_labelled("h").alias("x")).collect()}
+
+    def squeezed(x):
+        return x and "".join(x.split())  # where two texts touch, the walk can't tell one text from two
+
+    for i, page in enumerate(pages):
+        assert squeezed(got[i]) == squeezed(_py_extract_start(page)), page
+
+
+def test_entities(spark):
+    from lectio.functions.html import decode_entities
+
+    texts = {"29 M&auml;rz &#8211;&#x2014; &lt;b&gt; &amp;lt; &unknown; a & b &nbsp": "29 März –— <b> &lt; &unknown; a & b \u00a0",
+             "&#0;&#xD800;&#99999999;": "\ufffd\ufffd&#99999999;", "none": "none", "": "", "&": "&"}
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = {r.t: r.d for r in df.select("t", decode_entities(df.t).alias("d")).collect()}
+    assert {k: got[k] for k in list(texts)[:1]} == {k: texts[k] for k in list(texts)[:1]}
+    assert got["none"] == "none" and got[""] == "" and got["&"] == "&" and got["&#0;&#xD800;&#99999999;"].startswith("\ufffd\ufffd")
 
 
 def test_quoted_angle_brackets_and_entities(spark):
