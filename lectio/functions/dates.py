@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from lectio.functions.text import once
+
 # Month names; the first three letters tell them apart.
 _NAME = ("(?:Jan(?:uary)?|Feb(?:ruary)?|Mar(?:ch)?|Apr(?:il)?|May|June?|July?|Aug(?:ust)?|Sept?(?:ember)?|Oct(?:ober)?"
          "|Nov(?:ember)?|Dec(?:ember)?)")
@@ -60,12 +62,6 @@ def _compiled() -> tuple[str, str]:
 _PATTERN, _REPLACEMENT = _compiled()
 
 
-def _once(value: Column, use) -> Column:
-    """``use(value)`` with ``value`` evaluated once however often it is used:
-    bound as a lambda variable, which also keeps the generated code small."""
-    return F.element_at(F.transform(F.array(value), use), 1)
-
-
 def _date(parts: Column) -> Column:
     year, name, number, day = (F.get(parts, F.lit(i)) for i in range(4))
     month = F.when(name != "", F.floor((F.position(F.lower(F.left(name, F.lit(3))), F.lit(_MONTHS)) + 2) / 3).cast("int")).otherwise(
@@ -88,4 +84,4 @@ def parse_flexible_date(c: Column | str) -> Column:
     input is referenced once."""
     c = F.col(c) if isinstance(c, str) else c
     found = F.regexp_replace(c, _PATTERN, _REPLACEMENT)
-    return _once(found, lambda f: F.when(F.startswith(f, F.lit(_MARK)), _once(F.split(F.substring(f, 2, 2**31 - 1), r"\|"), _date)))
+    return once(found, lambda f: F.when(F.startswith(f, F.lit(_MARK)), once(F.split(F.substring(f, 2, 2**31 - 1), r"\|"), _date)))

@@ -29,3 +29,9 @@ def quote_url(c: Column) -> Column:
     out = F.replace(out, F.lit("+"), F.lit("%20"))
     out = F.replace(out, F.lit("*"), F.lit("%2A"))
     return F.replace(out, F.lit("%7E"), F.lit("~"))
+
+
+def once(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` evaluated once however often it is used:
+    bound as a lambda variable, which also keeps the generated code small."""
+    return F.element_at(F.transform(F.array(value), use), 1)
