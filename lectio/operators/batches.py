@@ -7,6 +7,8 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lectio.session import scratch_path
+
 
 def latest_batch(df: DataFrame, ts: str = "_ingested_at") -> DataFrame:
     """Rows whose ``ts`` equals the table maximum.
@@ -19,6 +21,17 @@ def latest_batch(df: DataFrame, ts: str = "_ingested_at") -> DataFrame:
     return df.filter(F.col(ts) == newest)
 
 
+def latest_written(df: DataFrame, ts: str = "_ingested_at") -> DataFrame:
+    """F1 for a frame that is derived on the fly: it is derived once and
+    written, and newest value and rows are read from what was written. (On a
+    plain scan :func:`latest_batch` reads the source's own ``ts`` column and
+    needs no copy.)"""
+    spark = df.sparkSession
+    path = scratch_path(spark, "snapshot")
+    df.write.parquet(path)
+    return latest_batch(spark.read.schema(df.schema).parquet(path), ts)
+
+
 def stamp_batch(df: DataFrame, source: str, batch_ts: _dt.datetime | str | None = None) -> DataFrame:
     """``_ingested_at`` (one constant per batch) and ``_source``. Pass
     ``batch_ts`` to make retries and tests deterministic; otherwise the

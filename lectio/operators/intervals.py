@@ -129,19 +129,55 @@ def day_weight(day: Column, start: str = "started_reading", end: str = "read_at"
     return F.when((_c(start) != _c(end)) & on_shared_boundary, F.lit(0.5)).otherwise(F.lit(1.0))
 
 
+def half_days(start: str = "started_reading", end: str = "read_at") -> Column:
+    """Twice the effective days (T4), a whole number."""
+    return (2 * effective_days(start, end)).cast("long")
+
+
+def day_halves(day: Column, start: str = "started_reading", end: str = "read_at") -> Column:
+    """Twice a day's weight (T6): 1 or 2."""
+    return (2 * day_weight(day, start, end)).cast("long")
+
+
+#: Decimal places of the exact part sums: the units of one share that may be
+#: lost by cutting it are far below any rounding that follows.
+SHARE_SCALE = 12
+
+
+def exact_total(amount: Column, halves: Column, parts: Column, scale: int | None) -> Column:
+    """Aggregate: the sum of ``amount * halves / parts``, which does not
+    depend on the order in which Spark adds the rows.
+
+    Each share is a whole quotient plus a remainder over ``parts``; quotients
+    are added as whole numbers, remainders as decimals cut at ``SHARE_SCALE``
+    places, and the sum is rounded once, half up (``scale`` None: not)."""
+    units = amount.cast("long") * halves
+    rest = F.pmod(units, parts)
+    whole = F.call_function("div", units - rest, parts)
+    total = F.sum(whole).cast(f"decimal(38,{SHARE_SCALE})") + F.sum(
+        (rest.cast("decimal(19,0)") / parts.cast("decimal(19,0)")).cast(f"decimal(20,{SHARE_SCALE})")).cast(f"decimal(38,{SHARE_SCALE})")
+    return (total if scale is None else F.round(total, scale)).cast("double")
+
+
 def allocate_daily(complete: DataFrame, key: str = "username", start: str = "started_reading",
                    end: str = "read_at", amount: str = "num_pages",
                    label: str = "title", boundaries: DataFrame | None = None) -> DataFrame:
     """One row per (key, day, label) with the day's share."""
-    flagged = flag_shared_boundaries(complete, key, start, end, boundaries)
-    eff = effective_days(start, end)
-    days = flagged.select(key, start, end, amount, label, "start_shares_finish",
-                          "finish_shares_start", eff.alias("effective_reading_days"),
-                          F.explode(F.sequence(_c(start), _c(end))).alias("date"))
-    share = _c(amount) * day_weight(F.col("date"), start, end) / _c("effective_reading_days")
+    days = _book_days(complete, key, start, end, amount, label, boundaries)
+    share = _c(amount) * (F.col("_halves") / F.lit(2.0)) / (F.col("_parts") / F.lit(2.0))
     return days.select(_c(key), F.col("date"), _c(label), share.alias("pages_per_day"))
 
 
+def _book_days(complete: DataFrame, key: str, start: str, end: str, amount: str, label: str,
+               boundaries: DataFrame | None) -> DataFrame:
+    """One row per (key, day, label): the amount, and the day's share of it
+    as ``_halves`` of ``_parts``."""
+    flagged = flag_shared_boundaries(complete, key, start, end, boundaries)
+    days = flagged.select(key, start, end, amount, label, "start_shares_finish", "finish_shares_start",
+                          half_days(start, end).alias("_parts"), F.explode(F.sequence(_c(start), _c(end))).alias("date"))
+    return days.select(key, "date", label, amount, "_parts", day_halves(F.col("date"), start, end).alias("_halves"))
+
+
 def date_spine(complete: DataFrame, key: str = "username", start: str = "started_reading",
                end: str = "read_at", boundaries: DataFrame | None = None) -> DataFrame:
     """Every day between a user's first start and last finish.
@@ -187,8 +223,9 @@ def pages_per_day(books: DataFrame, key: str = "username", start: str = "started
     """Gold daily series (T1-T10, A2-A4, A8):
     (key, date, est_pages_read double, books_in_progress array<string>).
 
-    ``complete=True`` skips the completeness filter when the caller
-    already applied it. The title list of a (user, day) is the output row
+    The sums are exact (:func:`exact_total`): they don't change with the
+    number of shuffle partitions. ``complete=True`` skips the completeness
+    filter when the caller already applied it. The title list of a (user, day) is the output row
     itself: it holds every book that user has open that day, in full.
     ``scale`` rounds the day's sum (None: unrounded).
 
@@ -202,15 +239,14 @@ def pages_per_day(books: DataFrame, key: str = "username", start: str = "started
     ok = books if complete else complete_intervals(books, start, end, amount, max_days)
     ok = ok.select(key, start, end, amount, label)
     b = boundary_days(ok, key, start, end)
-    contrib = allocate_daily(ok, key, start, end, amount, label, b)
+    contrib = _book_days(ok, key, start, end, amount, label, b)
     null_user = _c(key).isNull()
     contrib = contrib.select(
-        key, "date",
-        F.when(null_user, F.lit(0.0)).otherwise(_c("pages_per_day")).alias("pages_per_day"),
+        key, "date", "_halves", "_parts",
+        F.when(null_user, F.lit(0)).otherwise(_c(amount)).alias("_amount"),
         F.when(null_user, F.lit(None).cast("string")).otherwise(_c(label)).alias(label))
-    total = F.sum("pages_per_day")
     days = contrib.groupBy(key, "date").agg(
-        (total if scale is None else F.round(total, scale)).alias("est_pages_read"),
+        exact_total(F.col("_amount"), F.col("_halves"), F.col("_parts"), scale).alias("est_pages_read"),
         F.sort_array(F.collect_list(label)).alias("books_in_progress"))
     zero = gap_days(ok, key, start, end).select(
         key, "date", F.lit(0.0).alias("est_pages_read"), F.array().cast("array<string>").alias("books_in_progress"))

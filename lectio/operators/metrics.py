@@ -8,10 +8,12 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from lectio.functions.text import bullet_list
+from lectio.session import scratch_path
 
 
 def date_range(df: DataFrame, start: str | _dt.date | None = None,
@@ -38,24 +40,51 @@ def rolling_mean(df: DataFrame, n: int = 7, value: str = "est_pages_read",
     return df.withColumn(out, F.avg(value).over(w))
 
 
+def numbered(df: DataFrame, *order: Column | str, name: str = "position") -> DataFrame:
+    """``df`` in the global order of ``order``, each row with its
+    ``position`` from 1.
+
+    No task sees all rows: they are range-sorted and written once (the
+    ranges, and which row is in which, are then fixed), every file's rows are
+    numbered where they are, and a file's numbers begin after the count of
+    all rows in files before it. Only the counts, one per range, pass through
+    a window without a partition. Rows that tie on ``order`` have positions
+    next to each other in no certain order; name enough columns."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "ordered")
+    part, row = "_range", "_at"
+    ranged = df.repartitionByRange(*[F.col(c) if isinstance(c, str) else c for c in order]).sortWithinPartitions(*order)
+    # the number within a range is the row's place in its task, taken as it is written
+    (ranged.withColumn(part, F.spark_partition_id()).withColumn(row, F.monotonically_increasing_id())
+     .write.parquet(path))
+    rows = spark.read.schema(StructType([*df.schema.fields, StructField(part, IntegerType()), StructField(row, LongType())])).parquet(path)
+    counts = rows.groupBy(part).agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1))
+    offsets = counts.select(F.col(part).alias("_of"), F.coalesce(before, F.lit(0)).alias("_before"))
+    placed = rows.join(offsets, F.col(part) == F.col("_of"))
+    inside = F.col(row).bitwiseAND(F.lit(2**33 - 1))
+    return placed.select(*[F.col(f"`{c}`") for c in df.columns], (F.col("_before") + inside + 1).alias(name))
+
+
 def daily_view(gold_daily: DataFrame, ordered: bool = False) -> DataFrame:
     """Count of books in progress plus the list as ``book_titles``.
-    ``ordered`` adds the (username, date) order of a dashboard read (R2);
-    leave it off when the consumer does not need a global order."""
+    ``ordered`` adds the ``position`` of a dashboard read in (username, date)
+    order (R2); leave it off when the consumer needs no global order."""
     v = gold_daily.select(
         "username", "date", "est_pages_read",
         F.size("books_in_progress").alias("books_in_progress"),
         F.col("books_in_progress").alias("book_titles"))
-    return v.orderBy("username", "date") if ordered else v
+    return numbered(v, "username", "date") if ordered else v
 
 
 def genre_view(gold_genre: DataFrame, ordered: bool = False) -> DataFrame:
-    """Typed projection of the genre gold table (R2 order optional)."""
+    """Typed projection of the genre gold table (R2 ``position`` in
+    (username, genre) order optional)."""
     v = gold_genre.select(
         "username", "genre", F.col("avg_user_rating").cast("double").alias("avg_user_rating"),
         F.col("total_pages").cast("int").alias("total_pages"),
         F.col("book_count").cast("int").alias("book_count"))
-    return v.orderBy("username", "genre") if ordered else v
+    return numbered(v, "username", "genre") if ordered else v
 
 
 def date_domain(df: DataFrame, col: str = "date") -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+import datetime as _dt
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -44,6 +46,23 @@ def with_row_count(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
+METRICS_SCHEMA = "run string, stage string, `table` string, rows long, written_at timestamp"
+
+
+def record_metrics(spark: SparkSession, path: str, run: str, stage: str, rows: dict[str, int]) -> None:
+    """The row counts of a stage's tables, as rows of a table keyed by
+    run, stage and table. A stage that is run again under the same run adds
+    its counts anew; :func:`read_metrics` takes the last ones."""
+    now = _dt.datetime.now(_dt.timezone.utc)
+    spark.createDataFrame([(run, stage, t, n, now) for t, n in sorted(rows.items())], METRICS_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+
+
+def read_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """(run, stage, table, rows): the last counts of each."""
+    rows = spark.read.schema(METRICS_SCHEMA).parquet(path)
+    return rows.groupBy("run", "stage", "table").agg(F.max_by("rows", "written_at").alias("rows"))
+
+
 def status_class(status: str = "status") -> Column:
     """ok / not_found / error from a lookup status string."""
     s = F.col(status)

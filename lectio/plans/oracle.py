@@ -227,10 +227,19 @@ SELECT username, date, est_pages_read, CAST(len(titles) AS INTEGER) AS n_books,
 SELECT username, date, est_pages_read, CAST(len(titles) AS INTEGER) AS n_books,
        array_to_string(titles, '|') AS book_titles FROM gold""",
     "daily_ordered": "WITH " + GOLD + """
-SELECT username, date, est_pages_read, CAST(len(titles) AS INTEGER) AS books_in_progress FROM gold""",
-    "daily_allocation_sparse": "WITH " + GOLD + """
-SELECT username, date, est_pages_read, CAST(len(titles) AS INTEGER) AS n_books,
-       array_to_string(titles, '|') AS book_titles FROM gold""",
+SELECT row_number() OVER (ORDER BY username, date) AS position, username, date, est_pages_read,
+       CAST(len(titles) AS INTEGER) AS books_in_progress FROM gold""",
+    "daily_rounded": "WITH " + GOLD_DENSE + " SELECT username, date, est_pages_read FROM gold",
+    "genre_ordered": GENRE + "SELECT row_number() OVER (ORDER BY username, genre) AS position, * FROM summ",
+    "daily_allocation_sparse": "WITH " + READINGS + """,
+ok AS (SELECT * FROM readings WHERE started_reading IS NOT NULL AND read_at IS NOT NULL
+       AND num_pages IS NOT NULL AND num_pages > 0 AND started_reading <= read_at),
+bounds AS (SELECT username, min(started_reading) AS lo, max(read_at) AS hi FROM ok GROUP BY username),
+spine AS (SELECT username, CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP),
+                                                       INTERVAL 1 DAY)) AS DATE) AS date FROM bounds),
+used AS (SELECT DISTINCT username, CAST(unnest(generate_series(CAST(started_reading AS TIMESTAMP), CAST(read_at AS TIMESTAMP),
+                                                               INTERVAL 1 DAY)) AS DATE) AS date FROM ok)
+SELECT username, date FROM spine ANTI JOIN used USING (username, date)""",
     "shared_boundaries": "WITH " + GOLD + """
 SELECT username, title, started_reading, read_at, start_shares_finish, finish_shares_start,
        effective_reading_days FROM eff""",
@@ -280,6 +289,16 @@ SELECT 'read_at' AS "column", 'garbage' AS text, count(*) AS n FROM (
   UNION ALL SELECT o_orderkey FROM orders WHERE o_orderkey % 4 = 0 OR o_orderkey % 13 = 0)
 WHERE k % 9 <> 0 AND k % 41 = 0 HAVING count(*) > 0""",
     "silver_overwritten": TYPED,
+    "silver_switched": TYPED,
+    "bronze_partitions": """
+SELECT CASE WHEN o_orderkey % 37 = 0 THEN '' ELSE CAST(o_orderkey AS VARCHAR) END AS book_id, c_name AS username,
+       'n' || CASE WHEN o_orderkey % 37 = 0 THEN '' ELSE CAST(o_orderkey AS VARCHAR) END AS rating_note,
+       count(*) OVER () + (SELECT count(*) FROM orders WHERE o_orderkey % 4 = 0 OR o_orderkey % 13 = 0) AS n_history
+FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 13 <> 0""",
+    "run_metrics": """
+SELECT 'r1' AS run, 'books' AS stage, t AS "table",
+       count(*) FILTER (WHERE t = 'bronze_rss' OR o_orderkey % 37 <> 0) AS rows
+FROM orders CROSS JOIN (VALUES ('bronze_rss'), ('silver_books')) v(t) WHERE o_orderkey % 13 <> 0 GROUP BY t""",
     "bronze_widened": """
 SELECT book_id, username, CASE WHEN batch = 2 THEN 'n' || book_id ELSE 'none' END AS rating_note FROM (
   SELECT CASE WHEN o_orderkey % 37 = 0 THEN '' ELSE CAST(o_orderkey AS VARCHAR) END AS book_id, c_name AS username, batch

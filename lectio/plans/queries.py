@@ -5,6 +5,7 @@ by value across engines; doubles are rounded half-up through DECIMAL."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,15 +18,17 @@ from lectio.functions.text import decode_json_array
 from lectio.operators import genre as G
 from lectio.operators import intervals as T
 from lectio.operators import metrics as M
-from lectio.operators.batches import latest_batch, stamp_batch
+from lectio.operators.batches import latest_batch, latest_written, stamp_batch
 from lectio.operators.classify import Rule, classify
 from lectio.operators.cleaning import clean_books, date_rejects
 from lectio.operators.enrich import enrich_books, start_dates
 from lectio.operators.lookups import lookup_keys, plan_lookups, resolve_lookups
-from lectio.operators.quality import lookup_errors, lookup_status, validate_pages
+from lectio.operators.quality import lookup_errors, lookup_status, read_metrics, validate_pages
 from lectio.plans import derive as D
+from lectio.plans import stages
 from lectio.schemas import BRONZE_RSS
 from lectio.session import scratch_path
+from lectio.sources.catalog import append_batch, ensure_schema, latest_of
 from lectio.sources.feed import scan_feed
 from lectio.sources.landing import land_pages
 from lectio.sources.sinks import append_bronze, overwrite_table
@@ -72,9 +75,10 @@ def q_daily_allocation(spark, base):
 
 
 def q_daily_allocation_sparse(spark, base):
-    """Few books per user over long spans: the output is dominated by
-    gap-filled zero days."""
-    return _daily_report(_gold_daily(spark, base, user="customer"))
+    """T10 alone: only the zero days, those between a user's first start and
+    last finish on which no book is open."""
+    g = T.gap_days(T.complete_intervals(D.readings(spark, base)))
+    return g.select("username", "date")
 
 
 def q_daily_allocation_dense(spark, base):
@@ -117,9 +121,20 @@ def q_labels_joined(spark, base):
 
 
 def q_daily_ordered(spark, base):
-    """R2: the dashboard's ordered read;"""
+    """R2: the dashboard's ordered read, every row with its position."""
     v = M.daily_view(_gold_daily(spark, base), ordered=True)
-    return v.select("username", "date", "est_pages_read", "books_in_progress")
+    return v.select("position", "username", "date", "est_pages_read", "books_in_progress")
+
+
+def q_genre_ordered(spark, base):
+    """R2: the genre table's ordered read."""
+    return M.genre_view(_genre_summary(spark, base), ordered=True)
+
+
+def q_daily_rounded(spark, base):
+    """A3: the sums as the stages write them, rounded once to one place."""
+    g = T.pages_per_day(D.readings(spark, base, user="nation"))
+    return g.select("username", "date", "est_pages_read")
 
 
 def q_date_domain(spark, base):
@@ -140,7 +155,7 @@ def _typed(df: DataFrame) -> DataFrame:
 
 
 def q_typed_clean(spark, base):
-    return _typed(clean_books(D.feed_rows(spark, base)))
+    return _typed(clean_books(latest_written(D.feed_rows(spark, base)), snapshot=False))
 
 
 def q_date_parse(spark, base):
@@ -218,6 +233,43 @@ def q_silver_overwritten(spark, base):
     return spark.read.parquet(path)
 
 
+def _scratch_db(spark) -> str:
+    """A database of this run's own, in the shared scratch folder."""
+    db = f"lectio_{uuid.uuid4().hex}"
+    ensure_schema(spark, db, location=scratch_path(spark, "db"))
+    return db
+
+
+def q_silver_switched(spark, base):
+    """O2 by name: the table is switched to other columns and then to other
+    rows; readers of the name see the last version."""
+    name = f"{_scratch_db(spark)}.silver"
+    overwrite_table(D.feed_rows(spark, base).select("book_id"), name)
+    newest = latest_written(D.feed_rows(spark, base))
+    overwrite_table(_typed(clean_books(newest, snapshot=False)).limit(0), name)
+    overwrite_table(_typed(clean_books(newest, snapshot=False)), name, sort_within=("username", "book_id"))
+    return spark.table(name)
+
+
+def q_bronze_partitions(spark, base):
+    """Two batches of a catalog table, the second with one more
+    column; the newest by partition metadata, and how many rows all have."""
+    name = f"{_scratch_db(spark)}.bronze"
+    rows = D.feed_rows(spark, base).select("book_id", "username", "_ingested_at")
+    append_batch(rows.filter(F.col("_ingested_at") == F.lit(D.OLD_BATCH).cast("timestamp")), name, "20240101")
+    append_batch(_newest(rows).withColumn("rating_note", F.concat(F.lit("n"), "book_id")), name, "20240102")
+    every = spark.table(name).select(F.count(F.lit(1))).scalar()
+    return latest_of(spark, name).select("book_id", "username", "rating_note", every.alias("n_history"))
+
+
+def q_run_metrics(spark, base):
+    """The row counts that a run of the first stage wrote, read back."""
+    root = scratch_path(spark, "run")
+    feeds = _write_feeds(spark, _newest(D.feed_rows(spark, base)))
+    stages.books_stage(spark, feeds, f"{root}/bronze_rss", f"{root}/silver_books", D.NEW_BATCH, reports=f"{root}/reports", run="r1")
+    return read_metrics(spark, f"{root}/reports/run_metrics")
+
+
 def q_bronze_widened(spark, base):
     """O1/S3: a later batch with one more column reads back widened."""
     path = scratch_path(spark, "bronze_widened")
@@ -238,7 +290,7 @@ def q_json_array(spark, base):
 
 def q_enrich_left(spark, base):
     books = D.readings(spark, base).select("book_id", "username", "title", "read_at")
-    starts = start_dates(D.review_pages(spark, base))
+    starts = start_dates(latest_written(D.review_pages(spark, base)), snapshot=False)
     return enrich_books(books, starts, stamp=False).select(
         "book_id", "username", "title", "read_at", "started_reading")
 
@@ -374,8 +426,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "daily_allocation_sparse": q_daily_allocation_sparse,
     "daily_allocation_dense": q_daily_allocation_dense,
     "daily_ordered": q_daily_ordered,
+    "daily_rounded": q_daily_rounded,
+    "genre_ordered": q_genre_ordered,
     "date_rejects": q_date_rejects,
     "silver_overwritten": q_silver_overwritten,
+    "silver_switched": q_silver_switched,
+    "bronze_partitions": q_bronze_partitions,
+    "run_metrics": q_run_metrics,
     "bronze_widened": q_bronze_widened,
     "json_array": q_json_array,
     "page_quarantine": q_page_quarantine,

@@ -3,9 +3,12 @@ silver/gold."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lectio.sources.catalog import is_table_name, switch_table, table_folder
 from lectio.sources.tables import BATCH, PART
 
 
@@ -25,14 +28,37 @@ def append_bronze(df: DataFrame, path: str, batch_col: str = BATCH, part: str =
      .partitionBy(batch_col, PART).parquet(path))
 
 
-def overwrite_table(df: DataFrame, path_or_table: str, sort_within: tuple[str, ...] = (),
-                    as_table: bool = False) -> None:
+def _store(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def overwrite_table(df: DataFrame, path_or_table: str, sort_within: tuple[str, ...] = ()) -> None:
     """O2: replace the table (schema included). ``sort_within`` orders rows
-    inside each file for min/max skipping; no global sort."""
+    inside each file for min/max skipping; no global sort.
+
+    The rows are written to a fresh folder first; a job that fails leaves the
+    old table as it was. A catalog name is then switched to the new folder by
+    one catalog operation, so every reader sees the old table or the new one.
+    A path takes the fresh folder's place by renames: readers of a path
+    should not read at that moment."""
+    spark = df.sparkSession
     if sort_within:
         df = df.sortWithinPartitions(*sort_within)
-    w = df.write.mode("overwrite")
-    if as_table:
-        w.option("overwriteSchema", "true").saveAsTable(path_or_table)
-    else:
-        w.parquet(path_or_table)
+    if is_table_name(path_or_table):
+        fresh = table_folder(spark, path_or_table, uuid.uuid4().hex)
+        df.write.parquet(fresh)
+        switch_table(spark, path_or_table, fresh)
+        return
+    path = path_or_table.rstrip("/")
+    fresh, old = f"{path}.new-{uuid.uuid4().hex}", f"{path}.old-{uuid.uuid4().hex}"
+    df.write.parquet(fresh)
+    store, target = _store(spark, path)
+    _, written = _store(spark, fresh)
+    _, aside = _store(spark, old)
+    if store.exists(target) and not store.rename(target, aside):
+        raise OSError(f"{path} could not be moved aside; the new rows are in {fresh}")
+    if not store.rename(written, target):
+        store.rename(aside, target)
+        raise OSError(f"{fresh} could not take the place of {path}")
+    store.delete(aside, True)
