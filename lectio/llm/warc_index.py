@@ -23,6 +23,7 @@ from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from lectio.llm.common import written
 from lectio.session import scratch_path
@@ -32,10 +33,27 @@ ARCHIVE_BYTES = 256 << 20
 #: Neighbouring records are fetched together up to this many bytes, over
 #: gaps (records that were not selected) of at most GAP_BYTES.
 SPAN_BYTES, GAP_BYTES = 8 << 20, 256 << 10
+#: Bytes of archives that a reading task gets.
+TASK_BYTES = 16 << 20
+# Spark's URI schemes of a store under the name Arrow has for it.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "abfs": "abfs", "abfss": "abfss", "gs": "gs", "hdfs": "hdfs", "viewfs": "viewfs", "file": "file", "s3": "s3"}
 WARC_DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
+def open_store(uri: str) -> tuple[fs.FileSystem, str]:
+    """Arrow's file system for a folder or file as Spark names it, and the
+    path there. A ``dbfs:`` folder is reached by its mount."""
+    scheme, colon, rest = uri.partition(":")
+    if not colon or len(scheme) < 2:
+        return fs.FileSystem.from_uri(uri)
+    if scheme == "dbfs":
+        return fs.LocalFileSystem(), "/dbfs/" + rest.lstrip("/")
+    if scheme not in SCHEMES:
+        raise ValueError(f"archives can't be kept under {scheme}: (of {uri}); use a folder under one of {', '.join(sorted(SCHEMES))} or dbfs")
+    return fs.FileSystem.from_uri(f"{SCHEMES[scheme]}:{rest}")
+
+
 def with_revisits(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> DataFrame:
     """(page_id, url, payload, digest, refers_to): ``refers_to`` is the
     smallest id with the same payload where that is another record, else
@@ -108,10 +126,11 @@ def write_archives(pages: DataFrame, id_col: str = "page_id", url_col: str = "ur
     largest. An empty table gives an empty index and no archive."""
     spark = pages.sparkSession
     folder = folder or scratch_path(spark, "warc")
+    open_store(folder)  # a store that can't be written to is an error here, not in the tasks
     rows = with_revisits(pages, id_col, url_col, payload_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, root = fs.FileSystem.from_uri(folder)
+        store, root = open_store(folder)
         attempt = f"{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex[:8]}"
         out, name, at, n = None, "", 0, 0
         for batch in batches:
@@ -143,21 +162,43 @@ def write_archives(pages: DataFrame, id_col: str = "page_id", url_col: str = "ur
     return index.withColumn("archive", F.concat(F.lit(folder + "/"), "archive"))
 
 
-def read_archives(index: DataFrame, selected: Column | None = None) -> DataFrame:
+def _dealt(chosen: DataFrame, task_bytes: int) -> DataFrame:
+    """The chosen records in tasks of about ``task_bytes`` of archives each,
+    however few bytes their index rows have, sorted by place.
+
+    An archive is cut into regions of that size. A region's place among all
+    chosen bytes is the sum over the archives before it (one row per archive
+    in that window) and over its own archive's regions before it."""
+    region = F.floor(F.col("offset") / task_bytes)
+    records = chosen.withColumn("region", region)
+    sizes = written(records.groupBy("archive", "region").agg(F.sum("length").alias("bytes")), "warc-regions")
+    before = Window.partitionBy("archive").orderBy("region").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.orderBy("archive").rowsBetween(Window.unboundedPreceding, -1)
+    archives = sizes.groupBy("archive").agg(F.sum("bytes").alias("all")).select(
+        F.col("archive").alias("of"), F.coalesce(F.sum("all").over(earlier), F.lit(0)).alias("earlier"))
+    begins = sizes.select("archive", "region", F.coalesce(F.sum("bytes").over(before), F.lit(0)).alias("inside"))
+    tasks = begins.join(archives, F.col("archive") == F.col("of")).select(
+        F.col("archive").alias("of"), F.col("region").alias("at"),
+        F.floor((F.col("earlier") + F.col("inside")) / task_bytes).cast("int").alias("task"))
+    n = -(-(sizes.agg(F.sum("bytes")).first()[0] or 1) // task_bytes)
+    placed = records.join(tasks, (F.col("archive") == F.col("of")) & (F.col("region") == F.col("at"))).drop("of", "at", "region")
+    return placed.repartitionById(n, F.col("task")).drop("task").sortWithinPartitions("archive", "offset")
+
+
+def read_archives(index: DataFrame, selected: Column | None = None, task_bytes: int = TASK_BYTES) -> DataFrame:
     """Reads the records of the selected index rows (all by default):
     page_id, url as the record has it, record_type, payload (null for
     revisits), payload_bytes, payload_digest, refers_to (as text).
 
-    Only the selected byte ranges are read, neighbours together; memory is
-    one span and its records. Each response's digest is checked."""
+    Only the selected byte ranges are read, neighbours together, in tasks of
+    about ``task_bytes``; memory is one span and its records. Each response's
+    digest is checked."""
     chosen = index if selected is None else index.where(selected)
-    region = F.floor(F.col("offset") / SPAN_BYTES)
-    ordered = (chosen.select("page_id", "archive", "offset", "length", region.alias("region"))
-               .repartition("archive", "region").sortWithinPartitions("archive", "offset"))
+    ordered = _dealt(chosen.select("page_id", "archive", "offset", "length"), task_bytes)
     id_type = index.schema["page_id"].dataType.simpleString()
 
     def fetch(archive: str, span: list[tuple]) -> pa.RecordBatch:
-        store, path = fs.FileSystem.from_uri(archive)
+        store, path = open_store(archive)
         begin, end = span[0][1], max(offset + length for _, offset, length in span)
         with store.open_input_file(path) as f:
             data = f.read_at(end - begin, begin)
