@@ -52,6 +52,8 @@ SMALL_BAND, HUB_ROUNDS = 16, 4
 #: Counters for the frequency of shingles, and classes of one shingle that a
 #: task compares with the shingle's others.
 COUNTERS, BLOCK = 1 << 20, 256
+#: Share of a text's shingles, the rarest, whose order is compared before texts are.
+HEAD = 0.4
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -203,7 +205,9 @@ def prefix_pairs(members: DataFrame, texts: DataFrame, threshold: float = THRESH
     shingles, so its first common one is among the first ``n - t * n`` and
     one of the longer text and ``n - 2 * t / (1 + t) * n`` and one of the
     shorter. Shingles meet by class first, in blocks, so that a large class
-    is never compared with itself."""
+    is never compared with itself. Only shingles that the alignment's band
+    allows to be aligned count, and :func:`_in_order` then compares the order
+    of more of them."""
     spark = members.sparkSession
     tokens = written(_labelled(texts.join(members.select("row").hint("merge"), "row", "left_semi")), "omh-labelled")
     counted = (tokens.select(F.explode("tokens").alias("t")).groupBy(F.col("t").bitwiseAND(F.lit(COUNTERS - 1)).alias("at"))
@@ -214,18 +218,20 @@ def prefix_pairs(members: DataFrame, texts: DataFrame, threshold: float = THRESH
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, first = [], []
+            n, short, long = [], [], []
             for row in batch.column("tokens"):
                 own = row.values.to_numpy()
                 n.append(len(own))
-                order = np.lexsort((own, often.value[own & (COUNTERS - 1)]))
-                first.append(own[order[:len(own) - math.ceil(threshold * len(own) - 1e-6) + 1]])
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(n, pa.int64()), pa.array(first, pa.list_(pa.int64()))],
-                                             ["row", "n", "first"])
-
-    prefixes = tokens.mapInArrow(run, "row long, n long, first array<long>").join(members, "row")
-    prefixes = prefixes.select("row", "class", "n", F.posexplode("first").alias("pos", "token"))
-    every = written(prefixes, "omh-prefixes")
+                order = np.lexsort((own, often.value[own & (COUNTERS - 1)]))[:math.ceil(HEAD * len(own))]
+                short.append(len(own) - math.ceil(threshold * len(own) - 1e-6) + 1)
+                long.append([{"token": t, "place": at} for t, at in zip(own[order].tolist(), order.tolist())])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("row"), pa.array(n, pa.int64()), pa.array(short, pa.int32()),
+                 pa.array(long, pa.list_(pa.struct([("token", pa.int64()), ("place", pa.int64())])))], ["row", "n", "short", "head"])
+
+    heads = written(tokens.mapInArrow(run, "row long, n long, short int, head array<struct<token: long, place: long>>"), "omh-heads")
+    prefixes = heads.select("row", "n", F.posexplode(F.slice("head", F.lit(1), F.col("short"))).alias("pos", "t")).join(members, "row")
+    every = written(prefixes.select("row", "class", "n", "pos", "t.token", "t.place"), "omh-prefixes")
     split = written(every.groupBy("token").agg(F.min("class").alias("low"), F.max("class").alias("high"),
                                                F.count(F.lit(1)).alias("size"))
                     .where("low <> high").select("token", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "omh-rare")
@@ -238,14 +244,48 @@ def prefix_pairs(members: DataFrame, texts: DataFrame, threshold: float = THRESH
            .select("token", "class_b", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")))
     meet = one.join(two, ["token", "block"]).where("class_a <> class_b").select("token", "class_a", "class_b")
     longer = probe.select("token", F.col("class").alias("class_a"), F.col("row").alias("a"), F.col("n").alias("n_a"),
-                          F.col("pos").alias("pos_a"))
+                          F.col("pos").alias("pos_a"), F.col("place").alias("place_a"))
     shorter = index.select("token", F.col("class").alias("class_b"), F.col("row").alias("b"), F.col("n").alias("n_b"),
-                           F.col("pos").alias("pos_b"))
+                           F.col("pos").alias("pos_b"), F.col("place").alias("place_b"))
     a, b = F.struct("n_a", "a"), F.struct("n_b", "b")
     possible = ((F.col("n_b") >= threshold * F.col("n_a") - 1e-6) & (F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b"))
                                                                     >= share * (F.col("n_a") + F.col("n_b")) - 1e-6))
-    found = meet.join(longer, ["token", "class_a"]).join(shorter, ["token", "class_b"]).where((a > b) & possible)
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    near = F.abs(F.col("place_a") - F.col("place_b")) <= F.greatest("n_a", "n_b") - share * (F.col("n_a") + F.col("n_b")) + 1e-6
+    found = meet.join(longer, ["token", "class_a"]).join(shorter, ["token", "class_b"]).where((a > b) & possible & near)
+    pairs = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return _in_order(pairs, heads, threshold)
+
+
+def _in_order(pairs: DataFrame, heads: DataFrame, threshold: float) -> DataFrame:
+    """The ``pairs`` whose heads allow an alignment at the threshold.
+
+    A head is a text's rarest shingles, ``HEAD`` of all, with their places.
+    At the threshold at most ``u = n - t / (1 + t) * (n_a + n_b)`` shingles
+    of a text are not aligned, so of the aligned ones both heads hold
+    ``min(head - u)`` at least, and those are within the alignment's band of
+    each other. Texts that hold the same passages in another order share
+    everything but fail this, before any text is fetched."""
+    share = threshold / (1 + threshold)
+    left = heads.select(F.col("row").alias("a"), F.col("n").alias("n_a"), F.col("head").alias("head_a"))
+    right = heads.select(F.col("row").alias("b"), F.col("n").alias("n_b"), F.col("head").alias("head_b"))
+
+    def split(head: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
+        return head.values.field("token").to_numpy(), head.values.field("place").to_numpy()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for n_a, n_b, one, two in zip(batch.column("n_a").to_pylist(), batch.column("n_b").to_pylist(), batch.column("head_a"),
+                                          batch.column("head_b"), strict=True):
+                least = share * (n_a + n_b)
+                (tokens_a, places_a), (tokens_b, places_b) = split(one), split(two)
+                _, i, j = np.intersect1d(tokens_a, tokens_b, assume_unique=True, return_indices=True)
+                close = np.abs(places_a[i] - places_b[j]) <= max(n_a, n_b) - least + 1e-6
+                keep.append(int(close.sum()) >= min(len(tokens_a) - (n_a - least), len(tokens_b) - (n_b - least)) - 1e-6)
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", "n_a", "n_b", "head_a", "head_b")
+    return both.mapInArrow(run, "a long, b long")
 
 
 def _merge(classes: DataFrame, links: DataFrame) -> DataFrame:
