@@ -125,12 +125,17 @@ class MultiIndex:
         cells = written(base.mapInArrow(coded, shape), "multi-cells")
         sizes = cells.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n"), F.max("r1").alias("r1"), F.max("r2").alias("r2")).collect()
         radii = ([0] * len(words[0]), [0] * len(words[1]))
-        self.blocks: dict[tuple[int, int], tuple[int, int, int]] = {}  # cell: rows, first block, blocks
-        at = 0
-        for s in sizes:
+        # cell: rows, first block, blocks. Small neighbours share a block, a large cell has several of its own
+        self.blocks: dict[tuple[int, int], tuple[int, int, int]] = {}
+        at, filled = 0, 0
+        for s in sorted(sizes, key=lambda s: (s.w1, s.w2)):
             radii[0][s.w1], radii[1][s.w2] = max(radii[0][s.w1], s.r1), max(radii[1][s.w2], s.r2)
+            if filled and filled + s.n > block_rows:
+                at, filled = at + 1, 0
             self.blocks[s.w1, s.w2] = (s.n, at, -(-s.n // block_rows))
-            at += -(-s.n // block_rows)
+            filled += s.n
+            if filled > block_rows:
+                at, filled = at + -(-s.n // block_rows), 0
         self.words, self.radii = words, radii
         table = spark.createDataFrame([(*cell, first, many) for cell, (_, first, many) in self.blocks.items()],
                                       "c1 int, c2 int, first int, many int")
@@ -143,18 +148,21 @@ class MultiIndex:
         bound on all others (``LOWEST`` when there are none)."""
         (low_1, up_1), (low_2, up_2) = (half_bounds(part, w, r) for part, w, r in
                                         zip((q[:self.half], q[self.half:]), self.words, self.radii))
-        out, rows, n = [], 0, 0
+        before, out, rows, n = set(), {}, 0, 0
         for bound, i, j in by_falling_bound(up_1, up_2):
             if bound < lo:
-                return out, n, LOWEST
+                return list(out), n, LOWEST
             if rows >= budget:
-                return out, n, bound
+                return list(out), n, bound
             n += 1
-            if n > skip and (i, j) in self.blocks and low_1[i] + low_2[j] <= hi:
+            if (i, j) in self.blocks and low_1[i] + low_2[j] <= hi:
                 size, first, many = self.blocks[i, j]
-                out += range(first, first + many)
-                rows += size
-        return out, n, LOWEST
+                if n <= skip:
+                    before.update(range(first, first + many))
+                elif first not in before:  # cells share blocks: one is read once
+                    out.update(dict.fromkeys(range(first, first + many)))
+                    rows += size
+        return list(out), n, LOWEST
 
 
 def _ranked(found: DataFrame, k: int) -> DataFrame:
@@ -175,20 +183,20 @@ def best_in_windows(index: MultiIndex, anchors: DataFrame, k: int, same_label: b
     window_type = "array<struct<window:bigint,lo:bigint,hi:bigint>>"
     plan = spark.sparkContext.broadcast((index.blocks, index.words, index.radii, index.half))
     found_type = f"anchor long, window long, row long, id {index.id_type}, score long"
-    visit_type = f"row long, label {index.label_type}, v array<long>, windows {window_type}, skip long, bound long, blocks array<int>"
+    visit_type = f"row long, label {index.label_type}, v array<long>, windows {window_type}, top long, skip long, bound long, blocks array<int>"
 
     def walk(budget: int):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own = MultiIndex.__new__(MultiIndex)
             own.blocks, own.words, own.radii, own.half = plan.value
             for batch in batches:
-                got = [own.visits(q, skip, budget, min(w["lo"] for w in windows), max(w["hi"] for w in windows))
-                       for q, skip, windows in zip(matrix(batch.column("v"), dim), batch.column("skip").to_pylist(),
-                                                   batch.column("windows").to_pylist())]
+                got = [own.visits(q, skip, budget, min(w["lo"] for w in windows), top)
+                       for q, skip, top, windows in zip(matrix(batch.column("v"), dim), batch.column("skip").to_pylist(),
+                                                        batch.column("top").to_pylist(), batch.column("windows").to_pylist())]
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c) for c in ("row", "label", "v", "windows")), pa.array([g[1] for g in got], pa.int64()),
+                    [*(batch.column(c) for c in ("row", "label", "v", "windows", "top")), pa.array([g[1] for g in got], pa.int64()),
                      pa.array([g[2] for g in got], pa.int64()), pa.array([g[0] for g in got], pa.list_(pa.int32()))],
-                    ["row", "label", "v", "windows", "skip", "bound", "blocks"])
+                    ["row", "label", "v", "windows", "top", "skip", "bound", "blocks"])
         return run
 
     def score(block: pa.Table, asked: pa.Table) -> pa.Table:
@@ -219,7 +227,9 @@ def best_in_windows(index: MultiIndex, anchors: DataFrame, k: int, same_label: b
         kinds = {"anchor": pa.int64(), "window": pa.int64(), "row": pa.int64(), "id": ids.type, "score": pa.int64()}
         return pa.table({c: pa.array(out[c], t) for c, t in kinds.items()})
 
-    state = written(anchors.select("row", "label", "v", "windows", F.lit(0).cast("long").alias("skip")), "multi-open")
+    # ``top`` stays as windows close, so what was passed over once always is
+    top = F.array_max(F.transform("windows", lambda w: w["hi"])).alias("top")
+    state = written(anchors.select("row", "label", "v", "windows", top, F.lit(0).cast("long").alias("skip")), "multi-open")
     n_chunks = max(1, -(-state.count() // chunk_rows))
     chunk = F.pmod(F.xxhash64("row", F.lit("chunk")), F.lit(n_chunks)).cast("int").alias("chunk")
     everywhere = index.rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_chunks - 1))).alias("chunk"))
@@ -238,7 +248,7 @@ def best_in_windows(index: MultiIndex, anchors: DataFrame, k: int, same_label: b
             (F.col("bound") >= F.col("w.lo")) & (F.col("n").isNull() | (F.col("n") < k) | (F.col("bound") >= F.col("least"))))
         left = still.groupBy("row").agg(F.collect_list("w").alias("left"))
         state = written(visits.drop("windows", "blocks", "bound").join(left.withColumnRenamed("row", "of"), F.col("row") == F.col("of"))
-                        .select("row", "label", "v", F.col("left").alias("windows"), "skip"), "multi-open")
+                        .select("row", "label", "v", F.col("left").alias("windows"), "top", "skip"), "multi-open")
         budget *= MORE
     return _ranked(found, k)
 
