@@ -19,6 +19,7 @@ import hashlib
 import math
 import re
 import struct
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -89,26 +90,41 @@ def iban_digits(country: str, account: str) -> str:
 
 
 # IBAN lengths by country.
-IBAN_LENGTH = {"AT": 20, "BE": 16, "CH": 21, "DE": 22, "DK": 18, "ES": 24, "FI": 18, "FR": 27, "GB": 22, "IE": 22, "IT": 27,
-               "LU": 20, "NL": 18, "NO": 15, "PL": 28, "PT": 25, "SE": 24}
+IBAN_LENGTH = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BI": 27, "BR": 29, "BY": 28,
+    "CH": 21, "CR": 22, "CY": 28, "CZ": 24, "DE": 22, "DJ": 27, "DK": 18, "DO": 28, "EE": 20, "EG": 29, "ES": 24, "FI": 18,
+    "FK": 18, "FO": 18, "FR": 27, "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27, "GT": 28, "HN": 28, "HR": 21, "HU": 28,
+    "IE": 22, "IL": 23, "IQ": 23, "IS": 26, "IT": 27, "JO": 30, "KW": 30, "KZ": 20, "LB": 28, "LC": 32, "LI": 21, "LT": 20,
+    "LU": 20, "LV": 21, "LY": 25, "MC": 27, "MD": 24, "ME": 22, "MK": 19, "MN": 20, "MR": 27, "MT": 31, "MU": 30, "NI": 28,
+    "NL": 18, "NO": 15, "OM": 23, "PK": 24, "PL": 28, "PS": 29, "PT": 25, "QA": 29, "RO": 24, "RS": 22, "RU": 33, "SA": 24,
+    "SC": 31, "SD": 18, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "SO": 23, "ST": 25, "SV": 28, "TL": 23, "TN": 24, "TR": 26,
+    "UA": 29, "VA": 22, "VG": 24, "XK": 20, "YE": 30}
+# Country calling codes of one and two digits; all others have three.
+SHORT_CODES = {"1", "7", "20", "27", "30", "31", "32", "33", "34", "36", "39", "40", "41", "43", "44", "45", "46", "47", "48", "49",
+               "51", "52", "53", "54", "55", "56", "57", "58", "60", "61", "62", "63", "64", "65", "66", "81", "82", "84", "86",
+               "90", "91", "92", "93", "94", "95", "98"}
 
 ALNUM = "0123456789abcdefghijklmnopqrstuvwxyz"
 FIRST_DAY, LAST_DAY = dt.date(1900, 1, 1), dt.date(2099, 12, 31)
-N_DAYS = (LAST_DAY - FIRST_DAY).days + 1
+#: All days, by whether they are over the twelfth of their month.
+DAYS = {late: [d for d in (FIRST_DAY + dt.timedelta(i) for i in range((LAST_DAY - FIRST_DAY).days + 1)) if (d.day > 12) == late]
+        for late in (False, True)}
 
 EMAIL = r"(?P<email>(?<![\w.+-])[^\W_](?:[\w.+-]{0,62}[^\W_])?@(?:[a-zA-Z0-9](?:[a-zA-Z0-9-]{0,61}[a-zA-Z0-9])?\.)+[a-zA-Z]{2,24}(?![\w-]))"
 NUMBERS = "|".join((
     r"(?P<date>(?<![\w./-])(?:\d{4}-\d\d-\d\d|\d{4}/\d\d/\d\d|\d\d/\d\d/\d{4}|\d\d\.\d\d\.\d{4})(?![\w/-]|\.\d))",
     r"(?P<ipv4>(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d))",
-    r"(?P<phone>(?<![\w+])\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}(?!\d))",
+    r"(?P<phone>(?<![\w+])\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}(?!\d)"
+    r"|(?<![\w+])\+[2-9]\d{0,14}(?:[ .-]?\(\d{1,5}\))?(?:[ .-]?\d{2,14}){0,6}(?!\d)"
+    r"|(?<![\w.+(-])(?:1[ .-])?(?:\([2-9]\d\d\) ?|[2-9]\d\d[.-])[2-9]\d\d[.-]\d{4}(?![\w-]|\.\d))",
     r"(?P<secret>(?<![0-9a-zA-Z])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![0-9a-zA-Z]))",
-    r"(?P<iban>(?<![0-9a-zA-Z])[A-Z]{2}\d\d(?: ?[A-Z0-9]{4}){2,6}(?: ?[A-Z0-9]{1,3})?(?![0-9a-zA-Z]))",
+    r"(?P<iban>(?<![0-9a-zA-Z])[A-Z]{2}\d\d(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![0-9a-zA-Z]))",
     r"(?P<card>(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-]|\.\d))",
 ))
 FIND_EMAIL, FIND_NUMBER = re.compile(EMAIL), re.compile(NUMBERS)
 #: Values written in groups: a match may hold a neighbouring group too.
-GROUPS = {"card": re.compile(r"\d+"), "iban": re.compile(r"[A-Z0-9]+")}
-WHOLE = {"card": re.compile(r"\d(?:[ -]?\d){12,18}"), "iban": re.compile(r"[A-Z]{2}\d\d(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?")}
+GROUPS = {"card": re.compile(r"\d+"), "iban": re.compile(r"[A-Z0-9]+"), "phone": re.compile(r"\+?\(?\d+\)?")}
+WHOLE = {"phone": re.compile(r"\+[2-9]\d{0,14}(?:[ .-]?\(\d{1,5}\))?(?:[ .-]?\d{2,14}){0,6}"), "card": re.compile(r"\d(?:[ -]?\d){12,18}"), "iban": re.compile(r"[A-Z]{2}\d\d(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?")}
 HAS_DIGITS = re.compile(r"[0-9a-fA-F]{13}|\d[\d ./-]{5}\d")
 
 
@@ -122,7 +138,11 @@ def valid_iban(value: str) -> bool:
     return IBAN_LENGTH.get(plain[:2]) == len(plain) and iban_digits(plain[:2], plain[4:]) == plain[2:4]
 
 
-VALID = {"card": valid_card, "iban": valid_iban}
+def valid_phone(value: str) -> bool:
+    return Pseudonymiser.PROBE.phone(value) is not None
+
+
+VALID = {"card": valid_card, "iban": valid_iban, "phone": valid_phone}
 
 
 def _relaid(layout: str, symbols: str) -> str:
@@ -148,9 +168,33 @@ class Pseudonymiser:
         body = self._digits("card", digits[:-1])
         return _relaid(value, body + luhn_digit(body))
 
+    def _in_class(self, name: str, n: int, x: int, belongs) -> int:
+        """The permutation walked on until it is back in ``x``'s class, so
+        that each class is permuted within itself."""
+        kind, y = belongs(x), self._map(name, n, x)
+        while belongs(y) != kind:
+            y = self._map(name, n, y)
+        return y
+
+    def _national(self, digits: str) -> str:
+        """Ten digits of the +1 plan; where area and exchange begin with 2 to
+        9, as the plan wants, the pseudonym's do too."""
+        def planned(x: int) -> bool:
+            return x // 10**9 > 1 and x // 10**6 % 10 > 1
+
+        return f"{self._in_class('phone', 10**10, int(digits), planned):010d}"
+
     def phone(self, value: str) -> str | None:
         digits = re.sub(r"\D", "", value)
-        return _relaid(value, digits[0] + self._digits("phone", digits[1:]))
+        if not value.startswith("+") or digits[0] == "1":
+            return _relaid(value, digits[:-10] + self._national(digits[-10:]))
+        code = next((digits[:n] for n in (1, 2) if digits[:n] in SHORT_CODES), digits[:3])
+        rest = digits[len(code):]
+        # an international number has at most 15 digits, its national part no 0 in front
+        if not (8 <= len(digits) <= 15 and len(rest) >= 6 and rest[0] != "0"):
+            return None
+        new = self._in_class(f"phone-{code}", 10 ** len(rest), int(rest), lambda x: x >= 10 ** (len(rest) - 1))
+        return _relaid(value, code + f"{new:0{len(rest)}d}")
 
     def ipv4(self, value: str) -> str | None:
         parts = [int(p) for p in value.split(".")]
@@ -172,22 +216,16 @@ class Pseudonymiser:
             return None
         if not FIRST_DAY <= at <= LAST_DAY:
             return None
-        # month-first dates are those with a day over 12; permuted among themselves
+        # days over 12 and others are permuted among themselves, so that a
+        # month-first date stays one, and the same for all layouts
+        days = DAYS[at.day > 12]
+        new = days[self._map(f"date-{at.day > 12}", len(days), bisect_left(days, at))]
         if month_first:
-            days = self._days_over_12()
-            new = days[self._map("date-mdy", len(days), days.index(at))]
             return f"{new.month:02d}{sep}{new.day:02d}{sep}{new.year:04d}"
-        new = FIRST_DAY + dt.timedelta(self._map("date", N_DAYS, (at - FIRST_DAY).days))
         if len(a) == 4:
             return f"{new.year:04d}{sep}{new.month:02d}{sep}{new.day:02d}"
         return f"{new.day:02d}{sep}{new.month:02d}{sep}{new.year:04d}"
 
-    def _days_over_12(self) -> list[dt.date]:
-        if not hasattr(self, "_late_days"):
-            every = (FIRST_DAY + dt.timedelta(i) for i in range(N_DAYS))
-            self._late_days = [d for d in every if d.day > 12]
-        return self._late_days
-
     def iban(self, value: str) -> str | None:
         plain = value.replace(" ", "")
         country, account = plain[:2], plain[4:]
@@ -287,6 +325,8 @@ class Pseudonymiser:
         return text, found
 
 
+Pseudonymiser.PROBE = Pseudonymiser(b"")
+
 _ALNUM_RANGES: dict[tuple[int, int], str] = {}
 
 
@@ -302,8 +342,9 @@ def pseudonymise(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col:
     ``n_ipv4``, ``n_date``, ``n_iban``, ``n_email``, ``n_secret``).
 
     Numbers must be valid to be touched: Luhn for cards, modulus 97 for
-    IBANs, octets for addresses, the calendar (1900 to 2099) for dates, the
-    +1 plan's length for phones. Other digits stay as they are. With
+    IBANs, octets for addresses, the calendar (1900 to 2099) for dates; phones
+    are +1 numbers, national ones of that plan with separators, and other
+    international ones of 8 to 15 digits behind a ``+``. Other digits stay as they are. With
     ``back`` the same call restores pseudonyms. Null stays null with zero
     counts; everything outside the values is unchanged. Rows, repeated or
     not, are independent; no shuffle."""

@@ -52,6 +52,111 @@ def test_values_beside_a_short_group(text, kind):
         assert undo.replace(new) == (text, found)
 
 
+def test_equal_dates_and_phones_stay_linked():
+    change, undo = P.Pseudonymiser(b"k"), P.Pseudonymiser(b"k", back=True)
+    for day in ("1999-12-31", "2024-02-29", "2001-03-04", "2010-11-12"):
+        y, m, d = day.split("-")
+        layouts = [day, f"{y}/{m}/{d}", f"{d}.{m}.{y}", f"{d}/{m}/{y}"] + ([f"{m}/{d}/{y}"] if int(d) > 12 else [])
+        new = [change.replace(t)[0] for t in layouts]
+        ny, nm, nd = new[0].split("-")
+        assert new == [new[0], f"{ny}/{nm}/{nd}", f"{nd}.{nm}.{ny}", f"{nd}/{nm}/{ny}"] + ([f"{nm}/{nd}/{ny}"] if int(d) > 12 else [])
+        assert [undo.replace(t)[0] for t in new] == layouts and new[0] != day
+    phones = ["(415) 555-2671", "415-555-2671", "1-415-555-2671", "+1 415.555.2671", "+14155552671"]
+    new = [change.replace(t)[0] for t in phones]
+    assert len({re.sub(r"\D", "", t)[-10:] for t in new}) == 1 and new[0] != phones[0]
+    national = re.sub(r"\D", "", new[0])
+    assert national[0] in "23456789" and national[3] in "23456789"
+    assert [undo.replace(t)[0] for t in new] == phones
+
+
+@pytest.mark.parametrize("text, kind", [
+    ("+44 20 7946 0958", "phone"), ("call +49 (30) 1234567 now", "phone"), ("+352 621 123456", "phone"), ("+44 20 7946 0958 20230112", "phone"),
+    ("RO49 AAAA 1B31 0075 9384 0000", "iban"), ("MT84MALT011000012345MTLCAST001S", "iban")])
+def test_international_values(text, kind):
+    change, undo = P.Pseudonymiser(b"k"), P.Pseudonymiser(b"k", back=True)
+    new, found = change.replace(text)
+    assert found == Counter({kind: 1}) and new != text and undo.replace(new) == (text, found)
+
+
+#: What an independent finder takes for a value: plain tests of a whole
+#: substring, with no pattern of the operator.
+def is_value(t):
+    digits = [int(c) for c in t if c.isdigit()]
+    other = {c for c in t if not c.isdigit()}
+    if t[0].isdigit() and t[-1].isdigit() and other <= {" ", "-"} and 13 <= len(digits) <= 19 and not any(
+            not a.isdigit() and not b.isdigit() for a, b in zip(t, t[1:])):
+        doubled = [sum(divmod(2 * d, 10)) if i % 2 else d for i, d in enumerate(reversed(digits))]
+        if sum(doubled) % 10 == 0 and any(digits):
+            return "card"
+    parts = t.split(".")
+    if len(parts) == 4 and all(p.isdigit() and len(p) <= 3 and int(p) < 256 for p in parts):
+        return "ipv4"
+    for sep in "-/.":
+        parts = t.split(sep)
+        if len(parts) == 3 and all(p.isdigit() for p in parts):
+            sizes = tuple(map(len, parts))
+            orders = {(4, 2, 2): [(0, 1, 2)] if sep in "-/" else [], (2, 2, 4): {"/": [(2, 1, 0), (2, 0, 1)], ".": [(2, 1, 0)], "-": []}[sep]}
+            for order in orders.get(sizes, []):
+                y, m, d = (int(parts[i]) for i in order)
+                if 1900 <= y <= 2099 and 1 <= m <= 12 and 1 <= d <= 31:
+                    try:
+                        dt.date(y, m, d)
+                        return "date"
+                    except ValueError:
+                        pass
+    if t.startswith("+44 ") and other == {"+", " "} and 8 <= len(digits) <= 15 and t[4] not in " 0" and "  " not in t and all(
+            len(g) > 1 for g in t[1:].split(" ")) and len(digits) >= 8 and t[-1].isdigit():
+        return "phone"
+    if len(t) in (32, 40, 64) and (all(c in "0123456789abcdef" for c in t) or all(c in "0123456789ABCDEF" for c in t)):
+        return "secret"
+    return None
+
+
+def spans(text):
+    """Every substring that stands free and is a value; leftmost, longest."""
+    out, at = [], 0
+    while at < len(text):
+        for end in range(len(text), at, -1):
+            if (at == 0 or text[at - 1] == " ") and (end == len(text) or text[end] in " ,") and text[at] != " " and (kind := is_value(text[at:end])):
+                out.append((at, end, kind))
+                at = end
+                break
+        else:
+            at += 1
+    return out
+
+
+def test_against_a_finder_of_every_substring():
+    rnd = random.Random(17)
+
+    def number(n):
+        return "".join(rnd.choice("0123456789") for _ in range(n))
+
+    def card():
+        body = number(15)
+        return body + (P.luhn_digit(body) if rnd.random() < 0.6 else number(1))
+
+    makers = [card, lambda: " ".join(re.findall("....", card())), lambda: "-".join(re.findall("....", card())),
+              lambda: ".".join(str(rnd.randrange(300)) for _ in range(4)),
+              lambda: f"{rnd.randrange(1890, 2110)}-{rnd.randrange(14):02d}-{rnd.randrange(33):02d}",
+              lambda: f"{rnd.randrange(33):02d}/{rnd.randrange(33):02d}/{rnd.randrange(1890, 2110)}",
+              lambda: f"{rnd.randrange(33):02d}.{rnd.randrange(14):02d}.{rnd.randrange(1890, 2110)}",
+              lambda: f"+44 {number(2)} {number(4)} {number(4)}", lambda: "".join(rnd.choice("0123456789abcdef") for _ in range(rnd.choice([31, 32, 40]))),
+              lambda: number(rnd.randrange(1, 9))]
+    some = Counter()
+    for _ in range(700):
+        text = " ".join(f"{rnd.choice(['the', 'at', 'von'])} {rnd.choice(makers)()}{rnd.choice(['', ',', ' end'])}" for _ in range(rnd.randrange(1, 5)))
+        found = spans(text)
+        new, counts = P.Pseudonymiser(b"k").replace(text)
+        assert counts == Counter(kind for _, _, kind in found), text
+        edges = [0, *(x for begin, end, _ in found for x in (begin, end)), len(text)]
+        outside = [re.escape(text[i:j]) for i, j in zip(edges[::2], edges[1::2])]
+        assert re.fullmatch(r"(\S.*?)".join(outside), new) and not any(text[i:j] in new for i, j, kind in found if kind != "date")
+        assert P.Pseudonymiser(b"k", back=True).replace(new)[0] == text
+        some.update(counts)
+    assert set(some) == {"card", "ipv4", "date", "phone", "secret"} and min(some.values()) > 20
+
+
 def test_pseudonymise(spark, odd_docs, no_docs):
     got = P.pseudonymise(odd_docs, b"k")
     assert Counter((r.doc_id, r.text) for r in got.collect()) == Counter((r.doc_id, r.text) for r in odd_docs.collect())
