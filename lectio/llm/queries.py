@@ -14,22 +14,38 @@ from lectio.llm.common import byte_bpe_path, table
 
 def quoting_mail(conversations: DataFrame) -> DataFrame:
     """(conv_id, turn, text): the conversations as mail in which each message
-    quotes the one before it, and that one's quote of its own predecessor."""
+    quotes the one before it. Every third message quotes it whole, with that
+    one's quote of its own predecessor; every third only its last line; and
+    every third its first line, an answer, and then its other lines."""
     said = conversations.groupBy("conv_id", "turn").agg(F.min(F.struct("text", "role")).alias("said"))
 
     def earlier(n: int) -> DataFrame:
         return said.select(F.col("conv_id"), (F.col("turn") + n).alias("turn"), F.col("said").alias(f"said_{n}"))
 
-    def quoted(n: int) -> Column:
-        intro = F.concat(F.lit("On turn "), (F.col("turn") - n).cast("string"), F.lit(", "),
-                         F.coalesce(F.col(f"said_{n}.role"), F.lit("somebody")), F.lit(" wrote:\n"))
-        text = F.concat(intro, F.regexp_replace(F.coalesce(F.col(f"said_{n}.text"), F.lit("")), r"(?m)^", "> "))
-        for _ in range(n - 1):
+    def marked(text: Column, level: int = 1) -> Column:
+        for _ in range(level):
             text = F.regexp_replace(text, r"(?m)^", "> ")
-        return F.when(F.col(f"said_{n}").isNotNull(), F.concat(F.lit("\n\n" if n == 1 else "\n>\n"), text)).otherwise(F.lit(""))
-
+        return text
+
+    def intro(n: int) -> Column:
+        return F.concat(F.lit("On turn "), (F.col("turn") - n).cast("string"), F.lit(", "),
+                        F.coalesce(F.col(f"said_{n}.role"), F.lit("somebody")), F.lit(" wrote:\n"))
+
+    def whole(n: int) -> Column:
+        text = F.concat(intro(n), marked(F.coalesce(F.col(f"said_{n}.text"), F.lit(""))))
+        return F.when(F.col(f"said_{n}").isNotNull(), F.concat(F.lit("\n\n" if n == 1 else "\n>\n"), marked(text, n - 1))).otherwise(F.lit(""))
+
+    lines = F.filter(F.split(F.coalesce(F.col("said_1.text"), F.lit("")), "\n"), lambda x: x.rlike(r"\S"))
+    lead = F.concat(F.lit("\n\n"), intro(1))
+    trimmed = F.concat(lead, marked(F.element_at(lines, -1)))
+    rest = F.array_join(F.slice(lines, F.lit(2), F.greatest(F.size(lines) - 1, F.lit(0))), "\n")
+    answered = F.concat(lead, marked(F.element_at(lines, 1)), F.lit("\nNoted on turn "), F.col("turn").cast("string"), F.lit(".\n"),
+                        F.when(F.size(lines) > 1, marked(rest)).otherwise(F.lit("")))
+    quotes = (F.when(F.col("turn") % 3 == 0, F.concat(whole(1), whole(2)))
+              .when(F.col("said_1").isNull() | (F.size(lines) == 0), F.lit(""))
+              .when(F.col("turn") % 3 == 1, trimmed).otherwise(answered))
     mail = conversations.join(earlier(1), ["conv_id", "turn"], "left").join(earlier(2), ["conv_id", "turn"], "left")
-    return mail.select("conv_id", "turn", F.concat(F.coalesce("text", F.lit("")), quoted(1), quoted(2)).alias("text"))
+    return mail.select("conv_id", "turn", F.concat(F.coalesce("text", F.lit("")), quotes).alias("text"))
 
 
 def op1_quotations(spark: SparkSession, base: str) -> DataFrame:
@@ -168,17 +184,45 @@ WHERE rank <= 10""",
     "op13_bisector_tournament": _lloyd_sql(),
     "op1_quotations": r"""
 WITH RECURSIVE said AS (SELECT conv_id, turn, min(coalesce(text, '')) AS t FROM conversations GROUP BY ALL),
-passages AS (
+paras AS (
   SELECT conv_id, turn, trim(regexp_replace(lower(p), '\s+', ' ', 'g')) AS w
   FROM (SELECT conv_id, turn, unnest(regexp_split_to_array(t, '\n[ \t]*\n')) AS p FROM said)
   WHERE regexp_matches(p, '\S')),
-owners AS (SELECT conv_id, w, min(turn) AS owner FROM passages GROUP BY ALL),
-owned AS (SELECT conv_id, turn, w, owner FROM passages JOIN owners USING (conv_id, w)),
-n AS (SELECT conv_id, turn, count(*) AS c FROM passages GROUP BY ALL),
+lines AS (
+  SELECT conv_id, turn, i, trim(regexp_replace(lower(l), '\s+', ' ', 'g')) AS l
+  FROM (SELECT conv_id, turn, unnest(string_split(t, chr(10))) AS l, generate_subscripts(string_split(t, chr(10)), 1) AS i FROM said)
+  WHERE regexp_matches(l, '\S')),
+owners AS (SELECT conv_id, w, min(turn) AS owner FROM paras GROUP BY ALL),
+firsts AS (SELECT w, min(struct_pack(c := conv_id, t := owner)) AS f FROM owners GROUP BY w),
+line_owners AS (SELECT conv_id, l, min(turn) AS said_turn FROM lines WHERE len(string_split(l, ' ')) >= 3 GROUP BY ALL),
+ends AS (SELECT conv_id, turn, min(i) AS i0, max(i) AS i1 FROM lines GROUP BY ALL),
+pieces AS (
+  SELECT m.conv_id, m.turn, m.turn - p.turn AS level, p.w, []::VARCHAR[] AS ls
+  FROM said m JOIN paras p ON p.conv_id = m.conv_id AND p.turn IN (m.turn - 1, m.turn - 2) WHERE m.turn % 3 = 0
+  UNION ALL
+  SELECT m.conv_id, m.turn, 1, l.l, [l.l] FROM said m JOIN ends e ON e.conv_id = m.conv_id AND e.turn = m.turn - 1
+  JOIN lines l ON l.conv_id = e.conv_id AND l.turn = e.turn AND l.i = CASE WHEN m.turn % 3 = 1 THEN e.i1 ELSE e.i0 END
+  WHERE m.turn % 3 <> 0
+  UNION ALL
+  SELECT m.conv_id, m.turn, 1, string_agg(l.l, ' ' ORDER BY l.i), list(l.l) FROM said m
+  JOIN ends e ON e.conv_id = m.conv_id AND e.turn = m.turn - 1
+  JOIN lines l ON l.conv_id = e.conv_id AND l.turn = e.turn AND l.i > e.i0
+  WHERE m.turn % 3 = 2 GROUP BY m.conv_id, m.turn),
+numbered AS (SELECT row_number() OVER () AS n, * FROM pieces),
+by_line AS (
+  SELECT n, max(o.said_turn) AS line_turn
+  FROM (SELECT n, conv_id, turn, unnest(ls) AS l FROM numbered) x JOIN line_owners o ON o.conv_id = x.conv_id AND o.l = x.l AND o.said_turn < x.turn
+  GROUP BY n),
+linked AS (
+  SELECT p.conv_id, p.turn, p.level,
+         CASE WHEN o.owner IS NOT NULL THEN p.conv_id WHEN f.f IS NOT NULL THEN f.f.c WHEN b.line_turn IS NOT NULL THEN p.conv_id END AS from_conv,
+         coalesce(o.owner, f.f.t, b.line_turn) AS from_turn
+  FROM numbered p LEFT JOIN owners o ON o.conv_id = p.conv_id AND o.w = p.w AND o.owner <= p.turn
+  LEFT JOIN firsts f ON f.w = p.w LEFT JOIN by_line b ON b.n = p.n),
+n AS (SELECT conv_id, turn, count(*) AS q, count(from_turn) AS k FROM linked GROUP BY ALL),
 parents AS (
-  SELECT m.conv_id, m.turn, max(o.owner) AS parent_turn
-  FROM said m JOIN owned o ON o.conv_id = m.conv_id AND o.turn = m.turn - 1
-  WHERE o.owner < m.turn GROUP BY ALL),
+  SELECT conv_id, turn, max(from_turn) AS parent_turn FROM linked
+  WHERE level = 1 AND from_conv = conv_id AND from_turn < turn GROUP BY ALL),
 tree AS (
   SELECT m.conv_id, m.turn, NULL::BIGINT AS parent_turn, m.turn AS root_turn, 0::BIGINT AS depth
   FROM said m LEFT JOIN parents p USING (conv_id, turn) WHERE p.parent_turn IS NULL
@@ -186,11 +230,12 @@ tree AS (
   SELECT p.conv_id, p.turn, p.parent_turn, t.root_turn, t.depth + 1
   FROM parents p JOIN tree t ON t.conv_id = p.conv_id AND t.turn = p.parent_turn)
 SELECT c.conv_id, c.turn, tree.parent_turn, tree.root_turn, tree.depth,
-       (coalesce(n1.c, 0) + coalesce(n2.c, 0))::BIGINT AS n_quotes, (coalesce(n1.c, 0) + coalesce(n2.c, 0))::BIGINT AS n_linked,
-       trim(regexp_replace(coalesce(c.text, ''), '\n{3,}', chr(10) || chr(10), 'g'), chr(10)) AS own_text
+       coalesce(n.q, 0)::BIGINT AS n_quotes, coalesce(n.k, 0)::BIGINT AS n_linked,
+       trim(regexp_replace(coalesce(c.text, '') || CASE WHEN c.turn % 3 = 2 AND e.i0 IS NOT NULL THEN chr(10) || chr(10) || 'Noted on turn ' || c.turn || '.'
+                                                        ELSE '' END, '\n{3,}', chr(10) || chr(10), 'g'), chr(10)) AS own_text
 FROM conversations c JOIN tree ON tree.conv_id = c.conv_id AND tree.turn = c.turn
-LEFT JOIN n n1 ON n1.conv_id = c.conv_id AND n1.turn = c.turn - 1
-LEFT JOIN n n2 ON n2.conv_id = c.conv_id AND n2.turn = c.turn - 2 AND n1.c IS NOT NULL""",
+LEFT JOIN n ON n.conv_id = c.conv_id AND n.turn = c.turn
+LEFT JOIN ends e ON e.conv_id = c.conv_id AND e.turn = c.turn - 1""",
     "op2_rule_ledger": r"""
 WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t,

@@ -5,8 +5,11 @@ A message's lines carry a quote level (the number of leading ``>``).
 Neighbouring lines of one level, up to a blank line, are a passage. Passages
 are normalised and hashed; the owner of a passage is the earliest message
 that has it unquoted (level 0), in the same conversation if there is one
-there, else anywhere. A message replies to the latest message of its own
-conversation that its level-1 quotes come from."""
+there, else anywhere. A passage that nobody has whole (a trimmed quote, or a
+paragraph quoted in parts with answers in between) is linked by its lines:
+to the latest of the messages of its own conversation that first said one of
+them. A message replies to the latest message of its own conversation that
+its level-1 quotes come from."""
 
 from __future__ import annotations
 
@@ -25,7 +28,10 @@ INTRO = re.compile(r"(?i)^\s*(on\b.{0,200}|[^\n]{0,200})\bwrote:\s*$")
 PARSED = T.StructType([
     T.StructField("own", T.StringType()),
     T.StructField("passages", T.ArrayType(T.StructType([
-        T.StructField("level", T.IntegerType()), T.StructField("place", T.IntegerType()), T.StructField("words", T.StringType())])))])
+        T.StructField("level", T.IntegerType()), T.StructField("place", T.IntegerType()), T.StructField("words", T.StringType()),
+        T.StructField("lines", T.ArrayType(T.StringType()))])))])
+#: Lines of fewer words are said by many and link nothing by themselves.
+LINE_WORDS = 3
 
 
 def quote_level(line: str) -> tuple[int, str]:
@@ -44,6 +50,12 @@ def normalised(lines: list[str]) -> str:
 def parse_message(text: str | None) -> tuple[str, list[tuple[int, int, str]]]:
     """The message without quotes and their announcements, and its passages
     (level, place, normalised words) in text order."""
+    own, passages = parse_lines(text)
+    return own, [p[:3] for p in passages]
+
+
+def parse_lines(text: str | None) -> tuple[str, list[tuple[int, int, str, list[str]]]]:
+    """:func:`parse_message` with each passage's normalised lines."""
     lines = [quote_level(x) for x in (text or "").split("\n")]
     filled = [i for i, (_, rest) in enumerate(lines) if rest.strip()]
     intro = {i for i, j in zip(filled, filled[1:], strict=False) if lines[j][0] > lines[i][0] and INTRO.match(lines[i][1])}
@@ -52,7 +64,8 @@ def parse_message(text: str | None) -> tuple[str, list[tuple[int, int, str]]]:
     def close() -> None:
         words = normalised(open_)
         if words:
-            passages.append((at, len(passages), words))
+            lines_ = [x for x in (normalised([line]) for line in open_) if len(x.split()) >= LINE_WORDS]
+            passages.append((at, len(passages), words, list(dict.fromkeys(lines_))))
         open_.clear()
 
     for i, (level, rest) in enumerate(lines):
@@ -72,16 +85,17 @@ def parse_message(text: str | None) -> tuple[str, list[tuple[int, int, str]]]:
 
 @F.pandas_udf(PARSED)
 def _parse(texts: pd.Series) -> pd.DataFrame:
-    parsed = [parse_message(t) for t in texts]
+    parsed = [parse_lines(t) for t in texts]
     return pd.DataFrame({"own": [p[0] for p in parsed],
-                         "passages": [[{"level": a, "place": b, "words": c} for a, b, c in p[1]] for p in parsed]})
+                         "passages": [[dict(zip(("level", "place", "words", "lines"), x, strict=True)) for x in p[1]] for p in parsed]})
 
 
 def parse_messages(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", text_col: str = "text") -> DataFrame:
-    """Written table (row, conv, turn, own, passages(level, place, hash))."""
+    """Written table (row, conv, turn, own, passages(level, place, hash, lines))."""
     parsed = messages.select(F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"), _parse(F.col(text_col)).alias("p"))
     hashed = F.transform("p.passages", lambda p: F.struct(p["level"].alias("level"), p["place"].alias("place"),
-                                                          F.sha2(p["words"], 256).alias("hash")))
+                                                          F.sha2(p["words"], 256).alias("hash"),
+                                                          F.transform(p["lines"], lambda x: F.sha2(x, 256)).alias("lines")))
     return written(parsed.select(F.monotonically_increasing_id().alias("row"), "conv", "turn", F.col("p.own").alias("own"),
                                  hashed.alias("passages")), "quotes-messages")
 
@@ -90,9 +104,10 @@ def link_quotes(parsed: DataFrame) -> DataFrame:
     """One row per quoted passage: row, conv, turn, level, place, hash,
     ``from_conv``, ``from_turn`` (null where nobody has it unquoted).
 
-    Owners are reduced to one per passage (and conversation) and written
-    before the joins, so a passage that everybody quotes meets one row and
-    Spark can split its quotes over tasks."""
+    Owners are reduced to one per passage, or line, and conversation and
+    written before the joins, so a passage that everybody quotes meets one
+    row and Spark can split its quotes over tasks. Lines are looked up only
+    for passages that have no owner whole."""
     passages = parsed.select("row", "conv", "turn", F.explode("passages").alias("p")).select("row", "conv", "turn", "p.*")
     own = passages.where("level = 0 and conv is not null and turn is not null")
     here = written(own.groupBy("hash", "conv").agg(F.min("turn").alias("here_turn")), "quotes-owners")
@@ -100,9 +115,19 @@ def link_quotes(parsed: DataFrame) -> DataFrame:
     quoted = passages.where("level > 0")
     linked = quoted.join(here, ["hash", "conv"], "left").join(anywhere, "hash", "left")
     local = F.col("here_turn") <= F.col("turn")  # a quote of something said later is no quote of it
-    return linked.select("row", "conv", "turn", "level", "place", "hash",
-                         F.when(local, F.col("conv")).otherwise(F.col("first.conv")).alias("from_conv"),
-                         F.when(local, F.col("here_turn")).otherwise(F.col("first.here_turn")).alias("from_turn"))
+    linked = written(linked.select("row", "conv", "turn", "level", "place", "hash", "lines",
+                                   F.when(local, F.col("conv")).otherwise(F.col("first.conv")).alias("from_conv"),
+                                   F.when(local, F.col("here_turn")).otherwise(F.col("first.here_turn")).alias("from_turn")),
+                     "quotes-whole")
+    said = written(own.select("conv", "turn", F.explode("lines").alias("line")).groupBy("line", "conv")
+                   .agg(F.min("turn").alias("said_turn")), "quotes-line-owners")
+    asked = linked.where("from_turn is null and conv is not null").select("row", "place", "conv", "turn", F.explode("lines").alias("line"))
+    by_line = (asked.join(said, ["line", "conv"]).where("said_turn < turn").groupBy(F.col("row").alias("of"), F.col("place").alias("at"))
+               .agg(F.max("said_turn").alias("line_turn")))
+    both = linked.join(by_line, (F.col("row") == F.col("of")) & (F.col("place") == F.col("at")), "left")
+    return both.select("row", "conv", "turn", "level", "place", "hash",
+                       F.when(F.col("line_turn").isNotNull(), F.col("conv")).otherwise(F.col("from_conv")).alias("from_conv"),
+                       F.coalesce("line_turn", "from_turn").alias("from_turn"))
 
 
 def resolved_replies(parents: DataFrame) -> DataFrame:

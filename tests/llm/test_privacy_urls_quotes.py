@@ -245,6 +245,20 @@ def test_reply_order(spark):
     assert M.reply_order(df.where("false")).count() == 0
 
 
+def test_trimmed_and_interleaved_quotes(spark):
+    rows = [(1, 0, "Hello all\nThe first line of it\nand then a second line\nand last a third line"),
+            (1, 1, "Short words here\n> and then a second line\nMy answer to that"),  # trimmed
+            (1, 2, "> The first line of it\nYes it is so\n> AND last  a third line\nNo it is not"),  # interleaved
+            (1, 3, "> Yes it is so\n>> Hello all\nAgreed then, all of it"),  # a line of message 2; a line too short to link
+            (1, 4, "> nobody ever said this\nWhat"), (2, 0, "> My answer to that\nfrom another conversation"),
+            (1, 5, "> My answer to that\n> and more that was added\nWell"), (None, 1, "> My answer to that\nx"), (1, None, "> Yes it is so")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, text string")
+    got = {(r.conv_id, r.turn): (r.parent_turn, r.n_quotes, r.n_linked) for r in M.reply_order(df).collect()}
+    assert got[1, 0] == (None, 0, 0) and got[1, 1] == (0, 1, 1) and got[1, 2] == (0, 2, 2)
+    assert got[1, 3] == (2, 2, 1) and got[1, 4] == (None, 1, 0) and got[1, 5] == (1, 1, 1)
+    assert got[2, 0] == (None, 1, 1) and got[None, 1] == (None, 1, 1)  # said whole, but in another conversation
+
+
 def test_long_threads(spark):
     n = 70
     rows = [(1, i, f"message {i}" + (f"\n> message {i - 1}" if i else "")) for i in range(n)]
