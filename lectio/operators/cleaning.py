@@ -27,12 +27,12 @@ BOOK_DATES = ["read_at", "date_added"]
 FREE_TEXT = ["book_description", "review"]
 
 
-def clean_books(bronze: DataFrame, snapshot: bool = True) -> DataFrame:
+def clean_books(bronze: DataFrame, snapshot: bool = True, keep_empty: bool = False) -> DataFrame:
     """silver_books: newest feed batch, rows with a book id, typed fields,
     parsed dates, ``is_read`` from the *parsed* finish date, free text and
-    ``_source`` dropped."""
+    ``_source`` dropped. ``keep_empty`` leaves rows without a book id in."""
     df = latest_batch(bronze) if snapshot else bronze
-    df = df.filter(non_empty("book_id")).drop("_source")
+    df = (df if keep_empty else df.filter(non_empty("book_id"))).drop("_source")
     df = parse_dates(cast_columns(df, BOOK_TYPES), BOOK_DATES)
     return df.withColumn("is_read", F.col("read_at").isNotNull()).drop(*FREE_TEXT)
 

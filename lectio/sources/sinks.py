@@ -28,7 +28,8 @@ def append_bronze(df: DataFrame, path: str, batch_col: str = BATCH, part: str =
      .partitionBy(batch_col, PART).parquet(path))
 
 
-def _store(spark: SparkSession, path: str):
+def store_of(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path in it."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
 
@@ -53,9 +54,9 @@ def overwrite_table(df: DataFrame, path_or_table: str, sort_within: tuple[str, .
     path = path_or_table.rstrip("/")
     fresh, old = f"{path}.new-{uuid.uuid4().hex}", f"{path}.old-{uuid.uuid4().hex}"
     df.write.parquet(fresh)
-    store, target = _store(spark, path)
-    _, written = _store(spark, fresh)
-    _, aside = _store(spark, old)
+    store, target = store_of(spark, path)
+    _, written = store_of(spark, fresh)
+    _, aside = store_of(spark, old)
     if store.exists(target) and not store.rename(target, aside):
         raise OSError(f"{path} could not be moved aside; the new rows are in {fresh}")
     if not store.rename(written, target):

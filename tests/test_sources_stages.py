@@ -173,6 +173,36 @@ def test_streaming_fetch_folders_and_new_checkpoint(spark, tmpdir_path):
     assert sorted(r.book_id for r in latest_bronze(spark, bronze).collect()) == ["1", "2"]
 
 
+def test_a_micro_batch_touches_its_users_only(spark, tmpdir_path):
+    """History and other users' partitions are neither read nor written; a
+    batch run again changes nothing; a fetch without books empties its user."""
+    from lectio.streaming.ingest import read_silver, update_silver
+
+    silver = os.path.join(tmpdir_path, "silver")
+
+    def batch(user, stamp, *ids):
+        rows = [(i, user, stamp, "f.xml", "2026-03-29", "March 1, 2026", "1", "2", "3", "4", "x", "y", "rss") for i in ids]
+        return spark.createDataFrame(rows, "book_id string, username string, _batch string, _file string, read_at string, date_added string, "
+                                           "num_pages string, year_published string, average_rating string, user_rating string, "
+                                           "book_description string, review string, _source string")
+
+    def files():
+        return {os.path.join(d, n): os.path.getmtime(os.path.join(d, n)) for d, _, names in os.walk(silver) for n in names if n.endswith(".parquet")}
+
+    ids = lambda: sorted(r.book_id for r in read_silver(spark, silver).collect())
+    one = update_silver(batch("ann", "20240101", "1", "2"), silver, "q-0")
+    before = files()
+    two = update_silver(batch("cy", "20240101", "3"), silver, "q-1")
+    assert one != two and ids() == ["1", "2", "3"] and before.items() <= files().items()
+    assert update_silver(batch("cy", "20240101", "3"), silver, "q-1") == two and ids() == ["1", "2", "3"]  # a retry
+    update_silver(batch("ann", "20231231", "9"), silver, "q-2")  # an older fetch
+    assert ids() == ["1", "2", "3"]
+    update_silver(batch("ann", "20240102", "4"), silver, "q-3")
+    assert ids() == ["3", "4"]
+    update_silver(batch("ann", "20240103", ""), silver, "q-4")
+    assert ids() == ["3"] and update_silver(batch("ann", "20240104").limit(0), silver, "q-5") == []
+
+
 def test_empty_first_feed(spark, tmpdir_path):
     path = os.path.join(tmpdir_path, "empty.xml")
     feed(path, "ann", [])
