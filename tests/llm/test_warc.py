@@ -3,6 +3,7 @@ import os
 import zlib
 from collections import Counter, defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
 from lectio.llm import warc_index as W
@@ -60,3 +61,25 @@ def test_only_selected_ranges_are_read(spark, tmpdir_path):
     except Exception:  # noqa: BLE001
         return
     raise AssertionError("a wrong offset must not pass")
+
+
+def test_reading_tasks_get_bytes_not_rows(spark, tmpdir_path):
+    """Records of very different lengths are dealt by their bytes, to as many
+    tasks as the archives' bytes ask for."""
+    noise = F.concat_ws("", *(F.sha2(F.concat(F.lit(f"{i}-"), F.col("id")), 512) for i in range(12)))
+    pages = spark.range(600).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.repeat(noise, F.when(F.col("id") % 20 == 0, 8).otherwise(1)).alias("html"))
+    index = W.write_archives(pages.repartition(3), folder=tmpdir_path)
+    total = index.agg(F.sum("length")).first()[0]
+    dealt = W._dealt(index.select("page_id", "archive", "offset", "length"), 50_000)
+    assert dealt.rdd.getNumPartitions() == -(-total // 50_000) > 4
+    sizes = [r[1] for r in dealt.groupBy(F.spark_partition_id()).agg(F.sum("length")).collect()]
+    assert sum(sizes) == total and max(sizes) < 3 * 50_000
+    assert sorted(r.page_id for r in W.read_archives(index, task_bytes=50_000).collect()) == list(range(600))
+
+
+def test_stores_by_the_names_spark_uses(tmpdir_path):
+    assert W.open_store(f"file://{tmpdir_path}")[1] == W.open_store(tmpdir_path)[1]
+    assert W.open_store("dbfs:/mnt/x")[1] == "/dbfs/mnt/x"
+    for uri in ("wasbs://c@a.example/x", "odd://x/y"):
+        with pytest.raises(ValueError, match="archives can't be kept"):
+            W.open_store(uri)
