@@ -59,6 +59,12 @@ def op2_rule_ledger(spark: SparkSession, base: str) -> DataFrame:
                          "failed_bits")
 
 
+def rule_ablations(spark: SparkSession, base: str) -> DataFrame:
+    """What each rule of each policy version rejects over all documents, and
+    what leaving it out would bring back."""
+    return quality_ledger.ablations(quality_ledger.quality_ledger(table(spark, base, "documents")))
+
+
 def op3_radix_dedup(spark: SparkSession, base: str) -> DataFrame:
     return radix_dedup.equal_text_groups(table(spark, base, "documents"))
 
@@ -132,6 +138,7 @@ LLM_QUERIES = {f.__name__: f for f in (
     op7_attribution, op8_source_mix, op9_bpe_automaton, op10_url_automaton, op11_multi_index, op12_collision_search,
     op13_bisector_tournament)}
 LLM_QUERIES["pipeline"] = corpus_pipeline.run
+LLM_QUERIES["rule_ablations"] = rule_ablations
 
 _FINITE = "list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))"
 _WHOLE = "list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT)"
@@ -340,3 +347,13 @@ SELECT page_id, host, path, rule,
                           OR contains(path, '/wp-login.php') OR contains(path, '/cgi-bin/') THEN 'block' ELSE 'allow' END) AS verdict
 FROM best""",
 }
+
+_LEDGER_SQL = LLM_ORACLES["op2_rule_ledger"]
+LLM_ORACLES["rule_ablations"] = f"""
+WITH ledger AS ({_LEDGER_SQL}),
+rules(rule, bit) AS (VALUES ('too_few_words', 1), ('repeated_windows', 2), ('symbols', 4), ('shouting', 8), ('repeated_lines', 16),
+                            ('stutter', 32)),
+policies(policy, mask) AS (VALUES ('base-1', 3), ('corpus-1', 15), ('corpus-2', 63))
+SELECT policy, rule, count(*) FILTER (failed_bits & bit <> 0) AS n_fail, count(*) FILTER (failed_bits & mask <> 0) AS n_rejected,
+       count(*) FILTER (failed_bits & mask = bit) AS n_only_this
+FROM ledger CROSS JOIN policies JOIN rules ON mask & bit <> 0 GROUP BY policy, rule"""
