@@ -19,9 +19,9 @@ Plan shape (Spark-first):
   splits skewed (user, day) keys on the book side.
 * days: ``explode(sequence(start, end))`` - rows = sum of interval lengths.
 * gap fill: book-days are aggregated on (user, day) (map-side partial
-  aggregation first); a per-user window over those totals (rows bounded
-  by calendar days) finds each next contribution day, and the zero days
-  in between are generated locally, never shuffled.
+  aggregation first); a per-user window over interval ends (rows bounded
+  by calendar days) finds each gap, one row with its number of days. The
+  zero days are generated locally, last and by all tasks, never shuffled.
 * book and book-day rows are only shuffled by (user, day); the per-user
   window sees aggregated rows, at most one per calendar day, so one user
   holding a third of the books still spreads over many tasks.
@@ -197,31 +197,66 @@ def date_spine(complete: DataFrame, key: str = "username", start: str = "started
 
 
 def round_half_up(c: Column, scale: int) -> Column:
-    """round() through DECIMAL so ties resolve identically on every engine."""
-    return F.round(c.cast("decimal(38,12)"), scale).cast("double")
+    """round() through DECIMAL so ties resolve identically on every engine
+    (a zero, most of a gap-free series, is left as it is)."""
+    return F.when(c == 0, F.lit(0.0)).otherwise(F.round(c.cast("decimal(38,12)"), scale).cast("double"))
 
 
-def gap_days(complete: DataFrame, key: str = "username", start: str = "started_reading",
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` by ``keys`` over all shuffle partitions. For rows that are few
+    and small here but expand into many: adaptive execution would merge
+    them by their bytes into a task or two."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
+def each_day(runs: DataFrame, rising: str | None = None, day: str = "date", days: str = "n_days") -> DataFrame:
+    """One row per day of rows that stand for ``days`` days from ``day`` on;
+    ``rising`` names a column that grows by one a day. Rows don't move."""
+    every = F.posexplode(F.sequence(_c(day), F.date_add(_c(day), _c(days) - 1))).alias("_at", "_day")
+    named = {day: _c("_day"), **({rising: _c(rising) + _c("_at")} if rising else {})}
+    kept = [c for c in runs.columns if c != days]
+    return runs.select(*[c for c in kept if c != day], every).select(*[named.get(c, _c(f"`{c}`")).alias(c) for c in kept])
+
+
+def gap_runs(complete: DataFrame, key: str = "username", start: str = "started_reading",
              end: str = "read_at") -> DataFrame:
-    """(key, date): the days between a user's first start and last finish on
-    which no book is open.
+    """(key, date, n_days): the stretches between a user's first start and
+    last finish on which no book is open, by first day and length.
 
     Only interval ends move, never titles: per user and start day the latest
     finish is kept (partial aggregation), and a window per user, at most one
     row per calendar day, finds where the running latest finish ends before
     the next start."""
-    spans = complete.groupBy(key, start).agg(F.max(end).alias("_until"))
+    spans = spread(complete.groupBy(key, start).agg(F.max(end).alias("_until")), key)
     w = Window.partitionBy(key).orderBy(start).rowsBetween(Window.unboundedPreceding, -1)
     gaps = spans.select(key, _c(start).alias("_next"), F.max("_until").over(w).alias("_last"))
     gaps = gaps.where(F.datediff("_next", "_last") > 1)
-    return gaps.select(key, F.explode(F.sequence(F.date_add("_last", 1), F.date_sub("_next", 1))).alias("date"))
+    return gaps.select(key, F.date_add("_last", 1).alias("date"), (F.datediff("_next", "_last") - 1).alias("n_days"))
+
+
+def gap_days(complete: DataFrame, key: str = "username", start: str = "started_reading",
+             end: str = "read_at") -> DataFrame:
+    """(key, date): every day of :func:`gap_runs`."""
+    return each_day(gap_runs(complete, key, start, end))
 
 
 def pages_per_day(books: DataFrame, key: str = "username", start: str = "started_reading",
                   end: str = "read_at", amount: str = "num_pages", label: str = "title",
                   complete: bool = False, max_days: int | None = None, scale: int | None = 1) -> DataFrame:
     """Gold daily series (T1-T10, A2-A4, A8):
-    (key, date, est_pages_read double, books_in_progress array<string>).
+    (key, date, est_pages_read double, books_in_progress array<string>), the
+    days of :func:`daily_runs`."""
+    return each_day(daily_runs(books, key, start, end, amount, label, complete, max_days, scale))
+
+
+def daily_runs(books: DataFrame, key: str = "username", start: str = "started_reading",
+               end: str = "read_at", amount: str = "num_pages", label: str = "title",
+               complete: bool = False, max_days: int | None = None, scale: int | None = 1) -> DataFrame:
+    """The gold series with its gaps unexpanded: (key, date, n_days,
+    est_pages_read, books_in_progress), one row per day on which a book is
+    open (``n_days`` 1) and one per gap. Most days of a sparse reader are gap
+    days; what a row needs before it is expanded (:func:`each_day`) is done
+    and moved once per gap.
 
     The sums are exact (:func:`exact_total`): they don't change with the
     number of shuffle partitions. ``complete=True`` skips the completeness
@@ -231,7 +266,7 @@ def pages_per_day(books: DataFrame, key: str = "username", start: str = "started
 
     Gap fill without a spine join: every day of every book is a
     contribution day, so the zero days are exactly the gaps between a
-    user's intervals (:func:`gap_days`). They are appended to the (user,
+    user's intervals (:func:`gap_runs`). They are appended to the (user,
     day) totals, which stay where their aggregation put them, so a user
     with a third of all books spreads over every task. A NULL user never
     matches in the reference's spine join, so its contributions count as
@@ -248,6 +283,6 @@ def pages_per_day(books: DataFrame, key: str = "username", start: str = "started
     days = contrib.groupBy(key, "date").agg(
         exact_total(F.col("_amount"), F.col("_halves"), F.col("_parts"), scale).alias("est_pages_read"),
         F.sort_array(F.collect_list(label)).alias("books_in_progress"))
-    zero = gap_days(ok, key, start, end).select(
-        key, "date", F.lit(0.0).alias("est_pages_read"), F.array().cast("array<string>").alias("books_in_progress"))
-    return days.unionByName(zero)
+    zero = gap_runs(ok, key, start, end).select(
+        key, "date", "n_days", F.lit(0.0).alias("est_pages_read"), F.array().cast("array<string>").alias("books_in_progress"))
+    return days.select(key, "date", F.lit(1).alias("n_days"), "est_pages_read", "books_in_progress").unionByName(zero)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from lectio.functions.text import bullet_list
+from lectio.operators.intervals import spread
 from lectio.session import scratch_path
 
 
@@ -40,7 +41,7 @@ def rolling_mean(df: DataFrame, n: int = 7, value: str = "est_pages_read",
     return df.withColumn(out, F.avg(value).over(w))
 
 
-def numbered(df: DataFrame, *order: Column | str, name: str = "position") -> DataFrame:
+def numbered(df: DataFrame, *order: Column | str, name: str = "position", days: str | None = None) -> DataFrame:
     """``df`` in the global order of ``order``, each row with its
     ``position`` from 1.
 
@@ -49,32 +50,43 @@ def numbered(df: DataFrame, *order: Column | str, name: str = "position") -> Dat
     numbered where they are, and a file's numbers begin after the count of
     all rows in files before it. Only the counts, one per range, pass through
     a window without a partition. Rows that tie on ``order`` have positions
-    next to each other in no certain order; name enough columns."""
+    next to each other in no certain order; name enough columns.
+
+    With ``days``, a row stands for that many rows next to each other, and
+    has the position of the first: the days before it in its range are added
+    up by a window over the range."""
     spark = df.sparkSession
     path = scratch_path(spark, "ordered")
     part, row = "_range", "_at"
-    ranged = df.repartitionByRange(*[F.col(c) if isinstance(c, str) else c for c in order]).sortWithinPartitions(*order)
+    by = [F.col(c) if isinstance(c, str) else c for c in order]
+    ranges = [] if days is None else [int(spark.conf.get("spark.sql.shuffle.partitions"))]  # kept apart: rows will expand
+    ranged = df.repartitionByRange(*ranges, *by).sortWithinPartitions(*order)
     # the number within a range is the row's place in its task, taken as it is written
     (ranged.withColumn(part, F.spark_partition_id()).withColumn(row, F.monotonically_increasing_id())
      .write.parquet(path))
     rows = spark.read.schema(StructType([*df.schema.fields, StructField(part, IntegerType()), StructField(row, LongType())])).parquet(path)
-    counts = rows.groupBy(part).agg(F.count(F.lit(1)).alias("_n"))
+    counts = rows.groupBy(part).agg((F.count(F.lit(1)) if days is None else F.sum(days)).alias("_n"))
     before = F.sum("_n").over(Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1))
     offsets = counts.select(F.col(part).alias("_of"), F.coalesce(before, F.lit(0)).alias("_before"))
+    if days is None:
+        inside = F.col(row).bitwiseAND(F.lit(2**33 - 1))
+    else:
+        earlier = F.sum(days).over(Window.partitionBy(part).orderBy(row).rowsBetween(Window.unboundedPreceding, -1))
+        rows, inside = spread(rows, part).withColumn("_inside", F.coalesce(earlier, F.lit(0))), F.col("_inside")
     placed = rows.join(offsets, F.col(part) == F.col("_of"))
-    inside = F.col(row).bitwiseAND(F.lit(2**33 - 1))
     return placed.select(*[F.col(f"`{c}`") for c in df.columns], (F.col("_before") + inside + 1).alias(name))
 
 
-def daily_view(gold_daily: DataFrame, ordered: bool = False) -> DataFrame:
+def daily_view(gold_daily: DataFrame, ordered: bool = False, days: str | None = None) -> DataFrame:
     """Count of books in progress plus the list as ``book_titles``.
     ``ordered`` adds the ``position`` of a dashboard read in (username, date)
-    order (R2); leave it off when the consumer needs no global order."""
+    order (R2); leave it off when the consumer needs no global order. Rows
+    that stand for ``days`` days keep that column."""
     v = gold_daily.select(
-        "username", "date", "est_pages_read",
+        "username", "date", *([] if days is None else [days]), "est_pages_read",
         F.size("books_in_progress").alias("books_in_progress"),
         F.col("books_in_progress").alias("book_titles"))
-    return numbered(v, "username", "date") if ordered else v
+    return numbered(v, "username", "date", days=days) if ordered else v
 
 
 def genre_view(gold_genre: DataFrame, ordered: bool = False) -> DataFrame:

@@ -58,12 +58,17 @@ def rnd(c: Column, scale: int) -> Column:
 
 # -- interval allocation -------------------------------------------------
 
-def _gold_daily(spark: SparkSession, base: str, user: str = "customer") -> DataFrame:
-    """The gold series, its sums rounded through DECIMAL as the SQL does."""
-    g = T.pages_per_day(D.readings(spark, base, user=user), scale=None)
+def _gold_runs(spark: SparkSession, base: str, user: str = "customer") -> DataFrame:
+    """The gold series, its gaps unexpanded, its sums rounded through
+    DECIMAL as the SQL does."""
+    g = T.daily_runs(D.readings(spark, base, user=user), scale=None)
     return g.withColumn("est_pages_read", rnd(F.col("est_pages_read"), 1))
 
 
+def _gold_daily(spark: SparkSession, base: str, user: str = "customer") -> DataFrame:
+    return T.each_day(_gold_runs(spark, base, user))
+
+
 def _daily_report(g: DataFrame) -> DataFrame:
     return g.select("username", "date", "est_pages_read",
                     F.size("books_in_progress").alias("n_books"),
@@ -122,8 +127,8 @@ def q_labels_joined(spark, base):
 
 def q_daily_ordered(spark, base):
     """R2: the dashboard's ordered read, every row with its position."""
-    v = M.daily_view(_gold_daily(spark, base), ordered=True)
-    return v.select("position", "username", "date", "est_pages_read", "books_in_progress")
+    v = M.daily_view(_gold_runs(spark, base), ordered=True, days="n_days")
+    return T.each_day(v.select("position", "username", "date", "n_days", "est_pages_read", "books_in_progress"), rising="position")
 
 
 def q_genre_ordered(spark, base):
@@ -138,7 +143,7 @@ def q_daily_rounded(spark, base):
 
 
 def q_date_domain(spark, base):
-    return M.date_domain(_gold_daily(spark, base))
+    return M.date_domain(T.each_day(_gold_runs(spark, base)))
 
 
 # -- batches, cleaning, parsing ------------------------------------------
