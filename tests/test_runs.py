@@ -61,3 +61,8 @@ def test_zero_days_are_expanded_after_the_last_exchange(spark, name):
     assert any("sequence(" in line for line in lines[:last])
 
 
+def test_sparse_report_holds_every_day(spark):
+    got = QUERIES["daily_allocation_sparse"](spark, SF001)
+    assert got.columns == ["username", "date", "est_pages_read", "n_books", "book_titles"]
+    assert got.where("n_books > 0").count() > 0 < got.where("n_books = 0").count()
+    assert got.exceptAll(QUERIES["daily_allocation"](spark, SF001)).count() == 0
