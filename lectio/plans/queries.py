@@ -108,8 +108,8 @@ def q_rolling_mean_7(spark, base):
 
 
 def q_rolling_mean_range(spark, base):
-    g = M.date_range(_gold_daily(spark, base), RANGE_START, RANGE_END)
-    r = M.rolling_mean(g, RANGE_WINDOW)
+    g = M.date_range(_gold_runs(spark, base), RANGE_START, RANGE_END, days="n_days")
+    r = M.rolling_mean(g, RANGE_WINDOW, days="n_days")
     return r.select("username", "date", "est_pages_read", rnd(F.col("rolling_mean"), 6).alias("rolling_mean"))
 
 

@@ -47,6 +47,15 @@ def test_gaps_are_expanded_by_many_tasks(books):
     assert T.gap_days(books).select(F.spark_partition_id()).distinct().count() > 3
 
 
+@pytest.mark.parametrize("n", [1, 2, 7, 30, 400])
+@pytest.mark.parametrize("bounds", [(None, None), ("2020-03-05", "2021-04-01"), (None, "2020-12-31"), ("2021-01-01", None)])
+def test_rolling_mean_of_runs_equals_that_of_days(books, n, bounds):
+    want = M.rolling_mean(M.date_range(dense(books), *bounds), n)
+    got = M.rolling_mean(M.date_range(T.daily_runs(books, scale=None), *bounds, days="n_days"), n, days="n_days")
+    assert got.columns == want.columns
+    assert rows_of(got) == rows_of(want)
+
+
 def test_positions_of_runs_equal_those_of_days(books):
     want = M.daily_view(dense(books)).withColumn("position", F.row_number().over(Window.orderBy("username", "date")).cast("long"))
     v = M.daily_view(T.daily_runs(books, scale=None), ordered=True, days="n_days")
@@ -54,7 +63,7 @@ def test_positions_of_runs_equal_those_of_days(books):
     assert rows_of(got) == rows_of(want)
 
 
-@pytest.mark.parametrize("name", ["daily_ordered"])
+@pytest.mark.parametrize("name", ["daily_ordered", "rolling_mean_range"])
 def test_zero_days_are_expanded_after_the_last_exchange(spark, name):
     lines = QUERIES[name](spark, SF001)._jdf.queryExecution().executedPlan().toString().splitlines()
     last = next(i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line)
