@@ -70,24 +70,24 @@ def _gold_daily(spark: SparkSession, base: str, user: str = "customer") -> DataF
 
 
 def _daily_report(g: DataFrame) -> DataFrame:
-    return g.select("username", "date", "est_pages_read",
-                    F.size("books_in_progress").alias("n_books"),
-                    joined(F.col("books_in_progress")).alias("book_titles"))
+    return T.each_day(g.select("username", "date", "n_days", "est_pages_read",
+                               F.size("books_in_progress").alias("n_books"),
+                               joined(F.col("books_in_progress")).alias("book_titles")))
 
 
 def q_daily_allocation(spark, base):
-    return _daily_report(_gold_daily(spark, base))
+    return _daily_report(_gold_runs(spark, base))
 
 
 def q_daily_allocation_sparse(spark, base):
     """Few books per user over long spans: the output is dominated by
     gap-filled zero days."""
-    return _daily_report(_gold_daily(spark, base, user="customer"))
+    return _daily_report(_gold_runs(spark, base, user="customer"))
 
 
 def q_daily_allocation_dense(spark, base):
     """Nations as users: every day of a user has many open books."""
-    return _daily_report(_gold_daily(spark, base, user="nation"))
+    return _daily_report(_gold_runs(spark, base, user="nation"))
 
 
 def q_shared_boundaries(spark, base):
