@@ -114,8 +114,8 @@ def q_rolling_mean_range(spark, base):
 
 
 def q_daily_view(spark, base):
-    v = M.title_labels(M.daily_view(_gold_daily(spark, base)))
-    return v.select("username", "date", "est_pages_read", "books_in_progress", "titles_label")
+    v = M.title_labels(M.daily_view(_gold_runs(spark, base), days="n_days"))
+    return T.each_day(v.select("username", "date", "n_days", "est_pages_read", "books_in_progress", "titles_label"))
 
 
 def q_labels_joined(spark, base):
