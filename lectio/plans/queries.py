@@ -103,7 +103,7 @@ def q_skipped_report(spark, base):
 
 
 def q_rolling_mean_7(spark, base):
-    r = M.rolling_mean(_gold_daily(spark, base), 7)
+    r = M.rolling_mean(_gold_runs(spark, base), 7, days="n_days")
     return r.select("username", "date", "est_pages_read", rnd(F.col("rolling_mean"), 6).alias("rolling_mean"))
 
 

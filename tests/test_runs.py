@@ -63,7 +63,7 @@ def test_positions_of_runs_equal_those_of_days(books):
     assert rows_of(got) == rows_of(want)
 
 
-@pytest.mark.parametrize("name", ["daily_ordered", "rolling_mean_range"])
+@pytest.mark.parametrize("name", ["daily_ordered", "rolling_mean_7", "rolling_mean_range"])
 def test_zero_days_are_expanded_after_the_last_exchange(spark, name):
     lines = QUERIES[name](spark, SF001)._jdf.queryExecution().executedPlan().toString().splitlines()
     last = next(i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line)
