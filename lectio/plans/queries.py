@@ -65,10 +65,6 @@ def _gold_runs(spark: SparkSession, base: str, user: str = "customer") -> DataFr
     return g.withColumn("est_pages_read", rnd(F.col("est_pages_read"), 1))
 
 
-def _gold_daily(spark: SparkSession, base: str, user: str = "customer") -> DataFrame:
-    return T.each_day(_gold_runs(spark, base, user))
-
-
 def _daily_report(g: DataFrame) -> DataFrame:
     return T.each_day(g.select("username", "date", "n_days", "est_pages_read",
                                F.size("books_in_progress").alias("n_books"),
@@ -120,8 +116,8 @@ def q_daily_view(spark, base):
 
 def q_labels_joined(spark, base):
     """D6 alone: one hover label per user-day, empty where no book is open."""
-    v = M.title_labels(M.daily_view(_gold_daily(spark, base)))
-    return v.select("username", "date", "titles_label")
+    v = M.title_labels(M.daily_view(_gold_runs(spark, base), days="n_days"))
+    return T.each_day(v.select("username", "date", "n_days", "titles_label"))
 
 
 def q_daily_ordered(spark, base):

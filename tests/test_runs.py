@@ -70,6 +70,13 @@ def test_zero_days_are_expanded_after_the_last_exchange(spark, name):
     assert any("sequence(" in line for line in lines[:last])
 
 
+def test_labels_and_titles_are_made_before_days(spark):
+    for name in ("daily_view", "labels_joined", "daily_allocation"):
+        lines = QUERIES[name](spark, SF001)._jdf.queryExecution().executedPlan().toString().splitlines()
+        join = next(i for i, line in enumerate(lines) if "array_join" in line)
+        assert any("sequence(" in line for line in lines[:join]), name
+
+
 def test_sparse_report_holds_every_day(spark):
     got = QUERIES["daily_allocation_sparse"](spark, SF001)
     assert got.columns == ["username", "date", "est_pages_read", "n_books", "book_titles"]
