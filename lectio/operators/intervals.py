@@ -18,13 +18,15 @@ Plan shape (Spark-first):
   at run time only when the measured size is under the threshold, and
   splits skewed (user, day) keys on the book side.
 * days: ``explode(sequence(start, end))`` - rows = sum of interval lengths.
-* gap fill: book-days are aggregated on (user, day) (map-side partial
-  aggregation first); a per-user window over interval ends (rows bounded
+  For the daily sums a book moves once per ``CHUNK_DAYS`` days, to the task
+  of its (user, chunk); its days there are generated after that and summed
+  by (user, day) where they are, so they are never shuffled.
+* gap fill: a per-user window over interval ends (rows bounded
   by calendar days) finds each gap, one row with its number of days. The
   zero days are generated locally, last and by all tasks, never shuffled.
-* book and book-day rows are only shuffled by (user, day); the per-user
-  window sees aggregated rows, at most one per calendar day, so one user
-  holding a third of the books still spreads over many tasks.
+* book rows are only shuffled by (user, day) or (user, chunk of days); the
+  per-user window sees aggregated rows, at most one per calendar day, so one
+  user holding a third of the books still spreads over many tasks.
 """
 
 from __future__ import annotations
@@ -168,14 +170,29 @@ def allocate_daily(complete: DataFrame, key: str = "username", start: str = "sta
     return days.select(_c(key), F.col("date"), _c(label), share.alias("pages_per_day"))
 
 
+#: Calendar days whose books go to one task together (:func:`_book_days`).
+CHUNK_DAYS = 16
+
+
 def _book_days(complete: DataFrame, key: str, start: str, end: str, amount: str, label: str,
-               boundaries: DataFrame | None) -> DataFrame:
+               boundaries: DataFrame | None, chunks: bool = False) -> DataFrame:
     """One row per (key, day, label): the amount, and the day's share of it
-    as ``_halves`` of ``_parts``."""
+    as ``_halves`` of ``_parts``.
+
+    With ``chunks``, the rows lie by (key, ``_chunk``), the chunk of
+    ``CHUNK_DAYS`` calendar days that holds the day: a book is moved once per
+    chunk that it touches, its days are generated there."""
     flagged = flag_shared_boundaries(complete, key, start, end, boundaries)
-    days = flagged.select(key, start, end, amount, label, "start_shares_finish", "finish_shares_start",
-                          half_days(start, end).alias("_parts"), F.explode(F.sequence(_c(start), _c(end))).alias("date"))
-    return days.select(key, "date", label, amount, "_parts", day_halves(F.col("date"), start, end).alias("_halves"))
+    books = flagged.select(key, start, end, amount, label, "start_shares_finish", "finish_shares_start",
+                           half_days(start, end).alias("_parts"))
+    first, last, chunk = _c(start), _c(end), []
+    if chunks:
+        of = lambda day: F.floor(F.unix_date(day) / CHUNK_DAYS).cast("int")
+        books = spread(books.select("*", F.explode(F.sequence(of(first), of(last))).alias("_chunk")), key, "_chunk")
+        opens, chunk = F.date_from_unix_date(F.col("_chunk") * CHUNK_DAYS), ["_chunk"]
+        first, last = F.greatest(first, opens), F.least(last, F.date_add(opens, CHUNK_DAYS - 1))
+    days = books.select("*", F.explode(F.sequence(first, last)).alias("date"))
+    return days.select(key, *chunk, "date", label, amount, "_parts", day_halves(F.col("date"), start, end).alias("_halves"))
 
 
 def date_spine(complete: DataFrame, key: str = "username", start: str = "started_reading",
@@ -274,13 +291,13 @@ def daily_runs(books: DataFrame, key: str = "username", start: str = "started_re
     ok = books if complete else complete_intervals(books, start, end, amount, max_days)
     ok = ok.select(key, start, end, amount, label)
     b = boundary_days(ok, key, start, end)
-    contrib = _book_days(ok, key, start, end, amount, label, b)
+    contrib = _book_days(ok, key, start, end, amount, label, b, chunks=True)
     null_user = _c(key).isNull()
     contrib = contrib.select(
-        key, "date", "_halves", "_parts",
+        key, "_chunk", "date", "_halves", "_parts",
         F.when(null_user, F.lit(0)).otherwise(_c(amount)).alias("_amount"),
         F.when(null_user, F.lit(None).cast("string")).otherwise(_c(label)).alias(label))
-    days = contrib.groupBy(key, "date").agg(
+    days = contrib.groupBy(key, "_chunk", "date").agg(
         exact_total(F.col("_amount"), F.col("_halves"), F.col("_parts"), scale).alias("est_pages_read"),
         F.sort_array(F.collect_list(label)).alias("books_in_progress"))
     zero = gap_runs(ok, key, start, end).select(

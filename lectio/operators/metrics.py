@@ -121,16 +121,40 @@ def numbered(df: DataFrame, *order: Column | str, name: str = "position", days:
     return placed.select(*[F.col(f"`{c}`") for c in df.columns], (F.col("_before") + inside + 1).alias(name))
 
 
-def daily_view(gold_daily: DataFrame, ordered: bool = False, days: str | None = None) -> DataFrame:
+def numbered_series(df: DataFrame, series: str, *order: str, days: str, name: str = "position") -> DataFrame:
+    """:func:`numbered` by ``series`` and ``order`` for rows that stand for
+    ``days`` rows each and are few per series (a user's runs of days: one per
+    calendar day at most).
+
+    Only the series are range-sorted, each with its days in all. The rows are
+    written as they come (the sums and the result read the same rows, and
+    what made them runs once) and moved once, to their series, where the days
+    before a row are added to the series' first position."""
+    path = scratch_path(df.sparkSession, "series")
+    df.write.parquet(path)
+    rows = df.sparkSession.read.schema(df.schema).parquet(path)
+    first = numbered(rows.groupBy(series).agg(F.sum(days).alias("_days")), series, name="_first", days="_days")
+    # a series' first position comes as a row before its others: no join
+    both = spread(rows.unionByName(first.select(series, "_first"), allowMissingColumns=True), series)
+    w = Window.partitionBy(series).orderBy(F.col("_first").asc_nulls_last(), *order).rowsBetween(Window.unboundedPreceding, -1)
+    placed = both.withColumn(name, F.sum(F.coalesce("_first", days)).over(w)).where(F.col("_first").isNull())
+    return placed.select(*[F.col(f"`{c}`") for c in df.columns], name)
+
+
+def daily_view(gold_daily: DataFrame, ordered: bool = False, days: str | None = None, titles: bool = True) -> DataFrame:
     """Count of books in progress plus the list as ``book_titles``.
     ``ordered`` adds the ``position`` of a dashboard read in (username, date)
     order (R2); leave it off when the consumer needs no global order. Rows
-    that stand for ``days`` days keep that column."""
+    that stand for ``days`` days keep that column. An ordered read stores and
+    moves every column: without ``titles`` the list is left out, for a
+    consumer that shows the count alone."""
     v = gold_daily.select(
         "username", "date", *([] if days is None else [days]), "est_pages_read",
         F.size("books_in_progress").alias("books_in_progress"),
-        F.col("books_in_progress").alias("book_titles"))
-    return numbered(v, "username", "date", days=days) if ordered else v
+        *([F.col("books_in_progress").alias("book_titles")] if titles else []))
+    if not ordered:
+        return v
+    return numbered(v, "username", "date") if days is None else numbered_series(v, "username", "date", days=days)
 
 
 def genre_view(gold_genre: DataFrame, ordered: bool = False) -> DataFrame:

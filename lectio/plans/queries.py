@@ -122,7 +122,7 @@ def q_labels_joined(spark, base):
 
 def q_daily_ordered(spark, base):
     """R2: the dashboard's ordered read, every row with its position."""
-    v = M.daily_view(_gold_runs(spark, base), ordered=True, days="n_days")
+    v = M.daily_view(_gold_runs(spark, base), ordered=True, days="n_days", titles=False)
     return T.each_day(v.select("position", "username", "date", "n_days", "est_pages_read", "books_in_progress"), rising="position")
 
 

@@ -82,3 +82,68 @@ def test_sparse_report_holds_every_day(spark):
     assert got.columns == ["username", "date", "est_pages_read", "n_books", "book_titles"]
     assert got.where("n_books > 0").count() > 0 < got.where("n_books = 0").count()
     assert got.exceptAll(QUERIES["daily_allocation"](spark, SF001)).count() == 0
+
+
+def test_days_of_a_chunk_are_those_of_the_books(spark):
+    rng, rows = random.Random(9), []
+    for i in range(120):
+        start = dt.date(1969, 6, 1) + dt.timedelta(rng.randrange(400))
+        rows.append((rng.choice(["a", "b", None]), f"t{i}", start, start + dt.timedelta(rng.choice([0, 1, 15, 16, 17, 90, 700])), rng.randrange(1, 500)))
+    df = spark.createDataFrame(rows, "username string, title string, started_reading date, read_at date, num_pages int")
+    cols = ("username", "started_reading", "read_at", "num_pages", "title", None)
+    days = T._book_days(df, *cols, chunks=True)
+    assert rows_of(days.drop("_chunk")) == rows_of(T._book_days(df, *cols))
+    assert days.where(F.floor(F.datediff("date", F.lit("1970-01-01").cast("date")) / T.CHUNK_DAYS) != F.col("_chunk")).count() == 0
+
+
+def test_book_days_are_made_after_they_are_dealt(books):
+    """Shuffled as days, a book is moved as often as it has days."""
+    plan = T.daily_runs(books)._jdf.queryExecution().executedPlan().toString().splitlines()
+    dealt = next(i for i, line in enumerate(plan) if "Exchange hashpartitioning(username" in line and "_chunk" in line)
+    assert any("explode(sequence(greatest(" in line for line in plan[:dealt])
+
+
+@pytest.mark.parametrize("parts", ["1", "8"])
+def test_positions_of_series(spark, parts):
+    rng, rows = random.Random(6), []
+    for user in [None, "", "a", "b", "c", "é", "hot"]:
+        day = DAY0
+        for _ in range(90 if user == "hot" else rng.randrange(1, 9)):
+            n = rng.choice([1, 1, 2, 40])
+            rows.append((user, day, n, rng.random()))
+            day += dt.timedelta(n + rng.randrange(3))
+    want, at = [], 1
+    for r in sorted(rows, key=lambda r: (r[0] is not None, r[0] or "", r[1])):
+        want.append((*r, at))
+        at += r[2]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "username string, date date, n_days int, v double").repartition(5)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        got = M.numbered_series(df, "username", "date", days="n_days")
+        assert got.dtypes == [*df.dtypes, ("position", "bigint")]
+        assert sorted(map(tuple, got.collect()), key=lambda r: r[-1]) == want
+        assert M.numbered_series(df.limit(0), "username", "date", days="n_days").count() == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_an_ordered_read_runs_its_input_once(spark, books):
+    runs = T.daily_runs(books, scale=None).localCheckpoint()
+    seen = spark.sparkContext.accumulator(0)
+    tick = F.udf(lambda n: seen.add(1) or n, "int")
+    v = M.daily_view(runs.withColumn("n_days", tick("n_days")), ordered=True, days="n_days")
+    assert v.count() == runs.count() == seen.value
+
+
+def test_an_ordered_read_without_titles(books):
+    runs = T.daily_runs(books, scale=None)
+    whole, v = (M.daily_view(runs, ordered=True, days="n_days", titles=t) for t in (True, False))
+    assert "book_titles" in whole.columns and "book_titles" not in v.columns
+    assert rows_of(v) == rows_of(whole.drop("book_titles"))
+
+
+def test_daily_ordered_stores_no_titles(spark):
+    stored = spark.read.option("mergeSchema", "true").parquet(*QUERIES["daily_ordered"](spark, SF001).inputFiles())
+    assert "est_pages_read" in stored.columns and "book_titles" not in stored.columns
