@@ -14,7 +14,7 @@ from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from lectio.functions.text import bullet_list, once
 from lectio.operators.intervals import spread
-from lectio.session import scratch_path
+from lectio.session import scratch_path, shuffles_removed
 
 
 def date_range(df: DataFrame, start: str | _dt.date | None = None,
@@ -131,7 +131,8 @@ def numbered_series(df: DataFrame, series: str, *order: str, days: str, name: st
     what made them runs once) and moved once, to their series, where the days
     before a row are added to the series' first position."""
     path = scratch_path(df.sparkSession, "series")
-    df.write.parquet(path)
+    with shuffles_removed(df.sparkSession):
+        df.write.parquet(path)
     rows = df.sparkSession.read.schema(df.schema).parquet(path)
     first = numbered(rows.groupBy(series).agg(F.sum(days).alias("_days")), series, name="_first", days="_days")
     # a series' first position comes as a row before its others: no join

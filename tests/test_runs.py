@@ -1,7 +1,9 @@
 """The gold series with a row per gap: whole results, few rows moved, many tasks."""
 
+import contextlib
 import datetime as dt
 import random
+import time
 
 import pytest
 from pyspark.sql import Window
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 from lectio.operators import intervals as T
 from lectio.operators import metrics as M
 from lectio.plans.queries import QUERIES
+from lectio.session import shuffles_removed
 
 from .conftest import SF001
 
@@ -147,3 +150,22 @@ def test_an_ordered_read_without_titles(books):
 def test_daily_ordered_stores_no_titles(spark):
     stored = spark.read.option("mergeSchema", "true").parquet(*QUERIES["daily_ordered"](spark, SF001).inputFiles())
     assert "est_pages_read" in stored.columns and "book_titles" not in stored.columns
+
+
+def test_shuffle_files_go_with_the_write(spark, tmpdir_path):
+    def held():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+        return {f for f in files.split("\n") if "/shuffle_" in f}
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    for name, removed in (("kept", False), ("removed", True)):
+        before, conf = held(), spark.conf.get(key)
+        df = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+        with shuffles_removed(spark) if removed else contextlib.nullcontext():
+            df.write.parquet(f"{tmpdir_path}/{name}")
+        until = time.time() + 10
+        while removed and held() - before and time.time() < until:
+            time.sleep(0.1)
+        assert bool(held() - before) != removed
+        assert spark.conf.get(key) == conf
+        assert spark.read.parquet(f"{tmpdir_path}/{name}").count() == 7
